@@ -1,0 +1,281 @@
+"""DuckDB oracle: the same mart written as plain SQL over the driver's tables.
+
+The reports here are written the naive way (join first, then aggregate), so they also check the
+pre-aggregation the Spark plans use. Tables ``lineitem`` and ``events`` are views the caller
+registers. Only the spec data (lookup values, export rules) is shared with the library.
+"""
+
+from __future__ import annotations
+
+from costmart.functions.lookups import REGION_META, SERVICE_CATEGORIES
+from costmart.sources import driver_tables as dt
+
+
+def _q(v) -> str:
+    return "NULL" if v is None else "'" + str(v).replace("'", "''") + "'"
+
+
+def _list(values) -> str:
+    return "[" + ", ".join(_q(v) for v in values) + "]"
+
+
+def _values(rows) -> str:
+    return "VALUES " + ", ".join("(" + ", ".join(_q(v) for v in r) + ")" for r in rows)
+
+
+def money_sum(col: str = "cost_usd") -> str:
+    return f"SUM(CAST({col} AS DECIMAL(18,6)))"
+
+
+def rnd(expr: str, digits: int) -> str:
+    return f"CAST(ROUND({expr}, {digits}) AS DOUBLE)"
+
+
+def ratio(num: str, den: str, digits: int) -> str:
+    return (f"CAST(ROUND(CAST(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) "
+            f"AS DECIMAL(38,10)), {digits}) AS DOUBLE)")
+
+
+AWS_RAW = f"""
+aws_raw AS (
+  SELECT
+    CASE WHEN l_orderkey % {dt.A_NULL_DATE_MOD} <> 0
+         THEN strftime(DATE '{dt.A_FIRST_DAY}' + CAST(l_orderkey % {dt.A_DAY_SPAN} AS INTEGER), '%Y-%m-%d') END AS bill_date,
+    '1234567890' || lpad(CAST(l_suppkey % 5 + 1 AS VARCHAR), 2, '0') AS account_id,
+    ({_list(dt.A_ACCOUNT_NAMES)})[l_suppkey % 5 + 1] AS account_name,
+    ({_list(dt.A_SERVICES)})[l_partkey % {len(dt.A_SERVICES)} + 1] AS service_name,
+    CASE WHEN l_linenumber % 3 = 0 THEN r || 'a' ELSE r END AS region,
+    'Usage' AS usage_type,
+    l_quantity AS usage_quantity,
+    'Hrs' AS usage_unit,
+    CASE WHEN l_partkey % {dt.A_NULL_COST_MOD} <> 0 THEN l_extendedprice / 1000.0 END AS cost_usd,
+    ({_list(dt.A_ENVIRONMENTS)})[l_suppkey % 5 + 1] AS environment,
+    ({_list(dt.A_TEAMS)})[l_suppkey % 5 + 1] AS team,
+    'i-' || CAST(l_orderkey AS VARCHAR) AS resource_id
+  FROM (SELECT *, ({_list(dt.A_REGIONS)})[l_suppkey % {len(dt.A_REGIONS)} + 1] AS r FROM lineitem)
+)"""
+
+GCP_RAW = f"""
+gcp_raw AS (
+  SELECT
+    strftime(ts, '%Y-%m-%d') AS usage_date,
+    'proj-' || CAST(user_id % 5 AS VARCHAR) AS project_id,
+    ({_list(dt.B_PROJECT_NAMES)})[user_id % 5 + 1] AS project_name,
+    ({_list(dt.B_SERVICES)})[user_id % {len(dt.B_SERVICES)} + 1] AS service_description,
+    'Standard' AS sku_description,
+    CASE WHEN event_id % 3 = 0 THEN r || '-b' ELSE r END AS location_region,
+    value AS usage_amount,
+    'GiB' AS usage_unit,
+    CASE WHEN event_id % {dt.B_NULL_COST_MOD} = 0 THEN NULL
+         WHEN event_id % {dt.B_CREDIT_MOD} = 1 THEN -value ELSE value END AS cost,
+    ({_list(dt.B_ENVIRONMENTS)})[user_id % 5 + 1] AS environment,
+    ({_list(dt.B_TEAMS)})[user_id % 5 + 1] AS team,
+    'projects/' || CAST(event_id AS VARCHAR) AS resource_name
+  FROM (SELECT *, ({_list(dt.B_REGIONS)})[event_id % {len(dt.B_REGIONS)} + 1] AS r FROM events)
+)"""
+
+
+def _valid_date(col: str) -> str:
+    return (f"(regexp_full_match({col}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') "
+            f"AND try_strptime({col}, '%Y-%m-%d') IS NOT NULL)")
+
+
+AWS_KEEP = ("bill_date IS NOT NULL AND cost_usd IS NOT NULL AND service_name IS NOT NULL "
+            f"AND account_id IS NOT NULL AND {_valid_date('bill_date')}")
+GCP_KEEP = ("usage_date IS NOT NULL AND cost IS NOT NULL AND service_description IS NOT NULL "
+            f"AND project_id IS NOT NULL AND {_valid_date('usage_date')}")
+
+AWS = f"""
+aws AS (
+  SELECT bill_date AS date_key, 'AWS' AS cloud_provider, account_id,
+         coalesce(account_name, account_id) AS account_name, service_name,
+         coalesce(regexp_replace(region, '([a-z]{{2}}-[a-z]+-\\d)[a-z]$', '\\1'), 'global') AS region_code,
+         usage_quantity, usage_unit, cost_usd,
+         coalesce(environment, 'unknown') AS environment, coalesce(team, 'unknown') AS team, resource_id
+  FROM aws_raw WHERE {AWS_KEEP}
+)"""
+
+GCP = f"""
+gcp AS (
+  SELECT usage_date AS date_key, 'GCP' AS cloud_provider, project_id AS account_id,
+         coalesce(project_name, project_id) AS account_name, service_description AS service_name,
+         coalesce(regexp_replace(location_region, '-[a-z]$', ''), 'global') AS region_code,
+         usage_amount AS usage_quantity, usage_unit, cost AS cost_usd,
+         coalesce(environment, 'unknown') AS environment, coalesce(team, 'unknown') AS team,
+         resource_name AS resource_id
+  FROM gcp_raw WHERE {GCP_KEEP}
+)"""
+
+COMBINED = """
+combined AS (SELECT * FROM aws UNION ALL SELECT * FROM gcp)"""
+
+DIM_DATE = """
+dim_date AS (
+  SELECT date_key, CAST(year(d) AS VARCHAR) AS "year", lpad(CAST(month(d) AS VARCHAR), 2, '0') AS "month",
+         lpad(CAST(day(d) AS VARCHAR), 2, '0') AS "day", 'Q' || CAST(quarter(d) AS VARCHAR) AS "quarter",
+         monthname(d) AS month_name, dayname(d) AS day_of_week,
+         CASE WHEN dayofweek(d) IN (0, 6) THEN 'true' ELSE 'false' END AS is_weekend
+  FROM (SELECT DISTINCT date_key, CAST(date_key AS DATE) AS d FROM combined)
+)"""
+
+DIM_SERVICE = f"""
+dim_service AS (
+  SELECT md5(concat_ws('|', s.cloud_provider, s.service_name)) AS service_key, s.cloud_provider, s.service_name,
+         coalesce(c.service_category, 'Other') AS service_category
+  FROM (SELECT DISTINCT cloud_provider, service_name FROM combined) s
+  LEFT JOIN ({_values(SERVICE_CATEGORIES)}) c(service_name, service_category) ON s.service_name = c.service_name
+)"""
+
+DIM_ACCOUNT = """
+dim_account AS (
+  SELECT md5(concat_ws('|', cloud_provider, account_id)) AS account_key, cloud_provider, account_id,
+         account_name, team, environment
+  FROM (
+    SELECT *, row_number() OVER (PARTITION BY cloud_provider, account_id
+                                 ORDER BY last_seen DESC, account_name DESC, team DESC, environment DESC) AS rn
+    FROM (SELECT cloud_provider, account_id, account_name, team, environment,
+                 max(CAST(date_key AS DATE)) AS last_seen
+          FROM combined GROUP BY cloud_provider, account_id, account_name, team, environment))
+  WHERE rn = 1
+)"""
+
+DIM_REGION = f"""
+dim_region AS (
+  SELECT md5(concat_ws('|', s.cloud_provider, s.region_code)) AS region_key, s.cloud_provider, s.region_code,
+         coalesce(m.region_name, 'Unknown') AS region_name, coalesce(m.geography, 'Other') AS geography
+  FROM (SELECT DISTINCT cloud_provider, region_code FROM combined) s
+  LEFT JOIN ({_values(REGION_META)}) m(region_code, region_name, geography) ON s.region_code = m.region_code
+)"""
+
+FACT = """
+fact AS (
+  SELECT date_key,
+         md5(concat_ws('|', cloud_provider, service_name)) AS service_key,
+         md5(concat_ws('|', cloud_provider, account_id)) AS account_key,
+         md5(concat_ws('|', cloud_provider, region_code)) AS region_key,
+         cloud_provider, cost_usd, usage_quantity, usage_unit,
+         environment AS tag_environment, team AS tag_team
+  FROM combined
+)"""
+
+CTES = [AWS_RAW, GCP_RAW, AWS, GCP, COMBINED, DIM_DATE, DIM_SERVICE, DIM_ACCOUNT, DIM_REGION, FACT]
+
+
+def with_mart(select: str) -> str:
+    return "WITH " + ",".join(CTES) + "\n" + select
+
+
+CANON = ("date_key, cloud_provider, account_id, account_name, service_name, region_code, "
+         "usage_quantity, usage_unit, cost_usd, environment, team, resource_id")
+
+REPORTS = {
+    "spend_by_provider": f"""
+SELECT cloud_provider, {rnd(money_sum(), 2)} AS total_cost_usd, COUNT(*) AS num_line_items
+FROM fact GROUP BY cloud_provider ORDER BY total_cost_usd DESC, cloud_provider""",
+    "top_services": f"""
+SELECT s.cloud_provider, s.service_name, s.service_category, {rnd(money_sum('f.cost_usd'), 2)} AS total_cost_usd
+FROM fact f JOIN dim_service s ON f.service_key = s.service_key
+GROUP BY s.cloud_provider, s.service_name, s.service_category
+ORDER BY total_cost_usd DESC, s.cloud_provider, s.service_name, s.service_category LIMIT 10""",
+    "monthly_trend": f"""
+SELECT d."year" AS "year", d."month" AS "month", d.month_name, f.cloud_provider,
+       {rnd(money_sum('f.cost_usd'), 2)} AS monthly_cost_usd
+FROM fact f JOIN dim_date d ON f.date_key = d.date_key
+WHERE d."year" = '2024'
+GROUP BY d."year", d."month", d.month_name, f.cloud_provider
+ORDER BY 1, 2, f.cloud_provider""",
+    "team_environment": f"""
+SELECT a.team, a.environment, a.cloud_provider, {rnd(money_sum('f.cost_usd'), 2)} AS total_cost_usd
+FROM fact f JOIN dim_account a ON f.account_key = a.account_key
+GROUP BY a.team, a.environment, a.cloud_provider
+ORDER BY total_cost_usd DESC""",
+    "region_spend": f"""
+SELECT r.geography, r.region_name, f.cloud_provider, {rnd(money_sum('f.cost_usd'), 2)} AS total_cost_usd
+FROM fact f JOIN dim_region r ON f.region_key = r.region_key
+GROUP BY r.geography, r.region_name, f.cloud_provider
+ORDER BY total_cost_usd DESC""",
+    "geography_spend": f"""
+SELECT r.geography, f.cloud_provider, {rnd(money_sum('f.cost_usd'), 2)} AS total_cost_usd,
+       {ratio(money_sum('f.cost_usd'), 'COUNT(*)', 4)} AS avg_cost_per_line_item
+FROM fact f JOIN dim_region r ON f.region_key = r.region_key
+GROUP BY r.geography, f.cloud_provider
+ORDER BY total_cost_usd DESC""",
+    "weekend_weekday": f"""
+SELECT d.is_weekend, d.day_of_week, f.cloud_provider, {rnd(money_sum('f.cost_usd'), 2)} AS total_cost_usd,
+       {ratio(money_sum('f.cost_usd'), 'COUNT(*)', 4)} AS avg_line_item_cost,
+       COUNT(*) AS num_line_items
+FROM fact f JOIN dim_date d ON f.date_key = d.date_key
+GROUP BY d.is_weekend, d.day_of_week, f.cloud_provider
+ORDER BY d.is_weekend DESC, total_cost_usd DESC""",
+    "category_share": f"""
+SELECT s.service_category, f.cloud_provider, {rnd(money_sum('f.cost_usd'), 2)} AS total_cost_usd,
+       {ratio('100 * ' + money_sum('f.cost_usd'), 'SUM(' + money_sum('f.cost_usd') + ') OVER (PARTITION BY f.cloud_provider)', 1)}
+         AS pct_of_provider_spend
+FROM fact f JOIN dim_service s ON f.service_key = s.service_key
+GROUP BY s.service_category, f.cloud_provider
+ORDER BY f.cloud_provider, total_cost_usd DESC""",
+    "aiml_spend": f"""
+SELECT d."year" AS "year", d."month" AS "month", d.month_name, s.service_name, f.cloud_provider,
+       {rnd(money_sum('f.cost_usd'), 2)} AS ai_spend_usd
+FROM fact f JOIN dim_service s ON f.service_key = s.service_key
+JOIN dim_date d ON f.date_key = d.date_key
+WHERE s.service_category = 'AI/ML'
+GROUP BY d."year", d."month", d.month_name, s.service_name, f.cloud_provider
+ORDER BY 1, 2, ai_spend_usd DESC""",
+    "tags_lookup": f"""
+SELECT tag_team AS team, {rnd(money_sum(), 2)} AS total_cost_usd, COUNT(*) AS num_line_items
+FROM fact GROUP BY tag_team""",
+    "net_gross_credits": f"""
+SELECT cloud_provider,
+       {rnd('SUM(CASE WHEN cost_usd > 0 THEN CAST(cost_usd AS DECIMAL(18,6)) ELSE 0 END)', 2)} AS gross_cost_usd,
+       {rnd('SUM(CASE WHEN cost_usd < 0 THEN CAST(cost_usd AS DECIMAL(18,6)) ELSE 0 END)', 2)} AS credits_usd,
+       {rnd(money_sum(), 2)} AS net_cost_usd,
+       CAST(count_if(cost_usd < 0) AS BIGINT) AS num_credit_items
+FROM fact GROUP BY cloud_provider""",
+}
+
+STAGES = {
+    "normalize_aws": "SELECT * FROM aws",
+    "normalize_gcp": "SELECT * FROM gcp",
+    "combined": "SELECT * FROM combined",
+    "dim_date": "SELECT * FROM dim_date",
+    "dim_service": "SELECT * FROM dim_service",
+    "dim_account": "SELECT * FROM dim_account",
+    "dim_region": "SELECT * FROM dim_region",
+    "fact": "SELECT * FROM fact",
+    "fact_lookup": """
+SELECT c.date_key, s.service_key, a.account_key, r.region_key, c.cloud_provider, c.cost_usd,
+       c.usage_quantity, c.usage_unit, c.environment AS tag_environment, c.team AS tag_team
+FROM combined c
+LEFT JOIN dim_service s ON c.cloud_provider = s.cloud_provider AND c.service_name = s.service_name
+LEFT JOIN dim_account a ON c.cloud_provider = a.cloud_provider AND c.account_id = a.account_id
+LEFT JOIN dim_region r ON c.cloud_provider = r.cloud_provider AND c.region_code = r.region_code""",
+    "fact_row_ids": f"""
+SELECT {CANON},
+       row_number() OVER (PARTITION BY {CANON}) AS occurrence
+FROM (SELECT * FROM combined UNION ALL SELECT * FROM combined)""",
+    "dedupe_line_items": f"SELECT DISTINCT {CANON} FROM (SELECT * FROM combined UNION ALL SELECT * FROM combined)",
+    "quality_dropped": f"""
+SELECT 'AWS' AS cloud_provider, COUNT(*) AS raw_rows,
+       CAST(count_if(bill_date IS NULL) AS BIGINT) AS null_date,
+       CAST(count_if(cost_usd IS NULL) AS BIGINT) AS null_cost,
+       CAST(count_if(service_name IS NULL) AS BIGINT) AS null_service,
+       CAST(count_if(account_id IS NULL) AS BIGINT) AS null_account,
+       CAST(count_if(bill_date IS NOT NULL AND NOT {_valid_date('bill_date')}) AS BIGINT) AS bad_date,
+       CAST(count_if(NOT ({AWS_KEEP})) AS BIGINT) AS dropped_rows,
+       CAST(count_if({AWS_KEEP}) AS BIGINT) AS kept_rows
+FROM aws_raw
+UNION ALL
+SELECT 'GCP', COUNT(*),
+       CAST(count_if(usage_date IS NULL) AS BIGINT), CAST(count_if(cost IS NULL) AS BIGINT),
+       CAST(count_if(service_description IS NULL) AS BIGINT), CAST(count_if(project_id IS NULL) AS BIGINT),
+       CAST(count_if(usage_date IS NOT NULL AND NOT {_valid_date('usage_date')}) AS BIGINT),
+       CAST(count_if(NOT ({GCP_KEEP})) AS BIGINT), CAST(count_if({GCP_KEEP}) AS BIGINT)
+FROM gcp_raw""",
+}
+
+
+def oracle_queries() -> dict[str, str]:
+    out = {k: with_mart(v) for k, v in STAGES.items()}
+    out.update({k: with_mart(v) for k, v in REPORTS.items()})
+    return out
