@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from costmart.functions.dates import valid_date
 from costmart.operators.normalize import keep_condition
+from costmart.schemas import CANONICAL_COLUMNS
 from costmart.sources.billing_csv import CORRUPT_COLUMN
 from costmart.sources.layouts import SourceLayout
 
@@ -58,12 +59,11 @@ def quarantine(raw: DataFrame, layout: SourceLayout) -> DataFrame:
     ]
     for cond, name in rules:
         reason = F.when(cond, F.lit(name)) if reason is None else reason.when(cond, F.lit(name))
+    # one layout for every provider: raw values under canonical names (no defaults applied)
     cols = [F.lit(layout.provider).alias("cloud_provider"), reason.alias("reason")]
-    cols += [F.col(f.name) for f in layout.raw_schema.fields]
-    if has_corrupt:
-        cols.append(F.col(CORRUPT_COLUMN).alias("raw_line"))
-    else:
-        cols.append(F.lit(None).cast("string").alias("raw_line"))
+    cols += [F.col(layout.raw(c)).alias(c) for c in CANONICAL_COLUMNS if c != "cloud_provider"]
+    raw_line = F.col(CORRUPT_COLUMN) if has_corrupt else F.lit(None).cast("string")
+    cols.append(raw_line.alias("raw_line"))
     return raw.where(~keep_condition(layout)).select(*cols)
 
 

@@ -8,16 +8,34 @@ result. Nothing is capped or sampled: every query reads both tables whole.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from costmart.operators import dimensions as dims_ops
 from costmart.operators import quality
 from costmart.operators.fact import build_fact, fact_lines, number_copies
-from costmart.operators.normalize import combine, dedupe_line_items, normalize
+from costmart.operators.normalize import dedupe_line_items, normalize
+from costmart.functions.dates import bill_month
+from costmart.functions.money import exact_sum, rounded
 from costmart.plans import reports
-from costmart.plans.mart import combined_from_driver_tables, fact_with_flat_tags
+from costmart.plans.mart import (
+    Mart,
+    build_mart,
+    combined_from_driver_tables,
+    fact_with_flat_tags,
+    load_mart,
+    read_canonical,
+    report_views,
+    transform_aws,
+    transform_gcp,
+)
+from costmart.plans.sql_reports import SQL_REPORTS, run_sql_report
 from costmart.schemas import CANONICAL_COLUMNS
+from costmart.session import scratch_path
+from costmart.sinks import mart_store
+from costmart.sources.billing_csv import read_export, write_export
 from costmart.sources.driver_tables import load_exports
 from costmart.sources.layouts import AWS, GCP
+from costmart.streaming.ingest import ingest_new_files as _ingest
 
 
 def _combined(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,6 +126,140 @@ REPORT_QUERIES = {
     "net_gross_credits": _report(reports.net_gross_credits),
 }
 
+# --- sources, sinks and storage --------------------------------------------------------------------
+# These write to a fresh folder under the session's checkpoint root and read the result back.
+
+def scan_aws_csv(spark, sf_dir):
+    path = scratch_path(spark, "aws-export")
+    write_export(load_exports(spark, sf_dir)[0], path)
+    return transform_aws(spark, path)
+
+
+def scan_gcp_csv(spark, sf_dir):
+    path = scratch_path(spark, "gcp-export")
+    write_export(load_exports(spark, sf_dir)[1], path)
+    return transform_gcp(spark, path)
+
+
+def scan_parquet(spark, sf_dir):
+    """Hand canonical rows over as Parquet (one folder per source) and read them back."""
+    path = scratch_path(spark, "canonical")
+    a, b = load_exports(spark, sf_dir)
+    normalize(a, AWS).write.parquet(f"{path}/aws")
+    normalize(b, GCP).write.parquet(f"{path}/gcp")
+    return read_canonical(spark, f"{path}/aws", f"{path}/gcp")
+
+
+def _stored_mart(spark, sf_dir) -> str:
+    base = scratch_path(spark, "mart")
+    mart = build_mart(_combined(spark, sf_dir))
+    mart_store.write_mart(mart.fact, mart.dims, base)
+    return base
+
+
+def _month_stats(fact):
+    return (fact.groupBy("bill_month", "cloud_provider")
+            .agg(F.count(F.lit(1)).alias("num_line_items"),
+                 F.countDistinct("cost_id").alias("distinct_ids"),
+                 exact_sum("cost_usd").alias("s"))
+            .select("bill_month", "cloud_provider", "num_line_items", "distinct_ids",
+                    rounded("s", 2).alias("total_cost_usd")))
+
+
+def write_mart(spark, sf_dir):
+    return quality.mart_summary(load_mart(spark, _stored_mart(spark, sf_dir)).tables())
+
+
+def scan_mart(spark, sf_dir):
+    return fact_with_flat_tags(load_mart(spark, _stored_mart(spark, sf_dir)).fact).drop("cost_id", "bill_month")
+
+
+def cluster_layout(spark, sf_dir):
+    return _month_stats(mart_store.read_fact(spark, _stored_mart(spark, sf_dir)))
+
+
+def month_reload(spark, sf_dir, month: str = "2024-03"):
+    """Reload one month into a stored mart; the stored fact must come out unchanged."""
+    base = _stored_mart(spark, sf_dir)
+    rows = _combined(spark, sf_dir).where(bill_month("date_key") == month)
+    mart_store.write_fact_months(build_fact(rows), base)
+    return _month_stats(mart_store.read_fact(spark, base))
+
+
+def upsert_dimension(spark, sf_dir, split: str = "2024-07-01"):
+    """Initial load from the line items before ``split``, upsert from those after it."""
+    base = scratch_path(spark, "dims")
+    c = _combined(spark, sf_dir)
+    mart_store.write_dimension(dims_ops.build_dim_account(c.where(F.col("date_key") < split)), base, "dim_account")
+    mart_store.upsert_dimension(dims_ops.build_dim_account(c.where(F.col("date_key") >= split)),
+                                base, "dim_account", load_id=1)
+    return mart_store.read_dimension(spark, base, "dim_account")
+
+
+def ingest_new_files(spark, sf_dir, split: str = "2024-07-01"):
+    """Two arrivals of export files, each picked up by an ``availableNow`` stream run: first the
+    AWS rows before ``split``; then the rest of AWS and all of GCP (GCP is January, a late file
+    for a month already in the mart)."""
+    root = scratch_path(spark, "ingest")
+    base, state = f"{root}/mart", f"{root}/state"
+    a, b = load_exports(spark, sf_dir)
+    early = F.coalesce(F.col("bill_date"), F.lit("")) < split
+    write_export(a.where(early), f"{root}/inbox/aws/arrival-1")
+    _ingest(spark, AWS, f"{root}/inbox/aws/*/*.csv", base, state)
+    write_export(a.where(~early), f"{root}/inbox/aws/arrival-2")
+    write_export(b, f"{root}/inbox/gcp/arrival-2")
+    _ingest(spark, AWS, f"{root}/inbox/aws/*/*.csv", base, state)
+    _ingest(spark, GCP, f"{root}/inbox/gcp/*/*.csv", base, state)
+    return fact_with_flat_tags(mart_store.read_fact(spark, base)).drop("cost_id", "bill_month")
+
+
+def quarantine_rows(spark, sf_dir):
+    """Rows each source's drop rule removes, with the reason, read from CSV exports."""
+    path = scratch_path(spark, "quarantine")
+    a, b = load_exports(spark, sf_dir)
+    write_export(a, f"{path}/aws")
+    write_export(b, f"{path}/gcp")
+    qa = quality.quarantine(read_export(spark, f"{path}/aws", AWS, keep_corrupt=True), AWS)
+    qb = quality.quarantine(read_export(spark, f"{path}/gcp", GCP, keep_corrupt=True), GCP)
+    return qa.unionByName(qb)
+
+
+def validate_mart(spark, sf_dir):
+    c = _combined(spark, sf_dir)
+    mart = build_mart(c)
+    return quality.validate_mart(mart.fact, mart.dims, expected_fact_rows=c)
+
+
+def mart_summary(spark, sf_dir):
+    return quality.mart_summary(build_mart(_combined(spark, sf_dir)).tables())
+
+
+def _sql_report(name):
+    def run(spark, sf_dir):
+        c = _combined(spark, sf_dir)
+        report_views(spark, Mart(fact=fact_lines(c), dims=dims_ops.build_dimensions(c)))
+        return run_sql_report(spark, name)
+    run.__name__ = f"sql_{name}"
+    return run
+
+
+SQL_QUERIES = {f"sql_{name}": _sql_report(name) for name in SQL_REPORTS}
+
+STORAGE_QUERIES = {
+    "scan_aws_csv": scan_aws_csv,
+    "scan_gcp_csv": scan_gcp_csv,
+    "scan_parquet": scan_parquet,
+    "write_mart": write_mart,
+    "scan_mart": scan_mart,
+    "cluster_layout": cluster_layout,
+    "month_reload": month_reload,
+    "upsert_dimension": upsert_dimension,
+    "ingest_new_files": ingest_new_files,
+    "quarantine": quarantine_rows,
+    "validate_mart": validate_mart,
+    "mart_summary": mart_summary,
+}
+
 STAGE_QUERIES = {
     "normalize_aws": normalize_aws,
     "normalize_gcp": normalize_gcp,
@@ -125,4 +277,4 @@ STAGE_QUERIES = {
 
 
 def all_queries() -> dict:
-    return {**STAGE_QUERIES, **REPORT_QUERIES}
+    return {**STAGE_QUERIES, **REPORT_QUERIES, **SQL_QUERIES, **STORAGE_QUERIES}

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from costmart.operators.dimensions import build_dimensions
 from costmart.operators.fact import build_fact, fact_lines
 from costmart.operators.normalize import combine, normalize
-from costmart.schemas import CANONICAL_SCHEMA, MART_SCHEMAS, assert_schema
+from costmart.schemas import CANONICAL_SCHEMA, assert_schema
+from costmart.sinks.mart_store import load_mart_tables, write_mart
 from costmart.sources.billing_csv import read_export
 from costmart.sources.driver_tables import load_exports
 from costmart.sources.layouts import AWS, GCP
@@ -63,13 +64,31 @@ def build_mart(combined: DataFrame, *, with_ids: bool = True, keys: str = "deriv
 
 
 def load_mart(spark: SparkSession, base: str) -> Mart:
-    """The stored mart; every table's schema is asserted on read."""
-    base = base.rstrip("/")
-    tables = {}
-    for name, schema in MART_SCHEMAS.items():
-        df = spark.read.parquet(f"{base}/{name}")
-        tables[name] = assert_schema(df, schema, ordered=False).select(*schema.fieldNames())
-    return Mart(fact=tables.pop("fact_cloud_costs"), dims=tables)
+    """The stored mart: fact month folders plus the current rows of each dimension."""
+    fact, dims = load_mart_tables(spark, base)
+    return Mart(fact=fact, dims=dims)
+
+
+def store_mart(mart: Mart, base: str) -> None:
+    write_mart(mart.fact, mart.dims, base)
+
+
+def run_pipeline(spark: SparkSession, aws_path: str, gcp_path: str, base: str,
+                 persist_combined: bool = False) -> Mart:
+    """CSV exports -> stored mart at ``base``; returns the stored mart (read back).
+
+    ``persist_combined`` keeps the canonical rows on executors while the five tables are
+    built from them (memory and disk), and releases them afterwards.
+    """
+    combined = combine(transform_aws(spark, aws_path), transform_gcp(spark, gcp_path))
+    if persist_combined:
+        combined = combined.persist()
+    try:
+        store_mart(build_mart(combined), base)
+    finally:
+        if persist_combined:
+            combined.unpersist()
+    return load_mart(spark, base)
 
 
 def report_views(spark: SparkSession, mart: Mart) -> None:

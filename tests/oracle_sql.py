@@ -275,7 +275,71 @@ FROM gcp_raw""",
 }
 
 
+def _quarantine(provider: str, raw: str, keep: str, cols: list[str], date: str, cost: str,
+                service: str, account: str) -> str:
+    reason = (f"CASE WHEN {date} IS NULL THEN 'null_date' WHEN NOT {_valid_date(date)} THEN 'bad_date' "
+              f"WHEN {cost} IS NULL THEN 'null_cost' WHEN {service} IS NULL THEN 'null_service' "
+              f"WHEN {account} IS NULL THEN 'null_account' END")
+    names = [c for c in CANON.split(", ") if c != "cloud_provider"]
+    sel = ", ".join(f"{src} AS {dst}" for src, dst in zip(cols, names))
+    return (f"SELECT '{provider}' AS cloud_provider, {reason} AS reason, {sel}, "
+            f"CAST(NULL AS VARCHAR) AS raw_line FROM {raw} WHERE NOT ({keep})")
+
+
+MONTH_STATS = f"""
+SELECT substr(date_key, 1, 7) AS bill_month, cloud_provider, COUNT(*) AS num_line_items,
+       COUNT(*) AS distinct_ids, {rnd(money_sum(), 2)} AS total_cost_usd
+FROM fact GROUP BY 1, 2"""
+
+SUMMARY = """
+SELECT 'fact_cloud_costs' AS table_name, COUNT(*) AS row_count FROM fact
+UNION ALL SELECT 'dim_date', COUNT(*) FROM dim_date
+UNION ALL SELECT 'dim_service', COUNT(*) FROM dim_service
+UNION ALL SELECT 'dim_account', COUNT(*) FROM dim_account
+UNION ALL SELECT 'dim_region', COUNT(*) FROM dim_region"""
+
+VALIDATE = """
+SELECT 'fact_cloud_costs' AS table_name, 'not_empty' AS rule, COUNT(*) AS observed, COUNT(*) > 0 AS passed FROM fact
+UNION ALL SELECT 'fact_cloud_costs', 'no_null_cost', CAST(count_if(cost_usd IS NULL) AS BIGINT),
+                 count_if(cost_usd IS NULL) = 0 FROM fact
+UNION ALL SELECT 'fact_cloud_costs', 'no_null_keys',
+                 CAST(count_if(service_key IS NULL OR account_key IS NULL OR region_key IS NULL) AS BIGINT),
+                 count_if(service_key IS NULL OR account_key IS NULL OR region_key IS NULL) = 0 FROM fact
+UNION ALL SELECT 'fact_cloud_costs', 'one_row_per_line_item', (SELECT COUNT(*) FROM fact),
+                 (SELECT COUNT(*) FROM fact) = (SELECT COUNT(*) FROM combined)
+UNION ALL SELECT 'dim_date', 'not_empty', COUNT(*), COUNT(*) > 0 FROM dim_date
+UNION ALL SELECT 'dim_service', 'not_empty', COUNT(*), COUNT(*) > 0 FROM dim_service
+UNION ALL SELECT 'dim_account', 'not_empty', COUNT(*), COUNT(*) > 0 FROM dim_account
+UNION ALL SELECT 'dim_region', 'not_empty', COUNT(*), COUNT(*) > 0 FROM dim_region"""
+
+STORAGE = {
+    "scan_aws_csv": "SELECT * FROM aws",
+    "scan_gcp_csv": "SELECT * FROM gcp",
+    "scan_parquet": "SELECT * FROM combined",
+    "write_mart": SUMMARY,
+    "mart_summary": SUMMARY,
+    "scan_mart": "SELECT * FROM fact",
+    "ingest_new_files": "SELECT * FROM fact",
+    "cluster_layout": MONTH_STATS,
+    "month_reload": MONTH_STATS,
+    "upsert_dimension": "SELECT * FROM dim_account",
+    "validate_mart": VALIDATE,
+    "quarantine": _quarantine(
+        "AWS", "aws_raw", AWS_KEEP,
+        ["bill_date", "account_id", "account_name", "service_name", "region", "usage_quantity",
+         "usage_unit", "cost_usd", "environment", "team", "resource_id"],
+        "bill_date", "cost_usd", "service_name", "account_id")
+    + "\nUNION ALL\n" + _quarantine(
+        "GCP", "gcp_raw", GCP_KEEP,
+        ["usage_date", "project_id", "project_name", "service_description", "location_region",
+         "usage_amount", "usage_unit", "cost", "environment", "team", "resource_name"],
+        "usage_date", "cost", "service_description", "project_id"),
+}
+
+
 def oracle_queries() -> dict[str, str]:
     out = {k: with_mart(v) for k, v in STAGES.items()}
     out.update({k: with_mart(v) for k, v in REPORTS.items()})
+    out.update({f"sql_{k}": with_mart(v) for k, v in REPORTS.items() if k not in ("tags_lookup", "net_gross_credits")})
+    out.update({k: with_mart(v) for k, v in STORAGE.items()})
     return out
