@@ -29,15 +29,20 @@ def region_key(provider: str = "cloud_provider", region: str = "region_code") ->
     return natural_key(provider, region)
 
 
+# Fixed values of our own: the two seeds of the 128-bit row fingerprint.
+FINGERPRINT_SEEDS = ("costmart-row-a", "costmart-row-b")
+
+
 def row_fingerprint(cols: list[str]) -> Column:
-    """md5 over an unambiguous encoding of whole rows.
+    """128-bit fingerprint of whole rows, as 32 hex characters.
 
-    Each part is ``<length>:<text>`` or ``~`` for NULL, so neither a NULL nor a separator inside
-    a value can make two different rows share an encoding (``concat_ws`` alone would).
-    Doubles enter through Spark's exact shortest text form.
+    Two ``xxhash64`` over the column values (binary values, so doubles are exact, no text
+    conversion), each seeded by a different leading literal. Every column is followed by its
+    NULL flag, because a hash skips NULL inputs and (a, NULL) would otherwise collide with
+    (NULL, a). All JVM-side and cheap: about a sixth of the cost of an md5 over the row text.
     """
     parts = []
     for c in cols:
-        text = F.col(c).cast("string")
-        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~")))
-    return F.md5(F.concat_ws(",", *parts))
+        parts += [F.col(c), F.col(c).isNull()]
+    halves = [F.lpad(F.hex(F.xxhash64(F.lit(seed), *parts)), 16, "0") for seed in FINGERPRINT_SEEDS]
+    return F.concat(*halves)

@@ -46,17 +46,42 @@ def date_attributes(dates: DataFrame) -> DataFrame:
     return assert_schema(out, DIM_DATE_SCHEMA)
 
 
+def _service_rows(pairs: DataFrame) -> DataFrame:
+    """dim_service rows from distinct (cloud_provider, service_name) pairs."""
+    categories = F.broadcast(service_category_lookup(pairs.sparkSession))
+    out = (pairs.join(categories, on="service_name", how="left")
+           .select(service_key().alias("service_key"), "cloud_provider", "service_name",
+                   F.coalesce("service_category", F.lit(DEFAULT_SERVICE_CATEGORY)).alias("service_category")))
+    return assert_schema(out, DIM_SERVICE_SCHEMA)
+
+
+def _region_rows(pairs: DataFrame) -> DataFrame:
+    """dim_region rows from distinct (cloud_provider, region_code) pairs."""
+    meta = F.broadcast(region_meta_lookup(pairs.sparkSession))
+    out = (pairs.join(meta, on="region_code", how="left")
+           .select(region_key().alias("region_key"), "cloud_provider", "region_code",
+                   F.coalesce("region_name", F.lit(DEFAULT_REGION_NAME)).alias("region_name"),
+                   F.coalesce("geography", F.lit(DEFAULT_GEOGRAPHY)).alias("geography")))
+    return assert_schema(out, DIM_REGION_SCHEMA)
+
+
+def _account_rows(variants: DataFrame) -> DataFrame:
+    """dim_account rows from attribute variants with their ``last_seen`` date: per account the
+    latest variant, ties broken by the larger value (a small aggregate)."""
+    latest = (variants.groupBy("cloud_provider", "account_id")
+              .agg(F.max(F.struct("last_seen", "account_name", "team", "environment")).alias("v")))
+    out = latest.select(account_key().alias("account_key"), "cloud_provider", "account_id",
+                        F.col("v.account_name").alias("account_name"), F.col("v.team").alias("team"),
+                        F.col("v.environment").alias("environment"))
+    return assert_schema(out, DIM_ACCOUNT_SCHEMA)
+
+
 def build_dim_date(combined: DataFrame) -> DataFrame:
     return date_attributes(combined.select("date_key").distinct())
 
 
 def build_dim_service(combined: DataFrame) -> DataFrame:
-    categories = service_category_lookup(combined.sparkSession)
-    out = (combined.select("cloud_provider", "service_name").distinct()
-           .join(F.broadcast(categories), on="service_name", how="left")
-           .select(service_key().alias("service_key"), "cloud_provider", "service_name",
-                   F.coalesce("service_category", F.lit(DEFAULT_SERVICE_CATEGORY)).alias("service_category")))
-    return assert_schema(out, DIM_SERVICE_SCHEMA)
+    return _service_rows(combined.select("cloud_provider", "service_name").distinct())
 
 
 def build_dim_account(combined: DataFrame) -> DataFrame:
@@ -69,28 +94,55 @@ def build_dim_account(combined: DataFrame) -> DataFrame:
     """
     variants = (combined.groupBy("cloud_provider", "account_id", "account_name", "team", "environment")
                 .agg(F.max(F.col("date_key").cast("date")).alias("last_seen")))
-    latest = (variants.groupBy("cloud_provider", "account_id")
-              .agg(F.max(F.struct("last_seen", "account_name", "team", "environment")).alias("v")))
-    out = latest.select(account_key().alias("account_key"), "cloud_provider", "account_id",
-                        F.col("v.account_name").alias("account_name"), F.col("v.team").alias("team"),
-                        F.col("v.environment").alias("environment"))
-    return assert_schema(out, DIM_ACCOUNT_SCHEMA)
+    return _account_rows(variants)
 
 
 def build_dim_region(combined: DataFrame) -> DataFrame:
-    meta = region_meta_lookup(combined.sparkSession)
-    out = (combined.select("cloud_provider", "region_code").distinct()
-           .join(F.broadcast(meta), on="region_code", how="left")
-           .select(region_key().alias("region_key"), "cloud_provider", "region_code",
-                   F.coalesce("region_name", F.lit(DEFAULT_REGION_NAME)).alias("region_name"),
-                   F.coalesce("geography", F.lit(DEFAULT_GEOGRAPHY)).alias("geography")))
-    return assert_schema(out, DIM_REGION_SCHEMA)
+    return _region_rows(combined.select("cloud_provider", "region_code").distinct())
 
 
 def build_dimensions(combined: DataFrame) -> dict[str, DataFrame]:
+    """The four dimensions, each with its own aggregate over ``combined`` (lazy)."""
     return {
         "dim_date": build_dim_date(combined),
         "dim_service": build_dim_service(combined),
         "dim_account": build_dim_account(combined),
         "dim_region": build_dim_region(combined),
     }
+
+
+_KEY_COLUMNS = ["date_key", "cloud_provider", "service_name", "region_code", "account_id",
+                "account_name", "team", "environment"]
+_KEY_SETS = {
+    "dim_date": ["date_key"],
+    "dim_service": ["cloud_provider", "service_name"],
+    "dim_region": ["cloud_provider", "region_code"],
+    "dim_account": ["cloud_provider", "account_id", "account_name", "team", "environment"],
+}
+
+
+def _grouping_id(columns: list[str]) -> int:
+    """``grouping_id()`` of a grouping set: bit i (from the left) is 1 if column i is absent."""
+    gid = 0
+    for c in _KEY_COLUMNS:
+        gid = (gid << 1) | (0 if c in columns else 1)
+    return gid
+
+
+def dimension_keys(combined: DataFrame) -> DataFrame:
+    """Natural keys of all four dimensions in one pass: one scan, one grouping-sets aggregate
+    (partial aggregation map side), one small shuffle. ``gid`` tells the sets apart."""
+    return (combined.groupingSets([_KEY_SETS[n] for n in _KEY_SETS], *_KEY_COLUMNS)
+            .agg(F.max(F.col("date_key").cast("date")).alias("last_seen"), F.grouping_id().alias("gid")))
+
+
+def dimensions_from_keys(keys: DataFrame) -> dict[str, DataFrame]:
+    """The four dimensions from ``dimension_keys`` (small input; lazy)."""
+    part = {n: keys.where(F.col("gid") == _grouping_id(cols)).select(*cols, "last_seen")
+            for n, cols in _KEY_SETS.items()}
+    return {
+        "dim_date": date_attributes(part["dim_date"].select("date_key")),
+        "dim_service": _service_rows(part["dim_service"].drop("last_seen")),
+        "dim_account": _account_rows(part["dim_account"]),
+        "dim_region": _region_rows(part["dim_region"].drop("last_seen")),
+    }

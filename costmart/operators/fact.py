@@ -10,7 +10,7 @@ interchangeable, so numbering the copies of each distinct row 1..k gives the sam
 every run and under any partitioning. The numbering counts copies with one aggregate and then
 regenerates them; a group of copies larger than ``chunk`` is cut into chunks that are spread
 over tasks before they are expanded, so even a group holding a third of all rows is generated in
-parallel and never held in one task's memory.
+parallel and never held in one task's memory (see ``number_copies``).
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from costmart.functions.dates import bill_month
 from costmart.functions.keys import account_key, region_key, row_fingerprint, service_key
 from costmart.schemas import CANONICAL_COLUMNS, FACT_SCHEMA, assert_schema
 
@@ -42,24 +43,29 @@ def fact_lines(combined: DataFrame) -> DataFrame:
 
 
 def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Canonical rows plus ``row_fp`` (fingerprint) and ``occurrence`` (1..copies)."""
+    """Canonical rows plus ``row_fp`` (fingerprint) and ``occurrence`` (1..copies).
+
+    Plan: one aggregate counts the copies of each distinct row (map-side partial aggregation
+    collapses copies inside each task first). Each distinct row then becomes one marker per
+    chunk of at most ``chunk`` copies (one marker unless the group is huge), and the markers go
+    through a single ``rebalance`` exchange on (month, chunk): ordinary rows (chunk 0) stay
+    together by month, which is also the layout the month-partitioned write wants (about one
+    file per task), while the chunks of a hot group hash to different tasks; adaptive execution
+    splits a large month by bytes. Markers are expanded to occurrence numbers only after the
+    exchange, so no task holds or generates more than one chunk of a group at a time.
+
+    The output is distributed by month, ready for ``sinks.mart_store.write_fact_months``.
+    """
     cols = list(CANONICAL_COLUMNS)
-    counted = (combined.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
-               .withColumn("row_fp", row_fingerprint(cols)))
     copies = F.col("copies")
-
-    small = counted.where(copies <= chunk).select(
-        *cols, "row_fp", F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("occurrence"))
-
-    # Hot groups: emit chunk numbers (copies / chunk rows), spread them over tasks by hash of
-    # (fingerprint, chunk), then expand each chunk to its occurrence numbers.
-    big = (counted.where(copies > chunk)
-           .select(*cols, "row_fp", "copies",
-                   F.explode(F.sequence(F.lit(0).cast("long"), F.floor((copies - 1) / chunk))).alias("chunk"))
-           .repartition("row_fp", "chunk")
-           .select(*cols, "row_fp", F.explode(F.sequence(
-               F.col("chunk") * chunk + 1, F.least((F.col("chunk") + 1) * chunk, copies))).alias("occurrence")))
-    return small.unionByName(big)
+    markers = (combined.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
+               .select(*cols, row_fingerprint(cols).alias("row_fp"), "copies",
+                       F.explode(F.sequence(F.lit(0).cast("long"), F.floor((copies - 1) / chunk))).alias("chunk")))
+    first = F.col("chunk") * chunk + 1
+    last = F.least((F.col("chunk") + 1) * chunk, copies)
+    return (markers.withColumn("_month", bill_month("date_key"))
+            .hint("rebalance", "_month", "chunk")
+            .select(*cols, "row_fp", F.explode(F.sequence(first, last)).alias("occurrence")))
 
 
 def cost_id() -> Column:

@@ -15,7 +15,7 @@ from costmart.operators.dimensions import build_dimensions
 from costmart.operators.fact import build_fact, fact_lines
 from costmart.operators.normalize import combine, normalize
 from costmart.schemas import CANONICAL_SCHEMA, assert_schema
-from costmart.sinks.mart_store import load_mart_tables, write_mart
+from costmart.sinks.mart_store import load_mart_tables, write_dimensions, write_fact_months, write_mart
 from costmart.sources.billing_csv import read_export
 from costmart.sources.driver_tables import load_exports
 from costmart.sources.layouts import AWS, GCP
@@ -84,7 +84,8 @@ def run_pipeline(spark: SparkSession, aws_path: str, gcp_path: str, base: str,
     if persist_combined:
         combined = combined.persist()
     try:
-        store_mart(build_mart(combined), base)
+        write_dimensions(combined, base)
+        write_fact_months(build_fact(combined), base)
     finally:
         if persist_combined:
             combined.unpersist()

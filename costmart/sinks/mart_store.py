@@ -2,11 +2,10 @@
 
 * ``fact_cloud_costs/bill_month=yyyy-MM/``: the fact, partitioned by month. Month folders are
   replaced one at a time with dynamic partition overwrite, so a late file for an old month
-  rewrites only that month. Inside a month, rows are range-partitioned on
-  (date_key, cloud_provider, cost_id) and sorted, so each file covers a narrow date range
-  (Parquet min/max statistics then skip row groups for date filters). ``cost_id`` is unique, so
-  the range bounds can split any hot day or provider into several files.
-* ``dim_*/load_id=N/``: each load of a dimension appends its rows under a new ``load_id``
+  rewrites only that month. Rows are distributed by month and sorted by date inside each
+  file (Parquet min/max statistics then skip row groups for date filters); adaptive execution
+  splits a large month over several files of about the advisory partition size.
+* ``dim_*/source=S/load_id=N/``: each load of a dimension appends its rows under a new ``load_id``
   (rewriting its own folder if the load is replayed). Readers keep the row of the latest load
   per key, which is the upsert: stored rows plus new rows, latest row per key. No job ever reads
   and overwrites the same folder.
@@ -36,22 +35,31 @@ DIM_SCHEMAS = {"dim_date": DIM_DATE_SCHEMA, "dim_service": DIM_SERVICE_SCHEMA,
 INITIAL_LOAD = 0
 
 
-def cluster_layout(fact: DataFrame) -> DataFrame:
+def cluster_layout(fact: DataFrame, distributed: bool = False) -> DataFrame:
     """Add ``bill_month`` and lay rows out for the month-partitioned write.
 
-    No fixed partition count: the range exchange uses the session's shuffle partitions and
-    adaptive execution coalesces small ones. The sort starts with ``bill_month`` so it also
-    satisfies the writer's required ordering (no second sort is planned).
+    Rows are distributed by month with a ``rebalance`` exchange (no fixed count, no sampling
+    job: adaptive execution coalesces small partitions and splits a large month by bytes), so
+    each task writes about one file, then sorted by (bill_month, date_key, cloud_provider),
+    which also satisfies the writer's required ordering, so no second sort is planned. Files
+    hold rows in date order, and Parquet min/max statistics skip row groups for date filters.
+    ``distributed=True`` skips the exchange for input that is already distributed by month
+    (``operators.fact.build_fact``).
     """
     assert_schema(fact, FACT_SCHEMA)
-    return (fact.withColumn("bill_month", bill_month("date_key"))
-            .repartitionByRange("date_key", "cloud_provider", "cost_id")
-            .sortWithinPartitions("bill_month", "date_key", "cloud_provider"))
+    out = fact.withColumn("bill_month", bill_month("date_key"))
+    if not distributed:
+        out = out.hint("rebalance", "bill_month")
+    return out.sortWithinPartitions("bill_month", "date_key", "cloud_provider")
 
 
-def write_fact_months(fact: DataFrame, base: str) -> None:
-    """Write fact rows; only the months present in ``fact`` are replaced."""
-    laid_out = assert_schema(cluster_layout(fact), FACT_STORED_SCHEMA)
+def write_fact_months(fact: DataFrame, base: str, distributed: bool = True) -> None:
+    """Write fact rows; only the months present in ``fact`` are replaced.
+
+    ``fact`` is expected as ``build_fact`` returns it (already distributed by day); pass
+    ``distributed=False`` for any other input.
+    """
+    laid_out = assert_schema(cluster_layout(fact, distributed), FACT_STORED_SCHEMA)
     (laid_out.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("bill_month")
@@ -97,6 +105,22 @@ def read_fact(spark: SparkSession, base: str) -> DataFrame:
     return assert_schema(fact, FACT_STORED_SCHEMA, ordered=False).select(*FACT_STORED_SCHEMA.fieldNames())
 
 
+def write_dimensions(combined: DataFrame, base: str, load_id: int = INITIAL_LOAD, source: str = "batch") -> None:
+    """Build and write all four dimensions from one pass over ``combined``.
+
+    The grouping-sets aggregate (dimension-sized output) is persisted while the four writes
+    read it and released afterwards; a lost cache block is recomputed from its lineage.
+    """
+    from costmart.operators.dimensions import dimension_keys, dimensions_from_keys
+
+    keys = dimension_keys(combined).persist()
+    try:
+        for name, dim in dimensions_from_keys(keys).items():
+            write_dimension(dim, base, name, load_id, source)
+    finally:
+        keys.unpersist()
+
+
 def write_mart(fact: DataFrame, dims: dict[str, DataFrame], base: str, load_id: int = INITIAL_LOAD) -> None:
     """Write the five tables (schemas asserted before each write)."""
     write_fact_months(fact, base)

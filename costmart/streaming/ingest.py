@@ -21,11 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costmart.functions.dates import bill_month
-from costmart.operators.dimensions import build_dimensions
 from costmart.operators.fact import build_fact
 from costmart.operators.normalize import normalize
 from costmart.schemas import CANONICAL_COLUMNS
-from costmart.sinks.mart_store import upsert_dimension, write_fact_months
+from costmart.sinks.mart_store import write_dimensions, write_fact_months
 from costmart.sources.layouts import SourceLayout
 
 
@@ -46,8 +45,7 @@ def _process_batch(spark: SparkSession, layout: SourceLayout, base: str, landing
 
         batch_rows = spark.read.parquet(f"{landing}/provider={layout.provider}/batch_id={batch_id}") \
             .select(*CANONICAL_COLUMNS)
-        for name, dim in build_dimensions(batch_rows).items():
-            upsert_dimension(dim, base, name, load_offset + batch_id + 1, source=f"stream-{layout.provider}")
+        write_dimensions(batch_rows, base, load_offset + batch_id + 1, source=f"stream-{layout.provider}")
     return run
 
 
