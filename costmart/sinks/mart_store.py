@@ -71,7 +71,10 @@ def write_dimension(dim: DataFrame, base: str, name: str, load_id: int = INITIAL
     """Append one load of a dimension under ``source=S/load_id=N`` (a replay of the same load
     replaces itself). Each writer (batch job, one stream per provider) owns its ``source``."""
     assert_schema(dim, DIM_SCHEMAS[name])
+    # rebalance: adaptive execution packs a small dimension into one file and cuts a large
+    # one (accounts) into files of about the advisory size
     (dim.withColumn("source", F.lit(source)).withColumn("load_id", F.lit(int(load_id)).cast("long"))
+     .hint("rebalance")
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("source", "load_id")
