@@ -37,14 +37,18 @@ def _process_batch(spark: SparkSession, layout: SourceLayout, base: str, landing
          .partitionBy("bill_month")
          .parquet(f"{landing}/provider={layout.provider}/batch_id={batch_id}"))
 
+        batch_dir = f"{landing}/provider={layout.provider}/batch_id={batch_id}"
+        # The months this batch touched: a handful of partition values, collected so the scan
+        # of all landed rows is pruned to those month folders at planning time (a semi-join
+        # would not prune: dynamic pruning needs a selective filter on the other side).
+        months = [r.bill_month for r in spark.read.parquet(batch_dir).select("bill_month").distinct().collect()]
+        if not months:
+            return
         landed = spark.read.option("basePath", landing).parquet(landing)
-        touched = spark.read.parquet(f"{landing}/provider={layout.provider}/batch_id={batch_id}") \
-            .select("bill_month").distinct()
-        month_rows = landed.join(touched, "bill_month", "left_semi").select(*CANONICAL_COLUMNS)
+        month_rows = landed.where(F.col("bill_month").isin(months)).select(*CANONICAL_COLUMNS)
         write_fact_months(build_fact(month_rows), base)
 
-        batch_rows = spark.read.parquet(f"{landing}/provider={layout.provider}/batch_id={batch_id}") \
-            .select(*CANONICAL_COLUMNS)
+        batch_rows = spark.read.parquet(batch_dir).select(*CANONICAL_COLUMNS)
         write_dimensions(batch_rows, base, load_offset + batch_id + 1, source=f"stream-{layout.provider}")
     return run
 
