@@ -65,14 +65,19 @@ def _region_rows(pairs: DataFrame) -> DataFrame:
     return assert_schema(out, DIM_REGION_SCHEMA)
 
 
-def _account_rows(variants: DataFrame) -> DataFrame:
+def _account_rows(variants: DataFrame, keep_last_seen: bool = False) -> DataFrame:
     """dim_account rows from attribute variants with their ``last_seen`` date: per account the
-    latest variant, ties broken by the larger value (a small aggregate)."""
+    latest variant, ties broken by the larger value (a small aggregate). ``keep_last_seen`` adds
+    the date of that variant (the stored form uses it to merge loads by data date)."""
     latest = (variants.groupBy("cloud_provider", "account_id")
               .agg(F.max(F.struct("last_seen", "account_name", "team", "environment")).alias("v")))
     out = latest.select(account_key().alias("account_key"), "cloud_provider", "account_id",
                         F.col("v.account_name").alias("account_name"), F.col("v.team").alias("team"),
-                        F.col("v.environment").alias("environment"))
+                        F.col("v.environment").alias("environment"),
+                        *([F.col("v.last_seen").alias("last_seen")] if keep_last_seen else []))
+    if keep_last_seen:
+        assert_schema(out.drop("last_seen"), DIM_ACCOUNT_SCHEMA)
+        return out
     return assert_schema(out, DIM_ACCOUNT_SCHEMA)
 
 
@@ -84,7 +89,7 @@ def build_dim_service(combined: DataFrame) -> DataFrame:
     return _service_rows(combined.select("cloud_provider", "service_name").distinct())
 
 
-def build_dim_account(combined: DataFrame) -> DataFrame:
+def build_dim_account(combined: DataFrame, keep_last_seen: bool = False) -> DataFrame:
     """One row per (provider, account_id).
 
     Names, teams and environments can drift over time; the row keeps the attributes seen on the
@@ -94,7 +99,7 @@ def build_dim_account(combined: DataFrame) -> DataFrame:
     """
     variants = (combined.groupBy("cloud_provider", "account_id", "account_name", "team", "environment")
                 .agg(F.max(F.col("date_key").cast("date")).alias("last_seen")))
-    return _account_rows(variants)
+    return _account_rows(variants, keep_last_seen)
 
 
 def build_dim_region(combined: DataFrame) -> DataFrame:
@@ -136,13 +141,13 @@ def dimension_keys(combined: DataFrame) -> DataFrame:
             .agg(F.max(F.col("date_key").cast("date")).alias("last_seen"), F.grouping_id().alias("gid")))
 
 
-def dimensions_from_keys(keys: DataFrame) -> dict[str, DataFrame]:
+def dimensions_from_keys(keys: DataFrame, keep_last_seen: bool = False) -> dict[str, DataFrame]:
     """The four dimensions from ``dimension_keys`` (small input; lazy)."""
     part = {n: keys.where(F.col("gid") == _grouping_id(cols)).select(*cols, "last_seen")
             for n, cols in _KEY_SETS.items()}
     return {
         "dim_date": date_attributes(part["dim_date"].select("date_key")),
         "dim_service": _service_rows(part["dim_service"].drop("last_seen")),
-        "dim_account": _account_rows(part["dim_account"]),
+        "dim_account": _account_rows(part["dim_account"], keep_last_seen),
         "dim_region": _region_rows(part["dim_region"].drop("last_seen")),
     }

@@ -152,8 +152,9 @@ def scan_parquet(spark, sf_dir):
 
 def _stored_mart(spark, sf_dir) -> str:
     base = scratch_path(spark, "mart")
-    mart = build_mart(_combined(spark, sf_dir))
-    mart_store.write_mart(mart.fact, mart.dims, base)
+    c = _combined(spark, sf_dir)
+    mart_store.write_dimensions(c, base)
+    mart_store.write_fact_months(build_fact(c), base)
     return base
 
 
@@ -190,8 +191,9 @@ def upsert_dimension(spark, sf_dir, split: str = "2024-07-01"):
     """Initial load from the line items before ``split``, upsert from those after it."""
     base = scratch_path(spark, "dims")
     c = _combined(spark, sf_dir)
-    mart_store.write_dimension(dims_ops.build_dim_account(c.where(F.col("date_key") < split)), base, "dim_account")
-    mart_store.upsert_dimension(dims_ops.build_dim_account(c.where(F.col("date_key") >= split)),
+    mart_store.write_dimension(dims_ops.build_dim_account(c.where(F.col("date_key") < split), True),
+                               base, "dim_account")
+    mart_store.upsert_dimension(dims_ops.build_dim_account(c.where(F.col("date_key") >= split), True),
                                 base, "dim_account", load_id=1)
     return mart_store.read_dimension(spark, base, "dim_account")
 

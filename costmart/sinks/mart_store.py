@@ -69,8 +69,17 @@ def write_fact_months(fact: DataFrame, base: str, distributed: bool = True) -> N
 def write_dimension(dim: DataFrame, base: str, name: str, load_id: int = INITIAL_LOAD,
                     source: str = "batch") -> None:
     """Append one load of a dimension under ``source=S/load_id=N`` (a replay of the same load
-    replaces itself). Each writer (batch job, one stream per provider) owns its ``source``."""
-    assert_schema(dim, DIM_SCHEMAS[name])
+    replaces itself). Each writer (batch job, one stream per provider) owns its ``source``.
+
+    ``dim_account`` is stored with ``last_seen`` (the data date of its attributes; NULL if the
+    caller's frame lacks it), so a late file with older attributes does not override newer ones.
+    """
+    if name == "dim_account":
+        if "last_seen" not in dim.columns:
+            dim = dim.withColumn("last_seen", F.lit(None).cast("date"))
+        assert_schema(dim.drop("last_seen"), DIM_SCHEMAS[name])
+    else:
+        assert_schema(dim, DIM_SCHEMAS[name])
     # rebalance: adaptive execution packs a small dimension into one file and cuts a large
     # one (accounts) into files of about the advisory size
     (dim.withColumn("source", F.lit(source)).withColumn("load_id", F.lit(int(load_id)).cast("long"))
@@ -98,7 +107,10 @@ def read_dimension(spark: SparkSession, base: str, name: str) -> DataFrame:
     key = DIM_KEYS[name]
     attrs = [f for f in schema.fieldNames() if f != key]
     loads = spark.read.parquet(f"{base.rstrip('/')}/{name}")
-    latest = loads.groupBy(key).agg(F.max_by(F.struct(*attrs), F.col("load_id")).alias("v"))
+    order = F.col("load_id")
+    if "last_seen" in loads.columns:  # accounts: latest data date first, then latest load
+        order = F.struct(F.coalesce(F.col("last_seen"), F.lit("0001-01-01").cast("date")), F.col("load_id"))
+    latest = loads.groupBy(key).agg(F.max_by(F.struct(*attrs), order).alias("v"))
     out = latest.select(key, *[F.col(f"v.{a}").alias(a) for a in attrs])
     return assert_schema(out, schema)
 
@@ -118,7 +130,7 @@ def write_dimensions(combined: DataFrame, base: str, load_id: int = INITIAL_LOAD
 
     keys = dimension_keys(combined).persist()
     try:
-        for name, dim in dimensions_from_keys(keys).items():
+        for name, dim in dimensions_from_keys(keys, keep_last_seen=True).items():
             write_dimension(dim, base, name, load_id, source)
     finally:
         keys.unpersist()

@@ -87,7 +87,7 @@ def test_late_rows_change_only_their_month(spark, stored):
 def test_upsert_latest_load_wins(spark, scratch):
     base = scratch("upsert")
     old = fx.combined(spark, [fx.canon_row(account_name="old")])
-    new = fx.combined(spark, [fx.canon_row(account_name="new"),
+    new = fx.combined(spark, [fx.canon_row(date_key="2024-02-01", account_name="new"),
                               fx.canon_row(account_id="999", account_name="other")])
     mart_store.write_dimension(D.build_dim_account(old), base, "dim_account")
     mart_store.upsert_dimension(D.build_dim_account(new), base, "dim_account", load_id=1)
@@ -98,6 +98,15 @@ def test_upsert_latest_load_wins(spark, scratch):
     assert mart_store.read_dimension(spark, base, "dim_account").count() == 2
 
 
+def test_late_file_does_not_override_newer_account_attributes(spark, scratch):
+    base = scratch("late-dim")
+    newer = fx.combined(spark, [fx.canon_row(date_key="2024-05-01", account_name="renamed")])
+    older = fx.combined(spark, [fx.canon_row(date_key="2024-01-01", account_name="original")])
+    mart_store.write_dimension(D.build_dim_account(newer, True), base, "dim_account")
+    mart_store.upsert_dimension(D.build_dim_account(older, True), base, "dim_account", load_id=1)
+    assert mart_store.read_dimension(spark, base, "dim_account").first().account_name == "renamed"
+
+
 def test_schema_assertion_refuses_wrong_schema(spark):
     with pytest.raises(SchemaMismatch):
         assert_schema(fx.combined(spark), DIM_DATE_SCHEMA)
