@@ -107,3 +107,17 @@ def mart_summary(tables: dict[str, DataFrame]) -> DataFrame:
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
              for name, df in tables.items()]
     return reduce(lambda a, b: a.unionAll(b), parts)
+
+
+class ValidationFailed(AssertionError):
+    pass
+
+
+def raise_on_failures(validation: DataFrame) -> list:
+    """Collect validation rows (a fixed handful, one per table and rule) and raise if any rule
+    failed, so a scheduled run stops before bad data reaches a dashboard. Returns the rows."""
+    rows = validation.collect()
+    failed = [r for r in rows if not r.passed]
+    if failed:
+        raise ValidationFailed("; ".join(f"{r.table_name}.{r.rule} observed {r.observed}" for r in failed))
+    return rows

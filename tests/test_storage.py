@@ -133,3 +133,15 @@ def test_incremental_ingest_takes_only_new_files(spark, scratch):
     assert sorted(got.select("cost_id").collect()) == sorted(full.select("cost_id").collect())
     dims = load_mart(spark, base).dims
     assert dims["dim_account"].count() == 10
+
+
+def test_validation_passes_and_fails(spark):
+    from costmart.operators.quality import ValidationFailed, raise_on_failures, validate_mart
+
+    c = fx.combined(spark)
+    dims = D.build_dimensions(c)
+    rows = raise_on_failures(validate_mart(build_fact(c), dims, expected_fact_rows=c))
+    assert len(rows) == 8 and all(r.passed for r in rows)
+    empty = {**dims, "dim_region": dims["dim_region"].where("false")}
+    with pytest.raises(ValidationFailed, match="dim_region.not_empty"):
+        raise_on_failures(validate_mart(build_fact(c), empty))
