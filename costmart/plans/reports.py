@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costmart.functions.dates import month_bounds, year_bounds
+from costmart.functions.dates import year_bounds
 from costmart.functions.money import exact_sum, money, rounded, rounded_ratio
 
 COST = "cost_usd"

@@ -115,6 +115,26 @@ def read_dimension(spark: SparkSession, base: str, name: str) -> DataFrame:
     return assert_schema(out, schema)
 
 
+def compact_dimension(spark: SparkSession, base: str, name: str, new_base: str) -> None:
+    """Write the current rows of a dimension as a single load under ``new_base``.
+
+    Loads accumulate with every incremental run; compaction resolves them once (the same
+    latest-per-key aggregate readers use) into a fresh folder, never in place. Point readers at
+    ``new_base`` afterwards. ``dim_account`` keeps its ``last_seen`` so later loads still merge
+    by data date.
+    """
+    loads = spark.read.parquet(f"{base.rstrip('/')}/{name}")
+    if name == "dim_account" and "last_seen" in loads.columns:
+        key = DIM_KEYS[name]
+        attrs = [f for f in DIM_SCHEMAS[name].fieldNames() if f != key] + ["last_seen"]
+        order = F.struct(F.coalesce(F.col("last_seen"), F.lit("0001-01-01").cast("date")), F.col("load_id"))
+        latest = loads.groupBy(key).agg(F.max_by(F.struct(*attrs), order).alias("v"))
+        current = latest.select(key, *[F.col(f"v.{a}").alias(a) for a in attrs])
+    else:
+        current = read_dimension(spark, base, name)
+    write_dimension(current, new_base, name, INITIAL_LOAD, source="compacted")
+
+
 def read_fact(spark: SparkSession, base: str) -> DataFrame:
     fact = spark.read.parquet(f"{base.rstrip('/')}/{FACT_TABLE}")
     return assert_schema(fact, FACT_STORED_SCHEMA, ordered=False).select(*FACT_STORED_SCHEMA.fieldNames())

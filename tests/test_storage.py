@@ -4,7 +4,6 @@ import glob
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from costmart.operators import dimensions as D
 from costmart.operators.fact import build_fact
@@ -145,3 +144,18 @@ def test_validation_passes_and_fails(spark):
     empty = {**dims, "dim_region": dims["dim_region"].where("false")}
     with pytest.raises(ValidationFailed, match="dim_region.not_empty"):
         raise_on_failures(validate_mart(build_fact(c), empty))
+
+
+def test_compaction_keeps_current_rows(spark, scratch):
+    base, new_base = scratch("compact-src"), scratch("compact-dst")
+    for i, name in enumerate(["a", "b", "c"]):
+        rows = fx.combined(spark, [fx.canon_row(date_key=f"2024-0{i + 1}-01", account_name=name)])
+        mart_store.write_dimension(D.build_dim_account(rows, True), base, "dim_account", load_id=i)
+    mart_store.compact_dimension(spark, base, "dim_account", new_base)
+    assert mart_store.read_dimension(spark, new_base, "dim_account").first().account_name == "c"
+    loads = spark.read.parquet(f"{new_base}/dim_account").select("load_id").distinct().count()
+    assert loads == 1
+    # a late load with older data still does not win after compaction
+    old = fx.combined(spark, [fx.canon_row(date_key="2023-12-01", account_name="stale")])
+    mart_store.upsert_dimension(D.build_dim_account(old, True), new_base, "dim_account", load_id=5)
+    assert mart_store.read_dimension(spark, new_base, "dim_account").first().account_name == "c"
