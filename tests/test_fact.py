@@ -100,3 +100,8 @@ def test_number_copies_keeps_all_rows(spark):
 def test_fact_lines_is_a_projection(spark):
     plan = fact_lines(fx.combined(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_derive_mode_fact_has_no_join(spark):
+    plan = build_fact(fx.combined(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan

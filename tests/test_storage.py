@@ -159,3 +159,18 @@ def test_compaction_keeps_current_rows(spark, scratch):
     old = fx.combined(spark, [fx.canon_row(date_key="2023-12-01", account_name="stale")])
     mart_store.upsert_dimension(D.build_dim_account(old, True), new_base, "dim_account", load_id=5)
     assert mart_store.read_dimension(spark, new_base, "dim_account").first().account_name == "c"
+
+
+def test_run_pipeline_end_to_end(spark, scratch):
+    from costmart.plans.mart import run_pipeline
+
+    root = scratch("pipeline")
+    a, b = load_exports(spark, SF_SMALL)
+    write_export(a, f"{root}/aws")
+    write_export(b, f"{root}/gcp")
+    mart = run_pipeline(spark, f"{root}/aws", f"{root}/gcp", f"{root}/mart", persist_combined=True)
+    got = R.spend_by_provider(mart.fact).collect()
+    from costmart.operators.fact import fact_lines
+    want = R.spend_by_provider(fact_lines(combined_from_driver_tables(spark, SF_SMALL))).collect()
+    assert got == want
+    assert {n: df.count() for n, df in mart.dims.items()}["dim_service"] == 29
