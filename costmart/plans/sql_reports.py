@@ -104,3 +104,12 @@ ORDER BY d.year, d.month, ai_spend_usd DESC, s.service_name, f.cloud_provider"""
 def run_sql_report(spark: SparkSession, name: str) -> DataFrame:
     """Run one report over the registered views (lazy: returns the planned DataFrame)."""
     return spark.sql(SQL_REPORTS[name])
+
+
+def run_queries(spark: SparkSession, base: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """Load the stored mart at ``base``, register its five tables as views and plan the SQL
+    reports (all, or ``names``). Returns lazy DataFrames; nothing is printed or collected."""
+    from costmart.plans.mart import load_mart, report_views
+
+    report_views(spark, load_mart(spark, base))
+    return {n: run_sql_report(spark, n) for n in (names or list(SQL_REPORTS))}

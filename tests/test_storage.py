@@ -174,3 +174,15 @@ def test_run_pipeline_end_to_end(spark, scratch):
     want = R.spend_by_provider(fact_lines(combined_from_driver_tables(spark, SF_SMALL))).collect()
     assert got == want
     assert {n: df.count() for n, df in mart.dims.items()}["dim_service"] == 29
+
+
+def test_run_queries_over_stored_mart(spark, stored):
+    from costmart.plans.sql_reports import run_queries
+
+    base, c = stored
+    out = run_queries(spark, base)
+    assert set(out) == {"spend_by_provider", "top_services", "monthly_trend", "team_environment",
+                        "region_spend", "geography_spend", "weekend_weekday", "category_share", "aiml_spend"}
+    mart = load_mart(spark, base)
+    assert out["category_share"].collect() == R.category_share(mart.fact, mart.dims["dim_service"]).collect()
+    assert out["monthly_trend"].collect() == R.monthly_trend(mart.fact, mart.dims["dim_date"]).collect()
