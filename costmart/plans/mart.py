@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from costmart.functions.dates import bill_month
 from costmart.operators.dimensions import build_dimensions
 from costmart.operators.fact import build_fact, fact_lines
 from costmart.operators.normalize import combine, normalize
@@ -93,8 +94,12 @@ def run_pipeline(spark: SparkSession, aws_path: str, gcp_path: str, base: str,
 
 
 def report_views(spark: SparkSession, mart: Mart) -> None:
-    """Register the five tables as temp views for SQL reports (``spark.sql``)."""
+    """Register the five tables as temp views for SQL reports (``spark.sql``). The fact view
+    always has ``bill_month`` (derived from ``date_key`` for an in-memory fact) so SQL can
+    bound it and prune month folders of the stored table."""
     for name, df in mart.tables().items():
+        if name == "fact_cloud_costs" and "bill_month" not in df.columns:
+            df = df.withColumn("bill_month", bill_month("date_key"))
         df.createOrReplaceTempView(name)
 
 

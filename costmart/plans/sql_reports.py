@@ -2,7 +2,8 @@
 
 Same results as ``plans.reports``. Each statement sums the fact per join key in a CTE before
 joining the dimension (Catalyst does not push an aggregate below a join by itself), so the fact
-is aggregated map side and never shuffled whole. Register the views with
+is aggregated map side and never shuffled whole; the year-bounded report also bounds the month
+partition column, so month folders outside the year are pruned. Register the views with
 ``plans.mart.report_views`` (or any tables with these names) and call ``run_sql_report``.
 """
 
@@ -39,7 +40,9 @@ LIMIT 10""",
 
     "monthly_trend": f"""
 WITH f AS (SELECT date_key, cloud_provider, SUM({M}) AS s FROM fact_cloud_costs
-           WHERE date_key BETWEEN '2024-01-01' AND '2024-12-31' GROUP BY date_key, cloud_provider)
+           WHERE date_key BETWEEN '2024-01-01' AND '2024-12-31'
+             AND bill_month BETWEEN '2024-01' AND '2024-12'
+           GROUP BY date_key, cloud_provider)
 SELECT d.year, d.month, d.month_name, f.cloud_provider, {_r('SUM(f.s)', 2)} AS monthly_cost_usd
 FROM f JOIN dim_date d ON f.date_key = d.date_key
 WHERE d.year = '2024'
