@@ -13,6 +13,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,6)"
+# The largest magnitude DECIMAL(18,6) holds; a cost outside it (or NaN, or infinite) is bad input.
+MAX_COST = 999999999999.999999
+
+
+def valid_cost(col: str | Column) -> Column:
+    """True for a finite cost that fits the money type (NaN compares above every number in
+    Spark, so it fails the range test too); NULL stays NULL for the NULL rule to report."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c.between(-MAX_COST, MAX_COST)
 
 
 def money(col: str | Column) -> Column:

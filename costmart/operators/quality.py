@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costmart.functions.dates import valid_date
+from costmart.functions.money import valid_cost
 from costmart.operators.normalize import keep_condition
 from costmart.schemas import CANONICAL_COLUMNS
 from costmart.sources.billing_csv import CORRUPT_COLUMN
@@ -36,6 +37,7 @@ def drop_counts(raw: DataFrame, layout: SourceLayout) -> DataFrame:
         F.count_if(_null_reason(layout, "service_name")).alias("null_service"),
         F.count_if(_null_reason(layout, "account_id")).alias("null_account"),
         F.count_if(date_col.isNotNull() & ~valid_date(date_col)).alias("bad_date"),
+        F.count_if(~valid_cost(layout.raw("cost_usd"))).alias("bad_cost"),
         F.count_if(~keep).alias("dropped_rows"),
         F.count_if(keep).alias("kept_rows"),
     )
@@ -54,6 +56,7 @@ def quarantine(raw: DataFrame, layout: SourceLayout) -> DataFrame:
         (date_col.isNull(), "null_date"),
         (~valid_date(date_col), "bad_date"),
         (_null_reason(layout, "cost_usd"), "null_cost"),
+        (~valid_cost(layout.raw("cost_usd")), "bad_cost"),
         (_null_reason(layout, "service_name"), "null_service"),
         (_null_reason(layout, "account_id"), "null_account"),
     ]

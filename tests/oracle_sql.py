@@ -80,10 +80,17 @@ def _valid_date(col: str) -> str:
             f"AND try_strptime({col}, '%Y-%m-%d') IS NOT NULL)")
 
 
+MAX_COST = "999999999999.999999"
+
+
+def _valid_cost(col: str) -> str:
+    return f"({col} BETWEEN -{MAX_COST} AND {MAX_COST})"
+
+
 AWS_KEEP = ("bill_date IS NOT NULL AND cost_usd IS NOT NULL AND service_name IS NOT NULL "
-            f"AND account_id IS NOT NULL AND {_valid_date('bill_date')}")
+            f"AND account_id IS NOT NULL AND {_valid_date('bill_date')} AND {_valid_cost('cost_usd')}")
 GCP_KEEP = ("usage_date IS NOT NULL AND cost IS NOT NULL AND service_description IS NOT NULL "
-            f"AND project_id IS NOT NULL AND {_valid_date('usage_date')}")
+            f"AND project_id IS NOT NULL AND {_valid_date('usage_date')} AND {_valid_cost('cost')}")
 
 AWS = f"""
 aws AS (
@@ -262,6 +269,7 @@ SELECT 'AWS' AS cloud_provider, COUNT(*) AS raw_rows,
        CAST(count_if(service_name IS NULL) AS BIGINT) AS null_service,
        CAST(count_if(account_id IS NULL) AS BIGINT) AS null_account,
        CAST(count_if(bill_date IS NOT NULL AND NOT {_valid_date('bill_date')}) AS BIGINT) AS bad_date,
+       CAST(count_if(NOT {_valid_cost('cost_usd')}) AS BIGINT) AS bad_cost,
        CAST(count_if(NOT ({AWS_KEEP})) AS BIGINT) AS dropped_rows,
        CAST(count_if({AWS_KEEP}) AS BIGINT) AS kept_rows
 FROM aws_raw
@@ -270,6 +278,7 @@ SELECT 'GCP', COUNT(*),
        CAST(count_if(usage_date IS NULL) AS BIGINT), CAST(count_if(cost IS NULL) AS BIGINT),
        CAST(count_if(service_description IS NULL) AS BIGINT), CAST(count_if(project_id IS NULL) AS BIGINT),
        CAST(count_if(usage_date IS NOT NULL AND NOT {_valid_date('usage_date')}) AS BIGINT),
+       CAST(count_if(NOT {_valid_cost('cost')}) AS BIGINT),
        CAST(count_if(NOT ({GCP_KEEP})) AS BIGINT), CAST(count_if({GCP_KEEP}) AS BIGINT)
 FROM gcp_raw""",
 }
@@ -278,7 +287,8 @@ FROM gcp_raw""",
 def _quarantine(provider: str, raw: str, keep: str, cols: list[str], date: str, cost: str,
                 service: str, account: str) -> str:
     reason = (f"CASE WHEN {date} IS NULL THEN 'null_date' WHEN NOT {_valid_date(date)} THEN 'bad_date' "
-              f"WHEN {cost} IS NULL THEN 'null_cost' WHEN {service} IS NULL THEN 'null_service' "
+              f"WHEN {cost} IS NULL THEN 'null_cost' WHEN NOT {_valid_cost(cost)} THEN 'bad_cost' "
+              f"WHEN {service} IS NULL THEN 'null_service' "
               f"WHEN {account} IS NULL THEN 'null_account' END")
     names = [c for c in CANON.split(", ") if c != "cloud_provider"]
     sel = ", ".join(f"{src} AS {dst}" for src, dst in zip(cols, names))

@@ -125,6 +125,19 @@ def test_bad_dates_are_quarantined_not_fatal(spark, date):
     assert [r.reason for r in quarantine(raw, AWS).collect()] == ["bad_date"]
 
 
+@pytest.mark.parametrize("cost", [float("nan"), float("inf"), -float("inf"), 1e15])
+def test_non_finite_or_huge_cost_is_quarantined(spark, cost):
+    from costmart.operators.fact import fact_lines
+    from costmart.plans.reports import spend_by_provider
+
+    raw = fx.aws_raw(spark, [fx.aws_row(cost_usd=cost, resource_id="bad"), fx.aws_row(cost_usd=2.5)])
+    clean = normalize(raw, AWS)
+    assert clean.count() == 1
+    assert [r.reason for r in quarantine(raw, AWS).collect()] == ["bad_cost"]
+    assert drop_counts(raw, AWS).first().bad_cost == 1
+    assert spend_by_provider(fact_lines(clean)).first().total_cost_usd == 2.5  # no ANSI cast error
+
+
 def test_drop_counts_by_reason(spark):
     r = drop_counts(fx.aws_raw(spark), AWS).first()
     assert (r.raw_rows, r.null_date, r.null_cost, r.dropped_rows, r.kept_rows) == (5, 1, 1, 2, 3)
