@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costmart.functions.dates import bill_month
-from costmart.functions.keys import account_key, region_key, row_fingerprint, service_key
+from costmart.functions.keys import account_key, fingerprint_halves, fingerprint_hex, region_key, service_key
 from costmart.schemas import CANONICAL_COLUMNS, FACT_SCHEMA, assert_schema
 
 DEFAULT_CHUNK = 1 << 20
@@ -58,14 +58,17 @@ def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """
     cols = list(CANONICAL_COLUMNS)
     copies = F.col("copies")
+    hi, lo = fingerprint_halves(cols)
     markers = (combined.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
-               .select(*cols, row_fingerprint(cols).alias("row_fp"), "copies",
+               .select(*cols, hi.alias("fp_hi"), lo.alias("fp_lo"), "copies",
                        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((copies - 1) / chunk))).alias("chunk")))
     first = F.col("chunk") * chunk + 1
     last = F.least((F.col("chunk") + 1) * chunk, copies)
+    # the fingerprint crosses the exchange as two longs; its text form is built afterwards
     return (markers.withColumn("_month", bill_month("date_key"))
             .hint("rebalance", "_month", "chunk")
-            .select(*cols, "row_fp", F.explode(F.sequence(first, last)).alias("occurrence")))
+            .select(*cols, fingerprint_hex(F.col("fp_hi"), F.col("fp_lo")).alias("row_fp"),
+                    F.explode(F.sequence(first, last)).alias("occurrence")))
 
 
 def cost_id() -> Column:
