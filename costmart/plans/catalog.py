@@ -122,6 +122,8 @@ REPORT_QUERIES = {
     "weekend_weekday": _report(reports.weekend_weekday, "dim_date"),
     "category_share": _report(reports.category_share, "dim_service"),
     "aiml_spend": _report(reports.aiml_spend, "dim_service", "dim_date"),
+    "monthly_trend_last_6_months": _report(lambda f, d: reports.monthly_trend(f, d, year=None, last_months=6),
+                                           "dim_date"),
     "tags_lookup": _report(reports.tag_spend),
     "net_gross_credits": _report(reports.net_gross_credits),
 }

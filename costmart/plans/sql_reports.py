@@ -91,6 +91,22 @@ FROM f JOIN dim_service s ON f.service_key = s.service_key
 GROUP BY s.service_category, f.cloud_provider
 ORDER BY f.cloud_provider, total_cost_usd DESC, s.service_category""",
 
+    "tags_lookup": f"""
+SELECT tags['team'] AS team, {_r(f'SUM({M})', 2)} AS total_cost_usd, COUNT(*) AS num_line_items
+FROM fact_cloud_costs
+GROUP BY tags['team']
+ORDER BY total_cost_usd DESC, team""",
+
+    "net_gross_credits": f"""
+SELECT cloud_provider,
+       {_r(f"SUM(CASE WHEN cost_usd > 0 THEN {M} ELSE CAST(0 AS DECIMAL(18,6)) END)", 2)} AS gross_cost_usd,
+       {_r(f"SUM(CASE WHEN cost_usd < 0 THEN {M} ELSE CAST(0 AS DECIMAL(18,6)) END)", 2)} AS credits_usd,
+       {_r(f'SUM({M})', 2)} AS net_cost_usd,
+       COUNT_IF(cost_usd < 0) AS num_credit_items
+FROM fact_cloud_costs
+GROUP BY cloud_provider
+ORDER BY cloud_provider""",
+
     "aiml_spend": f"""
 WITH f AS (SELECT service_key, date_key, cloud_provider, SUM({M}) AS s FROM fact_cloud_costs
            GROUP BY service_key, date_key, cloud_provider)

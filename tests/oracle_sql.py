@@ -190,6 +190,15 @@ SELECT d."year" AS "year", d."month" AS "month", d.month_name, f.cloud_provider,
 FROM fact f JOIN dim_date d ON f.date_key = d.date_key
 WHERE d."year" = '2024'
 GROUP BY d."year", d."month", d.month_name, f.cloud_provider
+ORDER BY 1, 2, f.cloud_provider""",
+    "monthly_trend_last_6_months": f"""
+SELECT d."year" AS "year", d."month" AS "month", d.month_name, f.cloud_provider,
+       {rnd(money_sum('f.cost_usd'), 2)} AS monthly_cost_usd
+FROM fact f JOIN dim_date d ON f.date_key = d.date_key
+WHERE substr(d.date_key, 1, 7) BETWEEN
+      strftime(date_trunc('month', (SELECT CAST(max(date_key) AS DATE) FROM fact)) - INTERVAL 5 MONTH, '%Y-%m')
+      AND (SELECT substr(max(date_key), 1, 7) FROM fact)
+GROUP BY d."year", d."month", d.month_name, f.cloud_provider
 ORDER BY 1, 2, f.cloud_provider""",
     "team_environment": f"""
 SELECT a.team, a.environment, a.cloud_provider, {rnd(money_sum('f.cost_usd'), 2)} AS total_cost_usd
@@ -350,6 +359,6 @@ STORAGE = {
 def oracle_queries() -> dict[str, str]:
     out = {k: with_mart(v) for k, v in STAGES.items()}
     out.update({k: with_mart(v) for k, v in REPORTS.items()})
-    out.update({f"sql_{k}": with_mart(v) for k, v in REPORTS.items() if k not in ("tags_lookup", "net_gross_credits")})
+    out.update({f"sql_{k}": with_mart(v) for k, v in REPORTS.items() if k != "monthly_trend_last_6_months"})
     out.update({k: with_mart(v) for k, v in STORAGE.items()})
     return out

@@ -182,7 +182,8 @@ def test_run_queries_over_stored_mart(spark, stored):
     base, c = stored
     out = run_queries(spark, base)
     assert set(out) == {"spend_by_provider", "top_services", "monthly_trend", "team_environment",
-                        "region_spend", "geography_spend", "weekend_weekday", "category_share", "aiml_spend"}
+                        "region_spend", "geography_spend", "weekend_weekday", "category_share", "aiml_spend",
+                        "tags_lookup", "net_gross_credits"}
     mart = load_mart(spark, base)
     assert out["category_share"].collect() == R.category_share(mart.fact, mart.dims["dim_service"]).collect()
     assert out["monthly_trend"].collect() == R.monthly_trend(mart.fact, mart.dims["dim_date"]).collect()
