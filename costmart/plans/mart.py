@@ -74,22 +74,19 @@ def store_mart(mart: Mart, base: str) -> None:
     write_mart(mart.fact, mart.dims, base)
 
 
-def run_pipeline(spark: SparkSession, aws_path: str, gcp_path: str, base: str,
-                 persist_combined: bool = False) -> Mart:
+def run_pipeline(spark: SparkSession, aws_path: str, gcp_path: str, base: str) -> Mart:
     """CSV exports -> stored mart at ``base``; returns the stored mart (read back).
 
-    ``persist_combined`` keeps the canonical rows on executors while the five tables are
-    built from them (memory and disk), and releases them afterwards.
+    Each export is parsed once: the normalised rows are handed over as Parquet under
+    ``base/canonical/`` (kept as the audit copy of what was loaded), and the dimensions and the
+    fact are built from those columnar files rather than from the CSV text again.
     """
-    combined = combine(transform_aws(spark, aws_path), transform_gcp(spark, gcp_path))
-    if persist_combined:
-        combined = combined.persist()
-    try:
-        write_dimensions(combined, base)
-        write_fact_months(build_fact(combined), base)
-    finally:
-        if persist_combined:
-            combined.unpersist()
+    canon = {"aws": f"{base.rstrip('/')}/canonical/aws", "gcp": f"{base.rstrip('/')}/canonical/gcp"}
+    transform_aws(spark, aws_path).write.mode("overwrite").parquet(canon["aws"])
+    transform_gcp(spark, gcp_path).write.mode("overwrite").parquet(canon["gcp"])
+    combined = read_canonical(spark, canon["aws"], canon["gcp"])
+    write_dimensions(combined, base)
+    write_fact_months(build_fact(combined), base)
     return load_mart(spark, base)
 
 

@@ -168,7 +168,7 @@ def test_run_pipeline_end_to_end(spark, scratch):
     a, b = load_exports(spark, SF_SMALL)
     write_export(a, f"{root}/aws")
     write_export(b, f"{root}/gcp")
-    mart = run_pipeline(spark, f"{root}/aws", f"{root}/gcp", f"{root}/mart", persist_combined=True)
+    mart = run_pipeline(spark, f"{root}/aws", f"{root}/gcp", f"{root}/mart")
     got = R.spend_by_provider(mart.fact).collect()
     from costmart.operators.fact import fact_lines
     want = R.spend_by_provider(fact_lines(combined_from_driver_tables(spark, SF_SMALL))).collect()
