@@ -128,6 +128,15 @@ REPORT_QUERIES = {
     "net_gross_credits": _report(reports.net_gross_credits),
 }
 
+def rollup(spark, sf_dir):
+    """The daily rollup of the fact (sums as DOUBLE for comparison; stored as exact decimals)."""
+    from costmart.operators.rollup import ROLLUP_KEYS, daily_rollup
+
+    r = daily_rollup(fact_lines(_combined(spark, sf_dir)))
+    return r.select(*ROLLUP_KEYS, *[F.col(m).cast("double").alias(m) for m in ("cost_sum", "gross_sum", "credit_sum")],
+                    "line_items", "credit_items")
+
+
 # --- sources, sinks and storage --------------------------------------------------------------------
 # These write to a fresh folder under the session's checkpoint root and read the result back.
 
@@ -277,6 +286,7 @@ STAGE_QUERIES = {
     "fact_row_ids": fact_row_ids,
     "dedupe_line_items": dedupe,
     "quality_dropped": quality_dropped,
+    "daily_rollup": rollup,
 }
 
 

@@ -16,7 +16,14 @@ from costmart.operators.dimensions import build_dimensions
 from costmart.operators.fact import build_fact, fact_lines
 from costmart.operators.normalize import combine, normalize
 from costmart.schemas import CANONICAL_SCHEMA, assert_schema
-from costmart.sinks.mart_store import load_mart_tables, write_dimensions, write_fact_months, write_mart
+from costmart.sinks.mart_store import (
+    load_mart_tables,
+    read_rollup,
+    write_dimensions,
+    write_fact_months,
+    write_mart,
+    write_rollup_months,
+)
 from costmart.sources.billing_csv import read_export
 from costmart.sources.driver_tables import load_exports
 from costmart.sources.layouts import AWS, GCP
@@ -28,6 +35,7 @@ DIMENSIONS = ("dim_date", "dim_service", "dim_account", "dim_region")
 class Mart:
     fact: DataFrame
     dims: dict
+    rollup: DataFrame | None = None  # daily rollup, when stored; reports accept it for ``fact``
 
     def tables(self) -> dict[str, DataFrame]:
         return {"fact_cloud_costs": self.fact, **self.dims}
@@ -67,7 +75,7 @@ def build_mart(combined: DataFrame, *, with_ids: bool = True, keys: str = "deriv
 def load_mart(spark: SparkSession, base: str) -> Mart:
     """The stored mart: fact month folders plus the current rows of each dimension."""
     fact, dims = load_mart_tables(spark, base)
-    return Mart(fact=fact, dims=dims)
+    return Mart(fact=fact, dims=dims, rollup=read_rollup(spark, base))
 
 
 def store_mart(mart: Mart, base: str) -> None:
@@ -87,6 +95,7 @@ def run_pipeline(spark: SparkSession, aws_path: str, gcp_path: str, base: str) -
     combined = read_canonical(spark, canon["aws"], canon["gcp"])
     write_dimensions(combined, base)
     write_fact_months(build_fact(combined), base)
+    write_rollup_months(spark, base)
     return load_mart(spark, base)
 
 

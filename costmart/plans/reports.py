@@ -7,7 +7,8 @@ frames, and the fact itself is never shuffled or broadcast, whatever its size. S
 decimals (``functions.money``), so pre-aggregation does not change a single cent.
 
 ``fact`` is any frame with the fact columns: the stored table (with its ``bill_month`` partition
-column, which the date-bounded reports use for partition pruning) or ``operators.fact.fact_lines``.
+column, which the date-bounded reports use for partition pruning) or ``operators.fact.fact_lines``,
+or the daily rollup (``operators.rollup``), from which every report gives the same result.
 Inner joins, as in the reference SQL: a fact row whose key has no dimension row is not reported.
 """
 
@@ -18,14 +19,16 @@ from pyspark.sql import functions as F
 
 from costmart.functions.dates import year_bounds
 from costmart.functions.money import exact_sum, money, rounded, rounded_ratio
+from costmart.operators.rollup import is_rollup
 
 COST = "cost_usd"
 
 
 def _sum_by(fact: DataFrame, *keys: str, with_count: bool = False) -> DataFrame:
-    aggs = [exact_sum(COST).alias("s")]
-    if with_count:
-        aggs.append(F.count(F.lit(1)).alias("n"))
+    if is_rollup(fact):  # partial sums already: add them up
+        aggs = [F.sum("cost_sum").alias("s")] + ([F.sum("line_items").alias("n")] if with_count else [])
+    else:
+        aggs = [exact_sum(COST).alias("s")] + ([F.count(F.lit(1)).alias("n")] if with_count else [])
     return fact.groupBy(*keys).agg(*aggs)
 
 
@@ -158,8 +161,13 @@ def aiml_spend(fact: DataFrame, dim_service: DataFrame, dim_date: DataFrame,
 # E9: tag-based spend ---------------------------------------------------------------------------
 def tag_spend(fact: DataFrame, tag: str = "team") -> DataFrame:
     """Spend by one key of the ``tags`` map (the line item's own tag, not the account's)."""
-    return (fact.groupBy(F.col("tags")[tag].alias(tag))
-            .agg(exact_sum(COST).alias("s"), F.count(F.lit(1)).alias("num_line_items"))
+    if is_rollup(fact):
+        grouped = (fact.groupBy(F.col(f"tag_{tag}").alias(tag))
+                   .agg(F.sum("cost_sum").alias("s"), F.sum("line_items").alias("num_line_items")))
+    else:
+        grouped = (fact.groupBy(F.col("tags")[tag].alias(tag))
+                   .agg(exact_sum(COST).alias("s"), F.count(F.lit(1)).alias("num_line_items")))
+    return (grouped
             .select(tag, rounded("s", 2).alias("total_cost_usd"), "num_line_items")
             .orderBy(F.desc("total_cost_usd"), tag))
 
@@ -169,11 +177,15 @@ def net_gross_credits(fact: DataFrame) -> DataFrame:
     """Gross spend (positive items), credits (negative items) and net spend per provider."""
     zero = F.lit(0).cast("decimal(18,6)")
     c = F.col(COST)
-    return (fact.groupBy("cloud_provider")
-            .agg(F.sum(F.when(c > 0, money(c)).otherwise(zero)).alias("gross"),
-                 F.sum(F.when(c < 0, money(c)).otherwise(zero)).alias("credits"),
-                 exact_sum(c).alias("net"),
-                 F.count_if(c < 0).alias("num_credit_items"))
+    if is_rollup(fact):
+        aggs = [F.sum("gross_sum").alias("gross"), F.sum("credit_sum").alias("credits"),
+                F.sum("cost_sum").alias("net"), F.sum("credit_items").alias("num_credit_items")]
+    else:
+        aggs = [F.sum(F.when(c > 0, money(c)).otherwise(zero)).alias("gross"),
+                F.sum(F.when(c < 0, money(c)).otherwise(zero)).alias("credits"),
+                exact_sum(c).alias("net"),
+                F.count_if(c < 0).alias("num_credit_items")]
+    return (fact.groupBy("cloud_provider").agg(*aggs)
             .select("cloud_provider", rounded("gross", 2).alias("gross_cost_usd"),
                     rounded("credits", 2).alias("credits_usd"), rounded("net", 2).alias("net_cost_usd"),
                     "num_credit_items")

@@ -156,6 +156,39 @@ def write_dimensions(combined: DataFrame, base: str, load_id: int = INITIAL_LOAD
         keys.unpersist()
 
 
+ROLLUP_TABLE = "daily_rollup"
+
+
+def write_rollup_months(spark: SparkSession, base: str, months: list[str] | None = None) -> None:
+    """(Re)build the daily rollup from the stored fact, for ``months`` or all of it.
+
+    Reads only the fact columns the rollup needs (and only the given month folders), aggregates
+    map side and replaces the same month folders of ``daily_rollup`` (dynamic overwrite). The
+    rollup is small, so a rebalance packs each month into about one file.
+    """
+    from costmart.operators.rollup import daily_rollup
+
+    fact = read_fact(spark, base)
+    if months is not None:
+        fact = fact.where(F.col("bill_month").isin(months))
+    (daily_rollup(fact).hint("rebalance", "bill_month")
+     .sortWithinPartitions("bill_month", "date_key")
+     .write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bill_month")
+     .parquet(f"{base.rstrip('/')}/{ROLLUP_TABLE}"))
+
+
+def read_rollup(spark: SparkSession, base: str) -> DataFrame | None:
+    """The stored daily rollup, or None when the mart has none."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.parquet(f"{base.rstrip('/')}/{ROLLUP_TABLE}")
+    except AnalysisException:
+        return None
+
+
 def write_mart(fact: DataFrame, dims: dict[str, DataFrame], base: str, load_id: int = INITIAL_LOAD) -> None:
     """Write the five tables (schemas asserted before each write)."""
     write_fact_months(fact, base)

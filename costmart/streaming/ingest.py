@@ -24,7 +24,7 @@ from costmart.functions.dates import bill_month
 from costmart.operators.fact import build_fact
 from costmart.operators.normalize import normalize
 from costmart.schemas import CANONICAL_COLUMNS
-from costmart.sinks.mart_store import write_dimensions, write_fact_months
+from costmart.sinks.mart_store import write_dimensions, write_fact_months, write_rollup_months
 from costmart.sources.layouts import SourceLayout
 
 
@@ -47,6 +47,7 @@ def _process_batch(spark: SparkSession, layout: SourceLayout, base: str, landing
         landed = spark.read.option("basePath", landing).parquet(landing)
         month_rows = landed.where(F.col("bill_month").isin(months)).select(*CANONICAL_COLUMNS)
         write_fact_months(build_fact(month_rows), base)
+        write_rollup_months(spark, base, months)
 
         batch_rows = spark.read.parquet(batch_dir).select(*CANONICAL_COLUMNS)
         write_dimensions(batch_rows, base, load_offset + batch_id + 1, source=f"stream-{layout.provider}")

@@ -241,6 +241,13 @@ ORDER BY 1, 2, ai_spend_usd DESC""",
     "tags_lookup": f"""
 SELECT tag_team AS team, {rnd(money_sum(), 2)} AS total_cost_usd, COUNT(*) AS num_line_items
 FROM fact GROUP BY tag_team""",
+    "daily_rollup": """
+SELECT date_key, cloud_provider, service_key, account_key, region_key, tag_team, tag_environment,
+       CAST(SUM(CAST(cost_usd AS DECIMAL(18,6))) AS DOUBLE) AS cost_sum,
+       CAST(SUM(CASE WHEN cost_usd > 0 THEN CAST(cost_usd AS DECIMAL(18,6)) ELSE 0 END) AS DOUBLE) AS gross_sum,
+       CAST(SUM(CASE WHEN cost_usd < 0 THEN CAST(cost_usd AS DECIMAL(18,6)) ELSE 0 END) AS DOUBLE) AS credit_sum,
+       COUNT(*) AS line_items, CAST(count_if(cost_usd < 0) AS BIGINT) AS credit_items
+FROM fact GROUP BY date_key, cloud_provider, service_key, account_key, region_key, tag_team, tag_environment""",
     "net_gross_credits": f"""
 SELECT cloud_provider,
        {rnd('SUM(CASE WHEN cost_usd > 0 THEN CAST(cost_usd AS DECIMAL(18,6)) ELSE 0 END)', 2)} AS gross_cost_usd,
@@ -359,6 +366,7 @@ STORAGE = {
 def oracle_queries() -> dict[str, str]:
     out = {k: with_mart(v) for k, v in STAGES.items()}
     out.update({k: with_mart(v) for k, v in REPORTS.items()})
-    out.update({f"sql_{k}": with_mart(v) for k, v in REPORTS.items() if k != "monthly_trend_last_6_months"})
+    out.update({f"sql_{k}": with_mart(v) for k, v in REPORTS.items()
+                if k not in ("monthly_trend_last_6_months", "daily_rollup")})
     out.update({k: with_mart(v) for k, v in STORAGE.items()})
     return out
