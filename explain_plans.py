@@ -65,6 +65,13 @@ def main() -> None:
         rows.append(summarise(f"report {name} (stored mart)", df))
     rows.append(summarise("report tag_spend (stored mart)", R.tag_spend(f)))
     rows.append(summarise("report net_gross_credits (stored mart)", R.net_gross_credits(f)))
+    from costmart.operators.rollup import daily_rollup
+
+    rows.append(summarise("daily rollup from the stored fact", daily_rollup(f)))
+    mart_store.write_rollup_months(spark, base)
+    rollup = load_mart(spark, base).rollup
+    rows.append(summarise("report monthly_trend (from rollup)", R.monthly_trend(rollup, d["dim_date"])))
+    rows.append(summarise("report category_share (from rollup)", R.category_share(rollup, d["dim_service"])))
     print("| step | shuffles | broadcasts | joins | python | scans |")
     print("|---|---|---|---|---|---|")
     print("\n".join(rows))
