@@ -76,7 +76,10 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame, year: int | None = 2024,
     d = dim_date
     if last_months:
         if as_of_month is None:
-            as_of_month = fact.agg(F.max("date_key")).first()[0][:7]
+            latest = fact.agg(F.max("date_key")).first()[0]  # one scalar
+            if latest is None:  # no data: an empty report of the same shape
+                return monthly_trend(fact, dim_date.where(F.lit(False)), year=2000, limit=limit)
+            as_of_month = latest[:7]
         y, m = int(as_of_month[:4]), int(as_of_month[5:7])
         k = y * 12 + (m - 1) - (last_months - 1)
         first = f"{k // 12:04d}-{k % 12 + 1:02d}"

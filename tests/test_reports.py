@@ -89,3 +89,16 @@ def test_fact_is_aggregated_before_the_dimension_join(spark, mart):
     # the join's fact side is an Aggregate on service_key, not the raw fact rows
     join_at = plan.index("Join Inner")
     assert "Aggregate [service_key" in plan[join_at:]
+
+
+def test_aiml_spend_orders_years_then_months(spark, mart):
+    f, d = mart
+    out = [(r.year, r.month) for r in R.aiml_spend(f, d["dim_service"], d["dim_date"]).collect()]
+    assert out == sorted(out) and {y for y, _ in out} == {"2024", "2025"}
+
+
+def test_last_months_on_empty_fact(spark, mart):
+    f, d = mart
+    out = R.monthly_trend(f.where(F.lit(False)), d["dim_date"], year=None, last_months=6)
+    assert out.collect() == [] and out.columns == ["year", "month", "month_name", "cloud_provider",
+                                                   "monthly_cost_usd"]
