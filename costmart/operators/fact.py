@@ -51,7 +51,7 @@ def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     through a single ``rebalance`` exchange on (month, chunk): ordinary rows (chunk 0) stay
     together by month, which is also the layout the month-partitioned write wants (about one
     file per task), while the chunks of a hot group hash to different tasks; adaptive execution
-    splits a large month by bytes. Markers are expanded to occurrence numbers only after the
+    splits a large month along map-output blocks. Markers are expanded to occurrence numbers only after the
     exchange, so no task holds or generates more than one chunk of a group at a time.
 
     The output is distributed by month, ready for ``sinks.mart_store.write_fact_months``.

@@ -39,7 +39,7 @@ def cluster_layout(fact: DataFrame, distributed: bool = False) -> DataFrame:
     """Add ``bill_month`` and lay rows out for the month-partitioned write.
 
     Rows are distributed by month with a ``rebalance`` exchange (no fixed count, no sampling
-    job: adaptive execution coalesces small partitions and splits a large month by bytes), so
+    job: adaptive execution coalesces small partitions and splits a large month along map-output blocks), so
     each task writes about one file, then sorted by (bill_month, date_key, cloud_provider),
     which also satisfies the writer's required ordering, so no second sort is planned. Files
     hold rows in date order, and Parquet min/max statistics skip row groups for date filters.
