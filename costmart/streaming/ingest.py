@@ -80,3 +80,10 @@ def landed_rows(spark: SparkSession, state_dir: str) -> DataFrame:
     """All canonical rows landed so far (for audits)."""
     landing = f"{state_dir.rstrip('/')}/landing"
     return spark.read.option("basePath", landing).parquet(landing).select(*CANONICAL_COLUMNS, F.col("provider"))
+
+
+def ingest_all(spark: SparkSession, inboxes: list, base: str, state_dir: str, **options) -> None:
+    """Run ``ingest_new_files`` for several providers one after the other (``[(layout, inbox)]``),
+    the safe order for one mart: two providers' batches never rewrite a month at the same time."""
+    for layout, inbox in inboxes:
+        ingest_new_files(spark, layout, inbox, base, state_dir, **options)

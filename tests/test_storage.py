@@ -237,8 +237,9 @@ def test_ingest_keeps_rollup_in_step(spark, scratch):
     ingest_new_files(spark, AWS, f"{root}/inbox/aws/*/*.csv", base, state)
     write_export(a.where("bill_date >= '2024-06-01' OR bill_date IS NULL"), f"{root}/inbox/aws/2")
     write_export(b, f"{root}/inbox/gcp/1")
-    ingest_new_files(spark, AWS, f"{root}/inbox/aws/*/*.csv", base, state)
-    ingest_new_files(spark, GCP, f"{root}/inbox/gcp/*/*.csv", base, state)
+    from costmart.streaming.ingest import ingest_all
+
+    ingest_all(spark, [(AWS, f"{root}/inbox/aws/*/*.csv"), (GCP, f"{root}/inbox/gcp/*/*.csv")], base, state)
     mart = load_mart(spark, base)
     assert R.spend_by_provider(mart.rollup).collect() == R.spend_by_provider(mart.fact).collect()
     assert R.net_gross_credits(mart.rollup).collect() == R.net_gross_credits(mart.fact).collect()
