@@ -9,11 +9,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
+from costmart.plans.catalog import all_queries
 from tests.oracle_check import compare, duck
+from tests.oracle_sql import oracle_queries
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = all_queries()
+ORACLES = oracle_queries()
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +27,11 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_registered():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     result = compare(QUERIES[name](spark, SF), con, ORACLES[name])
