@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from costmart.llm import secrets, simhash, toxicity
+from costmart.llm import decontam, packing, secrets, simhash, toxicity
 from costmart.llm.common import stored, table
 
 
@@ -24,18 +24,30 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.keep_one(docs)
 
 
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that benchmark items don't contaminate."""
+    return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret replaced."""
     return secrets.redact_secrets(docs)
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in the packed sequences."""
+    return packing.pack_documents(docs)
+
+
 STAGES = [
     ("toxicity", drop_toxic),
     ("simhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", drop_contaminated),
     ("secret_scan", redact_secrets),
+    ("best_fit_packing", pack),
 ]
 
-#: SQL can express neither the fitted model nor the SimHash components.
+#: SQL can express neither the fitted model nor the SimHash components nor the packing order.
 ORACLE_SQL = None
 
 

@@ -80,7 +80,7 @@ def fit_cumulative_link(indptr, indices, values, grades, n_features: int, l2: fl
     theta = -np.log(share / (1 - share))
     w = np.zeros(n_features)
     scale = np.bincount(indices, weights=values * values, minlength=n_features)
-    lipschitz_w = 0.25 * np.clip(scale, 1, None).max() * max(np.diff(indptr).max(), 1) ** 0.5 + l2
+    lipschitz_w = 0.25 * scale.max(initial=1.0) * np.diff(indptr).max(initial=1) ** 0.5 + l2
     sign = np.where(np.arange(k)[None, :] < grades[:, None], 1.0, 0.0)  # grade > threshold j
     near = (np.arange(k)[None, :] == grades[:, None]) | (np.arange(k)[None, :] == grades[:, None] - 1)
 
