@@ -1,10 +1,12 @@
-"""Exact money arithmetic.
+"""Exact money arithmetic without a range limit.
 
-DOUBLE sums depend on the order rows meet, so a report could change with the partitioning.
-Costs are summed as DECIMAL(18,6) (inputs carry at most 6 decimals), which Spark adds as longs
-while the running value fits in 18 digits and widens to DECIMAL(28,6) beyond; results are rounded
-half-up on the exact decimal and returned as DOUBLE. Because every partial sum is exact, sums can
-be pre-aggregated at any level (map side, per key before a join) and still agree to the cent.
+DOUBLE sums depend on the order rows meet, so a report could change with the partitioning. Each
+cost is therefore split in two: the *exact* part is the cost as DECIMAL(38,16) when that holds it
+without loss (any cost of at most 16 decimals below 10^13, so every DOUBLE from 1 to 10^13), and the
+*rest* is the cost itself, as DOUBLE, when it does not (more decimals, larger, infinite, NaN). One of the two is always zero, no
+row is left out, and a total is exact sum + rest sum. With no such rows, which loads count and
+report (``inexact_cost``), every partial sum is exact, so sums can be pre-aggregated at any level
+and still agree to the cent. Results are rounded half-up and returned as DOUBLE.
 """
 
 from __future__ import annotations
@@ -12,40 +14,57 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,6)"
-# The largest magnitude DECIMAL(18,6) holds; a cost outside it (or NaN, or infinite) is bad input.
-MAX_COST = 999999999999.999999
+MONEY = "decimal(38,16)"
+#: Below this, 10^9 rows can be added before DECIMAL(38,16) is full.
+EXACT_BELOW = 1e13
 
 
-def valid_cost(col: str | Column) -> Column:
-    """True for a finite cost that fits the money type (NaN compares above every number in
-    Spark, so it fails the range test too); NULL stays NULL for the NULL rule to report."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.between(-MAX_COST, MAX_COST)
+def _col(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def is_exact(col: str | Column) -> Column:
+    """True for a cost that DECIMAL(38,16) holds without loss; NULL stays NULL. (NaN compares above
+    every number, so it is not.)"""
+    c = _col(col)
+    return (F.abs(c) < EXACT_BELOW) & (c.try_cast(MONEY).cast("double") == c)
 
 
 def money(col: str | Column) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c.cast(MONEY)
+    """The exact part of a cost."""
+    c = _col(col)
+    return F.when(is_exact(c), c.try_cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
+
+
+def rest(col: str | Column) -> Column:
+    """The part of a cost that DECIMAL(38,16) does not hold."""
+    c = _col(col)
+    return F.when(c.isNull() | is_exact(c), F.lit(0.0)).otherwise(c)
+
+
+def money_sums(col: str | Column, exact: str = "s", other: str = "x") -> list[Column]:
+    """The two sums of a cost column (combine partial sums with ``F.sum`` again)."""
+    return [F.sum(money(col)).alias(exact), F.sum(rest(col)).alias(other)]
 
 
-def exact_sum(col: str | Column) -> Column:
-    """Exact sum of a cost column (DECIMAL result; combine partial sums with ``F.sum`` again)."""
-    return F.sum(money(col))
+def total(digits: int, exact: str = "s", other: str = "x") -> Column:
+    """Half-up rounded total of the two sums, as DOUBLE."""
+    s, x = F.col(exact), F.col(other)
+    return F.when(x == 0, F.round(s, digits).cast("double")).otherwise(F.round(s.cast("double") + x, digits))
 
 
-def rounded(decimal_col: str | Column, digits: int) -> Column:
-    """Half-up rounding of an exact decimal, returned as DOUBLE."""
-    c = F.col(decimal_col) if isinstance(decimal_col, str) else decimal_col
-    return F.round(c, digits).cast("double")
+def amount(exact: Column, other: Column) -> Column:
+    """The two sums as one DOUBLE."""
+    return exact.cast("double") + other
 
 
 def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column:
     """``round(num / den, digits)`` for an average or a share.
 
     The quotient is taken in DOUBLE (as SQL engines do for decimal division), fixed to 10 decimal
-    places and then rounded half-up on that decimal, so two engines agree on the last digit.
-    A zero denominator gives NULL, not an error.
+    places and then rounded half-up on that decimal, so two engines agree on the last digit; a
+    quotient that is no decimal (NaN, infinite) is returned as it is. A zero denominator gives NULL,
+    not an error.
     """
     q = numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
-    return F.round(q.cast("decimal(38,10)"), digits).cast("double")
+    return F.coalesce(F.round(q.try_cast("decimal(38,10)"), digits).cast("double"), q)

@@ -14,21 +14,19 @@ from pyspark.sql import functions as F
 
 from costmart.functions.dates import valid_date
 from costmart.functions.lookups import DEFAULT_ENVIRONMENT, DEFAULT_REGION, DEFAULT_TEAM
-from costmart.functions.money import valid_cost
 from costmart.schemas import CANONICAL_COLUMNS, CANONICAL_SCHEMA, assert_schema
 from costmart.sources.layouts import SourceLayout
 
 
 def keep_condition(layout: SourceLayout) -> Column:
-    """The drop rule: every required field present, a well-formed date and a finite cost within
-    the money type's range.
+    """The drop rule: every required field present and a well-formed date.
 
-    A date that does not parse, or a cost of NaN or 1e300, would fail the whole job under ANSI
-    later on (or give NULL date parts); such rows go to the quarantine instead
-    (see ``operators.quality``).
+    A date that does not parse has no calendar attributes and no month; a load writes such a row,
+    like any other it drops, to the quarantine and counts it (see ``operators.quality``). Costs are
+    kept whatever their size or number of decimals.
     """
     present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in layout.required])
-    return present & valid_date(layout.raw("date_key")) & F.coalesce(valid_cost(layout.raw("cost_usd")), F.lit(False))
+    return present & valid_date(layout.raw("date_key"))
 
 
 def canonical_columns(layout: SourceLayout) -> list[Column]:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costmart.functions.dates import valid_date
-from costmart.functions.money import valid_cost
+from costmart.functions.money import is_exact
 from costmart.operators.normalize import keep_condition
 from costmart.schemas import CANONICAL_COLUMNS
 from costmart.sources.billing_csv import CORRUPT_COLUMN
@@ -22,10 +22,17 @@ def _null_reason(layout: SourceLayout, canonical: str):
     return F.col(layout.raw(canonical)).isNull()
 
 
+def _malformed(raw: DataFrame):
+    """True where some field of the line did not parse (needs ``read_export(keep_corrupt=True)``)."""
+    return F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in raw.columns else F.lit(False)
+
+
 def drop_counts(raw: DataFrame, layout: SourceLayout) -> DataFrame:
     """One row per source: raw rows, rows failing each rule, rows dropped, rows kept.
 
-    A row can fail several rules; ``dropped_rows`` counts it once.
+    A row can fail several rules; ``dropped_rows`` counts it once. ``inexact_cost`` counts kept rows
+    whose cost is summed as DOUBLE (see ``functions.money``), ``malformed_rows`` lines with a field that
+    did not parse (kept if the field is optional).
     """
     date_col = F.col(layout.raw("date_key"))
     keep = keep_condition(layout)
@@ -37,72 +44,81 @@ def drop_counts(raw: DataFrame, layout: SourceLayout) -> DataFrame:
         F.count_if(_null_reason(layout, "service_name")).alias("null_service"),
         F.count_if(_null_reason(layout, "account_id")).alias("null_account"),
         F.count_if(date_col.isNotNull() & ~valid_date(date_col)).alias("bad_date"),
-        F.count_if(~valid_cost(layout.raw("cost_usd"))).alias("bad_cost"),
+        F.count_if(keep & ~is_exact(layout.raw("cost_usd"))).alias("inexact_cost"),
+        F.count_if(_malformed(raw)).alias("malformed_rows"),
         F.count_if(~keep).alias("dropped_rows"),
         F.count_if(keep).alias("kept_rows"),
     )
 
 
 def quarantine(raw: DataFrame, layout: SourceLayout) -> DataFrame:
-    """Rows the drop rule removes, each with the first reason that applies.
+    """Rows the drop rule removes, and kept rows with a malformed optional field (``kept``), each with
+    the first reason that applies.
 
     ``raw`` may carry ``_corrupt_record`` (see ``read_export(keep_corrupt=True)``); a line with
     an unparseable field is reported as ``malformed`` together with its original text.
     """
     has_corrupt = CORRUPT_COLUMN in raw.columns
     date_col = F.col(layout.raw("date_key"))
-    reason = F.when(F.col(CORRUPT_COLUMN).isNotNull(), F.lit("malformed")) if has_corrupt else None
+    keep = keep_condition(layout)
+    reason = F.when(_malformed(raw), F.lit("malformed"))
     rules = [
         (date_col.isNull(), "null_date"),
         (~valid_date(date_col), "bad_date"),
         (_null_reason(layout, "cost_usd"), "null_cost"),
-        (~valid_cost(layout.raw("cost_usd")), "bad_cost"),
         (_null_reason(layout, "service_name"), "null_service"),
         (_null_reason(layout, "account_id"), "null_account"),
     ]
     for cond, name in rules:
-        reason = F.when(cond, F.lit(name)) if reason is None else reason.when(cond, F.lit(name))
+        reason = reason.when(cond, F.lit(name))
     # one layout for every provider: raw values under canonical names (no defaults applied)
-    cols = [F.lit(layout.provider).alias("cloud_provider"), reason.alias("reason")]
+    cols = [F.lit(layout.provider).alias("cloud_provider"), reason.alias("reason"), keep.alias("kept")]
     cols += [F.col(layout.raw(c)).alias(c) for c in CANONICAL_COLUMNS if c != "cloud_provider"]
     raw_line = F.col(CORRUPT_COLUMN) if has_corrupt else F.lit(None).cast("string")
     cols.append(raw_line.alias("raw_line"))
-    return raw.where(~keep_condition(layout)).select(*cols)
+    return raw.where(~keep | _malformed(raw)).select(*cols)
+
+
+_FACT_KEYS = {"dim_date": "date_key", "dim_service": "service_key", "dim_account": "account_key", "dim_region": "region_key"}
 
 
 def validate_mart(fact: DataFrame, dims: dict[str, DataFrame],
                   expected_fact_rows: DataFrame | None = None) -> DataFrame:
     """Validation rows ``(table_name, rule, observed, passed)``.
 
-    Rules: every table non-empty; no NULL cost in the fact; no NULL dimension key in the fact;
-    optionally, fact rows equal the canonical input rows (one fact row per line item).
-    One aggregate per table.
+    Rules: every table non-empty; no NULL cost and no NULL dimension key in the fact; no fact row whose
+    key has no dimension row; dimension keys unique; optionally, fact rows equal the canonical
+    input rows (one fact row per line item). The fact is scanned once: it is counted per
+    combination of keys (map-side combined), those few rows meet the dimensions, and one aggregate
+    gives all its figures, which ``stack`` turns into rows. Each dimension is scanned once for its own
+    rules and once for the key lookup.
     """
-    fact_stats = fact.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("cost_usd").isNull()).alias("null_cost"),
-        F.count_if(F.col("service_key").isNull() | F.col("account_key").isNull()
-                   | F.col("region_key").isNull()).alias("null_keys"),
-    )
-    parts = [
-        fact_stats.select(F.lit("fact_cloud_costs").alias("table_name"), F.lit("not_empty").alias("rule"),
-                          F.col("rows").alias("observed"), (F.col("rows") > 0).alias("passed")),
-        fact_stats.select(F.lit("fact_cloud_costs"), F.lit("no_null_cost"),
-                          F.col("null_cost"), F.col("null_cost") == 0),
-        fact_stats.select(F.lit("fact_cloud_costs"), F.lit("no_null_keys"),
-                          F.col("null_keys"), F.col("null_keys") == 0),
-    ]
+    per_key = fact.groupBy(*_FACT_KEYS.values()).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("cost_usd").isNull()).alias("null_cost"))
+    null_key = F.col("service_key").isNull() | F.col("account_key").isNull() | F.col("region_key").isNull()
+    sums = {"rows": F.col("n"), "null_cost": F.col("null_cost"), "null_keys": F.when(null_key, F.col("n")).otherwise(0)}
+    for name, key in _FACT_KEYS.items():
+        known = dims[name].select(F.col(key).alias(f"_{key}")).distinct()
+        per_key = per_key.join(known, F.col(key) == F.col(f"_{key}"), "left")
+        sums[f"orphans_{name}"] = F.when(F.col(key).isNotNull() & F.col(f"_{key}").isNull(), F.col("n")).otherwise(0)
+    counted = per_key.select(*[v.alias(k) for k, v in sums.items()], F.lit(0).cast("long").alias("expected"))
     if expected_fact_rows is not None:
-        # both counts in one aggregate over a tagged union (no join needed)
-        tagged = (fact.select(F.lit(1).alias("in_fact"), F.lit(0).alias("in_input"))
-                  .unionAll(expected_fact_rows.select(F.lit(0), F.lit(1))))
-        n = tagged.agg(F.sum("in_fact").alias("rows"), F.sum("in_input").alias("expected"))
-        parts.append(n.select(F.lit("fact_cloud_costs"), F.lit("one_row_per_line_item"),
-                              F.col("rows"), F.col("rows") == F.col("expected")))
+        n = expected_fact_rows.agg(F.count(F.lit(1)).alias("expected"))
+        counted = counted.unionByName(n.select(*[F.lit(0).cast("long").alias(k) for k in sums], "expected"))
+    totals = counted.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in [*sums, "expected"]])
+    rules = [("'not_empty'", "rows", "rows > 0"), ("'no_null_cost'", "null_cost", "null_cost = 0"),
+             ("'no_null_keys'", "null_keys", "null_keys = 0")]
+    rules += [(f"'no_orphans_{n}'", f"orphans_{n}", f"orphans_{n} = 0") for n in _FACT_KEYS]
+    if expected_fact_rows is not None:
+        rules.append(("'one_row_per_line_item'", "rows", "rows = expected"))
+    stack = ", ".join(f"'fact_cloud_costs', {rule}, {value}, {test}" for rule, value, test in rules)
+    parts = [totals.selectExpr(f"stack({len(rules)}, {stack}) AS (table_name, rule, observed, passed)")]
     for name, df in dims.items():
-        s = df.agg(F.count(F.lit(1)).alias("rows"))
-        parts.append(s.select(F.lit(name), F.lit("not_empty"), F.col("rows"), F.col("rows") > 0))
-    return reduce(lambda a, b: a.unionAll(b), parts).toDF("table_name", "rule", "observed", "passed")
+        own = df.groupBy(_FACT_KEYS[name]).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"))
+        parts.append(own.selectExpr(f"stack(2, '{name}', 'not_empty', rows, rows > 0, "
+                                    f"'{name}', 'unique_keys', repeated, repeated = 0) AS (table_name, rule, observed, passed)"))
+    return reduce(lambda a, b: a.unionAll(b), parts)
 
 
 def mart_summary(tables: dict[str, DataFrame]) -> DataFrame:

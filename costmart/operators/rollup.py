@@ -12,11 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costmart.functions.money import money
+from costmart.functions.money import money_sums
 
 ROLLUP_KEYS = ["date_key", "cloud_provider", "service_key", "account_key", "region_key", "tag_team",
                "tag_environment"]
-ROLLUP_MEASURES = ["cost_sum", "gross_sum", "credit_sum", "line_items", "credit_items"]
+ROLLUP_MEASURES = ["cost_sum", "cost_rest", "gross_sum", "gross_rest", "credit_sum", "credit_rest", "line_items",
+                   "credit_items"]
 
 
 def is_rollup(df: DataFrame) -> bool:
@@ -26,15 +27,14 @@ def is_rollup(df: DataFrame) -> bool:
 def daily_rollup(fact: DataFrame) -> DataFrame:
     """One aggregate (map-side combine, so a hot key costs one row per task in the shuffle)."""
     c = F.col("cost_usd")
-    zero = F.lit(0).cast("decimal(18,6)")
     keys = [F.col(k) for k in ROLLUP_KEYS[:5]] + [F.col("tags")["team"].alias("tag_team"),
                                                   F.col("tags")["environment"].alias("tag_environment")]
     if "bill_month" in fact.columns:
         keys.append(F.col("bill_month"))
     return fact.groupBy(*keys).agg(
-        F.sum(money(c)).alias("cost_sum"),
-        F.sum(F.when(c > 0, money(c)).otherwise(zero)).alias("gross_sum"),
-        F.sum(F.when(c < 0, money(c)).otherwise(zero)).alias("credit_sum"),
+        *money_sums(c, "cost_sum", "cost_rest"),
+        *money_sums(F.when(c > 0, c), "gross_sum", "gross_rest"),
+        *money_sums(F.when(c < 0, c), "credit_sum", "credit_rest"),
         F.count(F.lit(1)).alias("line_items"),
         F.count_if(c < 0).alias("credit_items"),
     )

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costmart.functions.dates import year_bounds
-from costmart.functions.money import exact_sum, money, rounded, rounded_ratio
+from costmart.functions.money import amount, money_sums, rounded_ratio, total
 from costmart.operators.rollup import is_rollup
 
 COST = "cost_usd"
@@ -26,14 +26,15 @@ COST = "cost_usd"
 
 def _sum_by(fact: DataFrame, *keys: str, with_count: bool = False) -> DataFrame:
     if is_rollup(fact):  # partial sums already: add them up
-        aggs = [F.sum("cost_sum").alias("s")] + ([F.sum("line_items").alias("n")] if with_count else [])
+        aggs = [F.sum("cost_sum").alias("s"), F.sum("cost_rest").alias("x")]
+        aggs += [F.sum("line_items").alias("n")] if with_count else []
     else:
-        aggs = [exact_sum(COST).alias("s")] + ([F.count(F.lit(1)).alias("n")] if with_count else [])
+        aggs = money_sums(COST) + ([F.count(F.lit(1)).alias("n")] if with_count else [])
     return fact.groupBy(*keys).agg(*aggs)
 
 
 def _regroup(pre: DataFrame, *keys, with_count: bool = False) -> DataFrame:
-    aggs = [F.sum("s").alias("s")]
+    aggs = [F.sum("s").alias("s"), F.sum("x").alias("x")]
     if with_count:
         aggs.append(F.sum("n").alias("n"))
     return pre.groupBy(*keys).agg(*aggs)
@@ -51,7 +52,7 @@ def restrict_dates(fact: DataFrame, first_day: str, last_day: str) -> DataFrame:
 # R1 ------------------------------------------------------------------------------------------
 def spend_by_provider(fact: DataFrame) -> DataFrame:
     return (_sum_by(fact, "cloud_provider", with_count=True)
-            .select("cloud_provider", rounded("s", 2).alias("total_cost_usd"),
+            .select("cloud_provider", total(2).alias("total_cost_usd"),
                     F.col("n").alias("num_line_items"))
             .orderBy(F.desc("total_cost_usd"), "cloud_provider"))
 
@@ -61,7 +62,7 @@ def top_services(fact: DataFrame, dim_service: DataFrame, n: int = 10) -> DataFr
     pre = _sum_by(fact, "service_key").join(dim_service, "service_key")
     return (_regroup(pre, "cloud_provider", "service_name", "service_category")
             .select("cloud_provider", "service_name", "service_category",
-                    rounded("s", 2).alias("total_cost_usd"))
+                    total(2).alias("total_cost_usd"))
             .orderBy(F.desc("total_cost_usd"), "cloud_provider", "service_name", "service_category")
             .limit(n))
 
@@ -72,11 +73,12 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame, year: int | None = 2024,
                   limit: int | None = None) -> DataFrame:
     """Spend per month and provider, for one calendar year (the reference's filter) or, with
     ``last_months``, for the months ``as_of_month - last_months + 1 .. as_of_month``
-    (``as_of_month`` defaults to the latest month in the fact)."""
+    (``as_of_month`` defaults to the latest month in ``dim_date``, which has a row for every day of
+    the fact, so finding it does not scan the fact)."""
     d = dim_date
     if last_months:
         if as_of_month is None:
-            latest = fact.agg(F.max("date_key")).first()[0]  # one scalar
+            latest = dim_date.agg(F.max("date_key")).first()[0]  # one scalar
             if latest is None:  # no data: an empty report of the same shape
                 return monthly_trend(fact, dim_date.where(F.lit(False)), year=2000, limit=limit)
             as_of_month = latest[:7]
@@ -91,7 +93,7 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame, year: int | None = 2024,
         d = d.where(F.col("year") == F.lit(str(year)))
     pre = _sum_by(f, "date_key", "cloud_provider").join(d, "date_key")
     out = (_regroup(pre, "year", "month", "month_name", "cloud_provider")
-           .select("year", "month", "month_name", "cloud_provider", rounded("s", 2).alias("monthly_cost_usd"))
+           .select("year", "month", "month_name", "cloud_provider", total(2).alias("monthly_cost_usd"))
            .orderBy("year", "month", "cloud_provider"))
     return out.limit(limit) if limit else out
 
@@ -100,7 +102,7 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame, year: int | None = 2024,
 def team_environment(fact: DataFrame, dim_account: DataFrame) -> DataFrame:
     pre = _sum_by(fact, "account_key").join(dim_account, "account_key")
     return (_regroup(pre, "team", "environment", "cloud_provider")
-            .select("team", "environment", "cloud_provider", rounded("s", 2).alias("total_cost_usd"))
+            .select("team", "environment", "cloud_provider", total(2).alias("total_cost_usd"))
             .orderBy(F.desc("total_cost_usd"), "team", "environment", "cloud_provider"))
 
 
@@ -109,7 +111,7 @@ def region_spend(fact: DataFrame, dim_region: DataFrame) -> DataFrame:
     pre = (_sum_by(fact, "region_key", "cloud_provider")
            .join(dim_region.drop("cloud_provider"), "region_key"))
     return (_regroup(pre, "geography", "region_name", "cloud_provider")
-            .select("geography", "region_name", "cloud_provider", rounded("s", 2).alias("total_cost_usd"))
+            .select("geography", "region_name", "cloud_provider", total(2).alias("total_cost_usd"))
             .orderBy(F.desc("total_cost_usd"), "geography", "region_name", "cloud_provider"))
 
 
@@ -118,8 +120,8 @@ def geography_spend(fact: DataFrame, dim_region: DataFrame) -> DataFrame:
     pre = (_sum_by(fact, "region_key", "cloud_provider", with_count=True)
            .join(dim_region.drop("cloud_provider"), "region_key"))
     return (_regroup(pre, "geography", "cloud_provider", with_count=True)
-            .select("geography", "cloud_provider", rounded("s", 2).alias("total_cost_usd"),
-                    rounded_ratio(F.col("s"), F.col("n"), 4).alias("avg_cost_per_line_item"))
+            .select("geography", "cloud_provider", total(2).alias("total_cost_usd"),
+                    rounded_ratio(amount(F.col("s"), F.col("x")), F.col("n"), 4).alias("avg_cost_per_line_item"))
             .orderBy(F.desc("total_cost_usd"), "geography", "cloud_provider"))
 
 
@@ -128,8 +130,8 @@ def weekend_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     pre = _sum_by(fact, "date_key", "cloud_provider", with_count=True).join(dim_date, "date_key")
     return (_regroup(pre, "is_weekend", "day_of_week", "cloud_provider", with_count=True)
             .select("is_weekend", "day_of_week", "cloud_provider",
-                    rounded("s", 2).alias("total_cost_usd"),
-                    rounded_ratio(F.col("s"), F.col("n"), 4).alias("avg_line_item_cost"),
+                    total(2).alias("total_cost_usd"),
+                    rounded_ratio(amount(F.col("s"), F.col("x")), F.col("n"), 4).alias("avg_line_item_cost"),
                     F.col("n").alias("num_line_items"))
             .orderBy(F.desc("is_weekend"), F.desc("total_cost_usd"), "day_of_week", "cloud_provider"))
 
@@ -141,10 +143,11 @@ def category_share(fact: DataFrame, dim_service: DataFrame) -> DataFrame:
     pre = (_sum_by(fact, "service_key", "cloud_provider")
            .join(dim_service.drop("cloud_provider"), "service_key"))
     by_cat = _regroup(pre, "service_category", "cloud_provider")
-    provider_total = F.sum("s").over(Window.partitionBy("cloud_provider"))
+    provider = Window.partitionBy("cloud_provider")
+    provider_total = amount(F.sum("s").over(provider), F.sum("x").over(provider))
     return (by_cat
-            .select("service_category", "cloud_provider", rounded("s", 2).alias("total_cost_usd"),
-                    rounded_ratio(F.col("s") * 100, provider_total, 1).alias("pct_of_provider_spend"))
+            .select("service_category", "cloud_provider", total(2).alias("total_cost_usd"),
+                    rounded_ratio(amount(F.col("s"), F.col("x")) * 100, provider_total, 1).alias("pct_of_provider_spend"))
             .orderBy("cloud_provider", F.desc("total_cost_usd"), "service_category"))
 
 
@@ -152,12 +155,13 @@ def category_share(fact: DataFrame, dim_service: DataFrame) -> DataFrame:
 def aiml_spend(fact: DataFrame, dim_service: DataFrame, dim_date: DataFrame,
                category: str = "AI/ML") -> DataFrame:
     svc = dim_service.where(F.col("service_category") == category).select("service_key", "service_name")
-    pre = (_sum_by(fact, "service_key", "date_key", "cloud_provider")
+    # the few matching services first, so only their line items reach the aggregate
+    pre = (_sum_by(fact.join(svc.select("service_key"), "service_key", "left_semi"), "service_key", "date_key", "cloud_provider")
            .join(svc, "service_key")
            .join(dim_date, "date_key"))
     return (_regroup(pre, "year", "month", "month_name", "service_name", "cloud_provider")
             .select("year", "month", "month_name", "service_name", "cloud_provider",
-                    rounded("s", 2).alias("ai_spend_usd"))
+                    total(2).alias("ai_spend_usd"))
             .orderBy("year", "month", F.desc("ai_spend_usd"), "service_name", "cloud_provider"))
 
 
@@ -166,32 +170,31 @@ def tag_spend(fact: DataFrame, tag: str = "team") -> DataFrame:
     """Spend by one key of the ``tags`` map (the line item's own tag, not the account's)."""
     if is_rollup(fact):
         grouped = (fact.groupBy(F.col(f"tag_{tag}").alias(tag))
-                   .agg(F.sum("cost_sum").alias("s"), F.sum("line_items").alias("num_line_items")))
+                   .agg(F.sum("cost_sum").alias("s"), F.sum("cost_rest").alias("x"),
+                        F.sum("line_items").alias("num_line_items")))
     else:
         grouped = (fact.groupBy(F.col("tags")[tag].alias(tag))
-                   .agg(exact_sum(COST).alias("s"), F.count(F.lit(1)).alias("num_line_items")))
+                   .agg(*money_sums(COST), F.count(F.lit(1)).alias("num_line_items")))
     return (grouped
-            .select(tag, rounded("s", 2).alias("total_cost_usd"), "num_line_items")
+            .select(tag, total(2).alias("total_cost_usd"), "num_line_items")
             .orderBy(F.desc("total_cost_usd"), tag))
 
 
 # E8: net against gross -------------------------------------------------------------------------
 def net_gross_credits(fact: DataFrame) -> DataFrame:
     """Gross spend (positive items), credits (negative items) and net spend per provider."""
-    zero = F.lit(0).cast("decimal(18,6)")
     c = F.col(COST)
+    parts = {"gross": F.when(c > 0, c), "credit": F.when(c < 0, c), "cost": c}
     if is_rollup(fact):
-        aggs = [F.sum("gross_sum").alias("gross"), F.sum("credit_sum").alias("credits"),
-                F.sum("cost_sum").alias("net"), F.sum("credit_items").alias("num_credit_items")]
+        aggs = [F.sum(f"{p}_{k}").alias(f"{p}_{k}") for p in parts for k in ("sum", "rest")]
+        aggs.append(F.sum("credit_items").alias("num_credit_items"))
     else:
-        aggs = [F.sum(F.when(c > 0, money(c)).otherwise(zero)).alias("gross"),
-                F.sum(F.when(c < 0, money(c)).otherwise(zero)).alias("credits"),
-                exact_sum(c).alias("net"),
-                F.count_if(c < 0).alias("num_credit_items")]
+        aggs = [a for p, v in parts.items() for a in money_sums(v, f"{p}_sum", f"{p}_rest")]
+        aggs.append(F.count_if(c < 0).alias("num_credit_items"))
     return (fact.groupBy("cloud_provider").agg(*aggs)
-            .select("cloud_provider", rounded("gross", 2).alias("gross_cost_usd"),
-                    rounded("credits", 2).alias("credits_usd"), rounded("net", 2).alias("net_cost_usd"),
-                    "num_credit_items")
+            .select("cloud_provider", total(2, "gross_sum", "gross_rest").alias("gross_cost_usd"),
+                    total(2, "credit_sum", "credit_rest").alias("credits_usd"),
+                    total(2, "cost_sum", "cost_rest").alias("net_cost_usd"), "num_credit_items")
             .orderBy("cloud_provider"))
 
 

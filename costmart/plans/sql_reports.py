@@ -4,113 +4,121 @@ Same results as ``plans.reports``. Each statement sums the fact per join key in
 joining the dimension (Catalyst does not push an aggregate below a join by itself), so the fact
 is aggregated map side and never shuffled whole; the year-bounded report also bounds the month
 partition column, so month folders outside the year are pruned. Register the views with
-``plans.mart.report_views`` (or any tables with these names) and call ``run_sql_report``.
+``plans.mart.report_views``, whose fact view also has the two parts of each cost that
+``functions.money`` adds up (``cost_exact``, ``cost_rest``), and call ``run_sql_report``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-M = "CAST(cost_usd AS DECIMAL(18,6))"
+S = "SUM(cost_exact) AS s, SUM(cost_rest) AS x"
 
 
-def _r(expr: str, digits: int) -> str:
-    return f"CAST(ROUND({expr}, {digits}) AS DOUBLE)"
+def _total(s: str, x: str, digits: int) -> str:
+    return f"CASE WHEN {x} = 0 THEN CAST(ROUND({s}, {digits}) AS DOUBLE) ELSE ROUND(CAST({s} AS DOUBLE) + {x}, {digits}) END"
+
+
+T2 = _total("SUM(f.s)", "SUM(f.x)", 2)
+AMOUNT = "(CAST(SUM(f.s) AS DOUBLE) + SUM(f.x))"
+PROVIDER_AMOUNT = ("(CAST(SUM(SUM(f.s)) OVER (PARTITION BY f.cloud_provider) AS DOUBLE) "
+                   "+ SUM(SUM(f.x)) OVER (PARTITION BY f.cloud_provider))")
 
 
 def _ratio(num: str, den: str, digits: int) -> str:
-    return (f"CAST(ROUND(CAST(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0) "
-            f"AS DECIMAL(38,10)), {digits}) AS DOUBLE)")
+    q = f"CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0)"
+    return f"COALESCE(CAST(ROUND(TRY_CAST({q} AS DECIMAL(38,10)), {digits}) AS DOUBLE), {q})"
 
 
 SQL_REPORTS = {
     "spend_by_provider": f"""
-SELECT cloud_provider, {_r(f'SUM({M})', 2)} AS total_cost_usd, COUNT(*) AS num_line_items
+SELECT cloud_provider, {_total('SUM(cost_exact)', 'SUM(cost_rest)', 2)} AS total_cost_usd, COUNT(*) AS num_line_items
 FROM fact_cloud_costs
 GROUP BY cloud_provider
 ORDER BY total_cost_usd DESC, cloud_provider""",
 
     "top_services": f"""
-WITH f AS (SELECT service_key, SUM({M}) AS s FROM fact_cloud_costs GROUP BY service_key)
-SELECT d.cloud_provider, d.service_name, d.service_category, {_r('SUM(f.s)', 2)} AS total_cost_usd
+WITH f AS (SELECT service_key, {S} FROM fact_cloud_costs GROUP BY service_key)
+SELECT d.cloud_provider, d.service_name, d.service_category, {T2} AS total_cost_usd
 FROM f JOIN dim_service d ON f.service_key = d.service_key
 GROUP BY d.cloud_provider, d.service_name, d.service_category
 ORDER BY total_cost_usd DESC, d.cloud_provider, d.service_name, d.service_category
 LIMIT 10""",
 
     "monthly_trend": f"""
-WITH f AS (SELECT date_key, cloud_provider, SUM({M}) AS s FROM fact_cloud_costs
+WITH f AS (SELECT date_key, cloud_provider, {S} FROM fact_cloud_costs
            WHERE date_key BETWEEN '2024-01-01' AND '2024-12-31'
              AND bill_month BETWEEN '2024-01' AND '2024-12'
            GROUP BY date_key, cloud_provider)
-SELECT d.year, d.month, d.month_name, f.cloud_provider, {_r('SUM(f.s)', 2)} AS monthly_cost_usd
+SELECT d.year, d.month, d.month_name, f.cloud_provider, {T2} AS monthly_cost_usd
 FROM f JOIN dim_date d ON f.date_key = d.date_key
 WHERE d.year = '2024'
 GROUP BY d.year, d.month, d.month_name, f.cloud_provider
 ORDER BY d.year, d.month, f.cloud_provider""",
 
     "team_environment": f"""
-WITH f AS (SELECT account_key, SUM({M}) AS s FROM fact_cloud_costs GROUP BY account_key)
-SELECT a.team, a.environment, a.cloud_provider, {_r('SUM(f.s)', 2)} AS total_cost_usd
+WITH f AS (SELECT account_key, {S} FROM fact_cloud_costs GROUP BY account_key)
+SELECT a.team, a.environment, a.cloud_provider, {T2} AS total_cost_usd
 FROM f JOIN dim_account a ON f.account_key = a.account_key
 GROUP BY a.team, a.environment, a.cloud_provider
 ORDER BY total_cost_usd DESC, a.team, a.environment, a.cloud_provider""",
 
     "region_spend": f"""
-WITH f AS (SELECT region_key, cloud_provider, SUM({M}) AS s FROM fact_cloud_costs
+WITH f AS (SELECT region_key, cloud_provider, {S} FROM fact_cloud_costs
            GROUP BY region_key, cloud_provider)
-SELECT r.geography, r.region_name, f.cloud_provider, {_r('SUM(f.s)', 2)} AS total_cost_usd
+SELECT r.geography, r.region_name, f.cloud_provider, {T2} AS total_cost_usd
 FROM f JOIN dim_region r ON f.region_key = r.region_key
 GROUP BY r.geography, r.region_name, f.cloud_provider
 ORDER BY total_cost_usd DESC, r.geography, r.region_name, f.cloud_provider""",
 
     "geography_spend": f"""
-WITH f AS (SELECT region_key, cloud_provider, SUM({M}) AS s, COUNT(*) AS n FROM fact_cloud_costs
+WITH f AS (SELECT region_key, cloud_provider, {S}, COUNT(*) AS n FROM fact_cloud_costs
            GROUP BY region_key, cloud_provider)
-SELECT r.geography, f.cloud_provider, {_r('SUM(f.s)', 2)} AS total_cost_usd,
-       {_ratio('SUM(f.s)', 'SUM(f.n)', 4)} AS avg_cost_per_line_item
+SELECT r.geography, f.cloud_provider, {T2} AS total_cost_usd,
+       {_ratio(AMOUNT, 'SUM(f.n)', 4)} AS avg_cost_per_line_item
 FROM f JOIN dim_region r ON f.region_key = r.region_key
 GROUP BY r.geography, f.cloud_provider
 ORDER BY total_cost_usd DESC, r.geography, f.cloud_provider""",
 
     "weekend_weekday": f"""
-WITH f AS (SELECT date_key, cloud_provider, SUM({M}) AS s, COUNT(*) AS n FROM fact_cloud_costs
+WITH f AS (SELECT date_key, cloud_provider, {S}, COUNT(*) AS n FROM fact_cloud_costs
            GROUP BY date_key, cloud_provider)
-SELECT d.is_weekend, d.day_of_week, f.cloud_provider, {_r('SUM(f.s)', 2)} AS total_cost_usd,
-       {_ratio('SUM(f.s)', 'SUM(f.n)', 4)} AS avg_line_item_cost, SUM(f.n) AS num_line_items
+SELECT d.is_weekend, d.day_of_week, f.cloud_provider, {T2} AS total_cost_usd,
+       {_ratio(AMOUNT, 'SUM(f.n)', 4)} AS avg_line_item_cost, SUM(f.n) AS num_line_items
 FROM f JOIN dim_date d ON f.date_key = d.date_key
 GROUP BY d.is_weekend, d.day_of_week, f.cloud_provider
 ORDER BY d.is_weekend DESC, total_cost_usd DESC, d.day_of_week, f.cloud_provider""",
 
     "category_share": f"""
-WITH f AS (SELECT service_key, cloud_provider, SUM({M}) AS s FROM fact_cloud_costs
+WITH f AS (SELECT service_key, cloud_provider, {S} FROM fact_cloud_costs
            GROUP BY service_key, cloud_provider)
-SELECT s.service_category, f.cloud_provider, {_r('SUM(f.s)', 2)} AS total_cost_usd,
-       {_ratio('SUM(f.s) * 100', 'SUM(SUM(f.s)) OVER (PARTITION BY f.cloud_provider)', 1)} AS pct_of_provider_spend
+SELECT s.service_category, f.cloud_provider, {T2} AS total_cost_usd,
+       {_ratio(AMOUNT + ' * 100', PROVIDER_AMOUNT, 1)} AS pct_of_provider_spend
 FROM f JOIN dim_service s ON f.service_key = s.service_key
 GROUP BY s.service_category, f.cloud_provider
 ORDER BY f.cloud_provider, total_cost_usd DESC, s.service_category""",
 
     "tags_lookup": f"""
-SELECT tags['team'] AS team, {_r(f'SUM({M})', 2)} AS total_cost_usd, COUNT(*) AS num_line_items
+SELECT tags['team'] AS team, {_total('SUM(cost_exact)', 'SUM(cost_rest)', 2)} AS total_cost_usd, COUNT(*) AS num_line_items
 FROM fact_cloud_costs
 GROUP BY tags['team']
 ORDER BY total_cost_usd DESC, team""",
 
     "net_gross_credits": f"""
 SELECT cloud_provider,
-       {_r(f"SUM(CASE WHEN cost_usd > 0 THEN {M} ELSE CAST(0 AS DECIMAL(18,6)) END)", 2)} AS gross_cost_usd,
-       {_r(f"SUM(CASE WHEN cost_usd < 0 THEN {M} ELSE CAST(0 AS DECIMAL(18,6)) END)", 2)} AS credits_usd,
-       {_r(f'SUM({M})', 2)} AS net_cost_usd,
+       {_total('SUM(IF(cost_usd > 0, cost_exact, 0))', 'SUM(IF(cost_usd > 0, cost_rest, 0))', 2)} AS gross_cost_usd,
+       {_total('SUM(IF(cost_usd < 0, cost_exact, 0))', 'SUM(IF(cost_usd < 0, cost_rest, 0))', 2)} AS credits_usd,
+       {_total('SUM(cost_exact)', 'SUM(cost_rest)', 2)} AS net_cost_usd,
        COUNT_IF(cost_usd < 0) AS num_credit_items
 FROM fact_cloud_costs
 GROUP BY cloud_provider
 ORDER BY cloud_provider""",
 
     "aiml_spend": f"""
-WITH f AS (SELECT service_key, date_key, cloud_provider, SUM({M}) AS s FROM fact_cloud_costs
+WITH f AS (SELECT service_key, date_key, cloud_provider, {S} FROM fact_cloud_costs
+           LEFT SEMI JOIN (SELECT service_key FROM dim_service WHERE service_category = 'AI/ML') USING (service_key)
            GROUP BY service_key, date_key, cloud_provider)
-SELECT d.year, d.month, d.month_name, s.service_name, f.cloud_provider, {_r('SUM(f.s)', 2)} AS ai_spend_usd
+SELECT d.year, d.month, d.month_name, s.service_name, f.cloud_provider, {T2} AS ai_spend_usd
 FROM f
 JOIN dim_service s ON f.service_key = s.service_key
 JOIN dim_date d ON f.date_key = d.date_key
@@ -120,9 +128,10 @@ ORDER BY d.year, d.month, ai_spend_usd DESC, s.service_name, f.cloud_provider"""
 }
 
 
-def run_sql_report(spark: SparkSession, name: str) -> DataFrame:
-    """Run one report over the registered views (lazy: returns the planned DataFrame)."""
-    return spark.sql(SQL_REPORTS[name])
+def run_sql_report(spark: SparkSession, name: str, limit: int | None = None) -> DataFrame:
+    """Run one report over the registered views (lazy: returns the planned DataFrame), or its first
+    ``limit`` rows."""
+    return spark.sql(SQL_REPORTS[name] + (f"\nLIMIT {int(limit)}" if limit else ""))
 
 
 def run_queries(spark: SparkSession, base: str, names: list[str] | None = None) -> dict[str, DataFrame]:
