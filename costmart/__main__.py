@@ -30,8 +30,9 @@ def main(argv: list[str] | None = None) -> int:
 
     from costmart.operators.quality import mart_summary, raise_on_failures, validate_mart
     from costmart.plans import reports as R
-    from costmart.plans.mart import run_pipeline
+    from costmart.plans.mart import landed_rows, run_pipeline
     from costmart.session import get_spark, scratch_path
+    from costmart.sinks.mart_store import read_load_counts
     from costmart.sources.billing_csv import write_export
     from pyspark.sql import SparkSession
 
@@ -51,7 +52,9 @@ def main(argv: list[str] | None = None) -> int:
     t1 = time.perf_counter()
     mart = run_pipeline(spark, aws, gcp, base)
     print(f"mart written to {base} in {time.perf_counter() - t1:.1f}s")
-    raise_on_failures(validate_mart(mart.fact, mart.dims))
+    raise_on_failures(validate_mart(mart.fact, mart.dims, expected_fact_rows=landed_rows(spark, base)))
+    print("\n-- load")
+    read_load_counts(spark, base).show(truncate=False)
 
     # reports read the daily rollup when the mart has one: same results, far less data
     source = mart.rollup if mart.rollup is not None else mart.fact

@@ -134,10 +134,10 @@ def _grouping_id(columns: list[str]) -> int:
     return gid
 
 
-def dimension_keys(combined: DataFrame) -> DataFrame:
-    """Natural keys of all four dimensions in one pass: one scan, one grouping-sets aggregate
-    (partial aggregation map side), one small shuffle. ``gid`` tells the sets apart."""
-    return (combined.groupingSets([_KEY_SETS[n] for n in _KEY_SETS], *_KEY_COLUMNS)
+def dimension_keys(combined: DataFrame, names=tuple(_KEY_SETS)) -> DataFrame:
+    """Natural keys of the dimensions (all four, or ``names``) in one pass: one scan, one grouping-sets
+    aggregate (partial aggregation map side), one small shuffle. ``gid`` tells the sets apart."""
+    return (combined.groupingSets([_KEY_SETS[n] for n in names], *_KEY_COLUMNS)
             .agg(F.max(F.col("date_key").cast("date")).alias("last_seen"), F.grouping_id().alias("gid")))
 
 

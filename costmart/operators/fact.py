@@ -3,14 +3,15 @@
 Keys (``keys="derive"``, the default): the three dimension keys are md5 of (provider | natural
 key), which every row can compute itself, so the fact needs no join at all. ``keys="lookup"``
 does the LEFT joins against given (stored) dimensions and leaves NULL where a dimension row is
-missing; each dimension is broadcast only after its row count was checked against a bound.
+missing; how each is joined is left to the planner and to adaptive execution.
 
 Row ids: ``cost_id`` = md5(row fingerprint # occurrence number). Identical line items are
 interchangeable, so numbering the copies of each distinct row 1..k gives the same set of ids on
-every run and under any partitioning. The numbering counts copies with one aggregate and then
-regenerates them; a group of copies larger than ``chunk`` is cut into chunks that are spread
-over tasks before they are expanded, so even a group holding a third of all rows is generated in
-parallel and never held in one task's memory (see ``number_copies``).
+every run and under any partitioning. Only rows whose 128-bit fingerprint occurs more than once are
+numbered by an aggregate; every other row is occurrence 1 and crosses nothing but the layout
+exchange. A group of copies larger than ``chunk`` is cut into chunks that are spread over tasks
+before they are expanded, so even a group holding a third of all rows is generated in parallel and
+never held in one task's memory (see ``number_copies``).
 """
 
 from __future__ import annotations
@@ -18,12 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costmart.functions.dates import bill_month
 from costmart.functions.keys import account_key, fingerprint_halves, fingerprint_hex, region_key, service_key
 from costmart.schemas import CANONICAL_COLUMNS, FACT_SCHEMA, assert_schema
+from costmart.session import scratch_path
 
 DEFAULT_CHUNK = 1 << 20
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def tags_map() -> Column:
@@ -42,31 +42,47 @@ def fact_lines(combined: DataFrame) -> DataFrame:
     )
 
 
+def repeated_fingerprints(combined: DataFrame) -> DataFrame:
+    """(fp_hi, fp_lo) of rows that occur more than once, stored: an aggregate over two longs per row.
+
+    Stored, so that the planner knows its size when it plans the join with the rows: a small set
+    (the usual case) is broadcast and the rows are not shuffled for it."""
+    hi, lo = fingerprint_halves(list(CANONICAL_COLUMNS))
+    counts = (combined.select(hi.alias("fp_hi"), lo.alias("fp_lo")).groupBy("fp_hi", "fp_lo")
+              .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp_hi", "fp_lo", F.lit(True).alias("repeated")))
+    path = scratch_path(combined.sparkSession, "repeated")
+    counts.write.parquet(path)
+    return combined.sparkSession.read.schema(counts.schema).parquet(path)
+
+
 def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """Canonical rows plus ``row_fp`` (fingerprint) and ``occurrence`` (1..copies).
 
-    Plan: one aggregate counts the copies of each distinct row (map-side partial aggregation
-    collapses copies inside each task first). Each distinct row then becomes one marker per
-    chunk of at most ``chunk`` copies (one marker unless the group is huge), and the markers go
-    through a single ``rebalance`` exchange on (month, chunk): ordinary rows (chunk 0) stay
-    together by month, which is also the layout the month-partitioned write wants (about one
-    file per task), while the chunks of a hot group hash to different tasks; adaptive execution
-    splits a large month along map-output blocks. Markers are expanded to occurrence numbers only after the
-    exchange, so no task holds or generates more than one chunk of a group at a time.
+    Plan: rows are marked by whether their fingerprint is repeated. Those that are not go straight to
+    the ``rebalance`` exchange that lays the data out for the write, by day and provider. The copies
+    of the others are counted (map-side partial aggregation collapses them inside each task first) and
+    become one marker per chunk of at most ``chunk`` copies, which goes through the same exchange;
+    the chunk is part of its key, so the chunks of a hot group land in different tasks. Markers are
+    expanded to occurrence numbers only after the exchange, so no task holds or generates more than
+    one chunk of a group at a time.
 
-    The output is distributed by month, ready for ``sinks.mart_store.write_fact_months``.
+    The output is distributed by day, ready for ``sinks.mart_store.write_fact_months``.
     """
     cols = list(CANONICAL_COLUMNS)
-    copies = F.col("copies")
     hi, lo = fingerprint_halves(cols)
-    markers = (combined.groupBy(*cols).agg(F.count(F.lit(1)).alias("copies"))
-               .select(*cols, hi.alias("fp_hi"), lo.alias("fp_lo"), "copies",
-                       F.explode(F.sequence(F.lit(0).cast("long"), F.floor((copies - 1) / chunk))).alias("chunk")))
+    marked = (combined.select(*cols, hi.alias("fp_hi"), lo.alias("fp_lo"))
+              .join(repeated_fingerprints(combined), ["fp_hi", "fp_lo"], "left"))
+    alone = marked.where(F.col("repeated").isNull()).select(
+        *cols, "fp_hi", "fp_lo", F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("chunk"))
+    counted = (marked.where(F.col("repeated")).groupBy(*cols, "fp_hi", "fp_lo")
+               .agg(F.count(F.lit(1)).alias("copies"))
+               .select(*cols, "fp_hi", "fp_lo", "copies", F.explode(
+                   F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / chunk))).alias("chunk")))
     first = F.col("chunk") * chunk + 1
-    last = F.least((F.col("chunk") + 1) * chunk, copies)
+    last = F.least((F.col("chunk") + 1) * chunk, F.col("copies"))
     # the fingerprint crosses the exchange as two longs; its text form is built afterwards
-    return (markers.withColumn("_month", bill_month("date_key"))
-            .hint("rebalance", "_month", "chunk")
+    return (alone.unionByName(counted)
+            .hint("rebalance", "date_key", "cloud_provider", "chunk")
             .select(*cols, fingerprint_hex(F.col("fp_hi"), F.col("fp_lo")).alias("row_fp"),
                     F.explode(F.sequence(first, last)).alias("occurrence")))
 
@@ -75,28 +91,18 @@ def cost_id() -> Column:
     return F.md5(F.concat(F.col("row_fp"), F.lit("#"), F.col("occurrence").cast("string")))
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after proving the row count is within ``max_rows``.
-
-    Above the bound the join is left to the planner (sort-merge, or a runtime switch by AQE).
-    The check reads at most ``max_rows + 1`` rows.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def _lookup_keys(rows: DataFrame, dims: dict[str, DataFrame], max_broadcast_rows: int) -> DataFrame:
+def _lookup_keys(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     svc = dims["dim_service"].select("service_key", "cloud_provider", "service_name")
     acc = dims["dim_account"].select("account_key", "cloud_provider", "account_id")
     reg = dims["dim_region"].select("region_key", "cloud_provider", "region_code")
     return (rows
-            .join(broadcast_if_bounded(svc, max_broadcast_rows), ["cloud_provider", "service_name"], "left")
-            .join(broadcast_if_bounded(acc, max_broadcast_rows), ["cloud_provider", "account_id"], "left")
-            .join(broadcast_if_bounded(reg, max_broadcast_rows), ["cloud_provider", "region_code"], "left"))
+            .join(svc, ["cloud_provider", "service_name"], "left")
+            .join(acc, ["cloud_provider", "account_id"], "left")
+            .join(reg, ["cloud_provider", "region_code"], "left"))
 
 
 def build_fact(combined: DataFrame, *, keys: str = "derive", dims: dict[str, DataFrame] | None = None,
-               chunk: int = DEFAULT_CHUNK, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+               chunk: int = DEFAULT_CHUNK) -> DataFrame:
     numbered = number_copies(combined, chunk)
     if keys == "derive":
         keyed = numbered.select("*", service_key().alias("service_key"), account_key().alias("account_key"),
@@ -104,7 +110,7 @@ def build_fact(combined: DataFrame, *, keys: str = "derive", dims: dict[str, Dat
     elif keys == "lookup":
         if not dims:
             raise ValueError("keys='lookup' needs dims")
-        keyed = _lookup_keys(numbered, dims, max_broadcast_rows)
+        keyed = _lookup_keys(numbered, dims)
     else:
         raise ValueError(f"unknown keys mode {keys!r}")
     out = keyed.select(

@@ -7,11 +7,13 @@ result. Nothing is capped or sampled: every query reads both tables whole.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costmart.functions.dates import bill_month
-from costmart.functions.money import exact_sum, rounded
+from costmart.functions.money import money_sums, total
 from costmart.operators import dimensions as dims_ops
 from costmart.operators import quality
 from costmart.operators.fact import build_fact, fact_lines, number_copies
@@ -25,10 +27,12 @@ from costmart.plans.mart import (
     load_mart,
     read_canonical,
     report_views,
+    run_pipeline,
     transform_aws,
     transform_gcp,
 )
-from costmart.plans.sql_reports import SQL_REPORTS, run_sql_report
+from costmart.plans.loads import full_load
+from costmart.plans.sql_reports import SQL_REPORTS, run_queries, run_sql_report
 from costmart.schemas import CANONICAL_COLUMNS
 from costmart.session import scratch_path
 from costmart.sinks import mart_store
@@ -101,13 +105,27 @@ def quality_dropped(spark, sf_dir):
     return quality.drop_counts(a, AWS).unionByName(quality.drop_counts(b, GCP))
 
 
+def fact_ids(spark, sf_dir):
+    """Row ids per provider: how many, how many distinct, and whether other partitions give the same
+    ids. Every line item is there twice."""
+    def ids(rows: DataFrame, name: str) -> DataFrame:
+        return build_fact(rows).groupBy("cloud_provider").agg(
+            F.count(F.lit(1)).alias(f"{name}_rows"), F.countDistinct("cost_id").alias(f"{name}_ids"),
+            F.sum(F.xxhash64("cost_id").cast("decimal(38,0)")).alias(f"{name}_sum"))
+
+    c = _doubled(spark, sf_dir)
+    both = ids(c, "a").join(ids(c.repartition(13, "resource_id"), "b"), "cloud_provider")
+    return both.select("cloud_provider", F.col("a_rows").alias("num_rows"), F.col("a_ids").alias("distinct_ids"),
+                       ((F.col("a_sum") == F.col("b_sum")) & (F.col("a_ids") == F.col("b_ids"))).alias("same_ids"))
+
+
 # --- reports -------------------------------------------------------------------------------------
 def _report(fn, *dim_names):
     def run(spark, sf_dir):
         c = _combined(spark, sf_dir)
-        builders = {"dim_date": dims_ops.build_dim_date, "dim_service": dims_ops.build_dim_service,
-                    "dim_account": dims_ops.build_dim_account, "dim_region": dims_ops.build_dim_region}
-        return fn(fact_lines(c), *[builders[n](c) for n in dim_names])
+        # one pass over the raw tables gives the natural keys of every dimension the report needs
+        dims = dims_ops.dimensions_from_keys(dims_ops.dimension_keys(c, dim_names)) if dim_names else {}
+        return fn(fact_lines(c), *[dims[n] for n in dim_names])
     run.__name__ = fn.__name__
     return run
 
@@ -124,17 +142,18 @@ REPORT_QUERIES = {
     "aiml_spend": _report(reports.aiml_spend, "dim_service", "dim_date"),
     "monthly_trend_last_6_months": _report(lambda f, d: reports.monthly_trend(f, d, year=None, last_months=6),
                                            "dim_date"),
+    "monthly_trend_limit": _report(lambda f, d: reports.monthly_trend(f, d, limit=10), "dim_date"),
     "tags_lookup": _report(reports.tag_spend),
     "net_gross_credits": _report(reports.net_gross_credits),
 }
 
 def rollup(spark, sf_dir):
-    """The daily rollup of the fact (sums as DOUBLE for comparison; stored as exact decimals)."""
+    """The daily rollup of the fact (sums as DOUBLE of six decimals for comparison)."""
     from costmart.operators.rollup import ROLLUP_KEYS, daily_rollup
 
     r = daily_rollup(fact_lines(_combined(spark, sf_dir)))
-    return r.select(*ROLLUP_KEYS, *[F.col(m).cast("double").alias(m) for m in ("cost_sum", "gross_sum", "credit_sum")],
-                    "line_items", "credit_items")
+    sums = [total(6, f"{m}_sum", f"{m}_rest").alias(f"{m}_sum") for m in ("cost", "gross", "credit")]
+    return r.select(*ROLLUP_KEYS, *sums, "line_items", "credit_items")
 
 
 # --- sources, sinks and storage --------------------------------------------------------------------
@@ -173,9 +192,9 @@ def _month_stats(fact):
     return (fact.groupBy("bill_month", "cloud_provider")
             .agg(F.count(F.lit(1)).alias("num_line_items"),
                  F.countDistinct("cost_id").alias("distinct_ids"),
-                 exact_sum("cost_usd").alias("s"))
+                 *money_sums("cost_usd"))
             .select("bill_month", "cloud_provider", "num_line_items", "distinct_ids",
-                    rounded("s", 2).alias("total_cost_usd")))
+                    total(2).alias("total_cost_usd")))
 
 
 def write_mart(spark, sf_dir):
@@ -187,7 +206,12 @@ def scan_mart(spark, sf_dir):
 
 
 def cluster_layout(spark, sf_dir):
-    return _month_stats(mart_store.read_fact(spark, _stored_mart(spark, sf_dir)))
+    """Per day and provider of the stored fact: its line items, and whether they lie in at most two of
+    the month's files (two where the layout exchange cut a large day)."""
+    fact = mart_store.read_fact(spark, _stored_mart(spark, sf_dir))
+    per_day = (fact.withColumn("file", F.input_file_name()).groupBy("bill_month", "date_key", "cloud_provider")
+               .agg(F.count(F.lit(1)).alias("num_line_items"), F.countDistinct("file").alias("files")))
+    return per_day.select("bill_month", "date_key", "cloud_provider", "num_line_items", (F.col("files") <= 2).alias("clustered"))
 
 
 def month_reload(spark, sf_dir, month: str = "2024-03"):
@@ -198,6 +222,40 @@ def month_reload(spark, sf_dir, month: str = "2024-03"):
     return _month_stats(mart_store.read_fact(spark, base))
 
 
+def reports_after_month_reload(spark, sf_dir, month: str = "2024-01"):
+    """Replace one month of a mart that has a rollup by its AWS rows only; spend by provider from the
+    source that the command line reads."""
+    base = _stored_mart(spark, sf_dir)
+    mart_store.write_rollup_months(spark, base)
+    rows = normalize_aws(spark, sf_dir).where(bill_month("date_key") == month)
+    mart_store.write_fact_months(build_fact(rows), base)
+    mart = load_mart(spark, base)
+    return reports.spend_by_provider(mart.rollup if mart.rollup is not None else mart.fact)
+
+
+def stored_sql_reports(spark, sf_dir):
+    """SQL reports over the stored mart, one row per report and group."""
+    out = run_queries(spark, _stored_mart(spark, sf_dir),
+                      ["spend_by_provider", "top_services", "team_environment", "geography_spend"])
+    groups = {"spend_by_provider": ["cloud_provider"], "top_services": ["cloud_provider", "service_name"],
+              "team_environment": ["team", "environment", "cloud_provider"], "geography_spend": ["geography", "cloud_provider"]}
+    parts = [out[n].select(F.lit(n).alias("report"), F.concat_ws("/", *g).alias("grp"), "total_cost_usd") for n, g in groups.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def full_reload(spark, sf_dir, split: str = "2024-07-01"):
+    """Load everything, then only the line items before ``split``, into one mart: rows of each table, and
+    the line items that the rollup counts."""
+    base = scratch_path(spark, "reload")
+    a, b = load_exports(spark, sf_dir)
+    full_load(spark, [(AWS, a), (GCP, b)], base)
+    full_load(spark, [(AWS, a.where(F.col("bill_date") < split)), (GCP, b.where(F.col("usage_date") < split))], base)
+    mart = load_mart(spark, base)
+    rollup = mart_store.read_rollup(spark, base).agg(F.sum("line_items").alias("row_count"))
+    return quality.mart_summary(mart.tables()).unionByName(
+        rollup.select(F.lit("daily_rollup").alias("table_name"), "row_count"))
+
+
 def upsert_dimension(spark, sf_dir, split: str = "2024-07-01"):
     """Initial load from the line items before ``split``, upsert from those after it."""
     base = scratch_path(spark, "dims")
@@ -226,6 +284,80 @@ def ingest_new_files(spark, sf_dir, split: str = "2024-07-01"):
     return fact_with_flat_tags(mart_store.read_fact(spark, base)).drop("cost_id", "bill_month")
 
 
+def ingest_after_batch(spark, sf_dir):
+    """A batch load of about half of each source, then stream runs over an export of which every row is
+    dropped and over the rest: the fact must hold every line item once."""
+    root = scratch_path(spark, "late")
+    base, state = f"{root}/mart", f"{root}/state"
+    a, b = load_exports(spark, sf_dir)
+    in_batch = F.pmod(F.xxhash64("resource_id"), F.lit(2)) == 0
+    bad = F.col("bill_date").isNull()
+    write_export(a.where(in_batch), f"{root}/batch/aws")
+    in_batch_gcp = F.pmod(F.xxhash64("resource_name"), F.lit(2)) == 0
+    write_export(b.where(in_batch_gcp), f"{root}/batch/gcp")
+    run_pipeline(spark, f"{root}/batch/aws", f"{root}/batch/gcp", base)
+    write_export(a.where(~in_batch & bad), f"{root}/inbox/aws/1")
+    _ingest(spark, AWS, f"{root}/inbox/aws/*/*.csv", base, state)
+    write_export(a.where(~in_batch & ~bad), f"{root}/inbox/aws/2")
+    write_export(b.where(~in_batch_gcp), f"{root}/inbox/gcp/2")
+    _ingest(spark, AWS, f"{root}/inbox/aws/*/*.csv", base, state)
+    _ingest(spark, GCP, f"{root}/inbox/gcp/*/*.csv", base, state)
+    return fact_with_flat_tags(mart_store.read_fact(spark, base)).drop("cost_id", "bill_month")
+
+
+def account_drift_incremental(spark, sf_dir):
+    """Accounts whose team differs between the rows of a batch load and those of a later file, on the same
+    days: the current rows must be those of a full build."""
+    root = scratch_path(spark, "drift")
+    base = f"{root}/mart"
+    a, b = load_exports(spark, sf_dir)
+    odd = F.substring("resource_id", 3, 20).cast("long") % 2 == 1
+    drifted = a.withColumn("team", F.when(odd, F.lit("zeta")).otherwise(F.lit("alpha")))
+    write_export(drifted.where(odd), f"{root}/batch/aws")
+    write_export(b, f"{root}/batch/gcp")
+    run_pipeline(spark, f"{root}/batch/aws", f"{root}/batch/gcp", base)
+    write_export(drifted.where(~odd), f"{root}/inbox/aws/1")
+    _ingest(spark, AWS, f"{root}/inbox/aws/*/*.csv", base, f"{root}/state")
+    return mart_store.read_dimension(spark, base, "dim_account")
+
+
+def _dirty_mart(spark, sf_dir) -> str:
+    """A mart loaded from exports with odd AWS lines (rules by order number, as in the oracle): costs that
+    are no number, of 2e12 and of 4e-7, and quantities that are no number."""
+    root = scratch_path(spark, "dirty")
+    a, b = load_exports(spark, sf_dir)
+    order = F.substring("resource_id", 3, 20).cast("long")
+    cost = F.col("cost_usd")
+    dirty = a.withColumns({
+        "cost_usd": F.when(order % 29 == 0, F.lit("n/a")).when(cost.isNotNull() & (order % 31 == 0), F.lit("2000000000000.25"))
+                     .when(cost.isNotNull() & (order % 37 == 0), F.lit("0.0000004")).otherwise(cost.cast("string")),
+        "usage_quantity": F.when(order % 41 == 0, F.lit("abc")).otherwise(F.col("usage_quantity").cast("string"))})
+    write_export(dirty, f"{root}/aws")
+    write_export(b, f"{root}/gcp")
+    run_pipeline(spark, f"{root}/aws", f"{root}/gcp", f"{root}/mart")
+    return f"{root}/mart"
+
+
+def load_drop_counts(spark, sf_dir):
+    """The counts that a load wrote."""
+    return mart_store.read_load_counts(spark, _dirty_mart(spark, sf_dir)).drop("provider", "source", "load")
+
+
+def quarantine_stored(spark, sf_dir):
+    """The rows that a load quarantined; of the line's text, whether it was kept."""
+    q = mart_store.read_quarantine(spark, _dirty_mart(spark, sf_dir))
+    return q.withColumn("has_line", F.col("raw_line").isNotNull()).drop("raw_line", "provider", "source", "load")
+
+
+def extreme_costs(spark, sf_dir):
+    """Sums over very large and very small costs: per provider all, and the items below a thousandth."""
+    fact = load_mart(spark, _dirty_mart(spark, sf_dir)).fact
+    small = F.when(F.abs("cost_usd") < 0.001, F.col("cost_usd"))
+    return (fact.groupBy("cloud_provider")
+            .agg(F.count(F.lit(1)).alias("num_line_items"), *money_sums("cost_usd"), *money_sums(small, "ss", "sx"))
+            .select("cloud_provider", "num_line_items", total(2).alias("total_cost_usd"), total(9, "ss", "sx").alias("small_cost_usd")))
+
+
 def quarantine_rows(spark, sf_dir):
     """Rows each source's drop rule removes, with the reason, read from CSV exports."""
     path = scratch_path(spark, "quarantine")
@@ -266,6 +398,14 @@ STORAGE_QUERIES = {
     "scan_mart": scan_mart,
     "cluster_layout": cluster_layout,
     "month_reload": month_reload,
+    "reports_after_month_reload": reports_after_month_reload,
+    "stored_sql_reports": stored_sql_reports,
+    "full_reload": full_reload,
+    "ingest_after_batch": ingest_after_batch,
+    "account_drift_incremental": account_drift_incremental,
+    "load_drop_counts": load_drop_counts,
+    "quarantine_stored": quarantine_stored,
+    "extreme_costs": extreme_costs,
     "upsert_dimension": upsert_dimension,
     "ingest_new_files": ingest_new_files,
     "quarantine": quarantine_rows,
@@ -284,6 +424,7 @@ STAGE_QUERIES = {
     "fact": fact,
     "fact_lookup": fact_lookup,
     "fact_row_ids": fact_row_ids,
+    "fact_ids": fact_ids,
     "dedupe_line_items": dedupe,
     "quality_dropped": quality_dropped,
     "daily_rollup": rollup,

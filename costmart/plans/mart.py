@@ -12,18 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costmart.functions.dates import bill_month
+from costmart.functions.money import money, rest
 from costmart.operators.dimensions import build_dimensions
 from costmart.operators.fact import build_fact, fact_lines
 from costmart.operators.normalize import combine, normalize
 from costmart.schemas import CANONICAL_SCHEMA, assert_schema
-from costmart.sinks.mart_store import (
-    load_mart_tables,
-    read_rollup,
-    write_dimensions,
-    write_fact_months,
-    write_mart,
-    write_rollup_months,
-)
+from costmart.plans.loads import full_load
+from costmart.sinks.mart_store import load_mart_tables, read_landing, read_rollup, write_mart
 from costmart.sources.billing_csv import read_export
 from costmart.sources.driver_tables import load_exports
 from costmart.sources.layouts import AWS, GCP
@@ -78,6 +73,11 @@ def load_mart(spark: SparkSession, base: str) -> Mart:
     return Mart(fact=fact, dims=dims, rollup=read_rollup(spark, base))
 
 
+def landed_rows(spark: SparkSession, base: str) -> DataFrame:
+    """The canonical rows that the stored fact must have one row for each."""
+    return read_landing(spark, base)
+
+
 def store_mart(mart: Mart, base: str) -> None:
     write_mart(mart.fact, mart.dims, base)
 
@@ -85,27 +85,26 @@ def store_mart(mart: Mart, base: str) -> None:
 def run_pipeline(spark: SparkSession, aws_path: str, gcp_path: str, base: str) -> Mart:
     """CSV exports -> stored mart at ``base``; returns the stored mart (read back).
 
-    Each export is parsed once: the normalised rows are handed over as Parquet under
-    ``base/canonical/`` (kept as the audit copy of what was loaded), and the dimensions and the
-    fact are built from those columnar files rather than from the CSV text again.
+    A full load: whatever the mart held before is replaced. Each export is parsed once; dropped and
+    partly read lines go to ``base/quarantine``, one row of counts per provider to ``base/load_counts``,
+    and the canonical rows to ``base/landing``, to which incremental loads add theirs.
     """
-    canon = {"aws": f"{base.rstrip('/')}/canonical/aws", "gcp": f"{base.rstrip('/')}/canonical/gcp"}
-    transform_aws(spark, aws_path).write.mode("overwrite").parquet(canon["aws"])
-    transform_gcp(spark, gcp_path).write.mode("overwrite").parquet(canon["gcp"])
-    combined = read_canonical(spark, canon["aws"], canon["gcp"])
-    write_dimensions(combined, base)
-    write_fact_months(build_fact(combined), base)
-    write_rollup_months(spark, base)
+    exports = [(AWS, read_export(spark, aws_path, AWS, keep_corrupt=True)),
+               (GCP, read_export(spark, gcp_path, GCP, keep_corrupt=True))]
+    full_load(spark, exports, base)
     return load_mart(spark, base)
 
 
 def report_views(spark: SparkSession, mart: Mart) -> None:
     """Register the five tables as temp views for SQL reports (``spark.sql``). The fact view
     always has ``bill_month`` (derived from ``date_key`` for an in-memory fact) so SQL can
-    bound it and prune month folders of the stored table."""
+    bound it and prune month folders of the stored table, and the two parts of each cost
+    (``cost_exact``, ``cost_rest``), computed when a report asks for them."""
     for name, df in mart.tables().items():
-        if name == "fact_cloud_costs" and "bill_month" not in df.columns:
-            df = df.withColumn("bill_month", bill_month("date_key"))
+        if name == "fact_cloud_costs":
+            if "bill_month" not in df.columns:
+                df = df.withColumn("bill_month", bill_month("date_key"))
+            df = df.withColumns({"cost_exact": money("cost_usd"), "cost_rest": rest("cost_usd")})
         df.createOrReplaceTempView(name)
 
 

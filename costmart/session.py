@@ -17,8 +17,6 @@ _BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # month partitions are replaced one by one, never the whole fact table
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -42,8 +40,9 @@ def get_spark(app: str = "costmart", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) do we pick a folder of our own
-    and register it, so ``DataFrame.checkpoint()`` and our scratch tables land in one place.
+    Read from the session; only when it is unset and the master is local (tests) do we pick a folder of
+    our own and register it, so ``DataFrame.checkpoint()`` and our scratch tables land in one place. On
+    a cluster a folder of one machine would be lost on the others, so there an unset folder is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -52,6 +51,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             root = None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="costmart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         try:

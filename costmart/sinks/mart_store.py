@@ -1,23 +1,33 @@
 """Stored layout of the mart (Parquet; no Delta jar in this environment).
 
-* ``fact_cloud_costs/bill_month=yyyy-MM/``: the fact, partitioned by month. Month folders are
-  replaced one at a time with dynamic partition overwrite, so a late file for an old month
-  rewrites only that month. Rows are distributed by month and sorted by date inside each
-  file (Parquet min/max statistics then skip row groups for date filters); adaptive execution
-  splits a large month over several files of about the advisory partition size.
-* ``dim_*/source=S/load_id=N/``: each load of a dimension appends its rows under a new ``load_id``
-  (rewriting its own folder if the load is replayed). Readers keep the row of the latest load
-  per key, which is the upsert: stored rows plus new rows, latest row per key. No job ever reads
-  and overwrites the same folder.
+* ``landing/bill_month=M/provider=P/source=S/load=N/``: the canonical rows of every load, batch or
+  incremental. It is what the fact is rebuilt from, so any load may add rows to a month that another
+  one has loaded before.
+* ``fact_cloud_costs/bill_month=yyyy-MM/``: the fact, partitioned by month. Rows are distributed by
+  day and provider and sorted by date inside each file, so a day's rows lie in a few files of its
+  month and a date filter opens only those (Parquet min/max statistics).
+* ``daily_rollup/bill_month=yyyy-MM/``: the reports' partial sums, refreshed by whatever writes the
+  fact. ``rollup_state`` says whether it agrees with the fact; readers use it only then.
+* ``dim_*/source=S/load_id=N/``: each load of a dimension adds its rows under a new ``load_id``
+  (rewriting its own folder if the load is replayed). Readers resolve one row per key, which is the
+  upsert. No job ever reads and overwrites the same folder.
+* ``quarantine`` and ``load_counts`` (``/provider=P/source=S/load=N/``): rows a load dropped or could
+  read only in part, and one row of counts per load and provider.
+
+A full load (``replace_all``) replaces whole tables; anything else replaces only the partitions it
+has rows for. Each write says which, whatever the session's setting.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from costmart.functions.dates import bill_month
 from costmart.schemas import (
+    CANONICAL_COLUMNS,
+    CANONICAL_SCHEMA,
     DIM_ACCOUNT_SCHEMA,
     DIM_DATE_SCHEMA,
     DIM_REGION_SCHEMA,
@@ -28,119 +38,229 @@ from costmart.schemas import (
 )
 
 FACT_TABLE = "fact_cloud_costs"
+ROLLUP_TABLE = "daily_rollup"
+ROLLUP_STATE = "rollup_state"
+LANDING = "landing"
+QUARANTINE = "quarantine"
+LOAD_COUNTS = "load_counts"
 DIM_KEYS = {"dim_date": "date_key", "dim_service": "service_key", "dim_account": "account_key",
             "dim_region": "region_key"}
 DIM_SCHEMAS = {"dim_date": DIM_DATE_SCHEMA, "dim_service": DIM_SERVICE_SCHEMA,
                "dim_account": DIM_ACCOUNT_SCHEMA, "dim_region": DIM_REGION_SCHEMA}
 INITIAL_LOAD = 0
+_LOAD_COLUMNS = [StructField("provider", StringType()), StructField("source", StringType()), StructField("load", LongType())]
+LANDING_SCHEMA = StructType([*CANONICAL_SCHEMA.fields, StructField("bill_month", StringType()), *_LOAD_COLUMNS])
+
+
+def _path(base: str, table: str) -> str:
+    return f"{base.rstrip('/')}/{table}"
+
+
+def _write(df: DataFrame, path: str, partitions: tuple[str, ...], replace_all: bool) -> None:
+    """Overwrite the whole table (static) or only the partitions that ``df`` has rows for (dynamic)."""
+    (df.write.mode("overwrite")
+     .option("partitionOverwriteMode", "static" if replace_all else "dynamic")
+     .partitionBy(*partitions).parquet(path))
+
+
+def has_table(spark: SparkSession, base: str, table: str) -> bool:
+    """Whether the mart has a folder for ``table`` (one call to the file system, no listing)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_path(base, table))
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+
+# --- landing, quarantine, counts -------------------------------------------------------------
+def land_rows(canonical: DataFrame, base: str, source: str, load: int, replace_all: bool = False) -> None:
+    """Store one load's canonical rows; a replay of the load replaces its own folders."""
+    rows = assert_schema(canonical, CANONICAL_SCHEMA).select(
+        *CANONICAL_COLUMNS, bill_month("date_key").alias("bill_month"), F.col("cloud_provider").alias("provider"),
+        F.lit(source).alias("source"), F.lit(int(load)).cast("long").alias("load"))
+    _write(rows.hint("rebalance", "bill_month"), _path(base, LANDING), ("bill_month", "provider", "source", "load"), replace_all)
+
+
+def read_landing(spark: SparkSession, base: str, months: list[str] | None = None) -> DataFrame:
+    """Canonical rows of all loads, or of the given months: then only those folders are listed."""
+    root = _path(base, LANDING)
+    paths = [root] if months is None else [f"{root}/bill_month={m}" for m in months]
+    return spark.read.schema(LANDING_SCHEMA).option("basePath", root).parquet(*paths).select(*CANONICAL_COLUMNS)
+
+
+def write_load_record(counts: DataFrame, rejected: DataFrame | None, base: str, source: str, load: int,
+                      replace_all: bool = False) -> None:
+    """One row of counts per provider, and the quarantined rows (both carry ``cloud_provider``)."""
+    def tagged(df: DataFrame) -> DataFrame:
+        return df.withColumns({"provider": F.col("cloud_provider"), "source": F.lit(source),
+                               "load": F.lit(int(load)).cast("long")})
+
+    parts = ("provider", "source", "load")
+    _write(tagged(counts), _path(base, LOAD_COUNTS), parts, replace_all)
+    if rejected is not None:
+        _write(tagged(rejected), _path(base, QUARANTINE), parts, replace_all)
+
+
+def read_load_counts(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.parquet(_path(base, LOAD_COUNTS))
+
+
+def read_quarantine(spark: SparkSession, base: str) -> DataFrame:
+    return spark.read.parquet(_path(base, QUARANTINE))
 
 
+# --- the fact and its rollup -----------------------------------------------------------------
 def cluster_layout(fact: DataFrame, distributed: bool = False) -> DataFrame:
     """Add ``bill_month`` and lay rows out for the month-partitioned write.
 
-    Rows are distributed by month with a ``rebalance`` exchange (no fixed count, no sampling
-    job: adaptive execution coalesces small partitions and splits a large month along map-output blocks), so
-    each task writes about one file, then sorted by (bill_month, date_key, cloud_provider),
-    which also satisfies the writer's required ordering, so no second sort is planned. Files
-    hold rows in date order, and Parquet min/max statistics skip row groups for date filters.
-    ``distributed=True`` skips the exchange for input that is already distributed by month
-    (``operators.fact.build_fact``).
+    Rows are distributed by day and provider with a ``rebalance`` exchange (no fixed count, no
+    sampling job: adaptive execution merges small partitions and splits a large one along map-output
+    blocks), then sorted by (bill_month, date_key, cloud_provider), which also satisfies the writer's
+    required ordering, so no second sort is planned. ``distributed=True`` skips the exchange for input
+    that is already distributed so (``operators.fact.build_fact``).
     """
     assert_schema(fact, FACT_SCHEMA)
     out = fact.withColumn("bill_month", bill_month("date_key"))
     if not distributed:
-        out = out.hint("rebalance", "bill_month")
+        out = out.hint("rebalance", "date_key", "cloud_provider")
     return out.sortWithinPartitions("bill_month", "date_key", "cloud_provider")
 
 
-def write_fact_months(fact: DataFrame, base: str, distributed: bool = True) -> None:
-    """Write fact rows; only the months present in ``fact`` are replaced.
+def _mark_rollup(spark: SparkSession, base: str, agrees: bool) -> None:
+    spark.range(1).select(F.lit(agrees).alias("agrees")).write.mode("overwrite").parquet(_path(base, ROLLUP_STATE))
 
-    ``fact`` is expected as ``build_fact`` returns it (already distributed by day); pass
-    ``distributed=False`` for any other input.
+
+def _rollup_agrees(spark: SparkSession, base: str) -> bool:
+    if not has_table(spark, base, ROLLUP_STATE):
+        return False
+    row = spark.read.parquet(_path(base, ROLLUP_STATE)).first()
+    return bool(row and row["agrees"])
+
+
+def write_fact_months(fact: DataFrame, base: str, distributed: bool = True, replace_all: bool = False,
+                      months: list[str] | None = None) -> None:
+    """Write fact rows: the whole table with ``replace_all``, else only the months present in ``fact``.
+    The daily rollup, if the mart has one, is refreshed for the same months; until that is done, readers
+    don't use it.
+
+    ``fact`` is expected as ``build_fact`` returns it (already distributed); pass ``distributed=False``
+    for any other input. ``months`` names the months in ``fact`` where the caller knows them; otherwise
+    the written rows' first and last month bound what is refreshed.
     """
+    spark = fact.sparkSession
+    had_rollup = has_table(spark, base, ROLLUP_TABLE)
+    if had_rollup:
+        _mark_rollup(spark, base, False)
     laid_out = assert_schema(cluster_layout(fact, distributed), FACT_STORED_SCHEMA)
-    (laid_out.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bill_month")
-     .parquet(f"{base.rstrip('/')}/{FACT_TABLE}"))
+    _write(laid_out, _path(base, FACT_TABLE), ("bill_month",), replace_all)
+    if not had_rollup:
+        return
+    if months is None and not replace_all:
+        span = fact.agg(F.min("date_key").alias("a"), F.max("date_key").alias("b")).first()
+        if span["a"] is None:
+            _mark_rollup(spark, base, True)
+            return
+        write_rollup_months(spark, base, first=span["a"][:7], last=span["b"][:7])
+    else:
+        write_rollup_months(spark, base, months)
 
 
-def write_dimension(dim: DataFrame, base: str, name: str, load_id: int = INITIAL_LOAD,
-                    source: str = "batch") -> None:
-    """Append one load of a dimension under ``source=S/load_id=N`` (a replay of the same load
-    replaces itself). Each writer (batch job, one stream per provider) owns its ``source``.
+def read_fact(spark: SparkSession, base: str) -> DataFrame:
+    fact = spark.read.schema(FACT_STORED_SCHEMA).parquet(_path(base, FACT_TABLE))
+    return assert_schema(fact, FACT_STORED_SCHEMA, ordered=False).select(*FACT_STORED_SCHEMA.fieldNames())
+
+
+def write_rollup_months(spark: SparkSession, base: str, months: list[str] | None = None,
+                        first: str | None = None, last: str | None = None) -> None:
+    """(Re)build the daily rollup from the stored fact: for ``months``, for those from ``first`` to
+    ``last``, or, if none are given, all of it (then the table is replaced).
+
+    Reads only the fact columns the rollup needs (and only the given month folders), aggregates
+    map side and replaces the same month folders of ``daily_rollup``. The rollup is small, so a
+    rebalance packs each month into about one file.
+    """
+    from costmart.operators.rollup import daily_rollup
+
+    fact = read_fact(spark, base)
+    if months is not None:
+        fact = fact.where(F.col("bill_month").isin(months))
+    elif first is not None:
+        fact = fact.where(F.col("bill_month").between(first, last))
+    whole = months is None and first is None
+    laid_out = daily_rollup(fact).hint("rebalance", "bill_month").sortWithinPartitions("bill_month", "date_key")
+    _write(laid_out, _path(base, ROLLUP_TABLE), ("bill_month",), replace_all=whole)
+    _mark_rollup(spark, base, True)
+
+
+def read_rollup(spark: SparkSession, base: str) -> DataFrame | None:
+    """The stored daily rollup, or None when the mart has none that agrees with its fact."""
+    return spark.read.parquet(_path(base, ROLLUP_TABLE)) if _rollup_agrees(spark, base) else None
+
 
-    ``dim_account`` is stored with ``last_seen`` (the data date of its attributes; NULL if the
-    caller's frame lacks it), so a late file with older attributes does not override newer ones.
+# --- dimensions ------------------------------------------------------------------------------
+def write_dimension(dim: DataFrame, base: str, name: str, load_id: int = INITIAL_LOAD,
+                    source: str = "batch", replace_all: bool = False) -> None:
+    """Add one load of a dimension under ``source=S/load_id=N`` (a replay of the same load
+    replaces itself), or replace the table. Each writer (batch job, one stream per provider) owns its
+    ``source``.
+
+    ``dim_account`` needs ``last_seen`` (the data date of its attributes, see
+    ``build_dim_account(keep_last_seen=True)``), so that a late file with older attributes does not
+    override newer ones.
     """
     if name == "dim_account":
         if "last_seen" not in dim.columns:
-            dim = dim.withColumn("last_seen", F.lit(None).cast("date"))
+            raise ValueError("dim_account is stored with last_seen: build it with keep_last_seen=True")
         assert_schema(dim.drop("last_seen"), DIM_SCHEMAS[name])
     else:
         assert_schema(dim, DIM_SCHEMAS[name])
     # rebalance: adaptive execution packs a small dimension into one file and cuts a large
     # one (accounts) into files of about the advisory size
-    (dim.withColumn("source", F.lit(source)).withColumn("load_id", F.lit(int(load_id)).cast("long"))
-     .hint("rebalance")
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("source", "load_id")
-     .parquet(f"{base.rstrip('/')}/{name}"))
+    tagged = dim.withColumn("source", F.lit(source)).withColumn("load_id", F.lit(int(load_id)).cast("long"))
+    _write(tagged.hint("rebalance"), _path(base, name), ("source", "load_id"), replace_all)
 
 
 def upsert_dimension(new_rows: DataFrame, base: str, name: str, load_id: int, source: str = "batch") -> None:
-    """Upsert: store ``new_rows`` as a later load; readers resolve the latest row per key."""
+    """Upsert: store ``new_rows`` as a later load; readers resolve one row per key."""
     if load_id <= INITIAL_LOAD:
         raise ValueError("an upsert needs a load_id after the initial load")
     write_dimension(new_rows, base, name, load_id, source)
 
 
-def read_dimension(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """Current dimension rows: for each key, the row of its latest load.
+def _current(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """For each key the row that counts, in stored form without the load columns.
 
-    One aggregate on the key (map-side partial aggregation; dimensions are small, and a large
-    account dimension still aggregates in parallel by key).
+    Accounts: the greatest (last_seen, account_name, team, environment), which is the rule the full
+    build has, so the order and the number of the loads don't matter. Others: the latest load's; of
+    loads with one number, that of the greater source name. One map-side combined aggregate.
     """
+    loads = spark.read.parquet(_path(base, name))
+    key, attrs = DIM_KEYS[name], [f for f in DIM_SCHEMAS[name].fieldNames() if f != DIM_KEYS[name]]
+    if name == "dim_account":
+        order = ["last_seen", "account_name", "team", "environment"]
+        attrs = [*order, *[a for a in attrs if a not in order]]
+        best = F.max(F.struct(*attrs))
+    else:
+        best = F.max(F.struct("load_id", "source", *attrs))
+    return loads.groupBy(key).agg(best.alias("v")).select(key, *[F.col(f"v.{a}").alias(a) for a in attrs])
+
+
+def read_dimension(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Current dimension rows."""
     schema = DIM_SCHEMAS[name]
-    key = DIM_KEYS[name]
-    attrs = [f for f in schema.fieldNames() if f != key]
-    loads = spark.read.parquet(f"{base.rstrip('/')}/{name}")
-    order = F.col("load_id")
-    if "last_seen" in loads.columns:  # accounts: latest data date first, then latest load
-        order = F.struct(F.coalesce(F.col("last_seen"), F.lit("0001-01-01").cast("date")), F.col("load_id"))
-    latest = loads.groupBy(key).agg(F.max_by(F.struct(*attrs), order).alias("v"))
-    out = latest.select(key, *[F.col(f"v.{a}").alias(a) for a in attrs])
-    return assert_schema(out, schema)
+    return assert_schema(_current(spark, base, name).select(*schema.fieldNames()), schema)
 
 
 def compact_dimension(spark: SparkSession, base: str, name: str, new_base: str) -> None:
     """Write the current rows of a dimension as a single load under ``new_base``.
 
-    Loads accumulate with every incremental run; compaction resolves them once (the same
-    latest-per-key aggregate readers use) into a fresh folder, never in place. Point readers at
-    ``new_base`` afterwards. ``dim_account`` keeps its ``last_seen`` so later loads still merge
-    by data date.
+    Loads accumulate with every incremental run; compaction resolves them once (the same aggregate
+    readers use) into a fresh folder, never in place. Point readers at ``new_base`` afterwards.
+    ``dim_account`` keeps its ``last_seen`` so later loads still merge by data date.
     """
-    loads = spark.read.parquet(f"{base.rstrip('/')}/{name}")
-    if name == "dim_account" and "last_seen" in loads.columns:
-        key = DIM_KEYS[name]
-        attrs = [f for f in DIM_SCHEMAS[name].fieldNames() if f != key] + ["last_seen"]
-        order = F.struct(F.coalesce(F.col("last_seen"), F.lit("0001-01-01").cast("date")), F.col("load_id"))
-        latest = loads.groupBy(key).agg(F.max_by(F.struct(*attrs), order).alias("v"))
-        current = latest.select(key, *[F.col(f"v.{a}").alias(a) for a in attrs])
-    else:
-        current = read_dimension(spark, base, name)
-    write_dimension(current, new_base, name, INITIAL_LOAD, source="compacted")
+    names = [*DIM_SCHEMAS[name].fieldNames(), *(["last_seen"] if name == "dim_account" else [])]
+    write_dimension(_current(spark, base, name).select(*names), new_base, name, INITIAL_LOAD, source="compacted")
 
 
-def read_fact(spark: SparkSession, base: str) -> DataFrame:
-    fact = spark.read.parquet(f"{base.rstrip('/')}/{FACT_TABLE}")
-    return assert_schema(fact, FACT_STORED_SCHEMA, ordered=False).select(*FACT_STORED_SCHEMA.fieldNames())
-
-
-def write_dimensions(combined: DataFrame, base: str, load_id: int = INITIAL_LOAD, source: str = "batch") -> None:
+def write_dimensions(combined: DataFrame, base: str, load_id: int = INITIAL_LOAD, source: str = "batch",
+                     replace_all: bool = False) -> None:
     """Build and write all four dimensions from one pass over ``combined``.
 
     The grouping-sets aggregate (dimension-sized output) is persisted while the four writes
@@ -151,49 +271,23 @@ def write_dimensions(combined: DataFrame, base: str, load_id: int = INITIAL_LOAD
     keys = dimension_keys(combined).persist()
     try:
         for name, dim in dimensions_from_keys(keys, keep_last_seen=True).items():
-            write_dimension(dim, base, name, load_id, source)
+            write_dimension(dim, base, name, load_id, source, replace_all)
     finally:
         keys.unpersist()
 
 
-ROLLUP_TABLE = "daily_rollup"
-
-
-def write_rollup_months(spark: SparkSession, base: str, months: list[str] | None = None) -> None:
-    """(Re)build the daily rollup from the stored fact, for ``months`` or all of it.
+# --- the mart --------------------------------------------------------------------------------
+def write_mart(fact: DataFrame, dims: dict[str, DataFrame], base: str, load_id: int = INITIAL_LOAD) -> None:
+    """Write the five tables whole, replacing what is there (schemas asserted before each write).
 
-    Reads only the fact columns the rollup needs (and only the given month folders), aggregates
-    map side and replaces the same month folders of ``daily_rollup`` (dynamic overwrite). The
-    rollup is small, so a rebalance packs each month into about one file.
+    An account dimension without ``last_seen`` gets it from the fact: the last day of each account.
     """
-    from costmart.operators.rollup import daily_rollup
-
-    fact = read_fact(spark, base)
-    if months is not None:
-        fact = fact.where(F.col("bill_month").isin(months))
-    (daily_rollup(fact).hint("rebalance", "bill_month")
-     .sortWithinPartitions("bill_month", "date_key")
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bill_month")
-     .parquet(f"{base.rstrip('/')}/{ROLLUP_TABLE}"))
-
-
-def read_rollup(spark: SparkSession, base: str) -> DataFrame | None:
-    """The stored daily rollup, or None when the mart has none."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(f"{base.rstrip('/')}/{ROLLUP_TABLE}")
-    except AnalysisException:
-        return None
-
-
-def write_mart(fact: DataFrame, dims: dict[str, DataFrame], base: str, load_id: int = INITIAL_LOAD) -> None:
-    """Write the five tables (schemas asserted before each write)."""
-    write_fact_months(fact, base)
+    write_fact_months(fact, base, replace_all=True)
     for name, dim in dims.items():
-        write_dimension(dim, base, name, load_id)
+        if name == "dim_account" and "last_seen" not in dim.columns:
+            seen = fact.groupBy("account_key").agg(F.max(F.col("date_key").cast("date")).alias("last_seen"))
+            dim = dim.join(seen, "account_key", "left").select(*dim.columns, "last_seen")
+        write_dimension(dim, base, name, load_id, replace_all=True)
 
 
 def load_mart_tables(spark: SparkSession, base: str) -> tuple[DataFrame, dict[str, DataFrame]]:

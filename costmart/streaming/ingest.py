@@ -2,14 +2,16 @@
 
 A Structured Streaming CSV source over the provider's inbox, run with ``availableNow`` (process
 what is there, then stop), so a daily scheduler call is one bounded job; the stream checkpoint
-remembers which files were taken. Each micro-batch (``foreachBatch``):
+remembers which files were taken. Each micro-batch (``foreachBatch``) is one load
+(``plans.loads.load_exports_into``), the same as a batch load, into the same landed store:
 
-1. lands its canonical rows under ``landing/provider=P/batch_id=N/bill_month=M/``, overwriting
-   exactly its own folder, so a replayed batch replaces itself instead of adding duplicates;
-2. recomputes the fact for the months the batch touched from *all* landed rows of those months
-   (a late file for an old month therefore yields the same ids as a full rebuild: copies of a
-   line item share a date, so they share a month) and replaces only those month folders;
-3. appends the batch's dimension rows as a new load (latest row per key wins on read).
+1. its lines are parsed once; what it drops or can read only in part goes to the quarantine, and one
+   row of counts is written, also for a batch of which no row is kept;
+2. its canonical rows are landed under the touched months; a replayed batch replaces itself;
+3. the fact and the rollup of those months are rebuilt from *all* landed rows of those months,
+   whichever load brought them (a late file therefore yields the same ids as a full rebuild: copies
+   of a line item share a date, so they share a month), and only those month folders are replaced;
+4. the batch's dimension rows are added as a new load.
 
 Run the providers one after the other against one mart: two batches rewriting the same month
 at the same time would race.
@@ -18,55 +20,34 @@ at the same time would race.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from costmart.functions.dates import bill_month
-from costmart.operators.fact import build_fact
-from costmart.operators.normalize import normalize
-from costmart.schemas import CANONICAL_COLUMNS
-from costmart.sinks.mart_store import write_dimensions, write_fact_months, write_rollup_months
+from costmart.plans.loads import load_exports_into
+from costmart.sinks.mart_store import read_landing
+from costmart.sources.billing_csv import CORRUPT_COLUMN
 from costmart.sources.layouts import SourceLayout
 
 
-def _process_batch(spark: SparkSession, layout: SourceLayout, base: str, landing: str,
-                   load_offset: int):
+def _process_batch(spark: SparkSession, layout: SourceLayout, base: str, load_offset: int):
     def run(batch: DataFrame, batch_id: int) -> None:
-        canon = normalize(batch, layout).withColumn("bill_month", bill_month("date_key"))
-        (canon.write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("bill_month")
-         .parquet(f"{landing}/provider={layout.provider}/batch_id={batch_id}"))
-
-        batch_dir = f"{landing}/provider={layout.provider}/batch_id={batch_id}"
-        # The months this batch touched: a handful of partition values, collected so the scan
-        # of all landed rows is pruned to those month folders at planning time (a semi-join
-        # would not prune: dynamic pruning needs a selective filter on the other side).
-        months = [r.bill_month for r in spark.read.parquet(batch_dir).select("bill_month").distinct().collect()]
-        if not months:
-            return
-        landed = spark.read.option("basePath", landing).parquet(landing)
-        month_rows = landed.where(F.col("bill_month").isin(months)).select(*CANONICAL_COLUMNS)
-        write_fact_months(build_fact(month_rows), base)
-        write_rollup_months(spark, base, months)
-
-        batch_rows = spark.read.parquet(batch_dir).select(*CANONICAL_COLUMNS)
-        write_dimensions(batch_rows, base, load_offset + batch_id + 1, source=f"stream-{layout.provider}")
+        load_exports_into(spark, [(layout, batch)], base, source=f"stream-{layout.provider}", load=load_offset + batch_id + 1)
     return run
 
 
 def ingest_new_files(spark: SparkSession, layout: SourceLayout, inbox: str, base: str,
                      state_dir: str, load_offset: int = 0, max_files_per_trigger: int | None = None) -> None:
     """Process every not-yet-seen export file under ``inbox`` (glob allowed) into the mart at
-    ``base``; ``state_dir`` holds the stream checkpoint and the landed rows. Blocks until done."""
-    reader = (spark.readStream.schema(layout.raw_schema)
+    ``base``; ``state_dir`` holds the stream checkpoint. Blocks until done."""
+    schema = StructType([*layout.raw_schema.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
+    reader = (spark.readStream.schema(schema)
               .option("header", "true").option("nullValue", "").option("mode", "PERMISSIVE")
+              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
               .option("enforceSchema", "false"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.csv(inbox)
-    landing = f"{state_dir.rstrip('/')}/landing"
     query = (stream.writeStream
-             .foreachBatch(_process_batch(spark, layout, base, landing, load_offset))
+             .foreachBatch(_process_batch(spark, layout, base, load_offset))
              .option("checkpointLocation", f"{state_dir.rstrip('/')}/checkpoint-{layout.provider}")
              .trigger(availableNow=True)
              .start())
@@ -76,10 +57,9 @@ def ingest_new_files(spark: SparkSession, layout: SourceLayout, inbox: str, base
         raise RuntimeError(f"ingest of {layout.provider} failed: {err}")
 
 
-def landed_rows(spark: SparkSession, state_dir: str) -> DataFrame:
+def landed_rows(spark: SparkSession, base: str) -> DataFrame:
     """All canonical rows landed so far (for audits)."""
-    landing = f"{state_dir.rstrip('/')}/landing"
-    return spark.read.option("basePath", landing).parquet(landing).select(*CANONICAL_COLUMNS, F.col("provider"))
+    return read_landing(spark, base)
 
 
 def ingest_all(spark: SparkSession, inboxes: list, base: str, state_dir: str, **options) -> None:
