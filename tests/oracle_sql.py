@@ -24,7 +24,7 @@ def _values(rows) -> str:
 
 
 def money_sum(col: str = "cost_usd") -> str:
-    return f"SUM(CAST({col} AS DECIMAL(18,6)))"
+    return f"SUM(CAST({col} AS DECIMAL(38,16)))"
 
 
 def rnd(expr: str, digits: int) -> str:
@@ -80,17 +80,16 @@ def _valid_date(col: str) -> str:
             f"AND try_strptime({col}, '%Y-%m-%d') IS NOT NULL)")
 
 
-MAX_COST = "999999999999.999999"
-
-
-def _valid_cost(col: str) -> str:
-    return f"({col} BETWEEN -{MAX_COST} AND {MAX_COST})"
+def _inexact(col: str) -> str:
+    """Over 16 decimals, or too large (numbers written with an exponent are small ones of few digits here)."""
+    text = f"CAST({col} AS VARCHAR)"
+    return f"(abs({col}) >= 1e13 OR ({text} NOT LIKE '%e%' AND length(split_part({text}, '.', 2)) > 16))"
 
 
 AWS_KEEP = ("bill_date IS NOT NULL AND cost_usd IS NOT NULL AND service_name IS NOT NULL "
-            f"AND account_id IS NOT NULL AND {_valid_date('bill_date')} AND {_valid_cost('cost_usd')}")
+            f"AND account_id IS NOT NULL AND {_valid_date('bill_date')}")
 GCP_KEEP = ("usage_date IS NOT NULL AND cost IS NOT NULL AND service_description IS NOT NULL "
-            f"AND project_id IS NOT NULL AND {_valid_date('usage_date')} AND {_valid_cost('cost')}")
+            f"AND project_id IS NOT NULL AND {_valid_date('usage_date')}")
 
 AWS = f"""
 aws AS (
@@ -168,8 +167,10 @@ fact AS (
 CTES = [AWS_RAW, GCP_RAW, AWS, GCP, COMBINED, DIM_DATE, DIM_SERVICE, DIM_ACCOUNT, DIM_REGION, FACT]
 
 
-def with_mart(select: str) -> str:
-    return "WITH " + ",".join(CTES) + "\n" + select
+def with_mart(select: str, **instead: str) -> str:
+    """``instead`` replaces CTEs by name."""
+    ctes = [next((v for k, v in instead.items() if c.lstrip().startswith(k + " AS")), c) for c in CTES]
+    return "WITH " + ",".join(ctes) + "\n" + select
 
 
 CANON = ("date_key, cloud_provider, account_id, account_name, service_name, region_code, "
@@ -243,15 +244,15 @@ SELECT tag_team AS team, {rnd(money_sum(), 2)} AS total_cost_usd, COUNT(*) AS nu
 FROM fact GROUP BY tag_team""",
     "daily_rollup": """
 SELECT date_key, cloud_provider, service_key, account_key, region_key, tag_team, tag_environment,
-       CAST(SUM(CAST(cost_usd AS DECIMAL(18,6))) AS DOUBLE) AS cost_sum,
-       CAST(SUM(CASE WHEN cost_usd > 0 THEN CAST(cost_usd AS DECIMAL(18,6)) ELSE 0 END) AS DOUBLE) AS gross_sum,
-       CAST(SUM(CASE WHEN cost_usd < 0 THEN CAST(cost_usd AS DECIMAL(18,6)) ELSE 0 END) AS DOUBLE) AS credit_sum,
+       CAST(ROUND(SUM(CAST(cost_usd AS DECIMAL(38,16))), 6) AS DOUBLE) AS cost_sum,
+       CAST(ROUND(SUM(CASE WHEN cost_usd > 0 THEN CAST(cost_usd AS DECIMAL(38,16)) ELSE 0 END), 6) AS DOUBLE) AS gross_sum,
+       CAST(ROUND(SUM(CASE WHEN cost_usd < 0 THEN CAST(cost_usd AS DECIMAL(38,16)) ELSE 0 END), 6) AS DOUBLE) AS credit_sum,
        COUNT(*) AS line_items, CAST(count_if(cost_usd < 0) AS BIGINT) AS credit_items
 FROM fact GROUP BY date_key, cloud_provider, service_key, account_key, region_key, tag_team, tag_environment""",
     "net_gross_credits": f"""
 SELECT cloud_provider,
-       {rnd('SUM(CASE WHEN cost_usd > 0 THEN CAST(cost_usd AS DECIMAL(18,6)) ELSE 0 END)', 2)} AS gross_cost_usd,
-       {rnd('SUM(CASE WHEN cost_usd < 0 THEN CAST(cost_usd AS DECIMAL(18,6)) ELSE 0 END)', 2)} AS credits_usd,
+       {rnd('SUM(CASE WHEN cost_usd > 0 THEN CAST(cost_usd AS DECIMAL(38,16)) ELSE 0 END)', 2)} AS gross_cost_usd,
+       {rnd('SUM(CASE WHEN cost_usd < 0 THEN CAST(cost_usd AS DECIMAL(38,16)) ELSE 0 END)', 2)} AS credits_usd,
        {rnd(money_sum(), 2)} AS net_cost_usd,
        CAST(count_if(cost_usd < 0) AS BIGINT) AS num_credit_items
 FROM fact GROUP BY cloud_provider""",
@@ -285,7 +286,8 @@ SELECT 'AWS' AS cloud_provider, COUNT(*) AS raw_rows,
        CAST(count_if(service_name IS NULL) AS BIGINT) AS null_service,
        CAST(count_if(account_id IS NULL) AS BIGINT) AS null_account,
        CAST(count_if(bill_date IS NOT NULL AND NOT {_valid_date('bill_date')}) AS BIGINT) AS bad_date,
-       CAST(count_if(NOT {_valid_cost('cost_usd')}) AS BIGINT) AS bad_cost,
+       CAST(count_if(({AWS_KEEP}) AND {_inexact('cost_usd')}) AS BIGINT) AS inexact_cost,
+       CAST(0 AS BIGINT) AS malformed_rows,
        CAST(count_if(NOT ({AWS_KEEP})) AS BIGINT) AS dropped_rows,
        CAST(count_if({AWS_KEEP}) AS BIGINT) AS kept_rows
 FROM aws_raw
@@ -294,7 +296,7 @@ SELECT 'GCP', COUNT(*),
        CAST(count_if(usage_date IS NULL) AS BIGINT), CAST(count_if(cost IS NULL) AS BIGINT),
        CAST(count_if(service_description IS NULL) AS BIGINT), CAST(count_if(project_id IS NULL) AS BIGINT),
        CAST(count_if(usage_date IS NOT NULL AND NOT {_valid_date('usage_date')}) AS BIGINT),
-       CAST(count_if(NOT {_valid_cost('cost')}) AS BIGINT),
+       CAST(count_if(({GCP_KEEP}) AND {_inexact('cost')}) AS BIGINT), CAST(0 AS BIGINT),
        CAST(count_if(NOT ({GCP_KEEP})) AS BIGINT), CAST(count_if({GCP_KEEP}) AS BIGINT)
 FROM gcp_raw""",
 }
@@ -303,12 +305,12 @@ FROM gcp_raw""",
 def _quarantine(provider: str, raw: str, keep: str, cols: list[str], date: str, cost: str,
                 service: str, account: str) -> str:
     reason = (f"CASE WHEN {date} IS NULL THEN 'null_date' WHEN NOT {_valid_date(date)} THEN 'bad_date' "
-              f"WHEN {cost} IS NULL THEN 'null_cost' WHEN NOT {_valid_cost(cost)} THEN 'bad_cost' "
+              f"WHEN {cost} IS NULL THEN 'null_cost' "
               f"WHEN {service} IS NULL THEN 'null_service' "
               f"WHEN {account} IS NULL THEN 'null_account' END")
     names = [c for c in CANON.split(", ") if c != "cloud_provider"]
     sel = ", ".join(f"{src} AS {dst}" for src, dst in zip(cols, names))
-    return (f"SELECT '{provider}' AS cloud_provider, {reason} AS reason, {sel}, "
+    return (f"SELECT '{provider}' AS cloud_provider, {reason} AS reason, false AS kept, {sel}, "
             f"CAST(NULL AS VARCHAR) AS raw_line FROM {raw} WHERE NOT ({keep})")
 
 
@@ -324,19 +326,66 @@ UNION ALL SELECT 'dim_service', COUNT(*) FROM dim_service
 UNION ALL SELECT 'dim_account', COUNT(*) FROM dim_account
 UNION ALL SELECT 'dim_region', COUNT(*) FROM dim_region"""
 
-VALIDATE = """
-SELECT 'fact_cloud_costs' AS table_name, 'not_empty' AS rule, COUNT(*) AS observed, COUNT(*) > 0 AS passed FROM fact
+_ORPHANS = {"dim_date": "date_key", "dim_service": "service_key", "dim_account": "account_key", "dim_region": "region_key"}
+VALIDATE = "".join(f"""
+SELECT 'fact_cloud_costs' AS table_name, 'no_orphans_{d}' AS rule, COUNT(*) AS observed, COUNT(*) = 0 AS passed
+FROM fact WHERE {k} IS NOT NULL AND {k} NOT IN (SELECT {k} FROM {d})
+UNION ALL SELECT '{d}', 'not_empty', COUNT(*), COUNT(*) > 0 FROM {d}
+UNION ALL SELECT '{d}', 'unique_keys', COUNT(*) - COUNT(DISTINCT {k}), COUNT(*) = COUNT(DISTINCT {k}) FROM {d}
+UNION ALL""" for d, k in _ORPHANS.items()) + """
+SELECT 'fact_cloud_costs', 'not_empty', COUNT(*), COUNT(*) > 0 FROM fact
 UNION ALL SELECT 'fact_cloud_costs', 'no_null_cost', CAST(count_if(cost_usd IS NULL) AS BIGINT),
                  count_if(cost_usd IS NULL) = 0 FROM fact
 UNION ALL SELECT 'fact_cloud_costs', 'no_null_keys',
                  CAST(count_if(service_key IS NULL OR account_key IS NULL OR region_key IS NULL) AS BIGINT),
                  count_if(service_key IS NULL OR account_key IS NULL OR region_key IS NULL) = 0 FROM fact
 UNION ALL SELECT 'fact_cloud_costs', 'one_row_per_line_item', (SELECT COUNT(*) FROM fact),
-                 (SELECT COUNT(*) FROM fact) = (SELECT COUNT(*) FROM combined)
-UNION ALL SELECT 'dim_date', 'not_empty', COUNT(*), COUNT(*) > 0 FROM dim_date
-UNION ALL SELECT 'dim_service', 'not_empty', COUNT(*), COUNT(*) > 0 FROM dim_service
-UNION ALL SELECT 'dim_account', 'not_empty', COUNT(*), COUNT(*) > 0 FROM dim_account
-UNION ALL SELECT 'dim_region', 'not_empty', COUNT(*), COUNT(*) > 0 FROM dim_region"""
+                 (SELECT COUNT(*) FROM fact) = (SELECT COUNT(*) FROM combined)"""
+
+REPORTS["monthly_trend_limit"] = REPORTS["monthly_trend"] + " LIMIT 10"
+
+FACT_IDS = """
+SELECT cloud_provider, 2 * COUNT(*) AS num_rows, 2 * COUNT(*) AS distinct_ids, true AS same_ids
+FROM fact GROUP BY cloud_provider"""
+
+STORED_SQL = f"""
+SELECT 'spend_by_provider' AS report, cloud_provider AS grp, {rnd(money_sum(), 2)} AS total_cost_usd
+FROM fact GROUP BY cloud_provider
+UNION ALL
+SELECT 'top_services', * FROM (
+  SELECT s.cloud_provider || '/' || s.service_name AS grp, {rnd(money_sum('f.cost_usd'), 2)} AS t
+  FROM fact f JOIN dim_service s ON f.service_key = s.service_key
+  GROUP BY s.cloud_provider, s.service_name, s.service_category
+  ORDER BY t DESC, s.cloud_provider, s.service_name, s.service_category LIMIT 10)
+UNION ALL
+SELECT 'team_environment', a.team || '/' || a.environment || '/' || a.cloud_provider, {rnd(money_sum('f.cost_usd'), 2)}
+FROM fact f JOIN dim_account a ON f.account_key = a.account_key GROUP BY a.team, a.environment, a.cloud_provider
+UNION ALL
+SELECT 'geography_spend', r.geography || '/' || f.cloud_provider, {rnd(money_sum('f.cost_usd'), 2)}
+FROM fact f JOIN dim_region r ON f.region_key = r.region_key GROUP BY r.geography, f.cloud_provider"""
+
+#: The line items before a day, and those of a mart whose January holds AWS rows only.
+BEFORE_JULY = COMBINED.replace("combined AS (", "combined AS (SELECT * FROM (") + " WHERE date_key < '2024-07-01')"
+JANUARY_AWS = COMBINED.replace("combined AS (", "combined AS (SELECT * FROM (") + \
+    " WHERE NOT (cloud_provider = 'GCP' AND date_key LIKE '2024-01-%'))"
+RELOAD_SUMMARY = SUMMARY + "\nUNION ALL SELECT 'daily_rollup', COUNT(*) FROM fact"
+DRIFTED = AWS.replace("coalesce(team, 'unknown') AS team",
+                      "CASE WHEN CAST(substr(resource_id, 3) AS BIGINT) % 2 = 1 THEN 'zeta' ELSE 'alpha' END AS team")
+
+#: Odd AWS lines, by order number: costs and quantities that are no number are NULL and make the line malformed.
+ODD_RAW = AWS_RAW.replace("aws_raw AS (", "clean_aws AS (") + """,
+aws_raw AS (
+  SELECT * REPLACE (
+           CASE WHEN o % 29 = 0 OR cost_usd IS NULL THEN NULL WHEN o % 31 = 0 THEN 2000000000000.25::DOUBLE
+                WHEN o % 37 = 0 THEN 0.0000004::DOUBLE ELSE cost_usd END AS cost_usd,
+           CASE WHEN o % 41 <> 0 THEN usage_quantity END AS usage_quantity),
+         o % 29 = 0 OR o % 41 = 0 AS malformed
+  FROM (SELECT *, CAST(substr(resource_id, 3) AS BIGINT) AS o FROM clean_aws))"""
+ODD_COUNTS = STAGES["quality_dropped"].replace("CAST(0 AS BIGINT) AS malformed_rows", "CAST(count_if(malformed) AS BIGINT) AS malformed_rows")
+EXTREME = f"""
+SELECT cloud_provider, COUNT(*) AS num_line_items, {rnd(money_sum(), 2)} AS total_cost_usd,
+       {rnd("SUM(CASE WHEN abs(cost_usd) < 0.001 THEN CAST(cost_usd AS DECIMAL(38,16)) ELSE 0 END)", 9)} AS small_cost_usd
+FROM fact GROUP BY cloud_provider"""
 
 STORAGE = {
     "scan_aws_csv": "SELECT * FROM aws",
@@ -346,8 +395,11 @@ STORAGE = {
     "mart_summary": SUMMARY,
     "scan_mart": "SELECT * FROM fact",
     "ingest_new_files": "SELECT * FROM fact",
-    "cluster_layout": MONTH_STATS,
+    "cluster_layout": """
+SELECT substr(date_key, 1, 7) AS bill_month, date_key, cloud_provider, COUNT(*) AS num_line_items, true AS clustered
+FROM fact GROUP BY 1, 2, 3""",
     "month_reload": MONTH_STATS,
+    "ingest_after_batch": "SELECT * FROM fact",
     "upsert_dimension": "SELECT * FROM dim_account",
     "validate_mart": VALIDATE,
     "quarantine": _quarantine(
@@ -363,10 +415,28 @@ STORAGE = {
 }
 
 
+def _odd_quarantine() -> str:
+    """As the ``quarantine`` key, over the odd lines: malformed ones come with their text, kept or not."""
+    q = STORAGE["quarantine"].replace("CAST(NULL AS VARCHAR) AS raw_line", "false AS has_line")
+    aws, gcp = q.split("\nUNION ALL\n")
+    aws = (aws.replace("CASE WHEN bill_date IS NULL", "CASE WHEN malformed THEN 'malformed' WHEN bill_date IS NULL")
+           .replace("false AS kept", f"({AWS_KEEP}) AS kept").replace("false AS has_line", "malformed AS has_line")
+           .replace(f"WHERE NOT ({AWS_KEEP})", f"WHERE NOT ({AWS_KEEP}) OR malformed"))
+    return aws + "\nUNION ALL\n" + gcp
+
+
 def oracle_queries() -> dict[str, str]:
     out = {k: with_mart(v) for k, v in STAGES.items()}
     out.update({k: with_mart(v) for k, v in REPORTS.items()})
     out.update({f"sql_{k}": with_mart(v) for k, v in REPORTS.items()
-                if k not in ("monthly_trend_last_6_months", "daily_rollup")})
+                if k not in ("monthly_trend_last_6_months", "monthly_trend_limit", "daily_rollup")})
     out.update({k: with_mart(v) for k, v in STORAGE.items()})
+    out["fact_ids"] = with_mart(FACT_IDS)
+    out["stored_sql_reports"] = with_mart(STORED_SQL)
+    out["full_reload"] = with_mart(RELOAD_SUMMARY, combined=BEFORE_JULY)
+    out["reports_after_month_reload"] = with_mart(REPORTS["spend_by_provider"], combined=JANUARY_AWS)
+    out["account_drift_incremental"] = with_mart("SELECT * FROM dim_account", aws=DRIFTED)
+    out["load_drop_counts"] = with_mart(ODD_COUNTS, aws_raw=ODD_RAW)
+    out["quarantine_stored"] = with_mart(_odd_quarantine(), aws_raw=ODD_RAW)
+    out["extreme_costs"] = with_mart(EXTREME, aws_raw=ODD_RAW)
     return out

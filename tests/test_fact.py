@@ -11,8 +11,8 @@ from tests.conftest import SF_SMALL
 
 
 def test_one_fact_row_per_line_item(spark):
-    c = fx.combined(spark, fx.COMBINED_ROWS[:2])
-    assert build_fact(c).count() == 2
+    c = fx.combined(spark)
+    assert build_fact(c).count() == len(fx.COMBINED_ROWS)
 
 
 def test_no_null_cost(spark):
@@ -22,8 +22,8 @@ def test_no_null_cost(spark):
 def test_fact_schema_and_tags(spark):
     f = build_fact(fx.combined(spark))
     assert [x.name for x in f.schema.fields] == FACT_SCHEMA.fieldNames()
-    r = f.where("date_key = '2024-01-15'").first()
-    assert r.tags == {"environment": "prod", "team": "platform"}
+    r = f.where("date_key = '2024-11-30'").first()
+    assert r.tags == {"environment": "staging", "team": "ranking"}
 
 
 def test_identical_line_items_get_distinct_stable_ids(spark):
@@ -50,7 +50,7 @@ def test_hot_group_of_copies_is_chunked(spark):
     row = fx.canon_row()
     c = fx.combined(spark, [row] * 10 + [fx.canon_row(resource_id="x")] * 2)
     out = number_copies(c, chunk=3)
-    occ = sorted(r.occurrence for r in out.where("resource_id = 'i-a'").collect())
+    occ = sorted(r.occurrence for r in out.where("resource_id = 'node-7'").collect())
     assert occ == list(range(1, 11))
     ids = build_fact(c, chunk=3).select("cost_id").collect()
     assert len({r.cost_id for r in ids}) == 12
@@ -102,6 +102,20 @@ def test_fact_lines_is_a_projection(spark):
     assert "Exchange" not in plan and "Join" not in plan
 
 
-def test_derive_mode_fact_has_no_join(spark):
-    plan = build_fact(fx.combined(spark))._jdf.queryExecution().executedPlan().toString()
-    assert "Join" not in plan
+def _exchanges(plan: str) -> list[str]:
+    return [x.strip() for x in plan.splitlines() if " Exchange " in x or x.strip().startswith("Exchange")]
+
+
+def test_unique_rows_cross_one_exchange(spark):
+    """Rows that occur once are only laid out: the repeated fingerprints (none here) are broadcast, and the
+    one other exchange belongs to the aggregate over repeated rows."""
+    c = combined_from_driver_tables(spark, SF_SMALL)
+    df = build_fact(c)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    found = _exchanges(plan)
+    assert sum("REBALANCE" in x for x in found) == 1
+    assert len(found) == 2
+    union = df._jdf.queryExecution().optimizedPlan().toString()
+    alone = union[union.index("Union"):].split("Aggregate")[0]
+    assert "isnull(repeated" in alone  # the branch of unique rows holds no aggregate

@@ -86,14 +86,14 @@ def test_late_rows_change_only_their_month(spark, stored):
 def test_upsert_latest_load_wins(spark, scratch):
     base = scratch("upsert")
     old = fx.combined(spark, [fx.canon_row(account_name="old")])
-    new = fx.combined(spark, [fx.canon_row(date_key="2024-02-01", account_name="new"),
+    new = fx.combined(spark, [fx.canon_row(date_key="2024-03-01", account_name="new"),
                               fx.canon_row(account_id="999", account_name="other")])
-    mart_store.write_dimension(D.build_dim_account(old), base, "dim_account")
-    mart_store.upsert_dimension(D.build_dim_account(new), base, "dim_account", load_id=1)
+    mart_store.write_dimension(D.build_dim_account(old, True), base, "dim_account")
+    mart_store.upsert_dimension(D.build_dim_account(new, True), base, "dim_account", load_id=1)
     rows = {r.account_id: r.account_name for r in mart_store.read_dimension(spark, base, "dim_account").collect()}
-    assert rows == {"111": "new", "999": "other"}
+    assert rows == {"7001": "new", "999": "other"}
     # replaying the same load replaces itself
-    mart_store.upsert_dimension(D.build_dim_account(new), base, "dim_account", load_id=1)
+    mart_store.upsert_dimension(D.build_dim_account(new, True), base, "dim_account", load_id=1)
     assert mart_store.read_dimension(spark, base, "dim_account").count() == 2
 
 
@@ -140,7 +140,7 @@ def test_validation_passes_and_fails(spark):
     c = fx.combined(spark)
     dims = D.build_dimensions(c)
     rows = raise_on_failures(validate_mart(build_fact(c), dims, expected_fact_rows=c))
-    assert len(rows) == 8 and all(r.passed for r in rows)
+    assert len(rows) == 16 and all(r.passed for r in rows)
     empty = {**dims, "dim_region": dims["dim_region"].where("false")}
     with pytest.raises(ValidationFailed, match="dim_region.not_empty"):
         raise_on_failures(validate_mart(build_fact(c), empty))
@@ -191,19 +191,19 @@ def test_run_queries_over_stored_mart(spark, stored):
 
 def test_replayed_micro_batch_replaces_itself(spark, scratch):
     """foreachBatch may run a batch again after a failure; the end state must not change."""
-    from costmart.streaming.ingest import _process_batch
+    from costmart.streaming.ingest import _process_batch, landed_rows
 
-    root = scratch("replay")
-    base, landing = f"{root}/mart", f"{root}/landing"
+    base = f"{scratch('replay')}/mart"
     a, _ = load_exports(spark, SF_SMALL)
-    run = _process_batch(spark, AWS, base, landing, load_offset=0)
+    run = _process_batch(spark, AWS, base, load_offset=0)
     run(a, 0)
     fact1 = sorted(mart_store.read_fact(spark, base).select("cost_id").collect())
     dims1 = {n: sorted(df.collect()) for n, df in load_mart(spark, base).dims.items()}
     run(a, 0)  # the same batch again
     assert sorted(mart_store.read_fact(spark, base).select("cost_id").collect()) == fact1
     assert {n: sorted(df.collect()) for n, df in load_mart(spark, base).dims.items()} == dims1
-    assert spark.read.parquet(f"{landing}/provider=AWS").count() == normalize_count(a)
+    assert landed_rows(spark, base).count() == normalize_count(a)
+    assert mart_store.read_load_counts(spark, base).count() == 1
 
 
 def normalize_count(raw):
@@ -243,3 +243,106 @@ def test_ingest_keeps_rollup_in_step(spark, scratch):
     mart = load_mart(spark, base)
     assert R.spend_by_provider(mart.rollup).collect() == R.spend_by_provider(mart.fact).collect()
     assert R.net_gross_credits(mart.rollup).collect() == R.net_gross_credits(mart.fact).collect()
+
+
+def test_validation_scans_the_fact_once(spark, stored):
+    from costmart.operators.quality import validate_mart
+
+    base, c = stored
+    mart = load_mart(spark, base)
+    df = validate_mart(mart.fact, mart.dims, expected_fact_rows=c)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("cost_id") == 0  # pruned
+    assert len([x for x in plan.splitlines() if "Relation" in x and "usage_unit" in x and "tags" in x]) == 1
+
+
+def test_validation_finds_orphans_and_repeated_keys(spark):
+    from costmart.operators.quality import validate_mart
+
+    c = fx.combined(spark)
+    dims = D.build_dimensions(c)
+    fact = build_fact(c)
+    dims["dim_service"] = dims["dim_service"].where("service_name <> 'Amazon S3'")
+    dims["dim_region"] = dims["dim_region"].unionAll(dims["dim_region"])
+    rows = {(r.table_name, r.rule): r for r in validate_mart(fact, dims, c.limit(0)).collect()}
+    assert not rows["fact_cloud_costs", "no_orphans_dim_service"].passed
+    assert not rows["dim_region", "unique_keys"].passed
+    assert not rows["fact_cloud_costs", "one_row_per_line_item"].passed
+    assert rows["fact_cloud_costs", "no_orphans_dim_date"].passed
+
+
+def test_late_file_after_a_batch_load_keeps_the_batch_rows(spark, scratch):
+    from costmart.plans.loads import full_load
+
+    base = scratch("late-file")
+    a, b = load_exports(spark, SF_SMALL)
+    full_load(spark, [(AWS, a), (GCP, b)], base)
+    n = mart_store.read_fact(spark, base).count()
+    january = mart_store.read_fact(spark, base).where("bill_month = '2024-01'").count()
+    write_export(fx.aws_raw(spark, [fx.aws_row(bill_date="2024-01-09", resource_id=f"late-{i}") for i in range(5)]), f"{base}-in/1")
+    ingest_new_files(spark, AWS, f"{base}-in/*/*.csv", base, f"{base}-state")
+    assert mart_store.read_fact(spark, base).count() == n + 5
+    assert mart_store.read_fact(spark, base).where("bill_month = '2024-01'").count() == january + 5
+
+
+def test_export_without_a_kept_row_does_not_block_the_stream(spark, scratch):
+    base = scratch("all-dropped")
+    write_export(fx.aws_raw(spark, [fx.aws_row(cost_usd=None)]), f"{base}-in/1")
+    ingest_new_files(spark, AWS, f"{base}-in/*/*.csv", base, f"{base}-state")
+    write_export(fx.aws_raw(spark, [fx.aws_row()]), f"{base}-in/2")
+    ingest_new_files(spark, AWS, f"{base}-in/*/*.csv", base, f"{base}-state")
+    assert mart_store.read_fact(spark, base).count() == 1
+    counts = sorted((r.load, r.kept_rows, r.dropped_rows) for r in mart_store.read_load_counts(spark, base).collect())
+    assert counts == [(1, 0, 1), (2, 1, 0)]
+    assert [r.reason for r in mart_store.read_quarantine(spark, base).collect()] == ["null_cost"]
+
+
+def test_incremental_load_refuses_a_fact_without_landed_rows(spark, scratch):
+    from costmart.plans.loads import load_exports_into
+
+    base = scratch("no-landing")
+    mart_store.write_fact_months(build_fact(fx.combined(spark)), base)
+    with pytest.raises(ValueError, match="landed"):
+        load_exports_into(spark, [(AWS, fx.aws_raw(spark))], base, source="x", load=1)
+
+
+def test_rollup_is_not_used_while_it_disagrees(spark, scratch):
+    base = scratch("rollup-state")
+    mart_store.write_fact_months(build_fact(fx.combined(spark)), base)
+    assert mart_store.read_rollup(spark, base) is None
+    mart_store.write_rollup_months(spark, base)
+    assert mart_store.read_rollup(spark, base) is not None
+    mart_store._mark_rollup(spark, base, False)  # as after a load that broke off in between
+    assert mart_store.read_rollup(spark, base) is None
+
+
+def test_same_day_ties_do_not_depend_on_the_order_of_loads(spark, scratch):
+    alpha = fx.combined(spark, [fx.canon_row(team="alpha")])
+    zeta = fx.combined(spark, [fx.canon_row(team="zeta")])
+    want = D.build_dim_account(alpha.unionByName(zeta)).first().team
+    for first, second in ((alpha, zeta), (zeta, alpha)):
+        base = scratch("ties")
+        mart_store.write_dimension(D.build_dim_account(first, True), base, "dim_account", load_id=1, source="a")
+        mart_store.write_dimension(D.build_dim_account(second, True), base, "dim_account", load_id=1, source="b")
+        assert mart_store.read_dimension(spark, base, "dim_account").first().team == want
+
+
+def test_a_day_lies_in_few_files_of_its_month(spark, scratch):
+    """A month written by many tasks: each day's rows of a provider are in one or two files."""
+    from pyspark.sql import functions as F
+
+    base = scratch("layout")
+    rows = [fx.canon_row(date_key=f"2024-01-{1 + i % 30:02d}", resource_id=f"r{i}") for i in range(3000)]
+    confs = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        mart_store.write_fact_months(build_fact(fx.combined(spark, rows)), base)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    fact = mart_store.read_fact(spark, base).withColumn("file", F.input_file_name())
+    assert fact.select("file").distinct().count() > 4
+    per_day = fact.groupBy("date_key", "cloud_provider").agg(F.countDistinct("file").alias("n"))
+    assert per_day.agg(F.max("n")).first()[0] <= 2

@@ -7,6 +7,7 @@ from costmart.operators.quality import drop_counts
 from costmart.plans import reports as R
 from costmart.operators.fact import fact_lines
 from costmart.sources.layouts import AWS, GCP
+from costmart.sources import synth
 from costmart.sources.synth import EdgeRates, synthesize_billing
 
 
@@ -25,17 +26,18 @@ def test_clean_by_default_and_in_domain(spark):
     stats = df.agg(F.min("bill_date"), F.max("bill_date"), F.min("cost_usd"), F.max("cost_usd"),
                    F.countDistinct("service_name"), F.countDistinct("region")).first()
     assert stats[0] >= "2024-01-01" and stats[1] <= "2024-12-31"
-    assert stats[2] >= 0.0001 and stats[3] <= 200.0
-    assert stats[4] == 14 and stats[5] == 8
+    low, high = synth.COST_RANGE
+    assert stats[2] >= low and stats[3] <= high
+    assert stats[4] == len(synth._services("AWS")) and stats[5] == len(synth._regions("AWS"))
 
 
 def test_gcp_credits(spark):
     df = synthesize_billing(spark, 20000, "GCP")
     credits = df.where("cost < 0")
     share = credits.count() / 20000
-    assert 0.01 < share < 0.03
+    assert 0.8 * synth.CREDIT_RATE < share < 1.2 * synth.CREDIT_RATE
     lo, hi = credits.agg(F.min("cost"), F.max("cost")).first()
-    assert lo >= -5.0 and hi <= -0.01
+    assert -lo <= synth.CREDIT_RANGE[1] and -hi >= synth.CREDIT_RANGE[0]
 
 
 def test_edge_rates(spark):
