@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costmart.llm import decontam, packing, secrets, simhash, toxicity
-from costmart.llm.common import stored, table
+from costmart.llm.common import ship, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,6 +21,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the least id, of each SimHash component."""
+    ship(spark)
     return simhash.keep_one(docs)
 
 
@@ -31,11 +32,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret replaced."""
+    ship(spark)
     return secrets.redact_secrets(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the packed sequences."""
+    ship(spark)
     return packing.pack_documents(docs)
 
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +16,28 @@ from costmart.session import scratch_path
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per Spark context: functions that run in tasks are looked up by
+    module there, and a cluster's machines (or a session started from another folder) need not have it."""
+    import costmart
+
+    context, package = spark.sparkContext, os.path.dirname(os.path.abspath(costmart.__file__))
+    if getattr(context, "_costmart_shipped", False) or not os.path.isdir(package):  # or itself from an archive
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="costmart-"), "costmart.zip")  # Spark serves it from the driver
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("costmart", os.path.relpath(path, package)))
+    context.addPyFile(archive)
+    context._costmart_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the corpus, for a query: what its tasks need is shipped first."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
