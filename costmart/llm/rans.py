@@ -29,9 +29,9 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +46,12 @@ BLOCK_IDS, LANES, TABLE_BITS = 1 << 19, 4096, 20
 #: A partition is planned for this many ids; a file is closed beyond that many.
 PARTITION_IDS, FILE_IDS = 4 << 20, 16 << 20
 LOW = np.uint64(1 << 31)
-CACHED_WORDS, CACHED_CHARS = 300_000, 32
+#: Cores that a worker remembers, if they have no more than so many bytes.
+CACHED_CORES, CACHED_CHARS = 1_000_000, 32
+#: Texts are cut into words in groups of at most so many bytes (or one text).
+GROUP_BYTES = 32 << 20
+#: Cores that are encoded as one text.
+JOINED_CORES = 48
 
 
 # --- tokenising ------------------------------------------------------------------------------
@@ -56,36 +61,90 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: ASCII punctuation that ends a word and is a token run of its own behind a letter or digit. Not the apostrophe,
+#: which may begin a contraction, nor what special tokens are written with.
+_TAIL = b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
+
+
 class Encoder:
     """Encodes texts word by word. The tokenizer drops white space, and its splits never cross ASCII
-    white space, so a text's ids are its words' ids one after the other; each distinct word is
-    encoded once while it is remembered."""
+    white space, so a text's ids are its words' ids one after the other. A word is further cut into
+    its core and the punctuation behind it (the tokenizer cuts there, too), and the ids of cores and
+    tails are remembered: a word is small work, and the tokenizer sees each core once.
+
+    Cores of letters only are single pieces of the tokenizer's pre-tokenization, whose last token is
+    marked as the end of a word; so many of them are encoded as one text and cut at those marks. Where the
+    number of marks is not that of the cores, each is encoded by itself.
+    """
 
     def __init__(self, path: str):
         import tokenizers
 
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes], end_id: int) -> list[bytes]:
-        """The ids of each text and the end id, as little-endian 16-bit numbers."""
-        split = [t.split() for t in texts]
-        known, end = self.known, struct.pack("<H", end_id)
-        new = list({w for words in split for w in words if w not in known})
-        if len(known) + len(new) > CACHED_WORDS:
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[bytes, bytes] = {}  # ids of cores and tails
+
+    def _learn(self, parts: list[bytes]) -> None:
+        """Remembers the ids of words, cores and tails that are not known."""
+        text = [p.decode() for p in parts]
+        letters = [i for i, t in enumerate(text) if t.isalpha()]
+        alone = [i for i, t in enumerate(text) if not t.isalpha()]
+        groups = [letters[i:i + JOINED_CORES] for i in range(0, len(letters), JOINED_CORES)]
+        for start in range(0, len(groups), 256):
+            part = groups[start:start + 256]
+            found = self.tokenizer.encode_batch_fast([" ".join([text[i] for i in g]) for g in part], add_special_tokens=False)
+            for own, e in zip(part, found):
+                ids = np.array(e.ids, dtype=np.int64)
+                cuts = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)]) + 1
+                if len(cuts) != len(own) or cuts[-1] != len(ids):
+                    alone += own
+                    continue
+                data, at = ids.astype("<u2").tobytes(), 0
+                for i, cut in zip(own, (2 * cuts).tolist()):
+                    self.known[parts[i]] = data[at:cut]
+                    at = cut
+        for start in range(0, len(alone), 4096):
+            own = alone[start:start + 4096]
+            for i, e in zip(own, self.tokenizer.encode_batch_fast([text[i] for i in own], add_special_tokens=False)):
+                self.known[parts[i]] = np.array(e.ids, dtype="<u2").tobytes()
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words."""
+        cut = [self._cut(w) for w in words]
+        parts = {p for pair in cut for p in pair if p}
+        known = self.known
+        if len(known) + len(parts) > CACHED_CORES:
             known.clear()
-            new = list({w for words in split for w in words})
-        for start in range(0, len(new), 4096):
-            part = new[start:start + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            for word, e in zip(part, found):
-                known[word] = np.array(e.ids, dtype="<u2").tobytes()
-        out = [b"".join(map(known.__getitem__, words)) + end for words in split]
-        for word in new:
-            if len(word) > CACHED_CHARS:
-                del known[word]
+        self._learn([p for p in parts if p not in known])
+        out = [known[core] + known[tail] if tail else known[core] if core else b"" for core, tail in cut]
+        for part in parts:
+            if len(part) > CACHED_CHARS:
+                del known[part]
         return out
 
+    def encode(self, texts: pa.StringArray, end_id: int) -> pa.BinaryArray:
+        """The ids of each text and the end id, as little-endian 16-bit numbers. Arrow cuts the texts into
+        words, numbers the distinct ones and lines their ids up again."""
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().cast(pa.binary()).dictionary_encode()
+        taken = pa.array(self._ids(coded.dictionary.to_pylist()), pa.binary()).take(coded.indices)
+        _, ends, data = taken.buffers()
+        at = np.frombuffer(ends, "<i4", len(taken) + 1)[split.offsets.to_numpy()].astype(np.int64)
+        ids = np.frombuffer(data, "<u2") if data is not None else np.zeros(0, "<u2")
+        out = np.insert(ids[:at[-1] // 2], at[1:] // 2, end_id)
+        return pa.BinaryArray.from_buffers(pa.binary(), len(texts), [
+            None, pa.py_buffer((at + 2 * np.arange(len(at))).astype("<i4")), pa.py_buffer(out.astype("<u2"))])
+
+    @staticmethod
+    def _cut(word: bytes) -> tuple[bytes, bytes]:
+        core = word.rstrip(_TAIL)
+        # the core must end in an ASCII letter or digit, and no special token may reach across the cut
+        if len(core) < len(word) and core[-1:].isalnum() and b"<" not in word:
+            return core.lower(), word[len(core):]
+        return (word.lower() if word.isalpha() else word), b""
+
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> Encoder:
@@ -95,19 +154,29 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def ids_column(text_col: str | Column, tokenizer: str | None = None, end_id: int = END_ID) -> Column:
-    """The ids as binary, 16 bits each."""
-    path = tokenizer or tokenizer_path()
+def groups(batches: Iterator[pa.RecordBatch], column: int, most: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in batches whose texts have at most so many bytes together (or one row)."""
+    held, size = [], 0
 
-    @F.pandas_udf(T.BinaryType())
-    def ids(texts: pd.Series) -> pd.Series:
-        out: list[bytes] = []
-        for start in range(0, len(texts), 256):
-            out += _encoder(path).encode(texts.iloc[start:start + 256].tolist(), end_id)
-        return pd.Series(out, dtype=object)
+    def joined() -> pa.RecordBatch:
+        return held[0] if len(held) == 1 else pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    col = F.col(text_col) if isinstance(text_col, str) else text_col
-    return ids(F.coalesce(col.cast("binary"), F.lit(b"")))
+    for b in batches:
+        sizes = np.cumsum(pc.binary_length(b.column(column)).to_numpy(zero_copy_only=False)) if b.num_rows else np.zeros(0)
+        start = 0
+        while start < b.num_rows:
+            before = sizes[start - 1] if start else 0
+            end = int(np.searchsorted(sizes, before + most - size, side="right"))
+            if end <= start and held:  # the next text has no room: give what there is
+                yield joined()
+                held, size = [], 0
+                continue
+            end = max(end, start + 1)
+            held.append(b.slice(start, end - start))
+            size += int(sizes[end - 1] - before)
+            start = end
+    if held:
+        yield joined()
 
 
 # --- the frequency table ---------------------------------------------------------------------
@@ -305,9 +374,17 @@ def symbol_counts(tokens: DataFrame, ids_col: str = "ids") -> np.ndarray:
 
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None,
              end_id: int = END_ID) -> DataFrame:
-    """(doc_id, row, ids), stored: the texts are tokenised once."""
-    return stored(docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"),
-                              ids_column(text_col, tokenizer, end_id).alias("ids")), "rans-ids")
+    """(doc_id, row, ids), stored: the texts are tokenised once. ids: binary, 16 bits each."""
+    path = tokenizer or tokenizer_path()
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in groups(batches, 2):
+            yield pa.record_batch([b.column(0), b.column(1), _encoder(path).encode(b.column(2), end_id)], names=["doc_id", "row", "ids"])
+
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return stored(rows.mapInArrow(encode, f"doc_id {kind}, row long, ids binary"), "rans-ids")
 
 
 def write_files(tokens: DataFrame, folder: str, partition_ids: int = PARTITION_IDS, file_ids: int = FILE_IDS,
