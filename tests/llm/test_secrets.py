@@ -56,6 +56,15 @@ def test_random_strings_and_what_is_none():
         assert not secrets.is_random(plain, PATH), plain
 
 
+def test_long_runs_take_no_long_time():
+    import time
+
+    began = time.perf_counter()
+    for run in ("a" * 5000 + "12345.X9", "Ab" * 3000 + "1" * 9, "-" * 5000 + "a1", "a-" * 3000 + "9zZ", "Ab1" * 2000, "0" * 5000 + "x"):
+        secrets.is_random(run, PATH)
+    assert time.perf_counter() - began < 5
+
+
 def test_random_spans_keep_clear_of_the_others():
     key = "q7Xz2LmP9vRt4WcY8sKd1NbH"
     text = f"token = {key}\nand {key} alone"
