@@ -38,7 +38,7 @@ _IDENTIFIERS = re.compile(
     r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})"  # md5, sha1, sha2
     r"|(?:[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{56}|[0-9A-F]{64}|[0-9A-F]{96}|[0-9A-F]{128})"
     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"  # UUID
-    r"|[-+=./_0-9]*"  # numbers, dates, rulers
+    r"|[-+=./_0-9TZ]*"  # numbers, dates and times, rulers
     r"|[-=./_+]*(?:(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)(?:[-=./_+]+|$))+"  # words joined by separators
     r"|[A-Z]?[a-z]{2,}(?:[A-Z][a-z]{2,})*[0-9]{0,4}")  # camel case, a word with a number
 PATTERN = (r"(?i:'s|'t|'re|'ve|'m|'ll|'d)|[^\r\n\p{L}\p{N}]?\p{L}+|\p{N}{1,3}"
