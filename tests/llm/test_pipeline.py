@@ -10,7 +10,7 @@ from tests.conftest import SF_SMALL
 from tests.llm.rows import EDGE_TEXTS, prose
 from tests.oracle_check import compare, duck
 
-ITEM = prose(77, 40)
+ITEM = prose(7777, 40)
 
 
 def planted():

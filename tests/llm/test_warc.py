@@ -40,8 +40,8 @@ def expected(rows):
 @pytest.mark.parametrize("compress", [True, False])
 def test_round_trip(spark, compress):
     folder = scratch_path(spark, "warc-test")
-    index = warc.write_archives(pages(spark, ROWS).repartition(3), folder, compress=compress, archive_bytes=3000)
-    assert index.count() == len(ROWS) and index.select("archive").distinct().count() > 3
+    index = warc.write_archives(pages(spark, ROWS).repartition(3), folder, compress=compress, archive_bytes=300)
+    assert index.count() == len(ROWS) and index.select("archive").distinct().count() >= 3
     as_id = lambda v: None if v is None else int(v)
     got = [(as_id(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, as_id(r.refers_to),
             None if r.payload is None else bytes(r.payload), r.url) for r in warc.read_records(index, folder).collect()]
