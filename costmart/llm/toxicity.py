@@ -21,10 +21,12 @@ more than once counts with its highest grade; without two grades among the label
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,6 +120,14 @@ def fit_cumulative_link(indptr, indices, values, grades, n_features: int, l2: fl
     return w, theta
 
 
+def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, 1 if graded above 0): a row per distinct word of each text."""
+    for b in batches:
+        for grade, text in zip(b.column(0).to_pylist(), b.column(1)):
+            own = pa.array(set(words(text.as_py())), pa.binary())
+            yield pa.record_batch([own, pa.array(np.full(len(own), int(grade > 0)))], names=["word", "bad"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_id", text_col: str = "text",
         levels: int = 1, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES, min_g: float = MIN_G) -> Model:
     """Fit on at most ``max_rows`` labelled documents; ``grade`` is a column of ``labels``. With
@@ -128,19 +138,14 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_id
     # bounded by max_rows, so it can be broadcast: the texts aren't shuffled
     chosen = F.broadcast(ids.orderBy(F.xxhash64("id"), "id").limit(max_rows))
 
-    @F.pandas_udf(T.MapType(T.BinaryType(), T.IntegerType()))
-    def counts(texts: pd.Series) -> pd.Series:
-        return pd.Series([dict(Counter(words(t))) for t in texts])
-
     sample = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("text")).join(chosen, "id")
-    sample = stored(sample.select("grade", counts("text").alias("words")), "toxicity-sample")
+    sample = stored(sample.select("grade", "text"), "toxicity-sample")
     totals = {bool(r["bad"]): r["n"] for r in
               sample.groupBy((F.col("grade") > 0).alias("bad")).agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:
         return Model()
     a, b = float(totals[True]), float(totals[False])
-    per_word = (sample.select((F.col("grade") > 0).cast("long").alias("bad"), F.explode(F.map_keys("words")).alias("word"))
-                .groupBy("word").agg(F.sum("bad").cast("double").alias("x"), F.sum(1 - F.col("bad")).cast("double").alias("y"))
+    per_word = (sample.mapInArrow(_distinct_words, "word binary, bad long").groupBy("word").agg(F.sum("bad").cast("double").alias("x"), F.sum(1 - F.col("bad")).cast("double").alias("y"))
                 .where(F.col("x") + F.col("y") >= MIN_DOCS))
 
     def term(seen: Column, expected: Column) -> Column:
@@ -151,21 +156,26 @@ def fit(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_id
     g = 2 * (term(x, rate * a) + term(y, rate * b) + term(a - x, (1 - rate) * a) + term(b - y, (1 - rate) * b))
     top = (per_word.where(rate < 1).select("word", g.alias("g"), (x / a > y / b).alias("indicative"))
            .where(F.col("g") >= min_g).orderBy(F.desc("g"), "word").limit(max_features).collect())
-    indicative = {bytes(r["word"]) for r in top if r["indicative"]}
+    indicative = {i for i, r in enumerate(top) if r["indicative"]}
     vocabulary = {bytes(r["word"]): i for i, r in enumerate(top)}
 
-    chosen_words = F.array(*[F.lit(w) for w in vocabulary]) if vocabulary else F.array().cast("array<binary>")
-    slim = sample.select("grade", F.map_entries(F.map_filter("words", lambda w, n: F.array_contains(chosen_words, w)))
-                         .alias("found")).collect()
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for grade, text in zip(b.column(0).to_pylist(), b.column(1)):
+                own = Counter(vocabulary[w] for w in words(text.as_py()) if w in vocabulary)
+                yield pa.record_batch([pa.array([grade], pa.int32()), pa.array([list(own)], pa.list_(pa.int32())),
+                                       pa.array([list(own.values())], pa.list_(pa.int32()))], names=["grade", "words", "times"])
+
+    slim = sample.mapInArrow(found, "grade int, words array<int>, times array<int>").collect()  # max_rows rows
     grades = np.array([r["grade"] for r in slim])
     if levels > 1:
-        hits = np.array([sum(e[1] for e in r["found"] if bytes(e[0]) in indicative) for r in slim])
+        hits = np.array([sum(n for w, n in zip(r["words"], r["times"]) if w in indicative) for r in slim])
         cuts = np.quantile(hits[grades == 1], np.arange(1, levels) / levels) if (grades == 1).any() else []
         grades = np.where(grades == 1, 1 + np.searchsorted(cuts, hits, side="left"), np.where(grades > 1, grades + levels - 1, 0))
     present = sorted(set(grades.tolist()))
-    indptr = np.cumsum([0, *(len(r["found"]) for r in slim)])
-    indices = np.array([vocabulary[bytes(e[0])] for r in slim for e in r["found"]], dtype=np.int64)
-    values = np.array([1 + np.log(e[1]) for r in slim for e in r["found"]], dtype=float)
+    indptr = np.cumsum([0, *(len(r["words"]) for r in slim)])
+    indices = np.array([w for r in slim for w in r["words"]], dtype=np.int64)
+    values = 1 + np.log(np.array([n for r in slim for n in r["times"]], dtype=float))
     w, theta = fit_cumulative_link(indptr, indices, values, np.searchsorted(present, grades), len(vocabulary))
     return Model(vocabulary, w, theta, tuple(present))
 
