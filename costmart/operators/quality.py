@@ -32,7 +32,8 @@ def drop_counts(raw: DataFrame, layout: SourceLayout) -> DataFrame:
 
     A row can fail several rules; ``dropped_rows`` counts it once. ``inexact_cost`` counts kept rows
     whose cost is summed as DOUBLE (see ``functions.money``), ``malformed_rows`` lines with a field that
-    did not parse (kept if the field is optional).
+    did not parse (kept if the field is optional). The latter needs ``raw`` as parsed columns, as a load
+    stores them: over CSV text a query parses only the columns that it reads.
     """
     date_col = F.col(layout.raw("date_key"))
     keep = keep_condition(layout)
