@@ -11,6 +11,12 @@ the total grows with the text, where streaming every document past every shard's
 with its square. The windows of an anchor that very many documents have are routed one by one by a
 hash of all their words, which spreads them over the shards.
 
+Copies. Of a batch's segments with equal words only the earliest goes to the shard. Every window of a
+later one starts earlier there, so the later one is removed whole without a search. One at the same place
+(another text of the same id) takes over the answer that the shard gives for the one that it got, by a join
+that adaptive execution can split. So a shard gets a segment's words at most once per Arrow batch, however
+many documents hold them.
+
 In a shard. An anchor that occurs once in the corpus has no repeated window and its segment is
 dropped. The distinct other segments are concatenated and indexed: suffixes are sorted, the
 Burrows-Wheeler transform is kept in a wavelet matrix of packed bits with rank directories. Then
@@ -106,17 +112,57 @@ def hot_anchors(docs: DataFrame, text_col: str, window: int, anchor: int) -> np.
 
 
 _ROW = np.dtype([("route", "<u8"), ("doc", "<i8"), ("th", "<i8"), ("start", "<i4"), ("windows", "<i4")])
+#: Words [start, end) to remove, found in the segment that starts at ``seg``. If ``of`` is not ``th``, it says
+#: instead that the text ``th`` loses what the text ``of`` of that id loses in that segment.
+_FOUND = np.dtype([("doc", "<i8"), ("th", "<i8"), ("of", "<i8"), ("seg", "<i4"), ("start", "<i4"), ("end", "<i4")])
+
+
+def without_copies(rows: np.ndarray, contents: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the segments to search, the earliest of each content, and what is ``_FOUND`` of the others.
+    No two segments may have equal doc, th and start."""
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, contents), np.uint64, len(contents))
+    _, which, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    often = np.flatnonzero(times[which] > 1)
+    number: dict[bytes, int] = {}
+    text = np.array([number.setdefault(contents[i], len(number)) for i in often.tolist()], dtype=np.int64)
+    order = np.lexsort((rows["th"][often], rows["start"][often], rows["doc"][often], text))
+    new = np.diff(text[order], prepend=-1) != 0
+    order = often[order]
+    least = order[new][np.cumsum(new) - 1]
+    same = (rows["doc"][order] == rows["doc"][least]) & (rows["start"][order] == rows["start"][least])
+    search = np.ones(len(rows), dtype=bool)
+    search[order[~new]] = False
+
+    later = order[~same]
+    later = rows[later[np.lexsort((rows["start"][later], rows["th"][later], rows["doc"][later]))]]
+    end = later["start"] + later["windows"] + window - 1
+    # neighbours of a text make one interval; ends grow with the starts
+    apart = np.ones(len(later), dtype=bool)
+    apart[1:] = (later["doc"][1:] != later["doc"][:-1]) | (later["th"][1:] != later["th"][:-1]) | (later["start"][1:] > end[:-1])
+    gone = np.zeros(int(apart.sum()), _FOUND)
+    gone["doc"], gone["th"], gone["of"], gone["seg"] = later["doc"][apart], later["th"][apart], later["th"][apart], -1
+    gone["start"], gone["end"] = later["start"][apart], end[np.append(apart[1:], True)] if len(later) else end
+
+    twin = same & ~new
+    alike = np.zeros(int(twin.sum()), _FOUND)
+    alike["doc"], alike["th"], alike["of"], alike["seg"] = (rows["doc"][order[twin]], rows["th"][order[twin]],
+                                                            rows["th"][least[twin]], rows["start"][order[twin]])
+    return np.flatnonzero(search), np.concatenate([gone, alike])
 
 
 def _routed(docs: DataFrame, shards: int, window: int, anchor: int, hot: np.ndarray) -> DataFrame:
-    """(shard, rows, contents): of each batch, a shard's segments; compressed."""
+    """(shard, rows, contents): of each batch, a shard's segments; compressed. Where contents is null, rows
+    are what is ``_FOUND`` already; they are dealt evenly."""
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         zip_ = zstandard.ZstdCompressor(level=1).compress
         for b in batches:
-            rows, contents = [], []
+            rows, contents, seen = [], [], set()
             for doc, th, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                if (doc, th) in seen:
+                    continue
+                seen.add((doc, th))
                 words = text.split()
                 routes, first, count = segments(words, window, anchor, hot)
                 if not len(routes):
@@ -130,11 +176,16 @@ def _routed(docs: DataFrame, shards: int, window: int, anchor: int, hot: np.ndar
             if not rows:
                 continue
             rows = np.concatenate(rows)
+            search, known = without_copies(rows, contents, window)
+            rows, contents = rows[search], [contents[i] for i in search.tolist()]
             shard = (_mix(rows["route"]) % np.uint64(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             bounds = np.flatnonzero(np.diff(shard[order], prepend=-1, append=shards))
             out = [(int(shard[order[s]]), zip_(rows[order[s:e]].tobytes()), zip_(b"\n".join([contents[i] for i in order[s:e].tolist()])))
                    for s, e in zip(bounds[:-1], bounds[1:])]
+            if len(known):
+                packed = zip_(known.tobytes())
+                out.append((xxhash.xxh3_64_intdigest(packed) % shards, packed, None))
             for i in range(0, len(out), 64):
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out[i:i + 64]), (pa.int32(), pa.binary(), pa.binary()))],
                                       names=["shard", "rows", "contents"])
@@ -239,8 +290,8 @@ def repeated_windows(index: FMIndex, tokens: np.ndarray, starts: np.ndarray, len
 
 
 def shard_intervals(rows: np.ndarray, contents: list[bytes], window: int) -> np.ndarray:
-    """(doc, th, start, end) of words to remove, from all segments of one shard."""
-    none = np.zeros(0, dtype=[("doc", "<i8"), ("th", "<i8"), ("start", "<i4"), ("end", "<i4")])
+    """``_FOUND`` words to remove, from all segments of one shard."""
+    none = np.zeros(0, _FOUND)
     _, which, times = np.unique(rows["route"], return_inverse=True, return_counts=True)
     often = np.flatnonzero(times[which] > 1)
     if not len(often):
@@ -293,7 +344,8 @@ def shard_intervals(rows: np.ndarray, contents: list[bytes], window: int) -> np.
     new = np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)])
     last = np.concatenate([np.flatnonzero(new)[1:] - 1, [len(row) - 1]])
     out = np.zeros(int(new.sum()), none.dtype)
-    out["doc"], out["th"] = rows["doc"][row[new]], rows["th"][row[new]]
+    out["doc"], out["th"], out["of"] = rows["doc"][row[new]], rows["th"][row[new]], rows["th"][row[new]]
+    out["seg"] = rows["start"][row[new]]
     out["start"], out["end"] = start[new], start[last] + window
     return out
 
@@ -317,12 +369,22 @@ def repeated_intervals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         import zstandard
 
         unzip = zstandard.ZstdDecompressor().decompress
-        segments_ = np.concatenate([np.frombuffer(unzip(r.as_py()), _ROW) for r in group.column("rows")])
-        contents = [c for r in group.column("contents") for c in unzip(r.as_py()).split(b"\n")]
-        out = shard_intervals(segments_, contents, window)
-        return pa.table({c: np.ascontiguousarray(out[c]) for c in ("doc", "th", "start", "end")})
-
-    found = routed.groupBy("shard").applyInArrow(search, "doc long, th long, start int, end int")
+        segments_, contents, out = [np.zeros(0, _ROW)], [], []
+        for r, c in zip(group.column("rows"), group.column("contents")):
+            if c.is_valid:
+                segments_.append(np.frombuffer(unzip(r.as_py()), _ROW))
+                contents += unzip(c.as_py()).split(b"\n")
+            else:
+                out.append(np.frombuffer(unzip(r.as_py()), _FOUND))
+        out = np.concatenate([shard_intervals(np.concatenate(segments_), contents, window), *out])
+        return pa.table({c: np.ascontiguousarray(out[c]) for c in _FOUND.names})
+
+    found = routed.groupBy("shard").applyInArrow(search, "doc long, th long, of long, seg int, start int, end int")
+    found = stored(found, "substring-found")
+    own = found.where(F.col("of") == F.col("th"))
+    alike = found.where(F.col("of") != F.col("th")).select("doc", "of", "seg", "th").distinct()
+    theirs = own.where("seg >= 0").select("doc", "of", "seg", "start", "end").distinct().join(alike, ["doc", "of", "seg"])
+    found = own.select("doc", "th", "start", "end").unionByName(theirs.select("doc", "th", "start", "end"))
     return found.groupBy("doc", "th").agg(F.collect_set(F.struct("start", "end")).alias("intervals"))
 
 

@@ -65,6 +65,34 @@ def test_hot_anchors_change_nothing(spark, monkeypatch):
     assert sorted([(r.id, r.n_words, r.n_removed, r.kept) for r in out.collect()], key=str) == brute(texts, 8)
 
 
+def test_a_shard_gets_copies_once_a_batch(spark):
+    import zstandard
+
+    passage = prose(77, 60)
+    texts = [(i, f"{prose(2000 + i, 12)} {passage} {prose(5000 + i, 12)}") for i in range(900)]
+    table = docs(spark, texts).coalesce(2)
+    rows = table.selectExpr("cast(doc_id as long) doc", "xxhash64(text) th", "cast(text as binary) text")
+    hot = substring.hot_anchors(table, "text", 8, 3)
+    assert len(hot)
+    got = {}
+    for r in substring._routed(rows, 5, 8, 3, hot).where("contents is not null").collect():
+        for c in zstandard.ZstdDecompressor().decompress(r.contents).split(b"\n"):
+            got[c] = got.get(c, 0) + 1
+    assert max(got.values()) <= 2  # 900 when every copy is sent
+    out = substring.deduplicate(table, window=8, anchor=3, shard_bytes=4000)
+    assert sorted([(r.id, r.n_words, r.n_removed, r.kept) for r in out.collect()], key=str) == brute(texts, 8)
+
+
+def test_texts_of_one_id_share_an_answer(spark):
+    head = prose(78, 30)
+    texts = [(None, f"{head} {prose(3000 + i, 20)}") for i in range(60)] + [(7, f"{head} {prose(4000 + i, 9)}") for i in range(30)]
+    for early in ([], [(2, prose(79, 5) + " " + " ".join(head.split()[4:22]))]):
+        rows = texts + texts[:5] + early
+        for parts in (1, 7):
+            out = substring.deduplicate(docs(spark, rows).repartition(parts), window=8, anchor=3, shard_bytes=4000)
+            assert sorted([(r.id, r.n_words, r.n_removed, r.kept) for r in out.collect()], key=str) == brute(rows, 8)
+
+
 def test_production_window(spark):
     passage = prose(5, 55)
     texts = [(1, prose(6, 100) + " " + passage), (2, passage + " " + prose(7, 100)), (3, passage[:len(passage) // 4]), (4, prose(8, 100))]
