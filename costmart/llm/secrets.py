@@ -4,7 +4,8 @@ Three kinds of spans come from fixed patterns (assign, access, hex). The fourth,
 token-efficiency test: a run of token characters that a byte-pair vocabulary needs many tokens for
 (few characters per token) was not written by a person. Known digests (runs of hex digits of the
 usual digest lengths), UUIDs and identifiers (numbers, words in one case, words joined by
-``-_./``, dotted names, dates) are excluded first. A run that overlaps a pattern's span adds none.
+``-_./``, dotted names, dates) are excluded first. Of a run that patterns' spans cover in part, the parts
+that they leave are tested.
 
 Spans are code points, end exclusive. Defined cases: null counts as empty; an empty text has no spans.
 Every row is scanned by itself and whole.
@@ -15,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -78,12 +80,21 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(spans)
 
 
-def random_spans(text: str, taken: list[tuple[int, int, str]], path: str) -> list[tuple[int, int, str]]:
-    out = []
-    for m in RUN.finditer(text):
-        if is_random(m[0], path) and not any(s < m.end() and m.start() < e for s, _, e in taken):
-            out.append((m.start(), 3, m.end()))
-    return out
+def _left(start: int, end: int, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What the spans, which are sorted, leave of start .. end."""
+    for s, _, e in taken:
+        if s >= end:
+            break
+        if e > start:
+            if s > start:
+                yield start, s
+            start = e
+    if start < end:
+        yield start, end
+
+
+def random_spans(text: str, taken: list[tuple[int, int, int]], path: str) -> list[tuple[int, int, int]]:
+    return [(s, 3, e) for m in RUN.finditer(text) for s, e in _left(m.start(), m.end(), taken) if is_random(text[s:e], path)]
 
 
 def _joined(spans) -> str:
