@@ -5,7 +5,8 @@ token-efficiency test: a run of token characters that a byte-pair vocabulary nee
 (few characters per token) was not written by a person. Known digests (runs of hex digits of the
 usual digest lengths), UUIDs and identifiers (numbers, words in one case, words joined by
 ``-_./``, dotted names, dates) are excluded first. Of a run that patterns' spans cover in part, the parts
-that they leave are tested.
+that they leave are tested. If a run is not random as a whole, because words of a path or a dotted name
+thin out its tokens, the neighbouring pieces between its separators that need the most tokens are tested.
 
 Spans are code points, end exclusive. Defined cases: null counts as empty; an empty text has no spans.
 Every row is scanned by itself and whole.
@@ -72,6 +73,56 @@ def is_random(run: str, path: str) -> bool:
     return len(core) < MAX_RATIO * len(_encoding(path).encode_ordinary(core))
 
 
+_KNOWN = re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
+                    r"|[0-9a-fA-F]{32}|[0-9a-fA-F]{40}|[0-9a-fA-F]{56}|[0-9a-fA-F]{64}|[0-9a-fA-F]{96}|[0-9a-fA-F]{128})(?![A-Za-z0-9])")
+_PIECE = re.compile("[A-Za-z0-9]+")
+_PLAIN = re.compile("[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+
+
+def _highest(scores: list[float]) -> list[tuple[int, int]]:
+    """All maximal scoring stretches [start, end), as of Ruzzo and Tompa."""
+    found: list[tuple[int, int, float, float, int]] = []  # start, end, sum before, sum with it, last one with less before
+    total = 0.0
+    for i, x in enumerate(scores):
+        before, total = total, total + x
+        if x <= 0:
+            continue
+        start, j = i, len(found) - 1
+        while True:
+            while j >= 0 and found[j][2] >= before:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= total:
+                break
+            start, before, link = found[j][0], found[j][2], found[j][4]
+            del found[j:]
+            j = link
+        found.append((start, i + 1, before, total, j))
+    return [(s, e) for s, e, *_ in found]
+
+
+@lru_cache(maxsize=1 << 16)
+def random_parts(run: str, path: str) -> tuple[tuple[int, int], ...]:
+    """(start, end) of what is random in a run: all of it, or stretches of its pieces."""
+    if is_random(run, path):
+        return ((0, len(run)),)
+    if len(run) <= MIN_RANDOM:
+        return ()
+    out, count, at = [], _encoding(path).encode_ordinary, 0
+    for a, b in [*[m.span() for m in _KNOWN.finditer(run)], (len(run), len(run))]:
+        pieces, at = [m.span() for m in _PIECE.finditer(run, at, a)], b
+        if not pieces or pieces[-1][1] - pieces[0][0] < MIN_RANDOM:
+            continue
+        scores = [MAX_RATIO * len(count(run[s:e])) - (e - s) for s, e in pieces]
+        # a short word or number is no sign of randomness by itself
+        scores = [min(x, 0) if e - s < MIN_RANDOM and _PLAIN.fullmatch(run, s, e) else x for x, (s, e) in zip(scores, pieces)]
+        for i, j in _highest(scores):
+            if is_random(run[pieces[i][0]:pieces[j - 1][1]], path):
+                out.append((pieces[i][0], pieces[j - 1][1]))
+            else:
+                out += [(s, e) for s, e in pieces[i:j] if is_random(run[s:e], path)]
+    return tuple(out)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, kind number, end), sorted: what the fixed patterns find."""
     spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
@@ -94,7 +145,8 @@ def _left(start: int, end: int, taken: list[tuple[int, int, int]]) -> Iterator[t
 
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], path: str) -> list[tuple[int, int, int]]:
-    return [(s, 3, e) for m in RUN.finditer(text) for s, e in _left(m.start(), m.end(), taken) if is_random(text[s:e], path)]
+    return [(s + a, 3, s + b) for m in RUN.finditer(text) for s, e in _left(m.start(), m.end(), taken)
+            for a, b in random_parts(text[s:e], path)]
 
 
 def _joined(spans) -> str:

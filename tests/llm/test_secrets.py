@@ -87,6 +87,35 @@ def test_rest_of_a_run_behind_a_pattern_is_tested():
         assert key not in secrets.redacted(text, spans)
 
 
+def test_random_piece_of_a_path_is_found():
+    rng = random.Random(12)
+    for front in ("application/configuration/production/", "files.example.com/documents/download/", "https//example.org/path_to_some/file-name."):
+        for n in (20, 24, 32):
+            keys = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n)) for _ in range(100)]
+            keys = [k for k in keys if re.search("[0-9]", k)]
+            assert sum(random_parts(f"see {front}{k}.html now") in ([k], [f"{front}{k}.html"]) for k in keys) > 0.95 * len(keys)
+    key = "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzEXAMPLEKEY"
+    assert random_parts("application/configuration/production/documents/" + key) == [key]
+    for plain in ["application/configuration/123e4567-e89b-12d3-a456-426614174000/production", "www.example.com/2024/01/02/some-title-of-an-article.html", "src/main/java/com/example/Utf8Reader2.java"]:
+        assert random_parts(plain) == [], plain
+
+
+def test_stretches_of_highest_score():
+    rng = random.Random(13)
+
+    def plain(scores, at=0):  # the best stretch, the shortest of equals, then the same on both sides
+        best = max(((sum(scores[i:j]), i - j, i, j) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)), default=(0,))
+        if best[0] <= 0:
+            return []
+        _, _, i, j = best
+        return plain(scores[:i], at) + [(at + i, at + j)] + plain(scores[j:], at + j)
+
+    for _ in range(300):
+        scores = [rng.choice([-1, 1]) * rng.randrange(1 << 20) for _ in range(rng.randrange(12))]
+        assert secrets._highest(scores) == plain(scores)
+    assert secrets._highest([1.0, -0.5] * 100_000) == [(0, 199_999)]
+
+
 def test_prose_has_no_secrets(spark):
     texts = [(i, prose(i, 300)) for i in range(20)] + [(50 + i, "An ordinary sentence, written by someone. " * 20) for i in range(3)]
     assert all(r.spans == "" for r in secrets.find_secrets(docs(spark, texts)).collect())
