@@ -100,6 +100,18 @@ def test_random_piece_of_a_path_is_found():
         assert random_parts(plain) == [], plain
 
 
+def test_keys_of_letters_only():
+    rng = random.Random(14)
+    for alphabet, least in ((string.ascii_letters, 0.99), (string.ascii_lowercase, 0.9), (string.ascii_uppercase, 0.9)):
+        for n in (20, 24, 32):
+            keys = ["".join(rng.choice(alphabet) for _ in range(n)) for _ in range(200)]
+            assert sum(random_parts(f"key {k}, and") == [k] for k in keys) >= least * len(keys), (alphabet, n)
+            assert sum(random_parts(f"see files.example.com/documents/download/{k} now") != [] for k in keys) >= (least - 0.05) * len(keys)
+    for plain in ["antidisestablishmentarianism", "Donaudampfschifffahrtsgesellschaft", "UNCHARACTERISTICALLY-INTERNATIONALIZED", "a-b-c-d-e-f-g-h-i-j-k-l-m",
+                  "to/be/or/not/to/be/that/is", "HTTPSConnectionPoolFactory", "XMLHttpRequestEventTarget", "hahahahahahahahahahaha", "xxxxxxxxxxxxxxxxxxxxxxxxxxxx"]:
+        assert random_parts(plain) == [], plain
+
+
 def test_stretches_of_highest_score():
     rng = random.Random(13)
 
