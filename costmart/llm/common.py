@@ -49,6 +49,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def labelled_sample(docs: DataFrame, rated: DataFrame, id_col: str, text_col: str, max_rows: int) -> DataFrame:
+    """(id, th, ``rated``'s other columns, text): at most ``max_rows`` rows, those of least id hash and then
+    of least text hash, one for each id and text; ``rated`` has a row per id. Only the texts chosen are shuffled."""
+    ids = docs.select(F.col(id_col).alias("id")).distinct().join(rated, "id")
+    chosen = F.broadcast(ids.orderBy(F.xxhash64("id"), "id").limit(max_rows))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    # an id may repeat without bound, so its texts are chosen among too
+    keys = rows.select("id", "th").join(chosen, "id").distinct().orderBy(F.xxhash64("id"), "id", "th").limit(max_rows)
+    return (rows.join(F.broadcast(keys), ["id", "th"]).groupBy("id", "th", *[c for c in rated.columns if c != "id"])
+            .agg(F.first("text").alias("text")))
+
+
 def utf8(text_col: str | Column) -> Column:
     """The text's UTF-8 bytes; a null text counts as empty."""
     col = F.col(text_col) if isinstance(text_col, str) else text_col

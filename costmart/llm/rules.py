@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costmart.llm.common import table, utf8
+from costmart.llm.common import labelled_sample, table, utf8
 
 #: The classifier is fitted on at most so many labelled rows, those of least id hash.
 MAX_ROWS = 20_000
@@ -201,13 +201,11 @@ def rule_column(rules: list[Rule]) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
         max_rows: int = MAX_ROWS) -> list[Rule]:
     """Rules for texts labelled 0. Rows with a null id or label, or without a document, are not used;
-    an id labelled twice counts with its lower label."""
+    an id labelled twice counts with its lower label, and equal rows count once."""
     rated = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).dropna()
              .groupBy("id").agg(F.min("label").alias("label")))
-    ids = docs.select(F.col(id_col).alias("id")).distinct().join(rated, "id")
-    chosen = F.broadcast(ids.orderBy(F.xxhash64("id"), "id").limit(max_rows))  # bounded by max_rows
-    sample = docs.select(F.col(id_col).alias("id"), text_col).join(chosen, "id")
-    rows = (sample.select("id", "label", statistics_column(text_col).alias("s"))
+    sample = labelled_sample(docs, rated, id_col, text_col, max_rows)
+    rows = (sample.select("id", "label", statistics_column("text").alias("s"))
             .select("id", "label", *ratio_columns("s")).toPandas().sort_values(["id", *RATIOS], kind="stable"))
     order = pd.util.hash_array(rows["id"].astype(str).to_numpy(dtype=object)).argsort(kind="stable")
     rows = rows.iloc[order]

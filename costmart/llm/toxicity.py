@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costmart.llm.common import LOWER_ASCII, free_name, stored, table, utf8
+from costmart.llm.common import LOWER_ASCII, free_name, labelled_sample, stored, table, utf8
 
 MAX_ROWS = 20_000
 MAX_FEATURES = 512
@@ -130,16 +130,12 @@ def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def fit(docs: DataFrame, labels: DataFrame, grade: Column, id_col: str = "doc_id", text_col: str = "text",
         levels: int = 1, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES, min_g: float = MIN_G) -> Model:
-    """Fit on at most ``max_rows`` labelled documents; ``grade`` is a column of ``labels``. With
+    """Fit on at most ``max_rows`` labelled documents (equal rows count once); ``grade`` is a column of ``labels``. With
     ``levels`` over 1, its grade 1 is split into so many by the number of indicative words."""
     rated = (labels.select(F.col(id_col).alias("id"), grade.cast("int").alias("grade")).dropna()
              .groupBy("id").agg(F.max("grade").alias("grade")))
-    ids = docs.select(F.col(id_col).alias("id")).distinct().join(rated, "id")
-    # bounded by max_rows, so it can be broadcast: the texts aren't shuffled
-    chosen = F.broadcast(ids.orderBy(F.xxhash64("id"), "id").limit(max_rows))
-
-    sample = docs.select(F.col(id_col).alias("id"), utf8(text_col).alias("text")).join(chosen, "id")
-    sample = stored(sample.select("grade", "text"), "toxicity-sample")
+    sample = labelled_sample(docs, rated, id_col, text_col, max_rows)
+    sample = stored(sample.select("grade", utf8("text").alias("text")), "toxicity-sample")
     totals = {bool(r["bad"]): r["n"] for r in
               sample.groupBy((F.col("grade") > 0).alias("bad")).agg(F.count("*").alias("n")).collect()}
     if len(totals) < 2:

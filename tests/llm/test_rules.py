@@ -87,3 +87,13 @@ def test_one_class_or_nothing(spark):
         found = rules.fit(table, spark.createDataFrame(labels, "doc_id long, quality int"))
         assert found == [] and rules.judge(table, found).where("kept").count() == 10
     assert rules.judge(docs(spark, []), []).agg(F.count("*")).first()[0] == 0
+
+
+def test_sample_is_bounded_where_one_id_repeats(spark, monkeypatch):
+    texts = [(1, prose(i, 12)) for i in range(300)] + [(1, "same row of the id")] * 50 + [(i, prose(i, 12)) for i in range(2, 30)]
+    labels = spark.createDataFrame([(i, int(i != 1)) for i in range(1, 30)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(rules, "learn", lambda columns, bad: seen.append(len(bad)) or [])
+    rules.fit(docs(spark, texts), labels, max_rows=40)
+    rules.fit(docs(spark, texts), labels)
+    assert seen == [40, 301 + 28]

@@ -79,3 +79,13 @@ def test_without_features_the_base_rate_decides(spark):
     model = toxicity.fit(table, spark.createDataFrame([(i, int(i < 5)) for i in range(20)], "doc_id long, toxic int"), F.col("toxic"))
     s = table.select(toxicity.severity_column(model, "text").alias("s")).first().s
     assert abs(s.p_toxic - 0.25) < 0.01
+
+
+def test_sample_is_bounded_where_one_id_repeats(spark, monkeypatch):
+    texts = [(1, f"bad{i % 3} {prose(i, 12)}") for i in range(300)] + [(1, "same row of the id")] * 50 + [(i, prose(i, 12)) for i in range(2, 30)]
+    labels = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 30)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_cumulative_link", lambda indptr, indices, values, y, n: seen.append(len(indptr) - 1) or (np.zeros(n), np.zeros(max(y))))
+    for most, want in ((40, 40), (10_000, 301 + 28)):
+        toxicity.fit(docs(spark, texts), labels, F.col("toxic"), max_rows=most)
+        assert seen.pop() <= want
