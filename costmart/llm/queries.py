@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from costmart.llm import decontam, hardneg, packing, rans, rules, secrets, simhash, substring, toxicity, unigram, warc
+from costmart.llm import decontam, hardneg, packing, rans, rules, runs, secrets, simhash, substring, toxicity, unigram, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.query,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": simhash.query,
     "op10_rans": rans.query,
     "op11_hard_negatives": hardneg.query,
+    "op12_periodic_runs": runs.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -31,4 +32,5 @@ ORACLES: dict[str, str] = {
     "op2_warc": warc.ORACLE,
     "op6_substring_dedup": substring.ORACLE,
     "op11_hard_negatives": hardneg.ORACLE,
+    "op12_periodic_runs": runs.ORACLE,
 }
