@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from costmart.llm import decontam, hardneg, packing, rans, rules, runs, secrets, simhash, substring, toxicity, unigram, warc
+from costmart.llm import decontam, hardneg, lm, packing, rans, rules, runs, secrets, simhash, substring, toxicity, unigram, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontam.query,
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_rans": rans.query,
     "op11_hard_negatives": hardneg.query,
     "op12_periodic_runs": runs.query,
+    "op13_lm_scoring": lm.query,
     "pipeline": corpus_pipeline.run,
 }
 
