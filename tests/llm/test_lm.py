@@ -38,14 +38,14 @@ class Plain:
         for (u, _), c in pairs.items():
             self.after[u].append(c)
         self.d1, self.d2 = discounts(self.before.values()), discounts(pairs.values())
+        self.all = sum(self.before.values())
+        self.rest = sum(self.d1[min(a, 3) - 1] for a in self.before.values()) / self.all if self.all else 1.0
 
     def part(self, c, d, total):
         return max(c - d[min(c, 3) - 1], 0) / total if c else 0.0
 
     def alone(self, w):
-        total = sum(self.before.values())
-        rest = sum(self.d1[min(a, 3) - 1] for a in self.before.values()) / total if total else 1.0
-        return self.part(self.before[w], self.d1, total) + rest / (self.v + 1)
+        return self.part(self.before[w], self.d1, self.all) + self.rest / (self.v + 1)
 
     def p(self, u, w):
         total = sum(self.after.get(u, []))

@@ -63,7 +63,8 @@ def test_run_equals_the_stages(spark, folder):
 
 def test_empty_documents(spark, tmp_path):
     for name, schema in (("documents", "doc_id long, text string, lang string, source string, n_chars long"),
-                         ("benchmark", "item_id long, text string"), ("labels", "doc_id long, quality int, toxic int")):
+                         ("benchmark", "item_id long, text string"), ("labels", "doc_id long, quality int, toxic int"),
+                         ("embeddings", "vec_id long, embedding array<float>, label int")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
     for name, query in QUERIES.items():
