@@ -195,14 +195,19 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str | Colum
 def with_planted_runs(id_col: str = "doc_id", text_col: str = "text") -> Column:
     """The contract's texts: in every tenth document, by its id's CRC, the words from some place on repeat."""
     h = F.crc32(F.col(id_col).cast("string"))
-    words = F.regexp_extract_all(text_col, F.lit(r"([^\x20\x09-\x0D]+)"))
-    n, g = F.size(words), F.floor(h / 10)
-    a = F.pmod(g, n)
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    places = F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1),
-                         lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, p)))
-    repeated = F.array_join(F.transform(places, lambda i: F.get(words, i.cast("int"))), " ")
-    return F.when((h % 10 == 0) & (n > 0), repeated).otherwise(F.col(text_col))
+    g = F.floor(h / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        a = F.pmod(g, n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+        times = (1 + F.floor((n - a) / p)).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(w, a + 1, p), times)), F.lit(1), n - a)
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, F.lit(1), a), tail), " "))
+
+    # as a lambda's variable the words are cut once
+    words = F.array(F.regexp_extract_all(text_col, F.lit(r"([^\x20\x09-\x0D]+)")))
+    return F.when(h % 10 == 0, F.coalesce(F.get(F.transform(words, repeated), F.lit(0)), F.col(text_col))).otherwise(F.col(text_col))
 
 
 def query(spark, sf_dir) -> DataFrame:
