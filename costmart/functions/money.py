@@ -1,12 +1,14 @@
 """Exact money arithmetic without a range limit.
 
-DOUBLE sums depend on the order rows meet, so a report could change with the partitioning. Each
-cost is therefore split in two: the *exact* part is the cost as DECIMAL(38,16) when that holds it
-without loss (any cost of at most 16 decimals below 10^13, so every DOUBLE from 1 to 10^13), and the
-*rest* is the cost itself, as DOUBLE, when it does not (more decimals, larger, infinite, NaN). One of the two is always zero, no
-row is left out, and a total is exact sum + rest sum. With no such rows, which loads count and
-report (``inexact_cost``), every partial sum is exact, so sums can be pre-aggregated at any level
-and still agree to the cent. Results are rounded half-up and returned as DOUBLE.
+DOUBLE sums depend on the order rows meet, so a report could change with the partitioning; sums of wide decimals
+make an object for every row. Each cost is therefore split into three whole numbers, its units, its first seven
+decimals and the seven behind them, which are summed as BIGINTs in generated code and put together to a decimal once a
+group. A cost is split if it is the DOUBLE nearest to a decimal of at most 15 digits: of 7 decimals below
+10^8, of 14 below 10, of 10 below 10^5 or of 2 below 10^13. Any other (more digits, larger, infinite,
+NaN) is the *rest*, summed as DOUBLE beside it. No row is left out, and a total is exact sum + rest sum. With no such
+rows, which loads count and report (``inexact_cost``), every partial sum is exact, so sums can be pre-aggregated at any
+level and still agree to the cent. A group's sum of decimals has room for 10^12 rows, that of units for 9 * 10^18; beyond,
+Spark's ANSI arithmetic fails rather than wraps. Results are rounded half-up and returned as DOUBLE.
 """
 
 from __future__ import annotations
@@ -14,37 +16,78 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(38,16)"
-#: Below this, 10^9 rows can be added before DECIMAL(38,16) is full.
-EXACT_BELOW = 1e13
+MONEY = "decimal(38,14)"
+#: Decimals a cost is tested for, and below what amount: the product stays below 2^50, so rounding it is right.
+SCALES = ((7, 1e8), (14, 10.0), (10, 1e5), (2, 1e13))
 
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _scaled(c: Column, decimals: int) -> Column:
+    return F.rint(c * (10.0 ** decimals))
+
+
+def _fits(c: Column, decimals: int, below: float) -> Column:
+    """Whether the cost is the DOUBLE nearest to a number of so many decimals. (NaN compares above every number.)"""
+    return (F.abs(c) < below) & (_scaled(c, decimals) / F.lit(10.0 ** decimals) == c)
+
+
+def _by_scale(c: Column, value) -> Column:
+    """``value(decimals)`` for the first scale that fits; NULL for none."""
+    out = F
+    for decimals, below in SCALES:
+        out = out.when(_fits(c, decimals, below), value(decimals))
+    return out
+
+
 def is_exact(col: str | Column) -> Column:
-    """True for a cost that DECIMAL(38,16) holds without loss; NULL stays NULL. (NaN compares above
-    every number, so it is not.)"""
+    """True for a cost that is summed exactly; NULL stays NULL."""
     c = _col(col)
-    return (F.abs(c) < EXACT_BELOW) & (c.try_cast(MONEY).cast("double") == c)
+    return F.when(c.isNotNull(), F.coalesce(_by_scale(c, lambda _: F.lit(True)), F.lit(False)))
 
 
-def money(col: str | Column) -> Column:
-    """The exact part of a cost."""
+def limbs(col: str | Column) -> list[Column]:
+    """Units, first seven and next seven decimals of a cost, of its sign; NULL for a cost that isn't exact."""
     c = _col(col)
-    return F.when(is_exact(c), c.try_cast(MONEY)).otherwise(F.lit(0).cast(MONEY))
+
+    def limb(number: int):
+        def value(decimals: int) -> Column:
+            whole = _scaled(c, decimals).cast("long")
+            if number == 0:
+                return _div(whole, 10 ** decimals)
+            part = whole % F.lit(10 ** decimals)
+            if decimals <= 7:
+                return part * F.lit(10 ** (7 - decimals)) if number == 1 else F.lit(0).cast("long")
+            low = 10 ** (decimals - 7)
+            return _div(part, low) if number == 1 else part % F.lit(low) * F.lit(10 ** (14 - decimals))
+        return value
+
+    return [_by_scale(c, limb(i)) for i in range(3)]
+
+
+def _div(a: Column, b: int) -> Column:
+    """Whole division towards zero, as ``div``."""
+    return F.call_function("div", a, F.lit(b).cast("long"))
 
 
 def rest(col: str | Column) -> Column:
-    """The part of a cost that DECIMAL(38,16) does not hold."""
+    """The cost where it is not exact."""
     c = _col(col)
-    return F.when(c.isNull() | is_exact(c), F.lit(0.0)).otherwise(c)
+    return F.when(c.isNull() | F.coalesce(_by_scale(c, lambda _: F.lit(True)), F.lit(False)), F.lit(0.0)).otherwise(c)
+
+
+def joined_sums(sums: list[Column]) -> Column:
+    """The sums of the three limbs as one decimal; 0 where there was none."""
+    units, first, second = (F.coalesce(s, F.lit(0).cast("long")) for s in sums)
+    return (units.cast("decimal(19,0)") + first.cast("decimal(19,0)") * F.expr("0.0000001BD")
+            + second.cast("decimal(19,0)") * F.expr("0.00000000000001BD")).cast(MONEY)
 
 
 def money_sums(col: str | Column, exact: str = "s", other: str = "x") -> list[Column]:
-    """The two sums of a cost column (combine partial sums with ``F.sum`` again)."""
-    return [F.sum(money(col)).alias(exact), F.sum(rest(col)).alias(other)]
+    """The exact and the other sum of a cost column (combine partial sums with ``F.sum`` again)."""
+    return [joined_sums([F.sum(limb) for limb in limbs(col)]).alias(exact), F.sum(rest(col)).alias(other)]
 
 
 def total(digits: int, exact: str = "s", other: str = "x") -> Column:

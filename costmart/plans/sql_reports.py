@@ -4,15 +4,26 @@ Same results as ``plans.reports``. Each statement sums the fact per join key in
 joining the dimension (Catalyst does not push an aggregate below a join by itself), so the fact
 is aggregated map side and never shuffled whole; the year-bounded report also bounds the month
 partition column, so month folders outside the year are pruned. Register the views with
-``plans.mart.report_views``, whose fact view also has the two parts of each cost that
-``functions.money`` adds up (``cost_exact``, ``cost_rest``), and call ``run_sql_report``.
+``plans.mart.report_views``, whose fact view also has the parts of each cost that
+``functions.money`` adds up (``cost_units``, ``cost_d7``, ``cost_d14`` and ``cost_rest``), and call ``run_sql_report``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-S = "SUM(cost_exact) AS s, SUM(cost_rest) AS x"
+
+def _sum(part: str, rows: str = "") -> str:
+    """The sum of a part of the costs, of the rows that meet a condition."""
+    return f"COALESCE(SUM({part}) FILTER (WHERE {rows}), 0)" if rows else f"COALESCE(SUM({part}), 0)"
+
+
+def _exact(rows: str = "") -> str:
+    units, first, second = (f"CAST({_sum(p, rows)} AS DECIMAL(19,0))" for p in ("cost_units", "cost_d7", "cost_d14"))
+    return f"CAST({units} + {first} * 0.0000001BD + {second} * 0.00000000000001BD AS DECIMAL(38,14))"
+
+
+S = f"{_exact()} AS s, SUM(cost_rest) AS x"
 
 
 def _total(s: str, x: str, digits: int) -> str:
@@ -32,7 +43,7 @@ def _ratio(num: str, den: str, digits: int) -> str:
 
 SQL_REPORTS = {
     "spend_by_provider": f"""
-SELECT cloud_provider, {_total('SUM(cost_exact)', 'SUM(cost_rest)', 2)} AS total_cost_usd, COUNT(*) AS num_line_items
+SELECT cloud_provider, {_total(_exact(), 'SUM(cost_rest)', 2)} AS total_cost_usd, COUNT(*) AS num_line_items
 FROM fact_cloud_costs
 GROUP BY cloud_provider
 ORDER BY total_cost_usd DESC, cloud_provider""",
@@ -99,16 +110,16 @@ GROUP BY s.service_category, f.cloud_provider
 ORDER BY f.cloud_provider, total_cost_usd DESC, s.service_category""",
 
     "tags_lookup": f"""
-SELECT tags['team'] AS team, {_total('SUM(cost_exact)', 'SUM(cost_rest)', 2)} AS total_cost_usd, COUNT(*) AS num_line_items
+SELECT tags['team'] AS team, {_total(_exact(), 'SUM(cost_rest)', 2)} AS total_cost_usd, COUNT(*) AS num_line_items
 FROM fact_cloud_costs
 GROUP BY tags['team']
 ORDER BY total_cost_usd DESC, team""",
 
     "net_gross_credits": f"""
 SELECT cloud_provider,
-       {_total('SUM(IF(cost_usd > 0, cost_exact, 0))', 'SUM(IF(cost_usd > 0, cost_rest, 0))', 2)} AS gross_cost_usd,
-       {_total('SUM(IF(cost_usd < 0, cost_exact, 0))', 'SUM(IF(cost_usd < 0, cost_rest, 0))', 2)} AS credits_usd,
-       {_total('SUM(cost_exact)', 'SUM(cost_rest)', 2)} AS net_cost_usd,
+       {_total(_exact('cost_usd > 0'), _sum('cost_rest', 'cost_usd > 0'), 2)} AS gross_cost_usd,
+       {_total(_exact('cost_usd < 0'), _sum('cost_rest', 'cost_usd < 0'), 2)} AS credits_usd,
+       {_total(_exact(), 'SUM(cost_rest)', 2)} AS net_cost_usd,
        COUNT_IF(cost_usd < 0) AS num_credit_items
 FROM fact_cloud_costs
 GROUP BY cloud_provider
