@@ -42,21 +42,40 @@ def fact_lines(combined: DataFrame) -> DataFrame:
     )
 
 
-def repeated_fingerprints(combined: DataFrame) -> DataFrame:
-    """(fp_hi, fp_lo) of rows that occur more than once, stored: an aggregate over two longs per row.
+def fingerprints() -> list[Column]:
+    """The two halves of a canonical row's fingerprint."""
+    hi, lo = fingerprint_halves(list(CANONICAL_COLUMNS))
+    return [hi.alias("fp_hi"), lo.alias("fp_lo")]
+
+
+def repeated_fingerprints(combined: DataFrame, copies: DataFrame | None = None, own: DataFrame | None = None) -> DataFrame:
+    """(fp_hi, fp_lo, earlier) of rows that need an occurrence number, stored: an aggregate over two longs per row.
+
+    These occur more than once in ``combined``, and ``earlier`` is 0. ``copies`` are their counts (fp_hi, fp_lo, copies; any
+    number of rows each) where they are stored. With ``own``, the counts of ``combined`` alone, ``copies`` are those of rows
+    that have been numbered before: then a row also needs a number where it occurs among them, ``earlier`` times.
 
     Stored, so that the planner knows its size when it plans the join with the rows: a small set
     (the usual case) is broadcast and the rows are not shuffled for it."""
-    hi, lo = fingerprint_halves(list(CANONICAL_COLUMNS))
-    counts = (combined.select(hi.alias("fp_hi"), lo.alias("fp_lo")).groupBy("fp_hi", "fp_lo")
-              .agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp_hi", "fp_lo", F.lit(True).alias("repeated")))
+    def total(counts: DataFrame, name: str) -> DataFrame:
+        return counts.groupBy("fp_hi", "fp_lo").agg(F.sum("copies").alias(name))
+
+    if copies is None:
+        copies = combined.select(*fingerprints(), F.lit(1).cast("long").alias("copies"))
+    if own is None:
+        found = total(copies, "n").where("n > 1").select("fp_hi", "fp_lo", F.lit(0).cast("long").alias("earlier"))
+    else:
+        found = (total(own, "n").join(total(copies, "earlier"), ["fp_hi", "fp_lo"], "left")
+                 .where("n > 1 OR earlier IS NOT NULL").select("fp_hi", "fp_lo", F.coalesce("earlier", F.lit(0)).alias("earlier")))
     path = scratch_path(combined.sparkSession, "repeated")
-    counts.write.parquet(path)
-    return combined.sparkSession.read.schema(counts.schema).parquet(path)
+    found.write.parquet(path)
+    return combined.sparkSession.read.schema(found.schema).parquet(path)
 
 
-def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    """Canonical rows plus ``row_fp`` (fingerprint) and ``occurrence`` (1..copies).
+def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK, copies: DataFrame | None = None,
+                  own: DataFrame | None = None) -> DataFrame:
+    """Canonical rows plus ``row_fp`` (fingerprint) and ``occurrence``: 1..copies, or behind those that have been numbered
+    before (see ``repeated_fingerprints``).
 
     Plan: rows are marked by whether their fingerprint is repeated. Those that are not go straight to
     the ``rebalance`` exchange that lays the data out for the write, by day and provider. The copies
@@ -69,17 +88,17 @@ def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     The output is distributed by day, ready for ``sinks.mart_store.write_fact_months``.
     """
     cols = list(CANONICAL_COLUMNS)
-    hi, lo = fingerprint_halves(cols)
-    marked = (combined.select(*cols, hi.alias("fp_hi"), lo.alias("fp_lo"))
-              .join(repeated_fingerprints(combined), ["fp_hi", "fp_lo"], "left"))
-    alone = marked.where(F.col("repeated").isNull()).select(
-        *cols, "fp_hi", "fp_lo", F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("chunk"))
-    counted = (marked.where(F.col("repeated")).groupBy(*cols, "fp_hi", "fp_lo")
-               .agg(F.count(F.lit(1)).alias("copies"))
-               .select(*cols, "fp_hi", "fp_lo", "copies", F.explode(
-                   F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / chunk))).alias("chunk")))
-    first = F.col("chunk") * chunk + 1
-    last = F.least((F.col("chunk") + 1) * chunk, F.col("copies"))
+    marked = (combined.select(*cols, *fingerprints())
+              .join(repeated_fingerprints(combined, copies, own), ["fp_hi", "fp_lo"], "left"))
+    zero = F.lit(0).cast("long")
+    alone = marked.where(F.col("earlier").isNull()).select(
+        *cols, "fp_hi", "fp_lo", F.lit(1).cast("long").alias("copies"), zero.alias("earlier"), zero.alias("chunk"))
+    counted = (marked.where(F.col("earlier").isNotNull()).groupBy(*cols, "fp_hi", "fp_lo")
+               .agg(F.count(F.lit(1)).alias("copies"), F.max("earlier").alias("earlier"))
+               .select(*cols, "fp_hi", "fp_lo", "copies", "earlier", F.explode(
+                   F.sequence(zero, F.floor((F.col("copies") - 1) / chunk))).alias("chunk")))
+    first = F.col("earlier") + F.col("chunk") * chunk + 1
+    last = F.col("earlier") + F.least((F.col("chunk") + 1) * chunk, F.col("copies"))
     # the fingerprint crosses the exchange as two longs; its text form is built afterwards
     return (alone.unionByName(counted)
             .hint("rebalance", "date_key", "cloud_provider", "chunk")
@@ -102,8 +121,9 @@ def _lookup_keys(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
 
 def build_fact(combined: DataFrame, *, keys: str = "derive", dims: dict[str, DataFrame] | None = None,
-               chunk: int = DEFAULT_CHUNK) -> DataFrame:
-    numbered = number_copies(combined, chunk)
+               chunk: int = DEFAULT_CHUNK, copies: DataFrame | None = None, own: DataFrame | None = None) -> DataFrame:
+    """``copies`` and ``own``: stored counts of fingerprints, see ``repeated_fingerprints``."""
+    numbered = number_copies(combined, chunk, copies, own)
     if keys == "derive":
         keyed = numbered.select("*", service_key().alias("service_key"), account_key().alias("account_key"),
                                 region_key().alias("region_key"))

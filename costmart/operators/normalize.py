@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from costmart.functions.dates import valid_date
 from costmart.functions.lookups import DEFAULT_ENVIRONMENT, DEFAULT_REGION, DEFAULT_TEAM
 from costmart.schemas import CANONICAL_COLUMNS, CANONICAL_SCHEMA, assert_schema
+from costmart.sources.billing_csv import INPUT_COLUMNS
 from costmart.sources.layouts import SourceLayout
 
 
@@ -57,6 +58,12 @@ def normalize(raw: DataFrame, layout: SourceLayout) -> DataFrame:
     return assert_schema(out, CANONICAL_SCHEMA)
 
 
+def normalize_with_files(raw: DataFrame, layout: SourceLayout) -> DataFrame:
+    """``normalize``, and each row's input file where ``raw`` has it."""
+    files = [c for c in INPUT_COLUMNS if c in raw.columns]
+    return raw.where(keep_condition(layout)).select(*canonical_columns(layout), *files)
+
+
 def combine(*frames: DataFrame) -> DataFrame:
     """Union by column name of canonical frames (no shuffle: partitions are concatenated)."""
     return reduce(lambda a, b: a.unionByName(b), [f.select(*CANONICAL_COLUMNS) for f in frames])

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costmart.functions.dates import valid_date
@@ -27,18 +27,11 @@ def _malformed(raw: DataFrame):
     return F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in raw.columns else F.lit(False)
 
 
-def drop_counts(raw: DataFrame, layout: SourceLayout) -> DataFrame:
-    """One row per source: raw rows, rows failing each rule, rows dropped, rows kept.
-
-    A row can fail several rules; ``dropped_rows`` counts it once. ``inexact_cost`` counts kept rows
-    whose cost is summed as DOUBLE (see ``functions.money``), ``malformed_rows`` lines with a field that
-    did not parse (kept if the field is optional). The latter needs ``raw`` as parsed columns, as a load
-    stores them: over CSV text a query parses only the columns that it reads.
-    """
+def count_columns(raw: DataFrame, layout: SourceLayout) -> list[Column]:
+    """The aggregates of ``drop_counts``, which a load observes while it lands the rows."""
     date_col = F.col(layout.raw("date_key"))
     keep = keep_condition(layout)
-    return raw.agg(
-        F.lit(layout.provider).alias("cloud_provider"),
+    return [
         F.count(F.lit(1)).alias("raw_rows"),
         F.count_if(_null_reason(layout, "date_key")).alias("null_date"),
         F.count_if(_null_reason(layout, "cost_usd")).alias("null_cost"),
@@ -49,7 +42,18 @@ def drop_counts(raw: DataFrame, layout: SourceLayout) -> DataFrame:
         F.count_if(_malformed(raw)).alias("malformed_rows"),
         F.count_if(~keep).alias("dropped_rows"),
         F.count_if(keep).alias("kept_rows"),
-    )
+    ]
+
+
+def drop_counts(raw: DataFrame, layout: SourceLayout) -> DataFrame:
+    """One row per source: raw rows, rows failing each rule, rows dropped, rows kept.
+
+    A row can fail several rules; ``dropped_rows`` counts it once. ``inexact_cost`` counts kept rows
+    whose cost is summed as DOUBLE (see ``functions.money``), ``malformed_rows`` lines with a field that
+    did not parse (kept if the field is optional). The latter needs every field parsed: over CSV text a
+    query parses only the columns that it reads.
+    """
+    return raw.agg(F.lit(layout.provider).alias("cloud_provider"), *count_columns(raw, layout))
 
 
 def quarantine(raw: DataFrame, layout: SourceLayout) -> DataFrame:

@@ -17,7 +17,7 @@ from costmart.functions.money import money_sums, total
 from costmart.operators import dimensions as dims_ops
 from costmart.operators import quality
 from costmart.operators.fact import build_fact, fact_lines, number_copies
-from costmart.operators.normalize import dedupe_line_items, normalize
+from costmart.operators.normalize import dedupe_line_items, keep_condition, normalize
 from costmart.plans import reports
 from costmart.plans.mart import (
     Mart,
@@ -31,7 +31,7 @@ from costmart.plans.mart import (
     transform_aws,
     transform_gcp,
 )
-from costmart.plans.loads import full_load
+from costmart.plans.loads import full_load, load_exports_into
 from costmart.plans.sql_reports import SQL_REPORTS, run_queries, run_sql_report
 from costmart.schemas import CANONICAL_COLUMNS
 from costmart.session import scratch_path
@@ -305,6 +305,85 @@ def ingest_after_batch(spark, sf_dir):
     return fact_with_flat_tags(mart_store.read_fact(spark, base)).drop("cost_id", "bill_month")
 
 
+def _copy_files(spark, source: str, target: str) -> None:
+    """Files delivered again elsewhere, under their own names."""
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    src, dst = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    fs = src.getFileSystem(conf)
+    fs.mkdirs(dst)
+    for f in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{source}/*.csv")):
+        jvm.org.apache.hadoop.fs.FileUtil.copy(fs, f.getPath(), fs, dst, False, conf)
+
+
+def ingest_two_inboxes(spark, sf_dir, split: str = "2024-07-01"):
+    """Two inboxes with a state folder each, for one mart and provider; then the first one's files are delivered again
+    in the second, and the first one's checkpoint is lost: the fact must hold every line item once."""
+    root = scratch_path(spark, "inboxes")
+    base = f"{root}/mart"
+    a, b = load_exports(spark, sf_dir)
+    early = F.coalesce(F.col("bill_date"), F.lit("")) < split
+    write_export(a.where(early), f"{root}/one/1")
+    write_export(a.where(~early), f"{root}/two/1")
+    write_export(b, f"{root}/gcp/1")
+    _ingest(spark, AWS, f"{root}/one/*/*.csv", base, f"{root}/state-one")
+    _ingest(spark, AWS, f"{root}/two/*/*.csv", base, f"{root}/state-two")
+    _copy_files(spark, f"{root}/one/1", f"{root}/two/2")
+    _ingest(spark, AWS, f"{root}/two/*/*.csv", base, f"{root}/state-two")
+    _ingest(spark, GCP, f"{root}/gcp/*/*.csv", base, f"{root}/state-gcp")
+    _ingest(spark, AWS, f"{root}/one/*/*.csv", base, f"{root}/state-new")
+    return fact_with_flat_tags(mart_store.read_fact(spark, base)).drop("cost_id", "bill_month")
+
+
+def shorter_replay(spark, sf_dir, split: str = "2024-07-01"):
+    """Two loads, then the first one again under its number with only the rows before ``split``: months and rows that
+    the new run doesn't bring must go."""
+    base = scratch_path(spark, "replay")
+    a, b = load_exports(spark, sf_dir)
+    load_exports_into(spark, [(AWS, a)], base, "daily", 1)
+    load_exports_into(spark, [(GCP, b)], base, "daily", 2)
+    load_exports_into(spark, [(AWS, a.where(F.col("bill_date") < split))], base, "daily", 1)
+    return fact_with_flat_tags(mart_store.read_fact(spark, base)).drop("cost_id", "bill_month")
+
+
+def appended_loads(spark, sf_dir):
+    """Every line item arrives twice, in four loads that share months and copies: per month and provider the items,
+    distinct ids and costs of the appended fact, and whether its ids are those of one full build."""
+    base = scratch_path(spark, "appended")
+    a, b = load_exports(spark, sf_dir)
+    part = F.pmod(F.xxhash64("resource_id"), F.lit(3))
+    loads = [[(AWS, a.where(part < 2)), (GCP, b)], [(AWS, a.where(part > 0))], [(AWS, a.where(part == 0)), (GCP, b)], [(AWS, a.where(part == 2))]]
+    for number, exports in enumerate(loads, 1):
+        load_exports_into(spark, exports, base, "daily", number)
+    keys = ["bill_month", "cloud_provider"]
+
+    def ids(fact: DataFrame, name: str) -> DataFrame:
+        return fact.groupBy(*keys).agg(F.sum(F.xxhash64("cost_id").cast("decimal(38,0)")).alias(name))
+
+    fact = mart_store.read_fact(spark, base)
+    full = build_fact(_doubled(spark, sf_dir)).withColumn("bill_month", bill_month("date_key"))
+    same = ids(fact, "appended").join(ids(full, "built"), keys).select(*keys, (F.col("appended") == F.col("built")).alias("same_ids"))
+    return _month_stats(fact).join(same, keys)
+
+
+def empty_mart_summary(spark, sf_dir):
+    """A full load of exports of which no row is kept, over a mart that had rows: the tables can be read and are empty."""
+    base = scratch_path(spark, "empty")
+    a, b = load_exports(spark, sf_dir)
+    full_load(spark, [(AWS, a), (GCP, b)], base)
+    full_load(spark, [(AWS, a.where(F.col("cost_usd").isNull())), (GCP, b.where(F.col("cost").isNull()))], base)
+    return quality.mart_summary(load_mart(spark, base).tables())
+
+
+def quarantine_empty(spark, sf_dir):
+    """The quarantine, by reason, of a load that rejected nothing, and that of the load before it."""
+    base = scratch_path(spark, "clean")
+    a, b = load_exports(spark, sf_dir)
+    full_load(spark, [(AWS, a), (GCP, b)], base)
+    before = mart_store.read_quarantine(spark, base).agg(F.count(F.lit(1)).alias("rejected")).first()["rejected"]
+    full_load(spark, [(AWS, a.where(keep_condition(AWS))), (GCP, b.where(keep_condition(GCP)))], base)
+    return mart_store.read_quarantine(spark, base).agg(F.count(F.lit(1)).alias("rejected_after"), F.lit(before).alias("rejected_before"))
+
+
 def account_drift_incremental(spark, sf_dir):
     """Accounts whose team differs between the rows of a batch load and those of a later file, on the same
     days: the current rows must be those of a full build."""
@@ -403,6 +482,11 @@ STORAGE_QUERIES = {
     "full_reload": full_reload,
     "ingest_after_batch": ingest_after_batch,
     "account_drift_incremental": account_drift_incremental,
+    "ingest_two_inboxes": ingest_two_inboxes,
+    "shorter_replay": shorter_replay,
+    "appended_loads": appended_loads,
+    "empty_mart_summary": empty_mart_summary,
+    "quarantine_empty": quarantine_empty,
     "load_drop_counts": load_drop_counts,
     "quarantine_stored": quarantine_stored,
     "extreme_costs": extreme_costs,

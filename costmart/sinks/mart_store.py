@@ -13,6 +13,10 @@
   upsert. No job ever reads and overwrites the same folder.
 * ``quarantine`` and ``load_counts`` (``/provider=P/source=S/load=N/``): rows a load dropped or could
   read only in part, and one row of counts per load and provider.
+* ``load_manifest`` and ``input_files`` (``/source=S/load=N/``): the provider's months that a load has landed rows for,
+  and whether it came to its end; the export files it has taken.
+* ``fact_copies/bill_month=M/source=S/load=N/``: how often each fingerprint occurs among a load's rows of the
+  month, so that a later load numbers its copies without reading the rows again.
 
 A full load (``replace_all``) replaces whole tables; anything else replaces only the partitions it
 has rows for. Each write says which, whatever the session's setting.
@@ -22,7 +26,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, DateType, LongType, StringType, StructField, StructType, TimestampType
 
 from costmart.functions.dates import bill_month
 from costmart.schemas import (
@@ -43,13 +47,28 @@ ROLLUP_STATE = "rollup_state"
 LANDING = "landing"
 QUARANTINE = "quarantine"
 LOAD_COUNTS = "load_counts"
+MANIFEST = "load_manifest"
+INPUT_FILES = "input_files"
+COPIES = "fact_copies"
 DIM_KEYS = {"dim_date": "date_key", "dim_service": "service_key", "dim_account": "account_key",
             "dim_region": "region_key"}
 DIM_SCHEMAS = {"dim_date": DIM_DATE_SCHEMA, "dim_service": DIM_SERVICE_SCHEMA,
                "dim_account": DIM_ACCOUNT_SCHEMA, "dim_region": DIM_REGION_SCHEMA}
 INITIAL_LOAD = 0
 _LOAD_COLUMNS = [StructField("provider", StringType()), StructField("source", StringType()), StructField("load", LongType())]
-LANDING_SCHEMA = StructType([*CANONICAL_SCHEMA.fields, StructField("bill_month", StringType()), *_LOAD_COLUMNS])
+_FILE_COLUMNS = [StructField("input_file", StringType()), StructField("input_size", LongType()), StructField("input_time", TimestampType())]
+LANDING_SCHEMA = StructType([*CANONICAL_SCHEMA.fields, *_FILE_COLUMNS, StructField("bill_month", StringType()), *_LOAD_COLUMNS])
+MANIFEST_SCHEMA = StructType([StructField("provider", StringType()), StructField("bill_month", StringType()), StructField("rows", LongType()),
+                              StructField("state", StringType()), *_LOAD_COLUMNS[1:]])
+INPUT_FILES_SCHEMA = StructType([*_FILE_COLUMNS, StructField("outcome", StringType()), *_LOAD_COLUMNS[1:]])
+COPIES_SCHEMA = StructType([StructField("fp_hi", LongType()), StructField("fp_lo", LongType()), StructField("copies", LongType()),
+                            StructField("bill_month", StringType()), *_LOAD_COLUMNS[1:]])
+QUARANTINE_SCHEMA = StructType([
+    StructField("cloud_provider", StringType()), StructField("reason", StringType()), StructField("kept", BooleanType()),
+    *[f for f in CANONICAL_SCHEMA.fields if f.name != "cloud_provider"], StructField("raw_line", StringType()), *_LOAD_COLUMNS])
+COUNT_NAMES = ("raw_rows", "null_date", "null_cost", "null_service", "null_account", "bad_date", "inexact_cost", "malformed_rows",
+               "dropped_rows", "kept_rows")
+LOAD_COUNTS_SCHEMA = StructType([StructField("cloud_provider", StringType()), *[StructField(n, LongType()) for n in COUNT_NAMES], *_LOAD_COLUMNS])
 
 
 def _path(base: str, table: str) -> str:
@@ -69,20 +88,79 @@ def has_table(spark: SparkSession, base: str, table: str) -> bool:
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
 
 
+def _fs(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The folders that a pattern names (the file system's listing; no data is read)."""
+    fs, path = _fs(spark, pattern)
+    return sorted(f.getPath().toString() for f in fs.globStatus(path) or [])
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, path = _fs(spark, path)
+    fs.delete(path, True)
+
+
+def _values(folder: str) -> dict[str, str]:
+    """The partition values in a folder's name."""
+    from urllib.parse import unquote
+
+    return {k: unquote(v) for k, _, v in (part.partition("=") for part in folder.split("/")) if v}
+
+
+def _read(spark: SparkSession, base: str, table: str, schema: StructType) -> DataFrame:
+    """A table that may have no file yet, or not even a folder."""
+    if not has_table(spark, base, table):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(_path(base, table))
+
+
+def literal_rows(spark: SparkSession, schema: StructType, rows: list[tuple]) -> DataFrame:
+    """A few rows made by the JVM alone."""
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 # --- landing, quarantine, counts -------------------------------------------------------------
 def land_rows(canonical: DataFrame, base: str, source: str, load: int, replace_all: bool = False) -> None:
-    """Store one load's canonical rows; a replay of the load replaces its own folders."""
-    rows = assert_schema(canonical, CANONICAL_SCHEMA).select(
-        *CANONICAL_COLUMNS, bill_month("date_key").alias("bill_month"), F.col("cloud_provider").alias("provider"),
+    """Store one load's canonical rows; a replay of the load replaces its own folders. ``canonical`` may carry the
+    ``input_`` columns of ``sources.billing_csv.with_input_file``."""
+    files = [F.col(f.name) if f.name in canonical.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in _FILE_COLUMNS]
+    assert_schema(canonical.select(*CANONICAL_COLUMNS), CANONICAL_SCHEMA)
+    rows = canonical.select(
+        *CANONICAL_COLUMNS, *files, bill_month("date_key").alias("bill_month"), F.col("cloud_provider").alias("provider"),
         F.lit(source).alias("source"), F.lit(int(load)).cast("long").alias("load"))
     _write(rows.hint("rebalance", "bill_month"), _path(base, LANDING), ("bill_month", "provider", "source", "load"), replace_all)
 
 
 def read_landing(spark: SparkSession, base: str, months: list[str] | None = None) -> DataFrame:
     """Canonical rows of all loads, or of the given months: then only those folders are listed."""
+    return _landing(spark, base, None if months is None else [f"{_path(base, LANDING)}/bill_month={m}" for m in months]).select(*CANONICAL_COLUMNS)
+
+
+def _landing(spark: SparkSession, base: str, paths: list[str] | None = None) -> DataFrame:
     root = _path(base, LANDING)
-    paths = [root] if months is None else [f"{root}/bill_month={m}" for m in months]
-    return spark.read.schema(LANDING_SCHEMA).option("basePath", root).parquet(*paths).select(*CANONICAL_COLUMNS)
+    if paths is None and has_table(spark, base, LANDING):
+        paths = [root]
+    if not paths:
+        return spark.createDataFrame([], LANDING_SCHEMA)
+    return spark.read.schema(LANDING_SCHEMA).option("basePath", root).parquet(*paths)
+
+
+def landed_folders(spark: SparkSession, base: str, source: str = "*", load: int | str = "*", months: list[str] | None = None) -> list[str]:
+    found = [f for m in (months if months is not None else ["*"])
+             for f in _folders(spark, f"{_path(base, LANDING)}/bill_month={m}/provider=*/source={source}/load={load}")]
+    return found
+
+
+def read_landed_load(spark: SparkSession, base: str, source: str, load: int) -> DataFrame:
+    """All landed columns of one load; only its folders are listed."""
+    return _landing(spark, base, landed_folders(spark, base, source, load))
 
 
 def write_load_record(counts: DataFrame, rejected: DataFrame | None, base: str, source: str, load: int,
@@ -99,11 +177,85 @@ def write_load_record(counts: DataFrame, rejected: DataFrame | None, base: str,
 
 
 def read_load_counts(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(_path(base, LOAD_COUNTS))
+    return _read(spark, base, LOAD_COUNTS, LOAD_COUNTS_SCHEMA)
 
 
 def read_quarantine(spark: SparkSession, base: str) -> DataFrame:
-    return spark.read.parquet(_path(base, QUARANTINE))
+    return _read(spark, base, QUARANTINE, QUARANTINE_SCHEMA)
+
+
+# --- what a load has done --------------------------------------------------------------------
+def write_manifest(spark: SparkSession, base: str, source: str, load: int, months: dict[tuple[str, str], int | None], state: str) -> None:
+    """The (provider, month) pairs that a load has, or had, landed rows for; ``state`` is begun or done. A row without a
+    month stands for the load itself."""
+    rows = [(p, m, n, state, source, load) for (p, m), n in sorted(months.items())] + [(None, None, None, state, source, load)]
+    _write(literal_rows(spark, MANIFEST_SCHEMA, rows), _path(base, MANIFEST), ("source", "load"), replace_all=False)
+
+
+def read_manifest(spark: SparkSession, base: str) -> DataFrame:
+    return _read(spark, base, MANIFEST, MANIFEST_SCHEMA)
+
+
+def read_input_files(spark: SparkSession, base: str) -> DataFrame:
+    """The export files that loads have taken (``outcome`` loaded), or passed over since another load had taken
+    them (known) or a copy of them (copy)."""
+    return _read(spark, base, INPUT_FILES, INPUT_FILES_SCHEMA)
+
+
+def write_input_files(files: DataFrame, base: str, source: str, load: int) -> None:
+    tagged = files.withColumns({"source": F.lit(source), "load": F.lit(int(load)).cast("long")})
+    _write(tagged.coalesce(1), _path(base, INPUT_FILES), ("source", "load"), replace_all=False)
+
+
+def unfinished_loads(spark: SparkSession, base: str) -> list[tuple[str, int]]:
+    """Loads that have begun and not come to their end."""
+    rows = read_manifest(spark, base).where("state = 'begun'").select("source", "load").distinct().collect()
+    return sorted((r["source"], r["load"]) for r in rows)
+
+
+def months_of_load(spark: SparkSession, base: str, source: str, load: int) -> set[tuple[str, str]]:
+    """(provider, month) that an earlier run of the load has, or may have, brought rows for: by the manifest, or by
+    its folders where it broke off before."""
+    rows = read_manifest(spark, base).where((F.col("source") == source) & (F.col("load") == load) & F.col("bill_month").isNotNull())
+    found = {(r["provider"], r["bill_month"]) for r in rows.select("provider", "bill_month").collect()}
+    return found | {(v["provider"], v["bill_month"]) for v in map(_values, landed_folders(spark, base, source, load))}
+
+
+def drop_load(spark: SparkSession, base: str, source: str, load: int, manifest: bool = False) -> None:
+    """Remove what a load has stored, but for the fact and the rollup, which are rebuilt by month."""
+    own = f"source={source}/load={load}"
+    patterns = [f"{LANDING}/bill_month=*/provider=*/{own}", f"{COPIES}/bill_month=*/{own}", f"{QUARANTINE}/provider=*/{own}",
+                f"{LOAD_COUNTS}/provider=*/{own}", f"{INPUT_FILES}/{own}", *[f"{d}/source={source}/load_id={load}" for d in DIM_KEYS]]
+    patterns += [f"{MANIFEST}/{own}"] if manifest else []
+    for pattern in patterns:
+        for folder in _folders(spark, _path(base, pattern)):
+            drop_folder(spark, folder)
+
+
+# --- copies ----------------------------------------------------------------------------------
+def write_copies(rows: DataFrame, base: str, source: str, load: int) -> None:
+    """How often each fingerprint occurs in each month of a load's canonical rows."""
+    from costmart.operators.fact import fingerprints
+
+    counted = (rows.select(bill_month("date_key").alias("bill_month"), *fingerprints()).groupBy("bill_month", "fp_hi", "fp_lo")
+               .agg(F.count(F.lit(1)).alias("copies")))
+    tagged = counted.withColumns({"source": F.lit(source), "load": F.lit(int(load)).cast("long")})
+    _write(tagged.hint("rebalance", "bill_month"), _path(base, COPIES), ("bill_month", "source", "load"), replace_all=False)
+
+
+def read_copies(spark: SparkSession, base: str, months: list[str]) -> DataFrame:
+    """The stored counts of the months; those of loads that have none (of an older mart) are taken from their rows."""
+    from costmart.operators.fact import fingerprints
+
+    root = _path(base, COPIES)
+    have = [f for m in months for f in _folders(spark, f"{root}/bill_month={m}/source=*/load=*")]
+    known = {tuple(_values(f)[k] for k in ("bill_month", "source", "load")) for f in have}
+    out = spark.read.schema(COPIES_SCHEMA).option("basePath", root).parquet(*have) if have else spark.createDataFrame([], COPIES_SCHEMA)
+    missing = [f for f in landed_folders(spark, base, months=months) if tuple(_values(f)[k] for k in ("bill_month", "source", "load")) not in known]
+    if missing:
+        rows = _landing(spark, base, missing).select("bill_month", "source", "load", *fingerprints())
+        out = out.unionByName(rows.groupBy("fp_hi", "fp_lo", "bill_month", "source", "load").agg(F.count(F.lit(1)).alias("copies")))
+    return out
 
 
 # --- the fact and its rollup -----------------------------------------------------------------
@@ -135,22 +287,25 @@ def _rollup_agrees(spark: SparkSession, base: str) -> bool:
 
 
 def write_fact_months(fact: DataFrame, base: str, distributed: bool = True, replace_all: bool = False,
-                      months: list[str] | None = None) -> None:
-    """Write fact rows: the whole table with ``replace_all``, else only the months present in ``fact``.
-    The daily rollup, if the mart has one, is refreshed for the same months; until that is done, readers
-    don't use it.
+                      months: list[str] | None = None, append: bool = False) -> None:
+    """Write fact rows: the whole table with ``replace_all``, else only the months present in ``fact``; with
+    ``append`` they are added to those months, whose files stay as they are. The daily rollup, if the mart has one, is
+    refreshed for the same months; until that is done, readers don't use it.
 
     ``fact`` is expected as ``build_fact`` returns it (already distributed); pass ``distributed=False``
     for any other input. ``months`` names the months in ``fact`` where the caller knows them; otherwise
-    the written rows' first and last month bound what is refreshed.
+    the written rows' first and last month bound what is refreshed. Of ``months`` that have no row left the folder goes.
     """
     spark = fact.sparkSession
     had_rollup = has_table(spark, base, ROLLUP_TABLE)
     if had_rollup:
         _mark_rollup(spark, base, False)
     laid_out = assert_schema(cluster_layout(fact, distributed), FACT_STORED_SCHEMA)
-    _write(laid_out, _path(base, FACT_TABLE), ("bill_month",), replace_all)
-    if not had_rollup:
+    if append:
+        laid_out.write.mode("append").partitionBy("bill_month").parquet(_path(base, FACT_TABLE))
+    else:
+        _write(laid_out, _path(base, FACT_TABLE), ("bill_month",), replace_all)
+    if not had_rollup or append:
         return
     if months is None and not replace_all:
         span = fact.agg(F.min("date_key").alias("a"), F.max("date_key").alias("b")).first()
@@ -162,6 +317,24 @@ def write_fact_months(fact: DataFrame, base: str, distributed: bool = True, repl
         write_rollup_months(spark, base, months)
 
 
+def drop_months(spark: SparkSession, base: str, months: list[str]) -> None:
+    """Remove whole months of the fact and the rollup."""
+    for m in months:
+        for table in (FACT_TABLE, ROLLUP_TABLE):
+            drop_folder(spark, f"{_path(base, table)}/bill_month={m}")
+
+
+def append_rollup(fact: DataFrame, base: str) -> None:
+    """Add the partial sums of rows that were appended to the fact. A day's key then has a row for each load, which
+    reports add up like any others; ``write_rollup_months`` folds them."""
+    from costmart.operators.rollup import daily_rollup
+
+    rows = daily_rollup(fact.withColumn("bill_month", bill_month("date_key")))
+    rows.hint("rebalance", "bill_month").sortWithinPartitions("bill_month", "date_key").write.mode("append").partitionBy(
+        "bill_month").parquet(_path(base, ROLLUP_TABLE))
+    _mark_rollup(fact.sparkSession, base, True)
+
+
 def read_fact(spark: SparkSession, base: str) -> DataFrame:
     fact = spark.read.schema(FACT_STORED_SCHEMA).parquet(_path(base, FACT_TABLE))
     return assert_schema(fact, FACT_STORED_SCHEMA, ordered=False).select(*FACT_STORED_SCHEMA.fieldNames())
@@ -191,7 +364,9 @@ def write_rollup_months(spark: SparkSession, base: str, months: list[str] | None
 
 def read_rollup(spark: SparkSession, base: str) -> DataFrame | None:
     """The stored daily rollup, or None when the mart has none that agrees with its fact."""
-    return spark.read.parquet(_path(base, ROLLUP_TABLE)) if _rollup_agrees(spark, base) else None
+    from costmart.operators.rollup import ROLLUP_SCHEMA
+
+    return _read(spark, base, ROLLUP_TABLE, ROLLUP_SCHEMA) if _rollup_agrees(spark, base) else None
 
 
 # --- dimensions ------------------------------------------------------------------------------
@@ -231,7 +406,9 @@ def _current(spark: SparkSession, base: str, name: str) -> DataFrame:
     build has, so the order and the number of the loads don't matter. Others: the latest load's; of
     loads with one number, that of the greater source name. One map-side combined aggregate.
     """
-    loads = spark.read.parquet(_path(base, name))
+    last_seen = [StructField("last_seen", DateType())] if name == "dim_account" else []
+    loads = _read(spark, base, name, StructType([*DIM_SCHEMAS[name].fields, *last_seen, StructField("source", StringType()),
+                                                 StructField("load_id", LongType())]))
     key, attrs = DIM_KEYS[name], [f for f in DIM_SCHEMAS[name].fieldNames() if f != DIM_KEYS[name]]
     if name == "dim_account":
         order = ["last_seen", "account_name", "team", "environment"]

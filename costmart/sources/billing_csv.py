@@ -8,6 +8,7 @@ instead of silently loading values into the wrong columns.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from costmart.sources.layouts import SourceLayout
@@ -26,6 +27,16 @@ def _reader(spark: SparkSession, schema: StructType, corrupt_column: str | None)
     return r
 
 
+#: What ``with_input_file`` adds.
+INPUT_COLUMNS = ("input_file", "input_size", "input_time")
+
+
+def with_input_file(raw: DataFrame) -> DataFrame:
+    """The columns of ``raw``, read from files, with each row's file: path, size and modification time."""
+    return raw.select("*", F.col("_metadata.file_path").alias("input_file"), F.col("_metadata.file_size").alias("input_size"),
+                      F.col("_metadata.file_modification_time").alias("input_time"))
+
+
 def read_export(spark: SparkSession, path: str, layout: SourceLayout,
                 keep_corrupt: bool = False) -> DataFrame:
     """Raw export rows in ``layout.raw_schema``.

@@ -5,32 +5,46 @@ what is there, then stop), so a daily scheduler call is one bounded job; the str
 remembers which files were taken. Each micro-batch (``foreachBatch``) is one load
 (``plans.loads.load_exports_into``), the same as a batch load, into the same landed store:
 
-1. its lines are parsed once; what it drops or can read only in part goes to the quarantine, and one
-   row of counts is written, also for a batch of which no row is kept;
-2. its canonical rows are landed under the touched months; a replayed batch replaces itself;
-3. the fact and the rollup of those months are rebuilt from *all* landed rows of those months,
-   whichever load brought them (a late file therefore yields the same ids as a full rebuild: copies
-   of a line item share a date, so they share a month), and only those month folders are replaced;
+1. files that any load has taken before are left out, by the mart's own record of files: a second inbox with its
+   own state folder, a file delivered twice or a lost checkpoint brings no row twice;
+2. its canonical rows are landed under the touched months, and one row of counts is written, also for a batch of
+   which no row is kept; what it drops or can read only in part goes to the quarantine;
+3. its rows are appended to the fact and the rollup of those months, numbered behind the copies that are there, so a
+   late file yields the same ids as a full rebuild and no stored file is written again. A replayed batch takes back what it brought and
+   rebuilds its months;
 4. the batch's dimension rows are added as a new load.
 
-Run the providers one after the other against one mart: two batches rewriting the same month
-at the same time would race.
+Run the providers one after the other against one mart: two loads into one mart at the same time would race.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
-from costmart.plans.loads import load_exports_into
+from costmart.plans.loads import load_exports_into, load_files_into
 from costmart.sinks.mart_store import read_landing
-from costmart.sources.billing_csv import CORRUPT_COLUMN
+from costmart.sources.billing_csv import CORRUPT_COLUMN, INPUT_COLUMNS, with_input_file
 from costmart.sources.layouts import SourceLayout
 
 
-def _process_batch(spark: SparkSession, layout: SourceLayout, base: str, load_offset: int):
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity that Spark gave the stream when its checkpoint was made."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _process_batch(spark: SparkSession, layout: SourceLayout, base: str, load_offset: int, checkpoint: str | None = None):
+    """Loads are numbered within a checkpoint, so its identity is part of their source."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        load_exports_into(spark, [(layout, batch)], base, source=f"stream-{layout.provider}", load=load_offset + batch_id + 1)
+        source, load = f"stream-{layout.provider}", load_offset + batch_id + 1
+        if checkpoint:
+            source += f"-{_stream_id(spark, checkpoint)}"
+        if set(INPUT_COLUMNS) <= set(batch.columns):
+            load_files_into(spark, layout, batch, base, source, load)
+        else:
+            load_exports_into(spark, [(layout, batch)], base, source, load)
     return run
 
 
@@ -45,10 +59,11 @@ def ingest_new_files(spark: SparkSession, layout: SourceLayout, inbox: str, base
               .option("enforceSchema", "false"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.csv(inbox)
+    stream = with_input_file(reader.csv(inbox))
+    checkpoint = f"{state_dir.rstrip('/')}/checkpoint-{layout.provider}"
     query = (stream.writeStream
-             .foreachBatch(_process_batch(spark, layout, base, load_offset))
-             .option("checkpointLocation", f"{state_dir.rstrip('/')}/checkpoint-{layout.provider}")
+             .foreachBatch(_process_batch(spark, layout, base, load_offset, checkpoint))
+             .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()

@@ -387,6 +387,14 @@ SELECT cloud_provider, COUNT(*) AS num_line_items, {rnd(money_sum(), 2)} AS tota
        {rnd("SUM(CASE WHEN abs(cost_usd) < 0.001 THEN CAST(cost_usd AS DECIMAL(38,16)) ELSE 0 END)", 9)} AS small_cost_usd
 FROM fact GROUP BY cloud_provider"""
 
+APPENDED = f"""
+SELECT substr(date_key, 1, 7) AS bill_month, cloud_provider, 2 * COUNT(*) AS num_line_items, 2 * COUNT(*) AS distinct_ids,
+       {rnd('2 * ' + money_sum(), 2)} AS total_cost_usd, true AS same_ids
+FROM fact GROUP BY 1, 2"""
+REJECTED = f"""
+SELECT CAST(0 AS BIGINT) AS rejected_after, (SELECT count_if(NOT ({AWS_KEEP})) FROM aws_raw)::BIGINT
+     + (SELECT count_if(NOT ({GCP_KEEP})) FROM gcp_raw)::BIGINT AS rejected_before"""
+
 STORAGE = {
     "scan_aws_csv": "SELECT * FROM aws",
     "scan_gcp_csv": "SELECT * FROM gcp",
@@ -400,6 +408,11 @@ SELECT substr(date_key, 1, 7) AS bill_month, date_key, cloud_provider, COUNT(*)
 FROM fact GROUP BY 1, 2, 3""",
     "month_reload": MONTH_STATS,
     "ingest_after_batch": "SELECT * FROM fact",
+    "ingest_two_inboxes": "SELECT * FROM fact",
+    "shorter_replay": "SELECT * FROM fact WHERE cloud_provider = 'GCP' OR date_key < '2024-07-01'",
+    "appended_loads": APPENDED,
+    "empty_mart_summary": f"SELECT table_name, CAST(0 AS BIGINT) AS row_count FROM ({SUMMARY})",
+    "quarantine_empty": REJECTED,
     "upsert_dimension": "SELECT * FROM dim_account",
     "validate_mart": VALIDATE,
     "quarantine": _quarantine(
