@@ -13,7 +13,7 @@ Spark's ANSI arithmetic fails rather than wraps. Results are rounded half-up and
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(38,14)"
@@ -85,6 +85,20 @@ def joined_sums(sums: list[Column]) -> Column:
             + second.cast("decimal(19,0)") * F.expr("0.00000000000001BD")).cast(MONEY)
 
 
+_LIMBS = ("_units", "_d7", "_d14", "_rest")
+
+
+def with_limbs(df: DataFrame, col: str = "cost_usd") -> DataFrame:
+    """``df`` with the parts of a cost as columns, made once a row however many sums use them (``limb_sums``)."""
+    return df.withColumns(dict(zip(_LIMBS, [*limbs(col), rest(col)])))
+
+
+def limb_sums(exact: str = "s", other: str = "x", rows: Column | None = None) -> list[Column]:
+    """The exact and the other sum over ``with_limbs`` rows, or over those that meet a condition."""
+    parts = [F.sum(F.when(rows, F.col(c)) if rows is not None else F.col(c)) for c in _LIMBS]
+    return [joined_sums(parts[:3]).alias(exact), F.coalesce(parts[3], F.lit(0.0)).alias(other)]
+
+
 def money_sums(col: str | Column, exact: str = "s", other: str = "x") -> list[Column]:
     """The exact and the other sum of a cost column (combine partial sums with ``F.sum`` again)."""
     return [joined_sums([F.sum(limb) for limb in limbs(col)]).alias(exact), F.sum(rest(col)).alias(other)]

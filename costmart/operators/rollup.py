@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import DecimalType, DoubleType, LongType, StringType, StructField, StructType
 
-from costmart.functions.money import money_sums
+from costmart.functions.money import limb_sums, with_limbs
 
 ROLLUP_KEYS = ["date_key", "cloud_provider", "service_key", "account_key", "region_key", "tag_team",
                "tag_environment"]
@@ -38,10 +38,10 @@ def daily_rollup(fact: DataFrame) -> DataFrame:
                                                   F.col("tags")["environment"].alias("tag_environment")]
     if "bill_month" in fact.columns:
         keys.append(F.col("bill_month"))
-    return fact.groupBy(*keys).agg(
-        *money_sums(c, "cost_sum", "cost_rest"),
-        *money_sums(F.when(c > 0, c), "gross_sum", "gross_rest"),
-        *money_sums(F.when(c < 0, c), "credit_sum", "credit_rest"),
+    return with_limbs(fact).groupBy(*keys).agg(
+        *limb_sums("cost_sum", "cost_rest"),
+        *limb_sums("gross_sum", "gross_rest", c > 0),
+        *limb_sums("credit_sum", "credit_rest", c < 0),
         F.count(F.lit(1)).alias("line_items"),
         F.count_if(c < 0).alias("credit_items"),
     )

@@ -22,6 +22,7 @@ from costmart.operators.fact import build_fact, fact_lines, fingerprints
 from costmart.operators.normalize import normalize_with_files
 from costmart.operators.quality import count_columns, quarantine
 from costmart.schemas import CANONICAL_COLUMNS
+from costmart.session import together
 from costmart.sinks import mart_store as store
 from costmart.sources.billing_csv import INPUT_COLUMNS
 from costmart.sources.layouts import SourceLayout
@@ -80,29 +81,37 @@ def load_exports_into(spark: SparkSession, exports: list[tuple[SourceLayout, Dat
             store.drop_load(spark, base, *x, manifest=True)
 
     landed, counts = _land(spark, exports, base, source, load, replace_all)
-    rows = [(p, *(counts[p][n] for n in store.COUNT_NAMES)) for p in counts]
-    by_provider = store.literal_rows(spark, store.LOAD_COUNTS_SCHEMA, [(*r, r[0], source, load) for r in rows])
-    rejected = [quarantine(raw, layout) for layout, raw in exports
-                if counts[layout.provider]["dropped_rows"] or counts[layout.provider]["malformed_rows"]]
-    store.write_load_record(by_provider, reduce(DataFrame.unionByName, rejected) if rejected else None, base, source, load, replace_all)
-    if input_files:
-        store.write_input_files(store.literal_rows(spark, store.INPUT_FILES_SCHEMA, [(*f, source, load) for f in input_files])
-                                .drop("source", "load"), base, source, load)
+
+    def record() -> None:
+        rows = [(p, *(counts[p][n] for n in store.COUNT_NAMES), p, source, load) for p in counts]
+        rejected = [quarantine(raw, layout) for layout, raw in exports
+                    if counts[layout.provider]["dropped_rows"] or counts[layout.provider]["malformed_rows"]]
+        store.write_load_record(store.literal_rows(spark, store.LOAD_COUNTS_SCHEMA, rows),
+                                reduce(DataFrame.unionByName, rejected) if rejected else None, base, source, load, replace_all)
+        if input_files:
+            files = store.literal_rows(spark, store.INPUT_FILES_SCHEMA, [(*f, source, load) for f in input_files])
+            store.write_input_files(files.drop("source", "load"), base, source, load)
 
     own = store.read_landed_load(spark, base, source, load).select(*CANONICAL_COLUMNS)
-    if landed or replace_all:
-        store.write_dimensions(own, base, load, source, replace_all)
-    if landed:
-        store.write_copies(own, base, source, load)
     months = sorted({m for _, m in landed} | {m for _, m in earlier})
-    if replace_all:
-        store.write_fact_months(build_fact(own, copies=store.read_copies(spark, base, months)), base, replace_all=True)
-    elif earlier:
-        _rebuild(spark, base, months)
-    elif landed:
-        _append(spark, base, own, source, load, months)
-    if (landed or replace_all) and store.read_rollup(spark, base) is None:
-        store.write_rollup_months(spark, base)
+
+    def dimensions() -> None:
+        if landed or replace_all:
+            store.write_dimensions(own, base, load, source, replace_all)
+
+    def fact() -> None:
+        if landed:
+            store.write_copies(own, base, source, load)
+        if replace_all:
+            store.write_fact_months(build_fact(own, copies=store.read_copies(spark, base, months)), base, replace_all=True)
+        elif earlier:
+            _rebuild(spark, base, months)
+        elif landed:
+            _append(spark, base, own, source, load, months)
+        if (landed or replace_all) and store.read_rollup(spark, base) is None:
+            store.write_rollup_months(spark, base)
+
+    together(record, dimensions, fact)
     store.write_manifest(spark, base, source, load, landed, "done")
     return months
 

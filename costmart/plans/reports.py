@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costmart.functions.dates import year_bounds
-from costmart.functions.money import amount, money_sums, rounded_ratio, total
+from costmart.functions.money import amount, limb_sums, money_sums, rounded_ratio, total, with_limbs
 from costmart.operators.rollup import is_rollup
 
 COST = "cost_usd"
@@ -184,12 +184,13 @@ def tag_spend(fact: DataFrame, tag: str = "team") -> DataFrame:
 def net_gross_credits(fact: DataFrame) -> DataFrame:
     """Gross spend (positive items), credits (negative items) and net spend per provider."""
     c = F.col(COST)
-    parts = {"gross": F.when(c > 0, c), "credit": F.when(c < 0, c), "cost": c}
+    parts = {"gross": c > 0, "credit": c < 0, "cost": None}
     if is_rollup(fact):
         aggs = [F.sum(f"{p}_{k}").alias(f"{p}_{k}") for p in parts for k in ("sum", "rest")]
         aggs.append(F.sum("credit_items").alias("num_credit_items"))
     else:
-        aggs = [a for p, v in parts.items() for a in money_sums(v, f"{p}_sum", f"{p}_rest")]
+        fact = with_limbs(fact)
+        aggs = [a for p, rows in parts.items() for a in limb_sums(f"{p}_sum", f"{p}_rest", rows)]
         aggs.append(F.count_if(c < 0).alias("num_credit_items"))
     return (fact.groupBy("cloud_provider").agg(*aggs)
             .select("cloud_provider", total(2, "gross_sum", "gross_rest").alias("gross_cost_usd"),

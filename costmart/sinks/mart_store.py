@@ -24,6 +24,8 @@ has rows for. Each write says which, whatever the session's setting.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, LongType, StringType, StructField, StructType, TimestampType
@@ -441,14 +443,15 @@ def write_dimensions(combined: DataFrame, base: str, load_id: int = INITIAL_LOAD
     """Build and write all four dimensions from one pass over ``combined``.
 
     The grouping-sets aggregate (dimension-sized output) is persisted while the four writes
-    read it and released afterwards; a lost cache block is recomputed from its lineage.
+    read it, side by side, and released afterwards; a lost cache block is recomputed from its lineage.
     """
     from costmart.operators.dimensions import dimension_keys, dimensions_from_keys
+    from costmart.session import together
 
     keys = dimension_keys(combined).persist()
     try:
-        for name, dim in dimensions_from_keys(keys, keep_last_seen=True).items():
-            write_dimension(dim, base, name, load_id, source, replace_all)
+        together(*[partial(write_dimension, dim, base, name, load_id, source, replace_all)
+                   for name, dim in dimensions_from_keys(keys, keep_last_seen=True).items()])
     finally:
         keys.unpersist()
 
