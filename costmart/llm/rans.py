@@ -82,6 +82,8 @@ class Encoder:
 
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        if self.tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("the files hold ids of 16 bits; this tokenizer has larger ones")
         self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}  # ids of cores and tails
@@ -142,7 +144,8 @@ class Encoder:
         core = word.rstrip(_TAIL)
         # the core must end in an ASCII letter or digit, and no special token may reach across the cut
         if len(core) < len(word) and core[-1:].isalnum() and b"<" not in word:
-            return core.lower(), word[len(core):]
+            # the tokenizer composes marks before it lowers letters, so only a core without them may be lowered here
+            return (core.lower() if core.isascii() else core), word[len(core):]
         return (word.lower() if word.isalpha() else word), b""
 
 

@@ -133,3 +133,17 @@ def test_string_ids_and_empty_table(spark):
     folder = scratch_path(spark, "rans-test")
     index = rans.write_files(rans.tokenize(docs(spark, [])), folder)
     assert rans.read_documents(index, folder).collect() == []
+
+
+def test_letters_with_marks_before_punctuation():
+    """The tokenizer composes before it lowers: no ASCII letter with a mark behind it may be lowered on the way."""
+    import string
+
+    from tokenizers import Tokenizer
+
+    path = rans.tokenizer_path()
+    words = [f"{c}{chr(m)}{tail}" for c in string.ascii_letters for m in range(0x300, 0x370) for tail in ("ab,", "b1.", "Q)", ";")]
+    encoder, plain = rans.Encoder(path), Tokenizer.from_file(path)
+    got = encoder._ids([w.encode() for w in words])
+    want = [e.ids for e in plain.encode_batch(words, add_special_tokens=False)]
+    assert [np.frombuffer(g, "<u2").tolist() for g in got] == want
