@@ -20,6 +20,7 @@ a component of null ids only has a null component_id.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations, islice
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costmart.llm.common import LOWER_ASCII, stored, utf8
+from costmart.llm.common import LOWER_ASCII, free_name, ship, stored, utf8
 
 SEED = 42
 SHINGLES_AT_ONCE = 1 << 15
@@ -239,8 +240,14 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                     max_bits: int = 2, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """(id, fp, component_id), one row per row of ``docs``; see the module's docstring."""
+    ship(docs.sparkSession)
     prints = stored(docs.select(F.col(id_col).alias("id"), fingerprint_column(text_col, shingle_words).alias("fp")),
                     "simhash-prints")
+    return prints.join(_component_ids(prints, max_bits, hot_bucket), "fp").select("id", "fp", "component_id")
+
+
+def _component_ids(prints: DataFrame, max_bits: int, hot_bucket: int) -> DataFrame:
+    """(fp, component_id) of stored (id, fp); fingerprints of one id are one document."""
     distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("id"), F.count("*").alias("n")), "simhash-distinct")
     pairs = links(distinct.select("fp"), max_bits, hot_bucket)
     # a node is ordered by its least id first, so that the root of a component has the least id
@@ -259,24 +266,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                  F.lit(True).alias("linked")), "simhash-roots")
     ids = distinct.join(rooted, "fp", "left").select(
         "fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
-    ids = stored(ids, "simhash-components")
-    return prints.join(ids, "fp").select("id", "fp", "component_id")
+    return stored(ids, "simhash-components")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
-             max_bits: int = 2) -> DataFrame:
-    """``docs`` with one row per component: that of the least id (of rows sharing it, one). Rows of a
-    null id can't be told apart, so they are all kept."""
-    found = near_duplicates(docs, id_col, text_col, shingle_words, max_bits)
-    gone = (found.where(F.col("id") != F.col("component_id")).select(F.col("id").alias(id_col))
-            .distinct())
-    left = docs.join(stored(gone, "simhash-gone"), id_col, "left_anti").select(*docs.columns)
-    twice = stored(found.where(F.col("id").isNotNull()).groupBy(F.col("id").alias(id_col)).count()
-                   .where(F.col("count") > 1).select(id_col), "simhash-repeated")
+             max_bits: int = 2, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+    """``docs`` with one row per component of linked fingerprints: that of the least id (null last), then of the least hash of
+    its text and of its row; of rows equal in every column one stays. Texts are linked by their fingerprints alone: unlike texts of one id are
+    different documents here, and equal texts of a null id are copies."""
+    ship(docs.sparkSession)
+    hashed = [c for c, t in docs.dtypes if not t.startswith(("map", "variant"))]
+    names = [free_name(docs, n) for n in ("k_id", "k_text", "k_row")]
+    key = dict(zip(names, (F.col(id_col), F.xxhash64(text_col), F.xxhash64(*hashed))))
+    prints = stored(docs.select(fingerprint_column(text_col, shingle_words).alias("fp"), *[v.alias(k) for k, v in key.items()]), "simhash-prints")
+    ids = _component_ids(prints.select(F.col("fp").alias("id"), "fp"), max_bits, hot_bucket)
+    # aggregated per task first, so copies cost a row per task
+    rows = stored(prints.groupBy("fp", *key).agg(F.count("*").alias("n")).join(ids, "fp"), "simhash-rows")
+    order = F.struct(F.col(names[0]).isNull().alias("z"), *key)
+    best = rows.groupBy("component_id").agg(F.min(order).alias("best"))
+    judged = rows.join(best, "component_id").withColumn("stays", order == F.col("best"))
+    on = reduce(lambda a, b: a & b, [own.eqNullSafe(F.col(k)) for k, own in key.items()])
+    gone = stored(judged.where(~F.col("stays")).select(*key), "simhash-gone")
+    left = docs.join(gone, on, "left_anti")
+    twice = stored(judged.where(F.col("stays") & (F.col("n") > 1)).select(*key), "simhash-repeated")
     if twice.isEmpty():
         return left
-    repeated = left.join(twice, id_col, "left_semi").select(*docs.columns).dropDuplicates([id_col])
-    return left.join(twice, id_col, "left_anti").select(*docs.columns).unionByName(repeated)
+    one = left.join(twice, on, "inner").dropDuplicates(list(key)).select(*[left[c] for c in docs.columns])
+    return left.join(twice, on, "left_anti").unionByName(one)
 
 
 def query(spark, sf_dir) -> DataFrame:

@@ -104,16 +104,44 @@ def test_chains_and_stars(spark):
 
 
 def test_one_of_each_group_stays(spark):
+    """By fingerprints alone: each text counts as a document of its own."""
     texts = corpus()
     table = docs(spark, texts)
     kept = simhash.keep_one(table)
     assert kept.columns == table.columns
-    ids = [r.doc_id for r in kept.collect()]
-    component = {r.id: r.component_id for r in simhash.near_duplicates(table).collect()}
-    assert sorted(i for i in ids if i is not None) == sorted({c for i, c in component.items() if i is not None})
-    assert ids.count(None) == sum(i is None for i, _ in texts)
+    number = {t: n for n, t in enumerate(dict.fromkeys(t for _, t in texts))}
+    alone = docs(spark, [(n, t) for t, n in number.items()])
+    component = {r.id: r.component_id for r in simhash.near_duplicates(alone).collect()}
+    rows = kept.collect()
+    assert sorted(component[number[r.text]] for r in rows) == sorted(set(component.values()))
+    for r in rows:
+        ids = [i for i, t in texts if component[number[t]] == component[number[r.text]] and i is not None]
+        assert r.doc_id == min(ids, default=None)
 
 
 def test_empty_table(spark):
     assert simhash.near_duplicates(docs(spark, [])).collect() == []
     assert simhash.keep_one(docs(spark, [])).collect() == []
+
+
+def test_keep_one_judges_texts(spark):
+    """Unlike texts of one id stay; of equal texts of null ids, and of rows that repeat, one does."""
+    texts = [(1, prose(1, 40)), (1, prose(2, 40)), (None, prose(3, 40)), (None, prose(3, 40)), (5, prose(1, 40)), (6, prose(4, 40)),
+             (6, prose(4, 40)), (7, None), (None, ""), (8, prose(5, 40)), (9, prose(5, 40)), (2, prose(2, 40))]
+    kept = simhash.keep_one(docs(spark, texts).withColumnRenamed("rows", "k_id"))
+    got = sorted(((str(r.doc_id), r.text) for r in kept.collect()), key=str)
+    want = [(1, prose(1, 40)), (1, prose(2, 40)), (None, prose(3, 40)), (6, prose(4, 40)), (7, None), (8, prose(5, 40))]
+    assert got == sorted(((str(i), t) for i, t in want), key=str)
+
+
+def test_keep_one_against_components(spark):
+    texts = [(i % 37 if i % 11 else None, prose(i % 23, 30) + (" tail" if i % 5 == 0 else "")) for i in range(120)]
+    prints = {r.text: r.fp for r in docs(spark, texts).select("text", simhash.fingerprint_column("text", 3).alias("fp")).collect()}
+    group = {t: {u for u in prints if bin((prints[t] ^ prints[u]) & (2**64 - 1)).count("1") <= 2} for t in prints}
+    for _ in prints:
+        group = {t: set().union(*(group[u] for u in g)) for t, g in group.items()}
+    kept = simhash.keep_one(docs(spark, texts)).collect()
+    assert sorted(min(group[r.text]) for r in kept) == sorted({min(g) for g in group.values()})
+    for r in kept:
+        ids = [i for i, t in texts if t in group[r.text] and i is not None]
+        assert r.doc_id == (min(ids) if ids else None)
