@@ -37,6 +37,8 @@ from costmart.session import scratch_path
 REVISIT_BYTES = 1000
 #: An archive is closed beyond this size.
 ARCHIVE_BYTES = 256 << 20
+#: A task reads about so much of the archives.
+TASK_BYTES = 16 << 20
 #: One read takes ranges up to this size together, and skips gaps up to that.
 READ_BYTES, GAP_BYTES = 8 << 20, 64 << 10
 #: More groups of copies than this are joined by a shuffle; up to it (about 60 bytes each) by broadcast.
@@ -187,10 +189,13 @@ def ranges(rows: list[tuple[str, int, int]], read_bytes: int = READ_BYTES, gap_b
     return out
 
 
-def read_records(index: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records of ``index`` (any selection of its rows): ``_RECORD``."""
+def read_records(index: DataFrame, folder: str, with_payload: bool = True, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """The records of ``index`` (any selection of its rows): ``_RECORD``. A task reads about ``task_bytes``."""
     wanted = index.select("archive", "offset", "length")
-    sorted_rows = wanted.repartitionByRange("archive", "offset").sortWithinPartitions("archive", "offset")
+    # the index rows are narrow, so their own size says nothing about the work: tasks follow the archives' bytes
+    size = wanted.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-size // task_bytes))
+    sorted_rows = wanted.repartitionByRange(tasks, "archive", "offset").sortWithinPartitions("archive", "offset")
     names = [x.split()[0] for x in _RECORD.split(", ")]
     types = [{"long": pa.int64(), "binary": pa.binary()}.get(x.split()[1], pa.string()) for x in _RECORD.split(", ")]
 

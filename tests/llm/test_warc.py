@@ -76,3 +76,12 @@ def test_a_damaged_record_is_refused():
         warc.parse(data.replace(b"payload", b"PAYLOAD"))
     with pytest.raises(ValueError):
         warc.parse(data[:-1])
+
+
+def test_reading_tasks_follow_the_archives(spark, scratch):
+    pages = spark.range(400).selectExpr("id AS page_id", "concat('http://x/', id) AS url", "repeat(concat('<p>', id), 200) AS html")
+    folder = scratch("warc-tasks")
+    index = warc.write_archives(pages.repartition(4), folder, archive_bytes=20_000)
+    few, many = (warc.read_records(index, folder, task_bytes=n) for n in (1 << 30, 4_000))
+    assert few.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() > 5
+    assert sorted(r.page_id for r in many.collect()) == sorted(r.page_id for r in few.collect())
