@@ -18,8 +18,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from functools import lru_cache, wraps
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -39,6 +39,8 @@ MIN_RANDOM = 20
 MAX_RATIO = 2.2
 #: For letters with separators among them: many names joined of short words have 1.8 to 2.2, random letters 1.4 to 1.7.
 MAX_JOINED = 1.8
+#: Runs whose result a worker keeps, and their length.
+CACHED_RUNS, CACHED_CHARS = 1 << 16, 256
 RUN = re.compile(r"[A-Za-z0-9+/_=.-]{%d,}" % MIN_RANDOM)
 _FIXED = re.compile(
     r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})"  # md5, sha1, sha2
@@ -68,7 +70,18 @@ def _encoding(path: str):
     return tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-@lru_cache(maxsize=1 << 16)
+def _remembered(f):
+    """Results for runs of up to ``CACHED_CHARS`` are kept; a longer one is rarely met twice and would fill the memory."""
+    kept = lru_cache(maxsize=CACHED_RUNS)(f)
+
+    @wraps(f)
+    def of(run: str, path: str):
+        return (kept if len(run) <= CACHED_CHARS else f)(run, path)
+
+    return of
+
+
+@_remembered
 def is_random(run: str, path: str) -> bool:
     core = run.strip("=./-_+")
     if len(core) < MIN_RANDOM or _FIXED.fullmatch(core):
@@ -109,7 +122,7 @@ def _highest(scores: list[float]) -> list[tuple[int, int]]:
     return [(s, e) for s, e, *_ in found]
 
 
-@lru_cache(maxsize=1 << 16)
+@_remembered
 def random_parts(run: str, path: str) -> tuple[tuple[int, int], ...]:
     """(start, end) of what is random in a run: all of it, or stretches of its pieces."""
     if is_random(run, path):
@@ -140,21 +153,23 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(spans)
 
 
-def _left(start: int, end: int, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """What the spans, which are sorted, leave of start .. end."""
-    for s, _, e in taken:
-        if s >= end:
-            break
-        if e > start:
-            if s > start:
-                yield start, s
-            start = e
-    if start < end:
-        yield start, end
+def _left(runs: Iterable[tuple[int, int]], taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What the spans leave of the runs. Both are sorted and no two runs overlap: one walk over both."""
+    at, covered = 0, 0  # the next span, and where those before it end at the latest
+    for start, end in runs:
+        while start < end:
+            while at < len(taken) and taken[at][0] <= start:
+                covered = max(covered, taken[at][2])
+                at += 1
+            start = max(start, covered)
+            stop = min(end, taken[at][0]) if at < len(taken) else end
+            if start < stop:
+                yield start, stop
+            start = max(start, stop)
 
 
 def random_spans(text: str, taken: list[tuple[int, int, int]], path: str) -> list[tuple[int, int, int]]:
-    return [(s + a, 3, s + b) for m in RUN.finditer(text) for s, e in _left(m.start(), m.end(), taken)
+    return [(s + a, 3, s + b) for s, e in _left((m.span() for m in RUN.finditer(text)), taken)
             for a, b in random_parts(text[s:e], path)]
 
 

@@ -152,3 +152,21 @@ def test_digest(spark, tmp_path):
 
 def test_empty_table(spark):
     assert secrets.find_secrets(docs(spark, [])).collect() == []
+
+
+def test_spans_are_walked_once():
+    """A checksum list: time follows its length, and each run is cut by the spans in it."""
+    import time
+
+    def seconds(lines):
+        text = "\n".join(f"{i:064x}  dist/file-{lines}-{i}.tar.gz" for i in range(lines))
+        base = secrets.base_spans(text)
+        start = time.perf_counter()
+        secrets.random_spans(text, base, secrets.vocabulary_path())
+        return time.perf_counter() - start
+
+    seconds(200)
+    assert seconds(8000) < 8 * seconds(2000) + 0.2
+    runs, taken = [(0, 10), (12, 40), (50, 60)], [(2, 0, 5), (3, 1, 4), (8, 0, 30), (20, 2, 22), (52, 2, 60)]
+    assert list(secrets._left(runs, taken)) == [(0, 2), (5, 8), (30, 40), (50, 52)]
+    assert list(secrets._left(runs, [])) == runs
