@@ -2,7 +2,7 @@
 
 The text is cut as the tokenizer cuts it: spaces become U+2581, one is put before a text that has
 none in front, and a piece starts at each. A piece's count comes from a Viterbi pass that carries
-only the best score and the number of tokens: an Aho-Corasick automaton lists every vocabulary entry
+only the best score and the number of tokens (closed ones, and those of a run of unknown characters that is still open): an Aho-Corasick automaton lists every vocabulary entry
 that ends at a position, in one pass over the piece. The tie rules are the tokenizer's: a later
 candidate replaces an earlier one only with a higher score, and candidates come in order of their
 start, so of equal scores the longest last token wins; a character that is no entry by itself may be
@@ -68,16 +68,21 @@ class Counter:
         return len(encoded) if all(f"<0x{b:02X}>" in self.byte_entries for b in encoded) else 0
 
     def viterbi(self, piece: str) -> int:
+        """Each position carries the best score, the tokens closed on the best way there, and what its open run of
+        unknown characters will count: 0 none, -1 one token, else its bytes. No way is walked back."""
         n, single = len(piece), self.single
-        score, start, entry = [0.0] * (n + 1), [-1] * (n + 1), [False] * (n + 1)
-        open_to = 0  # positions up to here have their unknown candidate
+        score: list[float | None] = [0.0] + [None] * n
+        closed, run = [0] * (n + 1), [0] * (n + 1)
+        open_to, start, at = 0, 0, 0  # positions up to open_to have their unknown candidate; the best start for at
 
         def admit_unknown(upto: int) -> None:
             for e in range(open_to + 1, upto + 1):
                 if piece[e - 1] not in single:
                     s = score[e - 1] + self.unknown
-                    if start[e] < 0 or s > score[e]:
-                        score[e], start[e], entry[e] = s, e - 1, False
+                    if score[e] is None or s > score[e]:
+                        count, before = self._bytes(piece[e - 1]), run[e - 1]
+                        score[e], closed[e] = s, closed[e - 1]
+                        run[e] = before + count if count and before >= 0 else -1
 
         for last, (length, value) in self.automaton.iter(piece):
             e = last + 1
@@ -86,23 +91,11 @@ class Counter:
                 open_to = e - 1
             b = e - length
             s = score[b] + value
-            if start[e] < 0 or s > score[e] or (s == score[e] and b < start[e]):
-                score[e], start[e], entry[e] = s, b, True
+            if score[e] is None or s > score[e] or (s == score[e] and at == e and b < start):
+                score[e], closed[e], run[e] = s, closed[b] + abs(run[b]) + 1, 0
+                at, start = e, b
         admit_unknown(n)
-
-        tokens, e, run = 0, n, 0  # run: unknown characters whose run of tokens is not closed
-        while e > 0:
-            if entry[e]:
-                tokens += self._run(piece[e:e + run]) if run else 0
-                tokens, run = tokens + 1, 0
-            else:
-                run += 1
-            e = start[e]
-        return tokens + (self._run(piece[:run]) if run else 0)
-
-    def _run(self, chars: str) -> int:
-        counts = [self._bytes(c) for c in chars]
-        return sum(counts) if all(counts) else 1
+        return closed[n] + abs(run[n])
 
     def count(self, text: str) -> int:
         if not text:
