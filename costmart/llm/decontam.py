@@ -33,7 +33,9 @@ from costmart.llm.common import stored, table
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 13
 SHINGLE_WORDS = 3
+#: Windows with their words up to this size are broadcast; else their bare keys, each of about so many bytes in a hash table.
 BROADCAST_BYTES = 16 << 20
+BROADCAST_KEY_BYTES, KEY_BYTES = 64 << 20, 100
 
 
 def words_of(text: Column) -> Column:
@@ -89,7 +91,7 @@ def _bytes(df: DataFrame, text: Column) -> int:
 
 
 def occurrences(docs: DataFrame, windows: DataFrame, shingle_words: int = SHINGLE_WORDS,
-                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                broadcast_bytes: int = BROADCAST_BYTES, key_bytes: int = BROADCAST_KEY_BYTES) -> DataFrame:
     """Of ``docs`` (doc_id, th, words): rows (doc_id, th, n_words, start, wid, len): one per occurrence
     of a window, and one per document with start -1."""
     shingles = stored(_shingles(windows, shingle_words), "decontam-shingles")
@@ -98,7 +100,9 @@ def occurrences(docs: DataFrame, windows: DataFrame, shingle_words: int = SHINGL
     keys = shingles.select("key").distinct()
     small = _bytes(windows, F.concat_ws(" ", "words")) * (WINDOW_WORDS + 1) <= broadcast_bytes
     seen = _exploded(docs, lengths).select("key")
-    met = seen.join(F.broadcast(keys) if small else keys, "key") if small else seen.where(F.col("key").isNotNull())
+    # bare keys are far smaller than the windows' words: as long as they fit, only the windows' shingles are shuffled
+    narrow = small or keys.count() * KEY_BYTES <= key_bytes
+    met = seen.join(F.broadcast(keys), "key") if narrow else seen.where(F.col("key").isNotNull())
     counts = met.groupBy("key").agg(F.count("*").alias("df"))
     rarest = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "key", "offset"))
     prefix = stored(shingles.join(counts, "key", "left").groupBy("wid").agg(rarest.alias("p"))
@@ -112,8 +116,9 @@ def occurrences(docs: DataFrame, windows: DataFrame, shingle_words: int = SHINGL
         on = (F.col("key") == F.col("w_key")) & bounds & exact
         found = rows.join(F.broadcast(prefix), on, "left").where((F.col("pos") == -1) | F.col("wid").isNotNull())
         return found.select("doc_id", "th", "n_words", F.when(F.col("pos") == -1, -1).otherwise(start).alias("start"), "wid", "len")
+    starts = prefix.select("w_key", "offset", "wid", "len")
     near = (rows.select("doc_id", "th", "n_words", "pos", "key")
-            .join(prefix.select("w_key", "offset", "wid", "len"), F.col("key") == F.col("w_key")).where(bounds)
+            .join(F.broadcast(starts) if narrow else starts, F.col("key") == F.col("w_key")).where(bounds)
             .select(F.col("doc_id").alias("c_id"), F.col("th").alias("c_th"), start.alias("start"), "wid", "len").distinct())
     one = docs.withColumn("n_words", F.size("words")).dropDuplicates(["doc_id", "th"])
     checked = (near.join(windows.select("wid", F.col("words").alias("w_words")), "wid")
@@ -127,13 +132,14 @@ def occurrences(docs: DataFrame, windows: DataFrame, shingle_words: int = SHINGL
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window_words: int = WINDOW_WORDS,
-                  shingle_words: int = SHINGLE_WORDS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                  shingle_words: int = SHINGLE_WORDS, broadcast_bytes: int = BROADCAST_BYTES,
+                  key_bytes: int = BROADCAST_KEY_BYTES) -> DataFrame:
     """(doc_id, th, n_words, n_hit, items), a row per row of ``docs``: words inside occurrences of
     windows, and the sorted ids of the items that these windows belong to."""
     windows, owners = benchmark_windows(benchmark, item_col, item_text_col, window_words)
     words = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"),
                         words_of(F.col(text_col)).alias("words"))
-    found = stored(occurrences(words, windows, shingle_words, broadcast_bytes), "decontam-found")
+    found = stored(occurrences(words, windows, shingle_words, broadcast_bytes, key_bytes), "decontam-found")
     spots = found.where(F.col("start") >= 0)
     by_start = W.partitionBy("doc_id", "th").orderBy("start", "end")
     reached = F.coalesce(F.max("end").over(by_start.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))

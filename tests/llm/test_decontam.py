@@ -50,16 +50,27 @@ def passages():
     return texts, items
 
 
-@pytest.mark.parametrize("limit", [decontam.BROADCAST_BYTES, 0])
-def test_equals_brute_force(spark, limit):
+@pytest.mark.parametrize("limit,keys", [(decontam.BROADCAST_BYTES, 0), (0, decontam.BROADCAST_KEY_BYTES), (0, 0)])
+def test_equals_brute_force(spark, limit, keys):
     texts, items = passages()
     bench = spark.createDataFrame(items, "item_id long, text string")
-    found = decontam.contamination(docs(spark, texts), bench, broadcast_bytes=limit)
+    found = decontam.contamination(docs(spark, texts), bench, broadcast_bytes=limit, key_bytes=keys)
     got = sorted([(r.doc_id, r.n_words, r.n_hit, list(r["items"])) for r in found.collect()], key=str)
     assert got == brute(texts, items)
     assert sum(1 for g in got if g[2]) > 15
 
 
+def test_only_the_windows_shingles_are_shuffled(spark):
+    """A benchmark beyond the broadcast of its words: the count by key sees only shingles that a window has."""
+    texts, items = passages()
+    windows, _ = decontam.benchmark_windows(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", 13)
+    words = docs(spark, texts).selectExpr("doc_id", "xxhash64(text) AS th").join(
+        docs(spark, texts).select(decontam.F.xxhash64("text").alias("th"), decontam.words_of(decontam.F.col("text")).alias("words")), "th")
+    plan = decontam.occurrences(words, windows, broadcast_bytes=0)._jdf.queryExecution().executedPlan().toString()
+    hits = [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "w_key" in line]
+    assert hits and "SortMergeJoin [key#" not in plan
+
+
 def test_empty_tables(spark):
     texts, items = passages()
     none = spark.createDataFrame([], "item_id long, text string")
