@@ -1,14 +1,14 @@
 """Exact money arithmetic without a range limit.
 
 DOUBLE sums depend on the order rows meet, so a report could change with the partitioning; sums of wide decimals
-make an object for every row. Each cost is therefore split into three whole numbers, its units, its first seven
-decimals and the seven behind them, which are summed as BIGINTs in generated code and put together to a decimal once a
-group. A cost is split if it is the DOUBLE nearest to a decimal of at most 15 digits: of 7 decimals below
-10^8, of 14 below 10, of 10 below 10^5 or of 2 below 10^13. Any other (more digits, larger, infinite,
-NaN) is the *rest*, summed as DOUBLE beside it. No row is left out, and a total is exact sum + rest sum. With no such
-rows, which loads count and report (``inexact_cost``), every partial sum is exact, so sums can be pre-aggregated at any
-level and still agree to the cent. A group's sum of decimals has room for 10^12 rows, that of units for 9 * 10^18; beyond,
-Spark's ANSI arithmetic fails rather than wraps. Results are rounded half-up and returned as DOUBLE.
+make an object for every row. Each cost that DECIMAL(38,16) holds without loss (up to 16 decimals, below 10^13) is
+therefore split into four whole numbers, its units and 6, 5 and 5 decimals, which are summed as BIGINTs in generated
+code and put together to a decimal once a group. Most costs are few digits: they are split in DOUBLE and BIGINT
+arithmetic alone; the others by way of a decimal. Any cost beyond (more decimals, larger, infinite, NaN) is the *rest*, summed as
+DOUBLE beside it. No row is left out, and a total is exact sum + rest sum. With no such rows, which loads count and report
+(``inexact_cost``), every partial sum is exact, so sums can be pre-aggregated at any level and still agree to the
+cent. A group's sums of decimals have room for 9 * 10^12 rows, that of units for 9 * 10^18; beyond, Spark's ANSI arithmetic
+fails rather than wraps. Results are rounded half-up and returned as DOUBLE.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = "decimal(38,14)"
+MONEY = "decimal(38,16)"
+EXACT_BELOW = 1e13
 #: Decimals a cost is tested for, and below what amount: the product stays below 2^50, so rounding it is right.
 SCALES = ((7, 1e8), (14, 10.0), (10, 1e5), (2, 1e13))
 
@@ -29,79 +30,76 @@ def _scaled(c: Column, decimals: int) -> Column:
     return F.rint(c * (10.0 ** decimals))
 
 
-def _fits(c: Column, decimals: int, below: float) -> Column:
-    """Whether the cost is the DOUBLE nearest to a number of so many decimals. (NaN compares above every number.)"""
-    return (F.abs(c) < below) & (_scaled(c, decimals) / F.lit(10.0 ** decimals) == c)
+def _div(a: Column, b: int) -> Column:
+    """Whole division towards zero, as ``div``."""
+    return F.call_function("div", a, F.lit(b).cast("long"))
 
 
-def _by_scale(c: Column, value) -> Column:
-    """``value(decimals)`` for the first scale that fits; NULL for none."""
+def _by_scale(c: Column, value, by_decimal: Column) -> Column:
+    """``value(decimals)`` of the first scale at which the cost is the DOUBLE nearest to a number of so many decimals, else
+    ``by_decimal`` if DECIMAL(38,16) holds it; NULL for none. (NaN compares above every number.)"""
     out = F
     for decimals, below in SCALES:
-        out = out.when(_fits(c, decimals, below), value(decimals))
-    return out
+        out = out.when((F.abs(c) < below) & (_scaled(c, decimals) / F.lit(10.0 ** decimals) == c), value(decimals))
+    return out.when((F.abs(c) < EXACT_BELOW) & (c.try_cast(MONEY).cast("double") == c), by_decimal)
 
 
 def is_exact(col: str | Column) -> Column:
     """True for a cost that is summed exactly; NULL stays NULL."""
     c = _col(col)
-    return F.when(c.isNotNull(), F.coalesce(_by_scale(c, lambda _: F.lit(True)), F.lit(False)))
+    return F.when(c.isNotNull(), F.coalesce(_by_scale(c, lambda _: F.lit(True), F.lit(True)), F.lit(False)))
 
 
-def limbs(col: str | Column) -> list[Column]:
-    """Units, first seven and next seven decimals of a cost, of its sign; NULL for a cost that isn't exact."""
+def parts(col: str | Column) -> tuple[Column, Column]:
+    """Units and decimals (in units of 10^-16) of a cost, both of its sign; NULL for a cost that isn't exact."""
     c = _col(col)
+    exact = c.try_cast(MONEY)
+    units = _by_scale(c, lambda k: _div(_scaled(c, k).cast("long"), 10 ** k), exact.cast("long"))
+    decimals = _by_scale(c, lambda k: _scaled(c, k).cast("long") % F.lit(10 ** k) * F.lit(10 ** (16 - k)),
+                         ((exact % F.expr("1BD")) * F.expr("10000000000000000BD")).cast("long"))
+    return units, decimals
 
-    def limb(number: int):
-        def value(decimals: int) -> Column:
-            whole = _scaled(c, decimals).cast("long")
-            if number == 0:
-                return _div(whole, 10 ** decimals)
-            part = whole % F.lit(10 ** decimals)
-            if decimals <= 7:
-                return part * F.lit(10 ** (7 - decimals)) if number == 1 else F.lit(0).cast("long")
-            low = 10 ** (decimals - 7)
-            return _div(part, low) if number == 1 else part % F.lit(low) * F.lit(10 ** (14 - decimals))
-        return value
 
-    return [_by_scale(c, limb(i)) for i in range(3)]
-
-
-def _div(a: Column, b: int) -> Column:
-    """Whole division towards zero, as ``div``."""
-    return F.call_function("div", a, F.lit(b).cast("long"))
+def limbs(units: Column, decimals: Column) -> list[Column]:
+    """The four numbers that are summed."""
+    return [units, _div(decimals, 10 ** 10), _div(decimals, 10 ** 5) % F.lit(10 ** 5), decimals % F.lit(10 ** 5)]
 
 
 def rest(col: str | Column) -> Column:
     """The cost where it is not exact."""
     c = _col(col)
-    return F.when(c.isNull() | F.coalesce(_by_scale(c, lambda _: F.lit(True)), F.lit(False)), F.lit(0.0)).otherwise(c)
+    return F.when(c.isNull() | is_exact(c), F.lit(0.0)).otherwise(c)
 
 
 def joined_sums(sums: list[Column]) -> Column:
-    """The sums of the three limbs as one decimal; 0 where there was none."""
-    units, first, second = (F.coalesce(s, F.lit(0).cast("long")) for s in sums)
-    return (units.cast("decimal(19,0)") + first.cast("decimal(19,0)") * F.expr("0.0000001BD")
-            + second.cast("decimal(19,0)") * F.expr("0.00000000000001BD")).cast(MONEY)
+    """The sums of the limbs as one decimal; 0 where there was none."""
+    units, *low = (F.coalesce(s, F.lit(0).cast("long")) for s in sums)
+    out = units.cast("decimal(35,16)")
+    for s, weight in zip(low, ("0.000001BD", "0.00000000001BD", "0.0000000000000001BD")):
+        out = out + (s.cast("decimal(19,0)") * F.expr(weight)).cast("decimal(30,16)")
+    return out.cast(MONEY)
 
 
-_LIMBS = ("_units", "_d7", "_d14", "_rest")
+_PARTS = ("_units", "_decimals", "_rest")
 
 
 def with_limbs(df: DataFrame, col: str = "cost_usd") -> DataFrame:
     """``df`` with the parts of a cost as columns, made once a row however many sums use them (``limb_sums``)."""
-    return df.withColumns(dict(zip(_LIMBS, [*limbs(col), rest(col)])))
+    return df.withColumns(dict(zip(_PARTS, [*parts(col), rest(col)])))
 
 
 def limb_sums(exact: str = "s", other: str = "x", rows: Column | None = None) -> list[Column]:
     """The exact and the other sum over ``with_limbs`` rows, or over those that meet a condition."""
-    parts = [F.sum(F.when(rows, F.col(c)) if rows is not None else F.col(c)) for c in _LIMBS]
-    return [joined_sums(parts[:3]).alias(exact), F.coalesce(parts[3], F.lit(0.0)).alias(other)]
+    def chosen(c: Column) -> Column:
+        return F.sum(F.when(rows, c) if rows is not None else c)
+
+    sums = [chosen(x) for x in limbs(F.col("_units"), F.col("_decimals"))]
+    return [joined_sums(sums).alias(exact), F.coalesce(chosen(F.col("_rest")), F.lit(0.0)).alias(other)]
 
 
 def money_sums(col: str | Column, exact: str = "s", other: str = "x") -> list[Column]:
     """The exact and the other sum of a cost column (combine partial sums with ``F.sum`` again)."""
-    return [joined_sums([F.sum(limb) for limb in limbs(col)]).alias(exact), F.sum(rest(col)).alias(other)]
+    return [joined_sums([F.sum(x) for x in limbs(*parts(col))]).alias(exact), F.sum(rest(col)).alias(other)]
 
 
 def total(digits: int, exact: str = "s", other: str = "x") -> Column:

@@ -21,7 +21,7 @@ ROLLUP_KEYS = ["date_key", "cloud_provider", "service_key", "account_key", "regi
 ROLLUP_MEASURES = ["cost_sum", "cost_rest", "gross_sum", "gross_rest", "credit_sum", "credit_rest", "line_items",
                    "credit_items"]
 
-_MEASURE_TYPES = {"sum": DecimalType(38, 14), "rest": DoubleType(), "items": LongType()}
+_MEASURE_TYPES = {"sum": DecimalType(38, 16), "rest": DoubleType(), "items": LongType()}
 #: The stored form, whose partial sums may come in more than one row per key.
 ROLLUP_SCHEMA = StructType([*[StructField(k, StringType()) for k in ROLLUP_KEYS],
                             *[StructField(m, _MEASURE_TYPES[m.rsplit("_")[-1]]) for m in ROLLUP_MEASURES], StructField("bill_month", StringType())])

@@ -381,7 +381,7 @@ def quarantine_empty(spark, sf_dir):
     full_load(spark, [(AWS, a), (GCP, b)], base)
     before = mart_store.read_quarantine(spark, base).agg(F.count(F.lit(1)).alias("rejected")).first()["rejected"]
     full_load(spark, [(AWS, a.where(keep_condition(AWS))), (GCP, b.where(keep_condition(GCP)))], base)
-    return mart_store.read_quarantine(spark, base).agg(F.count(F.lit(1)).alias("rejected_after"), F.lit(before).alias("rejected_before"))
+    return mart_store.read_quarantine(spark, base).agg(F.count(F.lit(1)).alias("rejected_after"), F.lit(before).cast("long").alias("rejected_before"))
 
 
 def account_drift_incremental(spark, sf_dir):

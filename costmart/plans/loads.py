@@ -183,5 +183,10 @@ def load_files_into(spark: SparkSession, layout: SourceLayout, raw: DataFrame, b
                 outcome[path] = "copy"
             there.add((name(path), content))
     passed_over = [p for p, o in outcome.items() if o != "loaded"]
+    if files and len(passed_over) == len(files) and running == {(source, load)} and not store.months_of_load(spark, base, source, load):
+        # nothing new and nothing to take back: the files are recorded, and no table is written
+        record = store.literal_rows(spark, store.INPUT_FILES_SCHEMA, [(*f, outcome[f[0]], source, load) for f in files])
+        store.write_input_files(record.drop("source", "load"), base, source, load)
+        return []
     rows = raw.where(~F.col("input_file").isin(passed_over)) if passed_over else raw
     return load_exports_into(spark, [(layout, rows)], base, source, load, input_files=[(*f, outcome[f[0]]) for f in files])

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costmart.functions.dates import bill_month
-from costmart.functions.money import limbs, rest
+from costmart.functions.money import limbs, parts, rest
 from costmart.operators.dimensions import build_dimensions
 from costmart.operators.fact import build_fact, fact_lines
 from costmart.operators.normalize import combine, normalize
@@ -99,12 +99,12 @@ def report_views(spark: SparkSession, mart: Mart) -> None:
     """Register the five tables as temp views for SQL reports (``spark.sql``). The fact view
     always has ``bill_month`` (derived from ``date_key`` for an in-memory fact) so SQL can
     bound it and prune month folders of the stored table, and the parts of each cost
-    (``cost_units``, ``cost_d7``, ``cost_d14``, ``cost_rest``), computed when a report asks for them."""
+    (``cost_units``, ``cost_d6``, ``cost_d11``, ``cost_d16``, ``cost_rest``), computed when a report asks for them."""
     for name, df in mart.tables().items():
         if name == "fact_cloud_costs":
             if "bill_month" not in df.columns:
                 df = df.withColumn("bill_month", bill_month("date_key"))
-            df = df.withColumns({**dict(zip(("cost_units", "cost_d7", "cost_d14"), limbs("cost_usd"))), "cost_rest": rest("cost_usd")})
+            df = df.withColumns({**dict(zip(("cost_units", "cost_d6", "cost_d11", "cost_d16"), limbs(*parts("cost_usd")))), "cost_rest": rest("cost_usd")})
         df.createOrReplaceTempView(name)
 
 

@@ -5,7 +5,7 @@ joining the dimension (Catalyst does not push an aggregate below a join by itsel
 is aggregated map side and never shuffled whole; the year-bounded report also bounds the month
 partition column, so month folders outside the year are pruned. Register the views with
 ``plans.mart.report_views``, whose fact view also has the parts of each cost that
-``functions.money`` adds up (``cost_units``, ``cost_d7``, ``cost_d14`` and ``cost_rest``), and call ``run_sql_report``.
+``functions.money`` adds up (``cost_units``, ``cost_d6``, ``cost_d11``, ``cost_d16`` and ``cost_rest``), and call ``run_sql_report``.
 """
 
 from __future__ import annotations
@@ -19,8 +19,10 @@ def _sum(part: str, rows: str = "") -> str:
 
 
 def _exact(rows: str = "") -> str:
-    units, first, second = (f"CAST({_sum(p, rows)} AS DECIMAL(19,0))" for p in ("cost_units", "cost_d7", "cost_d14"))
-    return f"CAST({units} + {first} * 0.0000001BD + {second} * 0.00000000000001BD AS DECIMAL(38,14))"
+    out = f"CAST({_sum('cost_units', rows)} AS DECIMAL(35,16))"
+    for part, weight in (("cost_d6", "0.000001BD"), ("cost_d11", "0.00000000001BD"), ("cost_d16", "0.0000000000000001BD")):
+        out += f" + CAST(CAST({_sum(part, rows)} AS DECIMAL(19,0)) * {weight} AS DECIMAL(30,16))"
+    return f"CAST({out} AS DECIMAL(38,16))"
 
 
 S = f"{_exact()} AS s, SUM(cost_rest) AS x"

@@ -116,7 +116,7 @@ def _values(folder: str) -> dict[str, str]:
 def _read(spark: SparkSession, base: str, table: str, schema: StructType) -> DataFrame:
     """A table that may have no file yet, or not even a folder."""
     if not has_table(spark, base, table):
-        return spark.createDataFrame([], schema)
+        return literal_rows(spark, schema, [])
     return spark.read.schema(schema).parquet(_path(base, table))
 
 
@@ -150,7 +150,7 @@ def _landing(spark: SparkSession, base: str, paths: list[str] | None = None) ->
     if paths is None and has_table(spark, base, LANDING):
         paths = [root]
     if not paths:
-        return spark.createDataFrame([], LANDING_SCHEMA)
+        return literal_rows(spark, LANDING_SCHEMA, [])
     return spark.read.schema(LANDING_SCHEMA).option("basePath", root).parquet(*paths)
 
 
@@ -211,6 +211,8 @@ def write_input_files(files: DataFrame, base: str, source: str, load: int) -> No
 
 def unfinished_loads(spark: SparkSession, base: str) -> list[tuple[str, int]]:
     """Loads that have begun and not come to their end."""
+    if not has_table(spark, base, MANIFEST):
+        return []
     rows = read_manifest(spark, base).where("state = 'begun'").select("source", "load").distinct().collect()
     return sorted((r["source"], r["load"]) for r in rows)
 
@@ -252,7 +254,7 @@ def read_copies(spark: SparkSession, base: str, months: list[str]) -> DataFrame:
     root = _path(base, COPIES)
     have = [f for m in months for f in _folders(spark, f"{root}/bill_month={m}/source=*/load=*")]
     known = {tuple(_values(f)[k] for k in ("bill_month", "source", "load")) for f in have}
-    out = spark.read.schema(COPIES_SCHEMA).option("basePath", root).parquet(*have) if have else spark.createDataFrame([], COPIES_SCHEMA)
+    out = spark.read.schema(COPIES_SCHEMA).option("basePath", root).parquet(*have) if have else literal_rows(spark, COPIES_SCHEMA, [])
     missing = [f for f in landed_folders(spark, base, months=months) if tuple(_values(f)[k] for k in ("bill_month", "source", "load")) not in known]
     if missing:
         rows = _landing(spark, base, missing).select("bill_month", "source", "load", *fingerprints())
