@@ -52,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     t1 = time.perf_counter()
     mart = run_pipeline(spark, aws, gcp, base)
     print(f"mart written to {base} in {time.perf_counter() - t1:.1f}s")
-    raise_on_failures(validate_mart(mart.fact, mart.dims, expected_fact_rows=landed_rows(spark, base)))
+    raise_on_failures(validate_mart(mart.fact, mart.dims, expected_fact_rows=landed_rows(spark, base), content=True))
     print("\n-- load")
     read_load_counts(spark, base).show(truncate=False)
 

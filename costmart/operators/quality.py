@@ -10,8 +10,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from costmart.functions.dates import valid_date
+from costmart.functions.dates import bill_month, valid_date
+from costmart.functions.keys import fingerprint_halves
 from costmart.functions.money import is_exact
+from costmart.operators.fact import fact_lines
 from costmart.operators.normalize import keep_condition
 from costmart.schemas import CANONICAL_COLUMNS
 from costmart.sources.billing_csv import CORRUPT_COLUMN
@@ -87,13 +89,41 @@ def quarantine(raw: DataFrame, layout: SourceLayout) -> DataFrame:
 _FACT_KEYS = {"dim_date": "date_key", "dim_service": "service_key", "dim_account": "account_key", "dim_region": "region_key"}
 
 
+def content_by_month(lines: DataFrame) -> DataFrame:
+    """``(bill_month, num_rows, content)``: a hash of each month's rows as a multiset, whatever their order, ids and files.
+
+    ``lines`` is the fact or ``fact_lines`` of canonical rows. Each row has two seeded 64-bit hashes, and each of their 16-bit
+    parts is summed as a long: exact up to 2^47 rows a month, in generated code and combined map side, so a row per month and
+    task is shuffled. Equal rows add up (unlike under an exclusive or), so a row stored twice shows, too.
+    """
+    flat = lines.select(
+        bill_month("date_key").alias("bill_month"),
+        "date_key", "service_key", "account_key", "region_key", "cloud_provider", "cost_usd", "usage_quantity", "usage_unit",
+        F.col("tags")["environment"].alias("tag_environment"), F.col("tags")["team"].alias("tag_team"))
+    halves = fingerprint_halves([c for c in flat.columns if c != "bill_month"])
+    hashed = flat.select("bill_month", *[h.alias(n) for h, n in zip(halves, ("hi", "lo"))])
+    sums = [F.sum(F.shiftrightunsigned(n, shift).bitwiseAND(F.lit(0xFFFF))) for n in ("hi", "lo") for shift in (0, 16, 32, 48)]
+    return hashed.groupBy("bill_month").agg(F.count(F.lit(1)).alias("num_rows"), F.array(*sums).alias("content"))
+
+
+def months_with_other_content(fact: DataFrame, canonical: DataFrame) -> DataFrame:
+    """``(bill_month, fact_rows, expected_rows)`` of months in which the fact doesn't hold exactly the lines of ``canonical``:
+    rows lost, doubled or swapped, or any value changed, also where the counts agree."""
+    have = content_by_month(fact).select("bill_month", F.col("num_rows").alias("fact_rows"), F.col("content").alias("have"))
+    want = content_by_month(fact_lines(canonical)).select("bill_month", F.col("num_rows").alias("expected_rows"), F.col("content").alias("want"))
+    zero = F.lit(0).cast("long")
+    return (have.join(want, "bill_month", "full_outer").where(~F.col("have").eqNullSafe(F.col("want")))
+            .select("bill_month", F.coalesce("fact_rows", zero).alias("fact_rows"), F.coalesce("expected_rows", zero).alias("expected_rows")))
+
+
 def validate_mart(fact: DataFrame, dims: dict[str, DataFrame],
-                  expected_fact_rows: DataFrame | None = None) -> DataFrame:
+                  expected_fact_rows: DataFrame | None = None, content: bool = False) -> DataFrame:
     """Validation rows ``(table_name, rule, observed, passed)``.
 
     Rules: every table non-empty; no NULL cost and no NULL dimension key in the fact; no fact row whose
     key has no dimension row; dimension keys unique; optionally, fact rows equal the canonical
-    input rows (one fact row per line item). The fact is scanned once: it is counted per
+    input rows (one fact row per line item), and with ``content`` every month's lines are those of the input, too
+    (``content_by_month``, one more scan of both). For the other rules the fact is scanned once: it is counted per
     combination of keys (map-side combined), those few rows meet the dimensions, and one aggregate
     gives all its figures, which ``stack`` turns into rows. Each dimension is scanned once for its own
     rules and once for the key lookup.
@@ -118,6 +148,11 @@ def validate_mart(fact: DataFrame, dims: dict[str, DataFrame],
         rules.append(("'one_row_per_line_item'", "rows", "rows = expected"))
     stack = ", ".join(f"'fact_cloud_costs', {rule}, {value}, {test}" for rule, value, test in rules)
     parts = [totals.selectExpr(f"stack({len(rules)}, {stack}) AS (table_name, rule, observed, passed)")]
+    if content:
+        if expected_fact_rows is None:
+            raise ValueError("content is compared with expected_fact_rows: give them")
+        differing = months_with_other_content(fact, expected_fact_rows).agg(F.count(F.lit(1)).alias("observed"))
+        parts.append(differing.selectExpr("'fact_cloud_costs' AS table_name", "'same_content_per_month' AS rule", "observed", "observed = 0 AS passed"))
     for name, df in dims.items():
         own = df.groupBy(_FACT_KEYS[name]).agg(F.count(F.lit(1)).alias("n")).agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"))

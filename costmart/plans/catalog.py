@@ -222,6 +222,47 @@ def month_reload(spark, sf_dir, month: str = "2024-03"):
     return _month_stats(mart_store.read_fact(spark, base))
 
 
+def quarter_weekend_spend(spark, sf_dir):
+    """Weekend report of one quarter over the stored fact: only the quarter's months are read."""
+    mart = load_mart(spark, _stored_mart(spark, sf_dir))
+    return reports.weekend_weekday(mart.fact, mart.dims["dim_date"].where("year = '2024' AND quarter = 'Q1'"))
+
+
+def weekend_category_share(spark, sf_dir):
+    """Category shares on the weekends of one month, over the stored fact."""
+    mart = load_mart(spark, _stored_mart(spark, sf_dir))
+    days = mart.dims["dim_date"].where("month_name = 'January' AND is_weekend = 'true'")
+    return reports.category_share(reports.on_days(mart.fact, days), mart.dims["dim_service"])
+
+
+def sql_quarter_ai_spend(spark, sf_dir):
+    """The SQL report of AI/ML spend, over the stored mart and one quarter."""
+    report_views(spark, load_mart(spark, _stored_mart(spark, sf_dir)))
+    return run_sql_report(spark, "aiml_spend", days="year = '2024' AND quarter = 'Q2'")
+
+
+def zorder_fact(spark, sf_dir):
+    """Two loads into one mart, its fact then written anew by z-order: the same rows and ids."""
+    base = scratch_path(spark, "zorder")
+    a, b = load_exports(spark, sf_dir)
+    load_exports_into(spark, [(AWS, a)], base, "daily", 1)
+    load_exports_into(spark, [(GCP, b)], base, "daily", 2)
+    mart_store.optimize_fact(spark, base, rows_per_file=2_000)
+    return _month_stats(mart_store.read_fact(spark, base))
+
+
+def validate_content(spark, sf_dir):
+    """The months whose stored lines differ from the landed ones: none of the mart as loaded, and those of a fact in which the
+    costs of the two providers' lines of a January day were changed, with as many rows as before."""
+    base = scratch_path(spark, "content")
+    a, b = load_exports(spark, sf_dir)
+    full_load(spark, [(AWS, a), (GCP, b)], base)
+    fact, landed = mart_store.read_fact(spark, base), mart_store.read_landing(spark, base)
+    changed = fact.withColumn("cost_usd", F.when(F.col("date_key") == "2024-01-05", -F.col("cost_usd")).otherwise(F.col("cost_usd")))
+    found = [quality.months_with_other_content(f, landed).withColumn("fact", F.lit(n)) for n, f in (("stored", fact), ("changed", changed))]
+    return found[0].unionByName(found[1])
+
+
 def reports_after_month_reload(spark, sf_dir, month: str = "2024-01"):
     """Replace one month of a mart that has a rollup by its AWS rows only; spend by provider from the
     source that the command line reads."""
@@ -477,6 +518,11 @@ STORAGE_QUERIES = {
     "scan_mart": scan_mart,
     "cluster_layout": cluster_layout,
     "month_reload": month_reload,
+    "quarter_weekend_spend": quarter_weekend_spend,
+    "weekend_category_share": weekend_category_share,
+    "sql_quarter_ai_spend": sql_quarter_ai_spend,
+    "zorder_fact": zorder_fact,
+    "validate_content": validate_content,
     "reports_after_month_reload": reports_after_month_reload,
     "stored_sql_reports": stored_sql_reports,
     "full_reload": full_reload,

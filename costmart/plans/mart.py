@@ -96,7 +96,8 @@ def run_pipeline(spark: SparkSession, aws_path: str, gcp_path: str, base: str) -
 
 
 def report_views(spark: SparkSession, mart: Mart) -> None:
-    """Register the five tables as temp views for SQL reports (``spark.sql``). The fact view
+    """Register the five tables as temp views for SQL reports (``spark.sql``). The date view has each day's
+    ``bill_month`` beside its columns, and the fact view
     always has ``bill_month`` (derived from ``date_key`` for an in-memory fact) so SQL can
     bound it and prune month folders of the stored table, and the parts of each cost
     (``cost_units``, ``cost_d6``, ``cost_d11``, ``cost_d16``, ``cost_rest``), computed when a report asks for them."""
@@ -105,6 +106,8 @@ def report_views(spark: SparkSession, mart: Mart) -> None:
             if "bill_month" not in df.columns:
                 df = df.withColumn("bill_month", bill_month("date_key"))
             df = df.withColumns({**dict(zip(("cost_units", "cost_d6", "cost_d11", "cost_d16"), limbs(*parts("cost_usd")))), "cost_rest": rest("cost_usd")})
+        if name == "dim_date":
+            df = df.withColumn("bill_month", bill_month("date_key"))
         df.createOrReplaceTempView(name)
 
 

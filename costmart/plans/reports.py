@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costmart.functions.dates import year_bounds
+from costmart.functions.dates import bill_month, year_bounds
 from costmart.functions.money import amount, limb_sums, money_sums, rounded_ratio, total, with_limbs
 from costmart.operators.rollup import is_rollup
 
@@ -49,6 +49,31 @@ def restrict_dates(fact: DataFrame, first_day: str, last_day: str) -> DataFrame:
     return out
 
 
+def _month_key(fact: DataFrame) -> list[str]:
+    """The month of a stored table's rows, which the day implies: as a grouping key it adds no group."""
+    return ["bill_month"] if "bill_month" in fact.columns else []
+
+
+def _with_month(days: DataFrame) -> DataFrame:
+    return days if "bill_month" in days.columns else days.withColumn("bill_month", bill_month("date_key"))
+
+
+def _join_days(pre: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """Join sums per day with the calendar; over a stored table by month as well, so that whatever filter ``dim_date``
+    has (a quarter, weekends of one month) prunes the table's month folders at run time."""
+    if "bill_month" not in pre.columns:
+        return pre.join(dim_date, "date_key")
+    return pre.join(_with_month(dim_date), ["date_key", "bill_month"])
+
+
+def on_days(fact: DataFrame, days: DataFrame) -> DataFrame:
+    """The rows of a fact or rollup on the days that ``days`` (a filtered ``dim_date``) has, for reports that have no
+    calendar of their own. Of a stored table only the months of those days are read. ``days`` has at most a row per calendar
+    day; how it is joined is left to the planner."""
+    keys = ["date_key", *_month_key(fact)]
+    return fact.join(_with_month(days).select(*keys).distinct(), keys, "left_semi")
+
+
 # R1 ------------------------------------------------------------------------------------------
 def spend_by_provider(fact: DataFrame) -> DataFrame:
     return (_sum_by(fact, "cloud_provider", with_count=True)
@@ -91,7 +116,7 @@ def monthly_trend(fact: DataFrame, dim_date: DataFrame, year: int | None = 2024,
         lo, hi = year_bounds(year)
         f = restrict_dates(fact, lo, hi)
         d = d.where(F.col("year") == F.lit(str(year)))
-    pre = _sum_by(f, "date_key", "cloud_provider").join(d, "date_key")
+    pre = _join_days(_sum_by(f, "date_key", *_month_key(f), "cloud_provider"), d)
     out = (_regroup(pre, "year", "month", "month_name", "cloud_provider")
            .select("year", "month", "month_name", "cloud_provider", total(2).alias("monthly_cost_usd"))
            .orderBy("year", "month", "cloud_provider"))
@@ -127,7 +152,7 @@ def geography_spend(fact: DataFrame, dim_region: DataFrame) -> DataFrame:
 
 # R6 ------------------------------------------------------------------------------------------
 def weekend_weekday(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    pre = _sum_by(fact, "date_key", "cloud_provider", with_count=True).join(dim_date, "date_key")
+    pre = _join_days(_sum_by(fact, "date_key", *_month_key(fact), "cloud_provider", with_count=True), dim_date)
     return (_regroup(pre, "is_weekend", "day_of_week", "cloud_provider", with_count=True)
             .select("is_weekend", "day_of_week", "cloud_provider",
                     total(2).alias("total_cost_usd"),
@@ -156,9 +181,8 @@ def aiml_spend(fact: DataFrame, dim_service: DataFrame, dim_date: DataFrame,
                category: str = "AI/ML") -> DataFrame:
     svc = dim_service.where(F.col("service_category") == category).select("service_key", "service_name")
     # the few matching services first, so only their line items reach the aggregate
-    pre = (_sum_by(fact.join(svc.select("service_key"), "service_key", "left_semi"), "service_key", "date_key", "cloud_provider")
-           .join(svc, "service_key")
-           .join(dim_date, "date_key"))
+    of_services = fact.join(svc.select("service_key"), "service_key", "left_semi")
+    pre = _join_days(_sum_by(of_services, "service_key", "date_key", *_month_key(fact), "cloud_provider").join(svc, "service_key"), dim_date)
     return (_regroup(pre, "year", "month", "month_name", "service_name", "cloud_provider")
             .select("year", "month", "month_name", "service_name", "cloud_provider",
                     total(2).alias("ai_spend_usd"))

@@ -4,7 +4,8 @@ Same results as ``plans.reports``. Each statement sums the fact per join key in
 joining the dimension (Catalyst does not push an aggregate below a join by itself), so the fact
 is aggregated map side and never shuffled whole; the year-bounded report also bounds the month
 partition column, so month folders outside the year are pruned. Register the views with
-``plans.mart.report_views``, whose fact view also has the parts of each cost that
+``plans.mart.report_views``, whose fact and date views have the month (joined beside the day, so that a filter on the
+calendar prunes month folders, too) and whose fact view also has the parts of each cost that
 ``functions.money`` adds up (``cost_units``, ``cost_d6``, ``cost_d11``, ``cost_d16`` and ``cost_rest``), and call ``run_sql_report``.
 """
 
@@ -59,12 +60,12 @@ ORDER BY total_cost_usd DESC, d.cloud_provider, d.service_name, d.service_catego
 LIMIT 10""",
 
     "monthly_trend": f"""
-WITH f AS (SELECT date_key, cloud_provider, {S} FROM fact_cloud_costs
+WITH f AS (SELECT date_key, bill_month, cloud_provider, {S} FROM fact_cloud_costs
            WHERE date_key BETWEEN '2024-01-01' AND '2024-12-31'
              AND bill_month BETWEEN '2024-01' AND '2024-12'
-           GROUP BY date_key, cloud_provider)
+           GROUP BY date_key, bill_month, cloud_provider)
 SELECT d.year, d.month, d.month_name, f.cloud_provider, {T2} AS monthly_cost_usd
-FROM f JOIN dim_date d ON f.date_key = d.date_key
+FROM f JOIN dim_date d ON f.date_key = d.date_key AND f.bill_month = d.bill_month
 WHERE d.year = '2024'
 GROUP BY d.year, d.month, d.month_name, f.cloud_provider
 ORDER BY d.year, d.month, f.cloud_provider""",
@@ -94,11 +95,11 @@ GROUP BY r.geography, f.cloud_provider
 ORDER BY total_cost_usd DESC, r.geography, f.cloud_provider""",
 
     "weekend_weekday": f"""
-WITH f AS (SELECT date_key, cloud_provider, {S}, COUNT(*) AS n FROM fact_cloud_costs
-           GROUP BY date_key, cloud_provider)
+WITH f AS (SELECT date_key, bill_month, cloud_provider, {S}, COUNT(*) AS n FROM fact_cloud_costs
+           GROUP BY date_key, bill_month, cloud_provider)
 SELECT d.is_weekend, d.day_of_week, f.cloud_provider, {T2} AS total_cost_usd,
        {_ratio(AMOUNT, 'SUM(f.n)', 4)} AS avg_line_item_cost, SUM(f.n) AS num_line_items
-FROM f JOIN dim_date d ON f.date_key = d.date_key
+FROM f JOIN dim_date d ON f.date_key = d.date_key AND f.bill_month = d.bill_month
 GROUP BY d.is_weekend, d.day_of_week, f.cloud_provider
 ORDER BY d.is_weekend DESC, total_cost_usd DESC, d.day_of_week, f.cloud_provider""",
 
@@ -128,23 +129,29 @@ GROUP BY cloud_provider
 ORDER BY cloud_provider""",
 
     "aiml_spend": f"""
-WITH f AS (SELECT service_key, date_key, cloud_provider, {S} FROM fact_cloud_costs
+WITH f AS (SELECT service_key, date_key, bill_month, cloud_provider, {S} FROM fact_cloud_costs
            LEFT SEMI JOIN (SELECT service_key FROM dim_service WHERE service_category = 'AI/ML') USING (service_key)
-           GROUP BY service_key, date_key, cloud_provider)
+           GROUP BY service_key, date_key, bill_month, cloud_provider)
 SELECT d.year, d.month, d.month_name, s.service_name, f.cloud_provider, {T2} AS ai_spend_usd
 FROM f
 JOIN dim_service s ON f.service_key = s.service_key
-JOIN dim_date d ON f.date_key = d.date_key
+JOIN dim_date d ON f.date_key = d.date_key AND f.bill_month = d.bill_month
 WHERE s.service_category = 'AI/ML'
 GROUP BY d.year, d.month, d.month_name, s.service_name, f.cloud_provider
 ORDER BY d.year, d.month, ai_spend_usd DESC, s.service_name, f.cloud_provider""",
 }
 
 
-def run_sql_report(spark: SparkSession, name: str, limit: int | None = None) -> DataFrame:
+def run_sql_report(spark: SparkSession, name: str, limit: int | None = None, days: str | None = None) -> DataFrame:
     """Run one report over the registered views (lazy: returns the planned DataFrame), or its first
-    ``limit`` rows."""
-    return spark.sql(SQL_REPORTS[name] + (f"\nLIMIT {int(limit)}" if limit else ""))
+    ``limit`` rows. ``days`` is a condition on ``dim_date``'s columns, such as ``quarter = 'Q1'``; only reports that join
+    the calendar take one."""
+    sql = SQL_REPORTS[name]
+    if days:
+        if "JOIN dim_date" not in sql:
+            raise ValueError(f"{name} has no calendar to restrict")
+        sql = sql.replace("WITH ", f"WITH dim_date AS (SELECT * FROM dim_date WHERE {days}),\n", 1)
+    return spark.sql(sql + (f"\nLIMIT {int(limit)}" if limit else ""))
 
 
 def run_queries(spark: SparkSession, base: str, names: list[str] | None = None) -> dict[str, DataFrame]:

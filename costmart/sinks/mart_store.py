@@ -52,6 +52,7 @@ LOAD_COUNTS = "load_counts"
 MANIFEST = "load_manifest"
 INPUT_FILES = "input_files"
 COPIES = "fact_copies"
+LAYOUT_RUN = "layout"  # the manifest's source of a run of optimize_fact
 DIM_KEYS = {"dim_date": "date_key", "dim_service": "service_key", "dim_account": "account_key",
             "dim_region": "region_key"}
 DIM_SCHEMAS = {"dim_date": DIM_DATE_SCHEMA, "dim_service": DIM_SERVICE_SCHEMA,
@@ -321,6 +322,30 @@ def write_fact_months(fact: DataFrame, base: str, distributed: bool = True, repl
         write_rollup_months(spark, base, months)
 
 
+def optimize_fact(spark: SparkSession, base: str, months: list[str] | None = None,
+                  columns: tuple[str, ...] = ("date_key", "cloud_provider"), rows_per_file: int = 4_000_000) -> None:
+    """Write months of the stored fact (all, or ``months``) anew: the small files that loads have appended become few of about
+    ``rows_per_file`` rows, laid out by z-order over ``columns`` so that a filter on any of these opens few files.
+
+    The rows, ids and rollup stay as they are. Spark replaces the months' folders once all tasks have written; the manifest says so
+    meanwhile, and if the run breaks off there, the next load rebuilds these months from the landed rows. One writer at a time,
+    as for loads.
+    """
+    from costmart.operators.clustering import z_ordered
+
+    fact = read_fact(spark, base)
+    if months is not None:
+        fact = fact.where(F.col("bill_month").isin(months))
+    rows = {r["bill_month"]: r["count"] for r in fact.groupBy("bill_month").count().collect()}
+    if not rows:
+        return
+    files = sum(-(-n // rows_per_file) for n in rows.values())
+    write_manifest(spark, base, LAYOUT_RUN, 0, {("-", m): n for m, n in rows.items()}, "begun")
+    laid_out = assert_schema(z_ordered(fact, columns, files), FACT_STORED_SCHEMA)
+    _write(laid_out, _path(base, FACT_TABLE), ("bill_month",), replace_all=False)
+    drop_load(spark, base, LAYOUT_RUN, 0, manifest=True)
+
+
 def drop_months(spark: SparkSession, base: str, months: list[str]) -> None:
     """Remove whole months of the fact and the rollup."""
     for m in months:

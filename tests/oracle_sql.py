@@ -395,7 +395,20 @@ REJECTED = f"""
 SELECT CAST(0 AS BIGINT) AS rejected_after, (SELECT count_if(NOT ({AWS_KEEP})) FROM aws_raw)::BIGINT
      + (SELECT count_if(NOT ({GCP_KEEP})) FROM gcp_raw)::BIGINT AS rejected_before"""
 
+def _days(report: str, condition: str) -> str:
+    return REPORTS[report].replace("GROUP BY", f"{'AND' if 'WHERE' in REPORTS[report] else 'WHERE'} {condition}\nGROUP BY", 1)
+
+
+OTHER_CONTENT = """
+SELECT 'changed' AS fact, substr(date_key, 1, 7) AS bill_month, COUNT(*) AS fact_rows, COUNT(*) AS expected_rows
+FROM fact GROUP BY 2 HAVING count_if(date_key = '2024-01-05' AND cost_usd <> 0) > 0"""
+
 STORAGE = {
+    "quarter_weekend_spend": _days("weekend_weekday", "d.\"year\" = '2024' AND d.\"quarter\" = 'Q1'"),
+    "weekend_category_share": _days("category_share", "f.date_key IN (SELECT date_key FROM dim_date WHERE month_name = 'January' AND is_weekend = 'true')"),
+    "sql_quarter_ai_spend": _days("aiml_spend", "d.\"year\" = '2024' AND d.\"quarter\" = 'Q2'"),
+    "zorder_fact": MONTH_STATS,
+    "validate_content": OTHER_CONTENT,
     "scan_aws_csv": "SELECT * FROM aws",
     "scan_gcp_csv": "SELECT * FROM gcp",
     "scan_parquet": "SELECT * FROM combined",
