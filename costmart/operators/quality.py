@@ -16,7 +16,7 @@ from costmart.functions.money import is_exact
 from costmart.operators.fact import fact_lines
 from costmart.operators.normalize import keep_condition
 from costmart.schemas import CANONICAL_COLUMNS
-from costmart.sources.billing_csv import CORRUPT_COLUMN
+from costmart.sources.billing_csv import CORRUPT_COLUMN, MALFORMED_FIELDS, malformed_fields
 from costmart.sources.layouts import SourceLayout
 
 
@@ -86,6 +86,18 @@ def quarantine(raw: DataFrame, layout: SourceLayout) -> DataFrame:
     return raw.where(~keep | _malformed(raw)).select(*cols)
 
 
+def quarantine_fields(raw: DataFrame, layout: SourceLayout) -> DataFrame:
+    """``(cloud_provider, field, text, raw_line)``: a row for each field of a malformed line that did not parse, by its name in the
+    export; of a line that is malformed as a whole (a wrong number of fields) one row without a field."""
+    if CORRUPT_COLUMN not in raw.columns:
+        raw = raw.withColumn(CORRUPT_COLUMN, F.lit(None).cast("string"))
+    found = F.col(MALFORMED_FIELDS) if MALFORMED_FIELDS in raw.columns else malformed_fields(layout.raw_schema)
+    # of text only the fields that a query reads are parsed (and found malformed): this condition, always true, reads them all
+    parsed = F.length(F.concat_ws("", *layout.raw_schema.fieldNames())) >= 0
+    lines = raw.where(_malformed(raw) & parsed).select(F.col(CORRUPT_COLUMN).alias("raw_line"), F.explode_outer(found).alias("f"))
+    return lines.select(F.lit(layout.provider).alias("cloud_provider"), F.col("f.field").alias("field"), F.col("f.text").alias("text"), "raw_line")
+
+
 _FACT_KEYS = {"dim_date": "date_key", "dim_service": "service_key", "dim_account": "account_key", "dim_region": "region_key"}
 
 

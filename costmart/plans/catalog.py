@@ -469,6 +469,28 @@ def quarantine_stored(spark, sf_dir):
     return q.withColumn("has_line", F.col("raw_line").isNotNull()).drop("raw_line", "provider", "source", "load")
 
 
+def quarantine_fields_stored(spark, sf_dir):
+    """The malformed fields that a load quarantined, by name and text."""
+    q = mart_store.read_quarantine_fields(spark, _dirty_mart(spark, sf_dir))
+    return q.groupBy("cloud_provider", "field", "text").agg(F.count(F.lit(1)).alias("num_fields"))
+
+
+def reordered_headers(spark, sf_dir):
+    """Files of one inbox with their columns in order, in reverse with one more, without an optional one that is empty anyway, and
+    without the cost; then one more good file. The fact must hold every line item but the refused file's."""
+    root = scratch_path(spark, "headers")
+    base, state, inbox = f"{root}/mart", f"{root}/state", f"{root}/inbox/*/*.csv"
+    a, b = load_exports(spark, sf_dir)
+    part = F.pmod(F.substring("resource_id", 3, 20).cast("long"), F.lit(3))
+    write_export(a.where(part == 0), f"{root}/inbox/1")
+    write_export(a.where(part == 1).select(F.lit("x, y").alias("note"), *reversed(a.columns)), f"{root}/inbox/2")
+    write_export(a.drop("cost_usd"), f"{root}/inbox/3")
+    _ingest(spark, AWS, inbox, base, state)
+    write_export(a.where(part == 2).drop("usage_type"), f"{root}/inbox/4")
+    _ingest(spark, AWS, inbox, base, state)
+    return fact_with_flat_tags(mart_store.read_fact(spark, base)).drop("cost_id", "bill_month")
+
+
 def extreme_costs(spark, sf_dir):
     """Sums over very large and very small costs: per provider all, and the items below a thousandth."""
     fact = load_mart(spark, _dirty_mart(spark, sf_dir)).fact
@@ -535,6 +557,8 @@ STORAGE_QUERIES = {
     "quarantine_empty": quarantine_empty,
     "load_drop_counts": load_drop_counts,
     "quarantine_stored": quarantine_stored,
+    "quarantine_fields": quarantine_fields_stored,
+    "reordered_headers": reordered_headers,
     "extreme_costs": extreme_costs,
     "upsert_dimension": upsert_dimension,
     "ingest_new_files": ingest_new_files,

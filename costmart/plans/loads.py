@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from costmart.operators.fact import build_fact, fact_lines, fingerprints
 from costmart.operators.normalize import normalize_with_files
-from costmart.operators.quality import count_columns, quarantine
+from costmart.operators.quality import count_columns, quarantine, quarantine_fields
 from costmart.schemas import CANONICAL_COLUMNS
 from costmart.session import together
 from costmart.sinks import mart_store as store
-from costmart.sources.billing_csv import INPUT_COLUMNS
+from costmart.sources.billing_csv import INPUT_COLUMNS, missing_columns, read_files_by_header, read_headers
 from costmart.sources.layouts import SourceLayout
 
 
@@ -53,13 +53,14 @@ def _land(spark: SparkSession, exports: list[tuple[SourceLayout, DataFrame]], ba
 
 
 def load_exports_into(spark: SparkSession, exports: list[tuple[SourceLayout, DataFrame]], base: str, source: str,
-                      load: int, replace_all: bool = False, input_files: list[tuple] | None = None) -> list[str]:
+                      load: int, replace_all: bool = False, input_files: list[tuple] | None = None,
+                      refused: list[tuple[str, str]] | None = None) -> list[str]:
     """Load raw export rows (as ``read_export(keep_corrupt=True)`` gives them) into the mart at ``base``.
 
     ``replace_all`` is a full load: afterwards the mart holds exactly these rows. Otherwise the rows are
     added to what other loads have landed; a load with the same ``source`` and number replaces its earlier run whole,
     months, quarantine and counts that the new run doesn't have included. ``input_files``: (path, size, time, outcome) to
-    remember. Returns the months touched, a handful of partition values. A load without a single kept row touches none
+    remember. ``refused``: (provider, text) of files that were not read at all, for the quarantine. Returns the months touched, a handful of partition values. A load without a single kept row touches none
     and is only recorded.
 
     The exports are read once for the landed rows and their counts, and once more for the quarantine where there is any.
@@ -68,7 +69,7 @@ def load_exports_into(spark: SparkSession, exports: list[tuple[SourceLayout, Dat
         raise ValueError(f"{base} holds a fact without landed rows: an incremental load would lose them")
     earlier: set[tuple[str, str]] = set()
     if replace_all:
-        for table in (store.MANIFEST, store.INPUT_FILES, store.COPIES, store.QUARANTINE):
+        for table in (store.MANIFEST, store.INPUT_FILES, store.COPIES, store.QUARANTINE, store.QUARANTINE_FIELDS):
             store.drop_folder(spark, f"{base.rstrip('/')}/{table}")
     else:
         broken = [x for x in store.unfinished_loads(spark, base) if x != (source, load)]
@@ -86,8 +87,16 @@ def load_exports_into(spark: SparkSession, exports: list[tuple[SourceLayout, Dat
         rows = [(p, *(counts[p][n] for n in store.COUNT_NAMES), p, source, load) for p in counts]
         rejected = [quarantine(raw, layout) for layout, raw in exports
                     if counts[layout.provider]["dropped_rows"] or counts[layout.provider]["malformed_rows"]]
+        if refused:
+            names = {"cloud_provider": 0, "reason": 1, "kept": 2, "raw_line": 3}
+            lines = [(provider, "missing_columns", False, text) for provider, text in refused]
+            rejected.append(store.literal_rows(spark, store.QUARANTINE_SCHEMA, [
+                tuple(line[names[f]] if f in names else None for f in store.QUARANTINE_SCHEMA.fieldNames()) for line in lines])
+                .drop("provider", "source", "load"))
+        fields = [quarantine_fields(raw, layout) for layout, raw in exports if counts[layout.provider]["malformed_rows"]]
         store.write_load_record(store.literal_rows(spark, store.LOAD_COUNTS_SCHEMA, rows),
-                                reduce(DataFrame.unionByName, rejected) if rejected else None, base, source, load, replace_all)
+                                reduce(DataFrame.unionByName, rejected) if rejected else None, base, source, load, replace_all,
+                                reduce(DataFrame.unionByName, fields) if fields else None)
         if input_files:
             files = store.literal_rows(spark, store.INPUT_FILES_SCHEMA, [(*f, source, load) for f in input_files])
             store.write_input_files(files.drop("source", "load"), base, source, load)
@@ -149,12 +158,33 @@ def _contents(rows: DataFrame) -> dict[str, tuple]:
     return {r[0]: tuple(r)[1:] for r in marked.groupBy("input_file").agg(F.count(F.lit(1)), *sums).collect()}
 
 
-def load_files_into(spark: SparkSession, layout: SourceLayout, raw: DataFrame, base: str, source: str, load: int) -> list[str]:
+def load_paths_into(spark: SparkSession, layout: SourceLayout, paths: list[tuple], base: str, source: str, load: int) -> list[str]:
+    """Load export files, given as (path, size, time), by each one's own header.
+
+    Columns may be in any order and more than the layout's; optional ones may be missing. A file that lacks a required column, or
+    has one twice, is refused whole: it goes to the quarantine (reason ``missing_columns``, its path and header as the line) and is
+    recorded, and the others are loaded. A file without a line has nothing to load.
+    """
+    headers = {p: h for p, h in read_headers(spark, [p for p, _, _ in paths]).items() if h}
+    wrong = {p: missing_columns(h, layout) for p, h in headers.items()}
+    refused = [(p, size, time) for p, size, time in paths if wrong.get(p)]
+    texts = [(layout.provider, f"{p}: {','.join(headers[p])}") for p, _, _ in refused]
+    good = {p: h for p, h in headers.items() if not wrong[p]}
+    if good:
+        raw = read_files_by_header(spark, layout, good)
+        return load_files_into(spark, layout, raw, base, source, load, refused, texts)
+    empty = store.literal_rows(spark, layout.raw_schema, [])
+    return load_exports_into(spark, [(layout, empty)], base, source, load, input_files=[(*f, "refused") for f in refused], refused=texts)
+
+
+def load_files_into(spark: SparkSession, layout: SourceLayout, raw: DataFrame, base: str, source: str, load: int,
+                    refused: list[tuple] = (), texts: list[tuple[str, str]] = ()) -> list[str]:
     """Load the rows of export files (``raw`` as ``with_input_file`` gives it) that no load has taken before.
 
     A file is known by its path; and, since one may be delivered again elsewhere, by its name, size and content: where name and
     size are those of a file that was taken, both files' kept rows are compared. A known file's rows are left out and it is
-    recorded so. Files are listed on the driver, as the file stream does anyway; their rows are not.
+    recorded so. Files are listed on the driver, as the file stream does anyway; their rows are not. ``refused`` files and their
+    ``texts``: see ``load_paths_into``.
     """
     files = sorted((tuple(r) for r in raw.select(*INPUT_COLUMNS).distinct().collect()), key=lambda f: f[0])
     running = {(source, load), *store.unfinished_loads(spark, base)}
@@ -183,10 +213,11 @@ def load_files_into(spark: SparkSession, layout: SourceLayout, raw: DataFrame, b
                 outcome[path] = "copy"
             there.add((name(path), content))
     passed_over = [p for p, o in outcome.items() if o != "loaded"]
-    if files and len(passed_over) == len(files) and running == {(source, load)} and not store.months_of_load(spark, base, source, load):
+    if files and not refused and len(passed_over) == len(files) and running == {(source, load)} and not store.months_of_load(spark, base, source, load):
         # nothing new and nothing to take back: the files are recorded, and no table is written
         record = store.literal_rows(spark, store.INPUT_FILES_SCHEMA, [(*f, outcome[f[0]], source, load) for f in files])
         store.write_input_files(record.drop("source", "load"), base, source, load)
         return []
     rows = raw.where(~F.col("input_file").isin(passed_over)) if passed_over else raw
-    return load_exports_into(spark, [(layout, rows)], base, source, load, input_files=[(*f, outcome[f[0]]) for f in files])
+    return load_exports_into(spark, [(layout, rows)], base, source, load,
+                             input_files=[*[(*f, outcome[f[0]]) for f in files], *[(*f, "refused") for f in refused]], refused=list(texts))

@@ -11,8 +11,8 @@
 * ``dim_*/source=S/load_id=N/``: each load of a dimension adds its rows under a new ``load_id``
   (rewriting its own folder if the load is replayed). Readers resolve one row per key, which is the
   upsert. No job ever reads and overwrites the same folder.
-* ``quarantine`` and ``load_counts`` (``/provider=P/source=S/load=N/``): rows a load dropped or could
-  read only in part, and one row of counts per load and provider.
+* ``quarantine``, ``quarantine_fields`` and ``load_counts`` (``/provider=P/source=S/load=N/``): rows a load dropped or could
+  read only in part, each field that did not parse, and one row of counts per load and provider.
 * ``load_manifest`` and ``input_files`` (``/source=S/load=N/``): the provider's months that a load has landed rows for,
   and whether it came to its end; the export files it has taken.
 * ``fact_copies/bill_month=M/source=S/load=N/``: how often each fingerprint occurs among a load's rows of the
@@ -48,6 +48,7 @@ ROLLUP_TABLE = "daily_rollup"
 ROLLUP_STATE = "rollup_state"
 LANDING = "landing"
 QUARANTINE = "quarantine"
+QUARANTINE_FIELDS = "quarantine_fields"
 LOAD_COUNTS = "load_counts"
 MANIFEST = "load_manifest"
 INPUT_FILES = "input_files"
@@ -69,6 +70,7 @@ COPIES_SCHEMA = StructType([StructField("fp_hi", LongType()), StructField("fp_lo
 QUARANTINE_SCHEMA = StructType([
     StructField("cloud_provider", StringType()), StructField("reason", StringType()), StructField("kept", BooleanType()),
     *[f for f in CANONICAL_SCHEMA.fields if f.name != "cloud_provider"], StructField("raw_line", StringType()), *_LOAD_COLUMNS])
+QUARANTINE_FIELDS_SCHEMA = StructType([StructField(n, StringType()) for n in ("cloud_provider", "field", "text", "raw_line")] + _LOAD_COLUMNS)
 COUNT_NAMES = ("raw_rows", "null_date", "null_cost", "null_service", "null_account", "bad_date", "inexact_cost", "malformed_rows",
                "dropped_rows", "kept_rows")
 LOAD_COUNTS_SCHEMA = StructType([StructField("cloud_provider", StringType()), *[StructField(n, LongType()) for n in COUNT_NAMES], *_LOAD_COLUMNS])
@@ -167,8 +169,8 @@ def read_landed_load(spark: SparkSession, base: str, source: str, load: int) ->
 
 
 def write_load_record(counts: DataFrame, rejected: DataFrame | None, base: str, source: str, load: int,
-                      replace_all: bool = False) -> None:
-    """One row of counts per provider, and the quarantined rows (both carry ``cloud_provider``)."""
+                      replace_all: bool = False, fields: DataFrame | None = None) -> None:
+    """One row of counts per provider, the quarantined rows and their malformed ``fields`` (all carry ``cloud_provider``)."""
     def tagged(df: DataFrame) -> DataFrame:
         return df.withColumns({"provider": F.col("cloud_provider"), "source": F.lit(source),
                                "load": F.lit(int(load)).cast("long")})
@@ -177,6 +179,8 @@ def write_load_record(counts: DataFrame, rejected: DataFrame | None, base: str,
     _write(tagged(counts), _path(base, LOAD_COUNTS), parts, replace_all)
     if rejected is not None:
         _write(tagged(rejected), _path(base, QUARANTINE), parts, replace_all)
+    if fields is not None:
+        _write(tagged(fields), _path(base, QUARANTINE_FIELDS), parts, replace_all)
 
 
 def read_load_counts(spark: SparkSession, base: str) -> DataFrame:
@@ -187,6 +191,10 @@ def read_quarantine(spark: SparkSession, base: str) -> DataFrame:
     return _read(spark, base, QUARANTINE, QUARANTINE_SCHEMA)
 
 
+def read_quarantine_fields(spark: SparkSession, base: str) -> DataFrame:
+    return _read(spark, base, QUARANTINE_FIELDS, QUARANTINE_FIELDS_SCHEMA)
+
+
 # --- what a load has done --------------------------------------------------------------------
 def write_manifest(spark: SparkSession, base: str, source: str, load: int, months: dict[tuple[str, str], int | None], state: str) -> None:
     """The (provider, month) pairs that a load has, or had, landed rows for; ``state`` is begun or done. A row without a
@@ -201,7 +209,7 @@ def read_manifest(spark: SparkSession, base: str) -> DataFrame:
 
 def read_input_files(spark: SparkSession, base: str) -> DataFrame:
     """The export files that loads have taken (``outcome`` loaded), or passed over since another load had taken
-    them (known) or a copy of them (copy)."""
+    them (known) or a copy of them (copy), or refused since a required column was missing."""
     return _read(spark, base, INPUT_FILES, INPUT_FILES_SCHEMA)
 
 
@@ -230,6 +238,7 @@ def drop_load(spark: SparkSession, base: str, source: str, load: int, manifest:
     """Remove what a load has stored, but for the fact and the rollup, which are rebuilt by month."""
     own = f"source={source}/load={load}"
     patterns = [f"{LANDING}/bill_month=*/provider=*/{own}", f"{COPIES}/bill_month=*/{own}", f"{QUARANTINE}/provider=*/{own}",
+                f"{QUARANTINE_FIELDS}/provider=*/{own}",
                 f"{LOAD_COUNTS}/provider=*/{own}", f"{INPUT_FILES}/{own}", *[f"{d}/source={source}/load_id={load}" for d in DIM_KEYS]]
     patterns += [f"{MANIFEST}/{own}"] if manifest else []
     for pattern in patterns:

@@ -1,6 +1,7 @@
 """Incremental loads: pick up only the export files that arrived since the last run.
 
-A Structured Streaming CSV source over the provider's inbox, run with ``availableNow`` (process
+A Structured Streaming file source over the provider's inbox (it hands over the new files' names; each batch then reads them
+by their own headers, so that one odd file doesn't stop the others), run with ``availableNow`` (process
 what is there, then stop), so a daily scheduler call is one bounded job; the stream checkpoint
 remembers which files were taken. Each micro-batch (``foreachBatch``) is one load
 (``plans.loads.load_exports_into``), the same as a batch load, into the same landed store:
@@ -8,7 +9,7 @@ remembers which files were taken. Each micro-batch (``foreachBatch``) is one loa
 1. files that any load has taken before are left out, by the mart's own record of files: a second inbox with its
    own state folder, a file delivered twice or a lost checkpoint brings no row twice;
 2. its canonical rows are landed under the touched months, and one row of counts is written, also for a batch of
-   which no row is kept; what it drops or can read only in part goes to the quarantine;
+   which no row is kept; what it drops or can read only in part goes to the quarantine, and a file without a required column whole;
 3. its rows are appended to the fact and the rollup of those months, numbered behind the copies that are there, so a
    late file yields the same ids as a full rebuild and no stored file is written again. A replayed batch takes back what it brought and
    rebuilds its months;
@@ -22,14 +23,17 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
 
-from costmart.plans.loads import load_exports_into, load_files_into
+from costmart.plans.loads import load_exports_into, load_files_into, load_paths_into
 from costmart.sinks.mart_store import read_landing
-from costmart.sources.billing_csv import CORRUPT_COLUMN, INPUT_COLUMNS, with_input_file
+from costmart.sources.billing_csv import INPUT_COLUMNS
 from costmart.sources.layouts import SourceLayout
 
 
+#: Columns of the file source; a file's content is not among those that are read.
+_LISTING = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+
+
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The identity that Spark gave the stream when its checkpoint was made."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
@@ -41,7 +45,11 @@ def _process_batch(spark: SparkSession, layout: SourceLayout, base: str, load_of
         source, load = f"stream-{layout.provider}", load_offset + batch_id + 1
         if checkpoint:
             source += f"-{_stream_id(spark, checkpoint)}"
-        if set(INPUT_COLUMNS) <= set(batch.columns):
+        if "path" in batch.columns:
+            # a set, since a file may be listed twice (seen where a name in the inbox has wildcards)
+            files = {tuple(f) for f in batch.select("path", "length", "modificationTime").collect()}
+            load_paths_into(spark, layout, sorted(files), base, source, load)
+        elif set(INPUT_COLUMNS) <= set(batch.columns):
             load_files_into(spark, layout, batch, base, source, load)
         else:
             load_exports_into(spark, [(layout, batch)], base, source, load)
@@ -52,14 +60,10 @@ def ingest_new_files(spark: SparkSession, layout: SourceLayout, inbox: str, base
                      state_dir: str, load_offset: int = 0, max_files_per_trigger: int | None = None) -> None:
     """Process every not-yet-seen export file under ``inbox`` (glob allowed) into the mart at
     ``base``; ``state_dir`` holds the stream checkpoint. Blocks until done."""
-    schema = StructType([*layout.raw_schema.fields, StructField(CORRUPT_COLUMN, StringType(), True)])
-    reader = (spark.readStream.schema(schema)
-              .option("header", "true").option("nullValue", "").option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-              .option("enforceSchema", "false"))
+    reader = spark.readStream.format("binaryFile").schema(_LISTING)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = with_input_file(reader.csv(inbox))
+    stream = reader.load(inbox).select("path", "length", "modificationTime")
     checkpoint = f"{state_dir.rstrip('/')}/checkpoint-{layout.provider}"
     query = (stream.writeStream
              .foreachBatch(_process_batch(spark, layout, base, load_offset, checkpoint))

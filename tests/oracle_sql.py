@@ -399,6 +399,10 @@ def _days(report: str, condition: str) -> str:
     return REPORTS[report].replace("GROUP BY", f"{'AND' if 'WHERE' in REPORTS[report] else 'WHERE'} {condition}\nGROUP BY", 1)
 
 
+ODD_FIELDS = """
+SELECT 'AWS' AS cloud_provider, 'cost_usd' AS field, 'n/a' AS text, COUNT(*) AS num_fields FROM lineitem WHERE l_orderkey % 29 = 0 HAVING COUNT(*) > 0
+UNION ALL SELECT 'AWS', 'usage_quantity', 'abc', COUNT(*) FROM lineitem WHERE l_orderkey % 41 = 0 HAVING COUNT(*) > 0"""
+
 OTHER_CONTENT = """
 SELECT 'changed' AS fact, substr(date_key, 1, 7) AS bill_month, COUNT(*) AS fact_rows, COUNT(*) AS expected_rows
 FROM fact GROUP BY 2 HAVING count_if(date_key = '2024-01-05' AND cost_usd <> 0) > 0"""
@@ -408,7 +412,9 @@ STORAGE = {
     "weekend_category_share": _days("category_share", "f.date_key IN (SELECT date_key FROM dim_date WHERE month_name = 'January' AND is_weekend = 'true')"),
     "sql_quarter_ai_spend": _days("aiml_spend", "d.\"year\" = '2024' AND d.\"quarter\" = 'Q2'"),
     "zorder_fact": MONTH_STATS,
+    "reordered_headers": "SELECT * FROM fact WHERE cloud_provider = 'AWS'",
     "validate_content": OTHER_CONTENT,
+    "quarantine_fields": ODD_FIELDS,
     "scan_aws_csv": "SELECT * FROM aws",
     "scan_gcp_csv": "SELECT * FROM gcp",
     "scan_parquet": "SELECT * FROM combined",
