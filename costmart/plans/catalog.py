@@ -36,6 +36,7 @@ from costmart.plans.sql_reports import SQL_REPORTS, run_queries, run_sql_report
 from costmart.schemas import CANONICAL_COLUMNS
 from costmart.session import scratch_path
 from costmart.sinks import mart_store
+from costmart.sinks.compaction import compact_landing
 from costmart.sources.billing_csv import read_export, write_export
 from costmart.sources.driver_tables import load_exports
 from costmart.sources.layouts import AWS, GCP
@@ -386,6 +387,19 @@ def shorter_replay(spark, sf_dir, split: str = "2024-07-01"):
     return fact_with_flat_tags(mart_store.read_fact(spark, base)).drop("cost_id", "bill_month")
 
 
+def compacted_landing(spark, sf_dir, split: str = "2024-07-01"):
+    """The even and the odd days of a provider in two loads, whose landed folders are then merged; then the second one again with
+    only the rows before ``split``, which are taken out of the merged folders and land anew."""
+    base = scratch_path(spark, "compacted")
+    a, b = load_exports(spark, sf_dir)
+    even = F.substring("bill_date", 10, 1).isin("0", "2", "4", "6", "8")
+    load_exports_into(spark, [(AWS, a.where(even)), (GCP, b)], base, "daily", 1)
+    load_exports_into(spark, [(AWS, a.where(~even))], base, "daily", 2)
+    compact_landing(spark, base)
+    load_exports_into(spark, [(AWS, a.where(~even & (F.col("bill_date") < split)))], base, "daily", 2)
+    return fact_with_flat_tags(mart_store.read_fact(spark, base)).drop("cost_id", "bill_month")
+
+
 def appended_loads(spark, sf_dir):
     """Every line item arrives twice, in four loads that share months and copies: per month and provider the items,
     distinct ids and costs of the appended fact, and whether its ids are those of one full build."""
@@ -553,6 +567,7 @@ STORAGE_QUERIES = {
     "ingest_two_inboxes": ingest_two_inboxes,
     "shorter_replay": shorter_replay,
     "appended_loads": appended_loads,
+    "compacted_landing": compacted_landing,
     "empty_mart_summary": empty_mart_summary,
     "quarantine_empty": quarantine_empty,
     "load_drop_counts": load_drop_counts,

@@ -23,6 +23,7 @@ from costmart.operators.normalize import normalize_with_files
 from costmart.operators.quality import count_columns, quarantine, quarantine_fields
 from costmart.schemas import CANONICAL_COLUMNS
 from costmart.session import together
+from costmart.sinks import compaction
 from costmart.sinks import mart_store as store
 from costmart.sources.billing_csv import INPUT_COLUMNS, missing_columns, read_files_by_header, read_headers
 from costmart.sources.layouts import SourceLayout
@@ -67,6 +68,7 @@ def load_exports_into(spark: SparkSession, exports: list[tuple[SourceLayout, Dat
     """
     if not replace_all and store.has_table(spark, base, store.FACT_TABLE) and not store.has_table(spark, base, store.LANDING):
         raise ValueError(f"{base} holds a fact without landed rows: an incremental load would lose them")
+    compaction.finish(spark, base)
     earlier: set[tuple[str, str]] = set()
     if replace_all:
         for table in (store.MANIFEST, store.INPUT_FILES, store.COPIES, store.QUARANTINE, store.QUARANTINE_FIELDS):
@@ -186,6 +188,7 @@ def load_files_into(spark: SparkSession, layout: SourceLayout, raw: DataFrame, b
     recorded so. Files are listed on the driver, as the file stream does anyway; their rows are not. ``refused`` files and their
     ``texts``: see ``load_paths_into``.
     """
+    compaction.finish(spark, base)
     files = sorted((tuple(r) for r in raw.select(*INPUT_COLUMNS).distinct().collect()), key=lambda f: f[0])
     running = {(source, load), *store.unfinished_loads(spark, base)}
     name = lambda path: path.rsplit("/", 1)[-1]

@@ -3,6 +3,7 @@
 * ``landing/bill_month=M/provider=P/source=S/load=N/``: the canonical rows of every load, batch or
   incremental. It is what the fact is rebuilt from, so any load may add rows to a month that another
   one has loaded before.
+  ``sinks.compaction`` merges small ones to ``source=merged/load=G``; ``landing_merges`` says which loads those hold.
 * ``fact_cloud_costs/bill_month=yyyy-MM/``: the fact, partitioned by month. Rows are distributed by
   day and provider and sorted by date inside each file, so a day's rows lie in a few files of its
   month and a date filter opens only those (Parquet min/max statistics).
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, LongType, StringType, StructField, StructType, TimestampType
 
@@ -53,6 +54,8 @@ LOAD_COUNTS = "load_counts"
 MANIFEST = "load_manifest"
 INPUT_FILES = "input_files"
 COPIES = "fact_copies"
+MERGES = "landing_merges"
+MERGED = "merged"  # the landing's source of folders that hold several loads
 LAYOUT_RUN = "layout"  # the manifest's source of a run of optimize_fact
 DIM_KEYS = {"dim_date": "date_key", "dim_service": "service_key", "dim_account": "account_key",
             "dim_region": "region_key"}
@@ -61,7 +64,10 @@ DIM_SCHEMAS = {"dim_date": DIM_DATE_SCHEMA, "dim_service": DIM_SERVICE_SCHEMA,
 INITIAL_LOAD = 0
 _LOAD_COLUMNS = [StructField("provider", StringType()), StructField("source", StringType()), StructField("load", LongType())]
 _FILE_COLUMNS = [StructField("input_file", StringType()), StructField("input_size", LongType()), StructField("input_time", TimestampType())]
-LANDING_SCHEMA = StructType([*CANONICAL_SCHEMA.fields, *_FILE_COLUMNS, StructField("bill_month", StringType()), *_LOAD_COLUMNS])
+_OF_COLUMNS = [StructField("of_source", StringType()), StructField("of_load", LongType())]  # in merged folders only
+LANDING_SCHEMA = StructType([*CANONICAL_SCHEMA.fields, *_FILE_COLUMNS, *_OF_COLUMNS, StructField("bill_month", StringType()), *_LOAD_COLUMNS])
+MERGES_SCHEMA = StructType([StructField("provider", StringType()), StructField("bill_month", StringType()), *_OF_COLUMNS,
+                            StructField("rows", LongType()), StructField("generation", LongType())])
 MANIFEST_SCHEMA = StructType([StructField("provider", StringType()), StructField("bill_month", StringType()), StructField("rows", LongType()),
                               StructField("state", StringType()), *_LOAD_COLUMNS[1:]])
 INPUT_FILES_SCHEMA = StructType([*_FILE_COLUMNS, StructField("outcome", StringType()), *_LOAD_COLUMNS[1:]])
@@ -135,6 +141,8 @@ def literal_rows(spark: SparkSession, schema: StructType, rows: list[tuple]) ->
 def land_rows(canonical: DataFrame, base: str, source: str, load: int, replace_all: bool = False) -> None:
     """Store one load's canonical rows; a replay of the load replaces its own folders. ``canonical`` may carry the
     ``input_`` columns of ``sources.billing_csv.with_input_file``."""
+    if source == MERGED:
+        raise ValueError(f"no load may have the source {MERGED!r}: it names the landing's merged folders")
     files = [F.col(f.name) if f.name in canonical.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in _FILE_COLUMNS]
     assert_schema(canonical.select(*CANONICAL_COLUMNS), CANONICAL_SCHEMA)
     rows = canonical.select(
@@ -149,12 +157,12 @@ def read_landing(spark: SparkSession, base: str, months: list[str] | None = None
 
 
 def _landing(spark: SparkSession, base: str, paths: list[str] | None = None) -> DataFrame:
+    """Landed rows, each with the load that it is of, whatever folder it is in."""
     root = _path(base, LANDING)
     if paths is None and has_table(spark, base, LANDING):
         paths = [root]
-    if not paths:
-        return literal_rows(spark, LANDING_SCHEMA, [])
-    return spark.read.schema(LANDING_SCHEMA).option("basePath", root).parquet(*paths)
+    rows = spark.read.schema(LANDING_SCHEMA).option("basePath", root).parquet(*paths) if paths else literal_rows(spark, LANDING_SCHEMA, [])
+    return rows.withColumns({"source": F.coalesce("of_source", "source"), "load": F.coalesce("of_load", "load")}).drop("of_source", "of_load")
 
 
 def landed_folders(spark: SparkSession, base: str, source: str = "*", load: int | str = "*", months: list[str] | None = None) -> list[str]:
@@ -164,8 +172,24 @@ def landed_folders(spark: SparkSession, base: str, source: str = "*", load: int
 
 
 def read_landed_load(spark: SparkSession, base: str, source: str, load: int) -> DataFrame:
-    """All landed columns of one load; only its folders are listed."""
-    return _landing(spark, base, landed_folders(spark, base, source, load))
+    """All landed columns of one load; only folders that hold some of it are read."""
+    mine = (F.col("of_source") == source) & (F.col("of_load") == load)
+    merged = sorted({merged_folder(base, r) for r in merges(spark, base, mine)})
+    rows = _landing(spark, base, landed_folders(spark, base, source, load) + merged)
+    return rows.where((F.col("source") == source) & (F.col("load") == load)) if merged else rows
+
+
+def merges(spark: SparkSession, base: str, where: Column | None = None) -> list[Row]:
+    """Which loads the merged folders of the landing hold, of the records that fit ``where``."""
+    there = {(v["provider"], v["bill_month"], int(v["load"])) for v in map(_values, landed_folders(spark, base, MERGED))}
+    if not there:
+        return []
+    rows = _read(spark, base, MERGES, MERGES_SCHEMA)
+    return [r for r in (rows if where is None else rows.where(where)).collect() if (r["provider"], r["bill_month"], r["generation"]) in there]
+
+
+def merged_folder(base: str, record: Row) -> str:
+    return f"{_path(base, LANDING)}/bill_month={record['bill_month']}/provider={record['provider']}/source={MERGED}/load={record['generation']}"
 
 
 def write_load_record(counts: DataFrame, rejected: DataFrame | None, base: str, source: str, load: int,
@@ -231,11 +255,14 @@ def months_of_load(spark: SparkSession, base: str, source: str, load: int) -> se
     its folders where it broke off before."""
     rows = read_manifest(spark, base).where((F.col("source") == source) & (F.col("load") == load) & F.col("bill_month").isNotNull())
     found = {(r["provider"], r["bill_month"]) for r in rows.select("provider", "bill_month").collect()}
+    found |= {(r["provider"], r["bill_month"]) for r in merges(spark, base, (F.col("of_source") == source) & (F.col("of_load") == load))}
     return found | {(v["provider"], v["bill_month"]) for v in map(_values, landed_folders(spark, base, source, load))}
 
 
 def drop_load(spark: SparkSession, base: str, source: str, load: int, manifest: bool = False) -> None:
     """Remove what a load has stored, but for the fact and the rollup, which are rebuilt by month."""
+    from costmart.sinks.compaction import take_out
+
     own = f"source={source}/load={load}"
     patterns = [f"{LANDING}/bill_month=*/provider=*/{own}", f"{COPIES}/bill_month=*/{own}", f"{QUARANTINE}/provider=*/{own}",
                 f"{QUARANTINE_FIELDS}/provider=*/{own}",
@@ -244,6 +271,7 @@ def drop_load(spark: SparkSession, base: str, source: str, load: int, manifest:
     for pattern in patterns:
         for folder in _folders(spark, _path(base, pattern)):
             drop_folder(spark, folder)
+    take_out(spark, base, source, load)
 
 
 # --- copies ----------------------------------------------------------------------------------
@@ -265,9 +293,15 @@ def read_copies(spark: SparkSession, base: str, months: list[str]) -> DataFrame:
     have = [f for m in months for f in _folders(spark, f"{root}/bill_month={m}/source=*/load=*")]
     known = {tuple(_values(f)[k] for k in ("bill_month", "source", "load")) for f in have}
     out = spark.read.schema(COPIES_SCHEMA).option("basePath", root).parquet(*have) if have else literal_rows(spark, COPIES_SCHEMA, [])
-    missing = [f for f in landed_folders(spark, base, months=months) if tuple(_values(f)[k] for k in ("bill_month", "source", "load")) not in known]
-    if missing:
-        rows = _landing(spark, base, missing).select("bill_month", "source", "load", *fingerprints())
+    names = {f: _values(f) for f in landed_folders(spark, base, months=months)}
+    missing = [f for f, v in names.items() if v["source"] != MERGED and (v["bill_month"], v["source"], v["load"]) not in known]
+    held = [r for r in merges(spark, base, F.col("bill_month").isin(months)) if (r["bill_month"], r["of_source"], str(r["of_load"])) not in known]
+    if missing or held:
+        rows = _landing(spark, base, missing + sorted({merged_folder(base, r) for r in held}))
+        if held:
+            counted = [F.struct(F.lit(m), F.lit(s), F.lit(int(n)).cast("long")) for m, s, n in sorted(known)]
+            rows = rows.where(~F.struct("bill_month", "source", "load").isin(counted)) if counted else rows
+        rows = rows.select("bill_month", "source", "load", *fingerprints())
         out = out.unionByName(rows.groupBy("fp_hi", "fp_lo", "bill_month", "source", "load").agg(F.count(F.lit(1)).alias("copies")))
     return out
 

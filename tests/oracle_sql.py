@@ -430,6 +430,7 @@ FROM fact GROUP BY 1, 2, 3""",
     "ingest_two_inboxes": "SELECT * FROM fact",
     "shorter_replay": "SELECT * FROM fact WHERE cloud_provider = 'GCP' OR date_key < '2024-07-01'",
     "appended_loads": APPENDED,
+    "compacted_landing": "SELECT * FROM fact WHERE cloud_provider = 'GCP' OR substr(date_key, 10, 1) IN ('0', '2', '4', '6', '8') OR date_key < '2024-07-01'",
     "empty_mart_summary": f"SELECT table_name, CAST(0 AS BIGINT) AS row_count FROM ({SUMMARY})",
     "quarantine_empty": REJECTED,
     "upsert_dimension": "SELECT * FROM dim_account",

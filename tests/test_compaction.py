@@ -1,0 +1,131 @@
+"""Merging landed folders: nothing changes but the files, whatever step is the last one reached."""
+
+import glob
+
+import pytest
+
+from costmart.operators.fact import build_fact
+from costmart.session import local_path
+from costmart.sinks import compaction
+from costmart.sinks import mart_store as store
+from tests.test_loads import check_against_full_build, ids, load, rows
+
+LANDED = "/landing/bill_month=*/provider=*/source=*/load=*"
+
+
+def folders(base):
+    return sorted(p.split("/landing/")[1] for p in glob.glob(local_path(base) + LANDED))
+
+
+def data_files(base):
+    return glob.glob(local_path(base) + LANDED + "/*.parquet")
+
+
+def landed(spark, base):
+    """All landed rows with their load and input columns."""
+    return sorted(map(str, store._landing(spark, base).collect()))
+
+
+def three_loads(spark, base):
+    load(spark, base, rows(spark, 12, copies=2), 1)
+    load(spark, base, rows(spark, 9, first=6).unionByName(rows(spark, 4, "2024-02")), 2)
+    load(spark, base, rows(spark, 3, "2024-02", first=2), 3)
+
+
+def test_merge_keeps_rows_ids_and_loads(spark, scratch):
+    base = scratch("merge")
+    three_loads(spark, base)
+    before, numbers, files = landed(spark, base), ids(spark, base), len(data_files(base))
+    assert compaction.compact_landing(spark, base) == 4
+    assert folders(base) == [f"bill_month={m}/provider=AWS/source=merged/load=1" for m in ("2024-01", "2024-02")]
+    assert len(data_files(base)) < files
+    assert landed(spark, base) == before and ids(spark, base) == numbers
+    check_against_full_build(spark, base)
+    for number in (1, 2, 3):
+        assert store.read_landed_load(spark, base, "daily", number).count() == {1: 24, 2: 13, 3: 3}[number]
+    assert compaction.compact_landing(spark, base) == 0  # one folder a month is left alone
+    # a later load appends behind the merged ones' copies, and is merged with them
+    load(spark, base, rows(spark, 12), 4)
+    check_against_full_build(spark, base)
+    assert compaction.compact_landing(spark, base, months=["2024-01"]) == 2
+    assert folders(base) == ["bill_month=2024-01/provider=AWS/source=merged/load=2", "bill_month=2024-02/provider=AWS/source=merged/load=1"]
+    assert sorted((r["of_load"], r["bill_month"], r["rows"]) for r in store.merges(spark, base)) == [
+        (1, "2024-01", 24), (2, "2024-01", 9), (2, "2024-02", 4), (3, "2024-02", 3), (4, "2024-01", 12)]
+    check_against_full_build(spark, base)
+
+
+def test_replay_of_a_merged_load(spark, scratch):
+    base = scratch("replayed")
+    three_loads(spark, base)
+    compaction.compact_landing(spark, base)
+    load(spark, base, rows(spark, 5, first=6), 2)  # without its February
+    assert store.read_fact(spark, base).count() == 24 + 5 + 3
+    assert "bill_month=2024-01/provider=AWS/source=daily/load=2" in folders(base)
+    check_against_full_build(spark, base)
+    load(spark, base, rows(spark, 7, "2024-03"), 3)  # the last of a merged folder goes, and the folder with it
+    assert not any(f.startswith("bill_month=2024-02") for f in folders(base))
+    assert store.read_fact(spark, base).count() == 24 + 5 + 7
+    check_against_full_build(spark, base)
+
+
+def test_counts_of_a_merged_load_are_taken_from_its_rows(spark, scratch):
+    base = scratch("uncounted")
+    load(spark, base, rows(spark, 10), 1)
+    load(spark, base, rows(spark, 10), 2)
+    store.drop_folder(spark, f"{base}/{store.COPIES}/bill_month=2024-01/source=daily/load=1")
+    compaction.compact_landing(spark, base)
+    load(spark, base, rows(spark, 15), 3)
+    assert store.read_fact(spark, base).count() == 35
+    check_against_full_build(spark, base)
+    store.drop_folder(spark, f"{base}/{store.COPIES}")
+    load(spark, base, rows(spark, 2), 4)
+    check_against_full_build(spark, base)
+
+
+@pytest.mark.parametrize("step", ["staged", "record", "swap", "removed", "moved once"])
+def test_a_merge_that_broke_off_loses_nothing(spark, scratch, monkeypatch, step):
+    base = scratch("broken-merge")
+    three_loads(spark, base)
+    before, numbers = landed(spark, base), ids(spark, base)
+    write, drop, move, moves = store._write, store.drop_folder, compaction._move, []
+
+    def failing_write(df, path, *args, **kwargs):
+        write(df, path, *args, **kwargs)
+        if path.endswith({"staged": compaction.STAGED, "record": store.MERGES, "swap": compaction.SWAPS}.get(step, "-")):
+            raise RuntimeError("lost")
+
+    def failing_drop(spark, path):
+        drop(spark, path)
+        if step == "removed" and "/landing/" in path:
+            raise RuntimeError("lost")
+
+    def failing_move(*args):
+        move(*args)
+        if step == "moved once":
+            raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(store, "_write", failing_write)
+        m.setattr(store, "drop_folder", failing_drop)
+        m.setattr(compaction, "_move", failing_move)
+        with pytest.raises(RuntimeError, match="lost"):
+            compaction.compact_landing(spark, base)
+    decided = step in ("swap", "removed", "moved once")
+    compaction.finish(spark, base)
+    assert any("merged" in f for f in folders(base)) == decided
+    assert landed(spark, base) == before and ids(spark, base) == numbers
+    assert not store.has_table(spark, base, compaction.STAGED)
+    load(spark, base, rows(spark, 4), 2)
+    assert store.read_fact(spark, base).count() == 24 + 4 + 3
+    assert sorted(ids(spark, base)) == sorted(r.cost_id for r in build_fact(store.read_landing(spark, base)).select("cost_id").collect())
+
+
+def test_folders_are_chosen_by_size():
+    assert compaction.small_ones({"a": 5, "b": 3, "c": 100}, 10) == ["b", "a"]
+    assert compaction.small_ones({"a": 60, "b": 50, "c": 100, "d": 900}, 50) == ["b", "a", "c"]
+    assert compaction.small_ones({"a": 5}, 10) == [] and compaction.small_ones({}, 10) == []
+
+
+def test_no_load_may_be_named_like_merged_folders(spark, scratch):
+    with pytest.raises(ValueError, match="merged"):
+        load(spark, scratch("name"), rows(spark, 1), 1, source=store.MERGED)
