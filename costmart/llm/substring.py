@@ -19,11 +19,11 @@ many documents hold them.
 
 In a shard. An anchor that occurs once in the corpus has no repeated window and its segment is
 dropped. The distinct other segments are concatenated and indexed: suffixes are sorted, the
-Burrows-Wheeler transform is kept in a wavelet matrix of packed bits with rank directories. Then
-the segments are streamed: backward search extends each window to the left word by word; when only
-one place in the index is left, no window over the words read so far occurs elsewhere, and the
-search skips past all of them; a window that is matched in whole is reported with the earliest
-place in its suffix interval. Each document's own place is compared with that.
+Burrows-Wheeler transform is kept in a wavelet matrix of packed bits with rank directories, each eighth place of
+the suffix order, and the borders of the suffix intervals of every length up to a window. Then the segments are streamed:
+backward search computes the matching statistics from the last word to the first, that is for each word the longest run from
+there that the index has elsewhere, too; where it is as long as a window, the suffix interval is reported, and the earliest
+place in it is found. Each document's own place is compared with that.
 
 Defined cases: a null text has no words; a text of fewer words than a window loses none. doc_id is a
 whole number; null ids come after all others and are one document. Repeated rows (equal id and
@@ -221,18 +221,81 @@ class WaveletMatrix:
             at = np.where(bit == 1, self.zeros[i] + ones, at - ones)
         return at
 
-
-def suffix_order(tokens: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in order of their first ``depth`` tokens (at least), by prefix doubling."""
-    n = len(tokens)
-    rank = tokens.astype(np.int64)
+    def access(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol at each position, and ``rank`` of it there."""
+        symbols = np.zeros(len(at), dtype=np.int64)
+        for i in range(self.levels):
+            word, shift = self.bits[i][at >> 6], (at & 63).astype(np.uint64)
+            bit = ((word >> shift) & np.uint64(1)).astype(np.int64)
+            ones = self.ranks[i][at >> 6] + np.bitwise_count(word & ((np.uint64(1) << shift) - np.uint64(1)))
+            symbols = symbols * 2 + bit
+            at = np.where(bit == 1, self.zeros[i] + ones, at - ones)
+        return symbols, at
+
+
+class Marks:
+    """A bit vector with a rank directory."""
+
+    def __init__(self, marked: np.ndarray):
+        self.bits = np.zeros(len(marked) // 64 + 1, dtype="<u8")
+        self.bits.view(np.uint8)[:-(-len(marked) // 8)] = np.packbits(marked, bitorder="little")
+        ones = np.bitwise_count(self.bits).astype(np.int64)
+        self.ranks = (np.cumsum(ones) - ones).astype(np.int32)
+
+    def at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each place is marked, and how many are before it."""
+        word, shift = self.bits[places >> 6], (places & 63).astype(np.uint64)
+        before = self.ranks[places >> 6] + np.bitwise_count(word & ((np.uint64(1) << shift) - np.uint64(1)))
+        return (word >> shift) & np.uint64(1) == 1, before
+
+
+class Borders:
+    """For every length up to ``depth`` the places between suffixes that share fewer words, as bits: where the suffix
+    intervals of that length end."""
+
+    def __init__(self, shared: np.ndarray, depth: int):
+        words = len(shared) // 64 + 1
+        self.words = words
+        self.bits = np.zeros((depth + 1, words), dtype="<u8")
+        for length in range(1, depth + 1):
+            self.bits[length].view(np.uint8)[:-(-len(shared) // 8)] = np.packbits(shared < length, bitorder="little")
+        filled, number = self.bits != 0, np.arange(words, dtype=np.int32)
+        self.left = np.maximum.accumulate(np.where(filled, number, np.int32(0)), axis=1).ravel()
+        self.right = np.minimum.accumulate(np.where(filled, number, np.int32(words - 1))[:, ::-1], axis=1)[:, ::-1].ravel()
+        self.bits = self.bits.ravel()
+
+    def around(self, length: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The interval of that length, at least 1, around each [lo, hi)."""
+        row, one = length * self.words, np.uint64(1)
+        word, shift = lo >> 6, (lo & 63).astype(np.uint64)
+        own = self.bits[row + word] & ((one << shift) | ((one << shift) - one))
+        none = own == 0
+        word = np.where(none, self.left[row + np.maximum(word - 1, 0)], word)
+        own = np.where(none, self.bits[row + word], own)
+        for s in (1, 2, 4, 8, 16, 32):
+            own = own | (own >> np.uint64(s))
+        first = word * 64 + np.bitwise_count(own).astype(np.int64) - 1
+
+        word, shift = hi >> 6, (hi & 63).astype(np.uint64)
+        own = self.bits[row + word] & ~((one << shift) - one)
+        none = own == 0
+        word = np.where(none, self.right[row + np.minimum(word + 1, self.words - 1)], word)
+        own = np.where(none, self.bits[row + word], own)
+        return first, word * 64 + np.bitwise_count(~own & (own - one)).astype(np.int64)
+
+
+def suffix_order(tokens: np.ndarray) -> np.ndarray:
+    """All suffixes in order, by prefix doubling. Token 0 ends each text; the ends differ from each other, so no two
+    suffixes are equal and the order is that of the texts' own suffixes."""
+    n, ends = len(tokens), tokens == 0
+    rank = np.where(ends, np.cumsum(ends) - 1, tokens + int(ends.sum())).astype(np.int64)
     order, have = np.argsort(rank), 1
     while True:
         sorted_rank = rank[order]
         new = np.empty(n, dtype=np.int64)
         new[order] = np.cumsum(np.concatenate([[0], sorted_rank[1:] != sorted_rank[:-1]]))
-        if have >= depth or int(new.max(initial=0)) == n - 1:
-            return order
+        if int(new.max(initial=0)) == n - 1:
+            return order.astype(np.int32)
         behind = np.zeros(n, dtype=np.int64)
         behind[:max(n - have, 0)] = new[have:] + 1
         rank = new * (n + 1) + behind
@@ -240,18 +303,40 @@ def suffix_order(tokens: np.ndarray, depth: int) -> np.ndarray:
         have *= 2
 
 
-class FMIndex:
-    """Counts and places of word sequences of up to ``depth`` words in a concatenation of texts. Token 0
-    ends each text."""
+def shared_words(tokens: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+    """How many words, at most ``depth``, each suffix shares with the one before it in order; 0 at both ends."""
+    padded = np.concatenate([tokens, np.full(depth, -1, dtype=tokens.dtype)])
+    shared = np.zeros(len(order) + 1, dtype=np.int8)
+    alike = np.arange(1, len(order))
+    for j in range(depth):
+        mine = padded[order[alike] + j]
+        alike = alike[(padded[order[alike - 1] + j] == mine) & (mine > 0)]
+        if not len(alike):
+            break
+        shared[alike] = j + 1
+    return shared
 
-    def __init__(self, tokens: np.ndarray, depth: int):
-        self.order = suffix_order(tokens, depth)
-        bwt = tokens[self.order - 1]  # of the suffix at 0, the last token
+
+class FMIndex:
+    """Counts and places of word sequences in a concatenation of texts. Token 0 ends each text. Of the suffix order only each
+    ``rate``-th place of a text is kept; the others are found by walking back to one."""
+
+    def __init__(self, tokens: np.ndarray, depth: int, rate: int = 8):
+        order = suffix_order(tokens)
+        self.n, self.depth = len(tokens), depth
+        self.shared = shared_words(tokens, order, depth)
+        self.borders = Borders(self.shared, depth)
+        bwt = tokens[order - 1]  # of the suffix at 0, the last token
         symbols = int(tokens.max(initial=0)) + 1
         counts = np.bincount(tokens, minlength=symbols)
         self.first = np.cumsum(counts) - counts  # of each symbol, where its suffixes begin
         self.wavelet = WaveletMatrix(bwt.astype(np.int64), max(1, (symbols - 1).bit_length()))
         self.offset = self.wavelet.rank(np.arange(symbols), np.zeros(symbols, dtype=np.int64))
+        place = np.arange(len(tokens))
+        begins = np.concatenate([[True], tokens[:-1] == 0])[:len(tokens)]
+        kept = (place - np.maximum.accumulate(np.where(begins, place, 0))) % rate == 0
+        self.marks = Marks(kept[order])
+        self.samples = order[kept[order]]
 
     def extend(self, symbols: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The suffix intervals of each sequence with the symbol put before it."""
@@ -259,33 +344,53 @@ class FMIndex:
         move = self.first[symbols] - self.offset[symbols]
         return both[:len(lo)] + move, both[len(lo):] + move
 
-
-def repeated_windows(index: FMIndex, tokens: np.ndarray, starts: np.ndarray, lengths: np.ndarray, window: int):
-    """Streams the texts (tokens[start:start + length]) by backward search. (text, offset, lo, hi) of each
-    of their windows that is in the index more than once."""
-    lane = np.flatnonzero(lengths >= window)
-    at = np.zeros(len(lane), dtype=np.int64)  # the window's offset
-    depth = np.zeros(len(lane), dtype=np.int64)
-    lo, hi = np.zeros(len(lane), dtype=np.int64), np.full(len(lane), len(tokens), dtype=np.int64)
+    def places(self, rows: np.ndarray) -> np.ndarray:
+        """Where the suffixes of these numbers in order begin."""
+        out, todo, steps = np.zeros(len(rows), dtype=np.int64), np.arange(len(rows)), 0
+        while len(todo):
+            known, before = self.marks.at(rows)
+            out[todo[known]] = self.samples[before[known]] + steps
+            todo, rows = todo[~known], rows[~known]
+            symbols, rows = self.wavelet.access(rows)
+            rows, steps = rows + self.first[symbols] - self.offset[symbols], steps + 1
+        return out
+
+
+def matching_statistics(index: FMIndex, tokens: np.ndarray, starts: np.ndarray, lengths: np.ndarray, least: int):
+    """Streams the indexed texts (tokens[start:start + length]) by backward search. For each offset the length of the longest
+    run of words from there, at most the index's depth, that is in the index more than once: (text, offset, length, lo, hi) where
+    it is ``least`` or more, with its suffix interval.
+
+    A word more is put before the run that the last offset had; if that is in one place only, the run loses the words
+    behind, to the next wider interval, and it is tried again. A text is left where what is ahead of it is too short.
+    """
+    lane = np.flatnonzero(lengths >= max(least, 1))
+    at = lengths[lane].astype(np.int64)
+    length, lo, hi = np.zeros(len(lane), np.int64), np.zeros(len(lane), np.int64), np.full(len(lane), index.n, np.int64)
     found: list[tuple[np.ndarray, ...]] = []
     while len(lane):
-        symbols = tokens[starts[lane] + at + window - 1 - depth]
-        lo, hi = index.extend(symbols, lo, hi)
-        depth += 1
-        alone = hi - lo <= 1
-        whole = (depth == window) & ~alone
-        if whole.any():
-            found.append((lane[whole], at[whole], lo[whole], hi[whole]))
-        # of one place left: all windows over the words read so far are alone; go behind the last read
-        done = alone | whole
-        at = np.where(alone, at + window - depth + 1, np.where(whole, at + 1, at))
-        depth[done], lo[done], hi[done] = 0, 0, len(tokens)
-        if done.any():
-            on = at + window <= lengths[lane]
-            if not on.all():
-                lane, at, depth, lo, hi = lane[on], at[on], depth[on], lo[on], hi[on]
+        a, b = index.extend(tokens[starts[lane] + at - 1], lo, hi)
+        more = b - a > 1
+        lo, hi = np.where(more, a, lo), np.where(more, b, hi)
+        at = at - (more | (length == 0))
+        shorter = np.flatnonzero(~more & (length > 0))
+        length = length + more
+        length[shorter] = np.maximum(index.shared[lo[shorter]], index.shared[hi[shorter]])
+        whole = shorter[length[shorter] == 0]
+        lo[whole], hi[whole] = 0, index.n
+        longer = np.flatnonzero(length > index.depth)
+        length[longer] = index.depth
+        wider = np.concatenate([shorter[length[shorter] > 0], longer])
+        if len(wider):
+            lo[wider], hi[wider] = index.borders.around(length[wider], lo[wider], hi[wider])
+        told = more & (length >= least)
+        if told.any():
+            found.append((lane[told], at[told], length[told], lo[told], hi[told]))
+        on = (at > 0) & (length + at >= least)
+        if not on.all():
+            lane, at, length, lo, hi = lane[on], at[on], length[on], lo[on], hi[on]
     if not found:
-        return tuple(np.zeros(0, dtype=np.int64) for _ in range(4))
+        return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
@@ -312,7 +417,7 @@ def shard_intervals(rows: np.ndarray, contents: list[bytes], window: int) -> np.
     first_doc, first_start = rows["doc"][order][begin], rows["start"][order][begin].astype(np.int64)
 
     index = FMIndex(tokens, window)
-    found_text, at, lo, hi = repeated_windows(index, tokens, starts, lengths, window)
+    found_text, at, _, lo, hi = matching_statistics(index, tokens, starts, lengths, window)
     # earliest place of each text's windows: its own first place, unless the interval has an earlier one
     n_windows = lengths - window + 1
     base = np.cumsum(n_windows) - n_windows
@@ -323,7 +428,7 @@ def shard_intervals(rows: np.ndarray, contents: list[bytes], window: int) -> np.
         intervals, which = np.unique(lo, return_inverse=True)
         ends = np.zeros(len(intervals), dtype=np.int64)
         ends[which] = hi
-        place = index.order[np.repeat(intervals, ends - intervals) + _within(ends - intervals)]
+        place = index.places(np.repeat(intervals, ends - intervals) + _within(ends - intervals))
         in_text = np.searchsorted(starts, place, side="right") - 1
         key = np.lexsort((first_start[in_text] + place - starts[in_text], first_doc[in_text], np.repeat(np.arange(len(intervals)), ends - intervals)))
         least = key[np.cumsum(ends - intervals) - (ends - intervals)]

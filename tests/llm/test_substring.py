@@ -115,7 +115,45 @@ def test_index_counts_and_places():
             for symbol in pattern[::-1]:
                 lo, hi = index.extend(np.array([symbol]), lo, hi)
             want = [p for p in range(n - length + 1) if (tokens[p:p + length] == pattern).all()]
-            assert sorted(index.order[lo[0]:hi[0]].tolist()) == want
+            assert sorted(index.places(np.arange(lo[0], hi[0])).tolist()) == want
+
+
+def test_matching_statistics_equal_plain_search():
+    rng = np.random.default_rng(2)
+    for trial in range(40):
+        depth, words = int(rng.integers(1, 9)), int(rng.integers(2, 9))
+        texts = [rng.integers(1, words, int(rng.integers(0, 90))) for _ in range(int(rng.integers(1, 9)))]
+        if trial % 3 == 0:
+            texts.append(texts[0][3:60])
+        lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        tokens = np.concatenate([np.append(t, 0) for t in texts])
+        runs = {}
+        for t in texts:
+            for p in range(len(t)):
+                for k in range(1, min(depth, len(t) - p) + 1):
+                    key = tuple(t[p:p + k].tolist())
+                    runs[key] = runs.get(key, 0) + 1
+        index = substring.FMIndex(tokens, depth, rate=int(rng.integers(1, 10)))
+        for least in (1, max(1, depth - 1), depth):
+            want = {}
+            for i, t in enumerate(texts):
+                for p in range(len(t)):
+                    k = max((k for k in range(1, min(depth, len(t) - p) + 1) if runs[tuple(t[p:p + k].tolist())] > 1), default=0)
+                    if k >= least:
+                        want[(i, p)] = (k, runs[tuple(t[p:p + k].tolist())])
+            got = list(zip(*(c.tolist() for c in substring.matching_statistics(index, tokens, starts, lengths, least))))
+            assert len(got) == len(want)
+            assert {(i, p): (k, hi - lo) for i, p, k, lo, hi in got} == want
+
+
+def test_shared_words_of_long_order():
+    """Borders many words of bits apart."""
+    tokens = np.append(np.ones(700, dtype=np.int64), 0)
+    index = substring.FMIndex(tokens, 5)
+    text, at, length, lo, hi = substring.matching_statistics(index, tokens, np.zeros(1, np.int64), np.array([700]), 5)
+    assert sorted(at.tolist()) == list(range(696)) and set((hi - lo).tolist()) == {696}
+    assert sorted(index.places(np.arange(lo[0], hi[0])).tolist()) == list(range(696))
 
 
 def test_equal_windows_have_equal_routes():
