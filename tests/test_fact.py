@@ -119,3 +119,25 @@ def test_unique_rows_cross_one_exchange(spark):
     union = df._jdf.queryExecution().optimizedPlan().toString()
     alone = union[union.index("Union"):].split("Aggregate")[0]
     assert "isnull(repeated" in alone  # the branch of unique rows holds no aggregate
+
+
+def test_many_repeated_rows_are_counted_without_a_join(spark):
+    """Above ``few`` repeated fingerprints all rows cross one exchange by fingerprint and meet no join; a hot group is counted
+    map side there; the numbers are the same."""
+    row = fx.canon_row()
+    c = fx.combined(spark, [row] * 10 + [fx.canon_row(resource_id=f"x{i % 4}") for i in range(8)] + [fx.canon_row(resource_id="alone")])
+    got = [sorted(number_copies(c, chunk=k, few=n).collect()) for k, n in ((3, 100), (3, 0), (100, 0))]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 19
+    plan = number_copies(c, few=0)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert len(_exchanges(plan)) == 2  # by fingerprint, and the layout
+
+
+def test_exchanges_carry_only_what_the_fact_is_made_of(spark):
+    c = fx.combined(spark, [fx.canon_row()] * 2)
+    number = lambda **k: number_copies(c, few=0, **k)
+    assert "resource_id" in number().columns
+    full = build_fact(c)
+    ids = build_fact(c, ids_only=True)
+    assert sorted(r.cost_id for r in ids.collect()) == sorted(r.cost_id for r in full.collect())
+    assert "resource_id" not in number(columns=("cost_usd",)).columns
