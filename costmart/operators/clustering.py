@@ -71,10 +71,10 @@ def with_z_order(rows: DataFrame, columns: tuple[str, ...], within: str = "bill_
     return ranked.select(*rows.columns, reduce(lambda a, b: a.bitwiseOR(b), z).alias("_z"))
 
 
-def z_ordered(rows: DataFrame, columns: tuple[str, ...], num_files: int, within: str = "bill_month", spread: str = "cost_id",
+def z_ordered(rows: DataFrame, columns: tuple[str, ...], num_ranges: int, within: str = "bill_month", spread: str = "cost_id",
               bits: int = DEFAULT_BITS) -> DataFrame:
-    """``rows`` in about ``num_files`` ranges of month and z-order, sorted for the month-partitioned write. ``spread``, hashed, cuts
+    """``rows`` in about ``num_ranges`` ranges of month and z-order, sorted for the month-partitioned write. ``spread``, hashed, cuts
     a cell that holds many rows into as many ranges as it needs."""
     return (with_z_order(rows, columns, within, bits)
-            .repartitionByRange(max(1, num_files), within, "_z", F.xxhash64(spread))
+            .repartitionByRange(max(1, num_ranges), within, "_z", F.xxhash64(spread))
             .sortWithinPartitions(within, "_z", *columns).drop("_z"))

@@ -201,3 +201,17 @@ def test_content_check_finds_lost_doubled_and_missing_months(spark, base):
     assert [tuple(r)[:1] for r in quality.months_with_other_content(mart.fact, extra).collect()] == [("2024-12",)]
     with pytest.raises(ValueError):
         quality.validate_mart(mart.fact, mart.dims, content=True)
+
+
+def test_z_order_cuts_files_in_the_writer(spark, scratch, monkeypatch):
+    """Files of few rows need no task each: one range here, cut into files of at most so many rows, compressed by zstd."""
+    base, asked = scratch("cut"), []
+    store.write_fact_months(build_fact(one_month(spark, 1_000)), base)
+    from costmart.operators import clustering
+
+    ordered = clustering.z_ordered
+    monkeypatch.setattr(clustering, "z_ordered", lambda rows, columns, n, **k: asked.append(n) or ordered(rows, columns, n, **k))
+    store.optimize_fact(spark, base, rows_per_file=30)
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(local_path(base) + "/fact_cloud_costs/*/*.parquet")]
+    assert asked == [1] and sum(m.num_rows for m in files) == 1_000 and max(m.num_rows for m in files) <= 30
+    assert {m.row_group(0).column(0).compression for m in files} == {"ZSTD"}

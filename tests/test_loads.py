@@ -154,3 +154,16 @@ def test_export_is_read_at_most_twice(spark, scratch):
     loads.load_exports_into(spark, [(AWS, stored.mapInArrow(count, stored.schema))], base, "daily", 1)
     assert seen.value == 2 * 31
     assert store.read_load_counts(spark, base).first().dropped_rows == 1
+
+
+def test_fact_of_a_load_crosses_no_second_exchange(spark, scratch):
+    """Landed rows lie by day and provider: the fact made of them is not exchanged again, and the fingerprints are
+    written as they come."""
+    base = scratch("landed")
+    loads.load_exports_into(spark, [(AWS, rows(spark, 12))], base, "daily", 1)
+    landed = store.read_landing(spark, base)
+    fact = loads.build_fact(landed, copies=store.read_copies(spark, base, ["2024-01"]), clustered=True)
+    union = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert "Rebalance" not in union[:union.index("Union")]  # of the counted rows only, below
+    counts = store.read_copies(spark, base, ["2024-01"]).collect()
+    assert len(counts) == 12 and {r.copies for r in counts} == {1}

@@ -180,3 +180,26 @@ def test_union_and_dedupe(spark):
     c = combine(normalize(fx.aws_raw(spark), AWS), normalize(fx.gcp_raw(spark), GCP))
     assert c.count() == fx.AWS_KEPT + fx.GCP_KEPT
     assert dedupe_line_items(c.unionByName(c)).count() == fx.AWS_KEPT + fx.GCP_KEPT
+
+
+def test_dates_are_cast_not_parsed_by_a_pattern(spark):
+    from costmart.functions.dates import parse_date
+
+    texts = ["2024-02-29", "2023-02-29", "2024-1-1", "2024-01-01\n", " 2024-01-01", "2024-01-01 ", "2024-01-01T00:00:00", "0000-01-01",
+             "9999-12-31", "2024-13-01", "+2024-1-01", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING").select("i", "t", parse_date("t").cast("string").alias("d"))
+    assert {r.t for r in df.collect() if r.d is not None} == {"2024-02-29", "0000-01-01", "9999-12-31"}
+    assert "gettimestamp" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_regions_that_end_in_a_digit_are_not_searched(spark):
+    from costmart.operators.normalize import canonical_columns
+    from costmart.sources.layouts import AWS, GCP
+
+    for layout, column, codes in ((AWS, "region", {"us-east-1": "us-east-1", "us-east-1a": "us-east-1", "us-east-1a\n": "us-east-1\n", "": "", None: "global"}),
+                                  (GCP, "location_region", {"us-west2": "us-west2", "us-west2-b": "us-west2", "us-west2-b\n": "us-west2\n", None: "global"})):
+        raw = spark.createDataFrame([(k,) for k in codes], f"{column} STRING").select(
+            column, *[F.lit(None).cast(f.dataType).alias(f.name) for f in layout.raw_schema.fields if f.name != column])
+        out = raw.select(column, *canonical_columns(layout))
+        assert {r[0]: r.region_code for r in out.collect()} == codes
+        assert "substring" in str(canonical_columns(layout)[5])
