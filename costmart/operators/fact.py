@@ -82,7 +82,8 @@ def repeated_fingerprints(combined: DataFrame, copies: DataFrame | None = None,
 
 
 def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK, copies: DataFrame | None = None, own: DataFrame | None = None,
-                  columns: tuple[str, ...] = tuple(CANONICAL_COLUMNS), clustered: bool = False, few: int = FEW_REPEATED) -> DataFrame:
+                  columns: tuple[str, ...] = tuple(CANONICAL_COLUMNS), clustered: bool = False, few: int | None = FEW_REPEATED,
+                  repeated: DataFrame | None = None) -> DataFrame:
     """Canonical rows plus ``row_fp`` (fingerprint) and ``occurrence``: 1..copies, or behind those that have been numbered
     before (see ``repeated_fingerprints``).
 
@@ -100,11 +101,13 @@ def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK, copies: DataF
 
     ``columns`` are the canonical ones that the caller needs besides the day and the provider: no others cross an exchange.
     The output is distributed by day, ready for ``sinks.mart_store.write_fact_months``; rows of ``combined`` that are so already
-    (``clustered``) stay where they are.
+    (``clustered``) stay where they are. ``repeated`` is what ``repeated_fingerprints`` gives, where the caller has it for these rows and
+    others; ``few=None``: it is known to be small.
     """
     cols = [c for c in CANONICAL_COLUMNS if c in {*columns, "date_key", "cloud_provider"}]
     zero, rows = F.lit(0).cast("long"), combined.select(*cols, *fingerprints())
-    repeated = repeated_fingerprints(combined, copies, own)
+    if repeated is None:
+        repeated = repeated_fingerprints(combined, copies, own)
     on = [c for c in ("fp_hi", "fp_lo") if c in repeated.columns]
 
     def chunks(groups: DataFrame) -> DataFrame:
@@ -115,7 +118,7 @@ def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK, copies: DataF
         return markers.hint("rebalance", "date_key", "cloud_provider", "chunk")
 
     n = F.count(F.lit(1)).alias("copies")
-    if repeated.count() <= few:
+    if few is None or repeated.count() <= few:
         marked = rows.join(repeated.select(*on, "repeated_after"), on, "left")
         alone = marked.where(F.col("repeated_after").isNull()).select(
             *cols, "fp_hi", "fp_lo", F.lit(1).cast("long").alias("copies"), zero.alias("repeated_after"), zero.alias("chunk"))
@@ -129,7 +132,7 @@ def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK, copies: DataF
         groups = others.repartition("fp_hi", "fp_lo").groupBy(*cols, "fp_hi", "fp_lo").agg(n)
         if any_hot:
             groups = groups.unionByName(rows.join(F.broadcast(hot), on, "left_semi").groupBy(*cols, "fp_hi", "fp_lo").agg(n))
-        if own is None:
+        if "fp_lo" not in on:
             groups = groups.withColumn("repeated_after", zero)
         else:
             groups = (groups.join(repeated.select(*on, "repeated_after"), on, "left")
@@ -158,10 +161,10 @@ def _lookup_keys(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
 def build_fact(combined: DataFrame, *, keys: str = "derive", dims: dict[str, DataFrame] | None = None,
                chunk: int = DEFAULT_CHUNK, copies: DataFrame | None = None, own: DataFrame | None = None,
-               clustered: bool = False, ids_only: bool = False) -> DataFrame:
-    """``copies`` and ``own``: stored counts of fingerprints, see ``repeated_fingerprints``; ``clustered``: see ``number_copies``.
-    ``ids_only``: of the fact the id, day and provider, so that nothing else has to cross the exchanges."""
-    numbered = number_copies(combined, chunk, copies, own, () if ids_only else FACT_INPUTS, clustered)
+               clustered: bool = False, ids_only: bool = False, few: int | None = FEW_REPEATED, repeated: DataFrame | None = None) -> DataFrame:
+    """``copies`` and ``own``: stored counts of fingerprints, see ``repeated_fingerprints``; ``clustered``, ``few`` and ``repeated``: see
+    ``number_copies``. ``ids_only``: of the fact the id, day and provider, so that nothing else has to cross the exchanges."""
+    numbered = number_copies(combined, chunk, copies, own, () if ids_only else FACT_INPUTS, clustered, few, repeated)
     if ids_only:
         return numbered.select(cost_id().alias("cost_id"), "date_key", "cloud_provider")
     if keys == "derive":

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from costmart.operators.fact import build_fact, fact_lines, fingerprints
+from costmart.operators.fact import FEW_REPEATED, build_fact, fact_lines, fingerprints, repeated_fingerprints
 from costmart.operators.normalize import normalize_with_files
 from costmart.operators.quality import count_columns, quarantine, quarantine_fields
 from costmart.schemas import CANONICAL_COLUMNS
@@ -111,14 +111,15 @@ def load_exports_into(spark: SparkSession, exports: list[tuple[SourceLayout, Dat
             store.write_dimensions(own, base, load, source, replace_all)
 
     def fact() -> None:
+        by_month = {m: store.read_landed_load(spark, base, source, load, [m]).select(*CANONICAL_COLUMNS) for m in sorted({m for _, m in landed})}
         if landed:
-            store.write_copies(own, base, source, load)
+            store.write_copies(by_month, base, source, load)
         if replace_all:
-            store.write_fact_months(build_fact(own, copies=store.read_copies(spark, base, months), clustered=True), base, replace_all=True)
+            store.write_fact_months(_fact(own, by_month, store.read_copies(spark, base, months)), base, replace_all=True)
         elif earlier:
             _rebuild(spark, base, months)
         elif landed:
-            _append(spark, base, own, source, load, months)
+            _append(spark, base, own, by_month, source, load)
         if (landed or replace_all) and store.read_rollup(spark, base) is None:
             store.write_rollup_months(spark, base)
 
@@ -127,23 +128,33 @@ def load_exports_into(spark: SparkSession, exports: list[tuple[SourceLayout, Dat
     return months
 
 
+def _fact(rows: DataFrame, by_month: dict[str, DataFrame], copies: DataFrame, own: DataFrame | None = None) -> DataFrame | dict[str, DataFrame]:
+    """The fact of landed rows, which lie by day and provider, so that each month's stays where it is: by month. Only where many rows are
+    repeated it is one frame, dealt out anew. ``copies`` and ``own``: see ``repeated_fingerprints``."""
+    repeated = repeated_fingerprints(rows, copies, own)
+    if by_month and repeated.count() <= FEW_REPEATED:
+        return {m: build_fact(r, clustered=True, few=None, repeated=repeated) for m, r in by_month.items()}
+    return build_fact(rows, repeated=repeated)
+
+
 def _rebuild(spark: SparkSession, base: str, months: list[str]) -> None:
     """The fact of these months from all rows landed for them."""
     left = sorted({m for m in months if store.landed_folders(spark, base, months=[m])})
     if left:
-        fact = build_fact(store.read_landing(spark, base, left), copies=store.read_copies(spark, base, left))
+        by_month = {m: store.read_landing(spark, base, [m]) for m in left}
+        fact = _fact(store.read_landing(spark, base, left), by_month, store.read_copies(spark, base, left))
         store.write_fact_months(fact, base, months=left)
     store.drop_months(spark, base, [m for m in months if m not in left])
 
 
-def _append(spark: SparkSession, base: str, rows: DataFrame, source: str, load: int, months: list[str]) -> None:
+def _append(spark: SparkSession, base: str, rows: DataFrame, by_month: dict[str, DataFrame], source: str, load: int) -> None:
     """Add the rows of a load to the fact and the rollup; nothing that is stored is written again."""
     agreed = store.read_rollup(spark, base) is not None
     mine = (F.col("source") == source) & (F.col("load") == load)
-    copies = store.read_copies(spark, base, months)
+    copies = store.read_copies(spark, base, list(by_month))
     # of the first load of its months nothing has been numbered before
-    fact = (build_fact(rows, copies=copies.where(~mine), own=copies.where(mine), clustered=True)
-            if store.others_landed(spark, base, months, source, load) else build_fact(rows, copies=copies, clustered=True))
+    fact = (_fact(rows, by_month, copies.where(~mine), copies.where(mine))
+            if store.others_landed(spark, base, list(by_month), source, load) else _fact(rows, by_month, copies))
     store.write_fact_months(fact, base, append=True)
     if agreed:
         store.append_rollup(fact_lines(rows), base)

@@ -68,12 +68,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/costmart-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def together(*steps) -> None:
-    """Run independent jobs side by side, so that small ones don't wait for each other; the first error is raised when all have
-    ended."""
+def together(*steps, at_once: int = 0) -> None:
+    """Run independent jobs side by side (all, or ``at_once`` of them), so that small ones don't wait for each other; the first
+    error is raised when all have ended."""
     from concurrent.futures import ThreadPoolExecutor
 
-    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+    with ThreadPoolExecutor(max_workers=at_once or max(1, len(steps))) as pool:
         running = [pool.submit(step) for step in steps]
     for step in running:
         step.result()

@@ -42,6 +42,7 @@ from costmart.schemas import (
     FACT_STORED_SCHEMA,
     assert_schema,
 )
+from costmart.session import together
 
 FACT_TABLE = "fact_cloud_costs"
 ROLLUP_TABLE = "daily_rollup"
@@ -56,6 +57,7 @@ COPIES = "fact_copies"
 MERGES = "landing_merges"
 MERGED = "merged"  # the landing's source of folders that hold several loads
 ROWS_PER_LAYOUT_TASK = 500_000
+MONTHS_AT_ONCE = 8  # jobs side by side where each month is written by its own
 LAYOUT_RUN = "layout"  # the manifest's source of a run of optimize_fact
 DIM_KEYS = {"dim_date": "date_key", "dim_service": "service_key", "dim_account": "account_key",
             "dim_region": "region_key"}
@@ -95,6 +97,17 @@ def _write(df: DataFrame, path: str, partitions: tuple[str, ...], replace_all: b
      .partitionBy(*partitions).parquet(path))
 
 
+def write_months(frames: dict[str, DataFrame], base: str, table: str, below: str = "", append: bool = False) -> None:
+    """Write each month's rows straight to its folder (or to ``below`` in it), as they come, replacing what is there or adding to it.
+
+    A write that Spark deals out to months sorts a task's rows by month first, all of them in memory or spilled; here a task holds
+    no more than it is writing."""
+    def write(month: str, df: DataFrame) -> None:
+        df.write.mode("append" if append else "overwrite").option("compression", COMPRESSION).parquet(f"{_path(base, table)}/bill_month={month}{below}")
+
+    together(*[partial(write, m, df) for m, df in frames.items()], at_once=MONTHS_AT_ONCE)
+
+
 def has_table(spark: SparkSession, base: str, table: str) -> bool:
     """Whether the mart has a folder for ``table`` (one call to the file system, no listing)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_path(base, table))
@@ -145,13 +158,17 @@ def land_rows(canonical: DataFrame, base: str, source: str, load: int, replace_a
     ``input_`` columns of ``sources.billing_csv.with_input_file``."""
     if source == MERGED:
         raise ValueError(f"no load may have the source {MERGED!r}: it names the landing's merged folders")
-    files = [F.col(f.name) if f.name in canonical.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in _FILE_COLUMNS]
     assert_schema(canonical.select(*CANONICAL_COLUMNS), CANONICAL_SCHEMA)
-    rows = canonical.select(
+    # by day and provider, as the fact is laid out, so that the fact of these rows needs no exchange of its own; what follows from
+    # the row, or is the same in all, is added behind the exchange
+    dealt = canonical.hint("rebalance", "date_key", "cloud_provider")
+    files = [F.col(f.name) if f.name in canonical.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in _FILE_COLUMNS]
+    parts = ("bill_month", "provider", "source", "load")
+    rows = dealt.select(
         *CANONICAL_COLUMNS, *files, bill_month("date_key").alias("bill_month"), F.col("cloud_provider").alias("provider"),
         F.lit(source).alias("source"), F.lit(int(load)).cast("long").alias("load"))
-    # by day and provider, as the fact is laid out, so that the fact of these rows needs no exchange of its own
-    _write(rows.hint("rebalance", "date_key", "cloud_provider"), _path(base, LANDING), ("bill_month", "provider", "source", "load"), replace_all)
+    # and by day within the folder, so that its fact need not be sorted
+    _write(rows.sortWithinPartitions(*parts, "date_key"), _path(base, LANDING), parts, replace_all)
 
 
 def read_landing(spark: SparkSession, base: str, months: list[str] | None = None) -> DataFrame:
@@ -180,11 +197,11 @@ def others_landed(spark: SparkSession, base: str, months: list[str], source: str
     return any((v["source"], v["load"]) != own for v in map(_values, landed_folders(spark, base, months=months)))
 
 
-def read_landed_load(spark: SparkSession, base: str, source: str, load: int) -> DataFrame:
-    """All landed columns of one load; only folders that hold some of it are read."""
+def read_landed_load(spark: SparkSession, base: str, source: str, load: int, months: list[str] | None = None) -> DataFrame:
+    """All landed columns of one load, or of its rows of the given months; only folders that hold some of it are read."""
     mine = (F.col("of_source") == source) & (F.col("of_load") == load)
-    merged = sorted({merged_folder(base, r) for r in merges(spark, base, mine)})
-    rows = _landing(spark, base, landed_folders(spark, base, source, load) + merged)
+    merged = sorted({merged_folder(base, r) for r in merges(spark, base, mine) if months is None or r["bill_month"] in months})
+    rows = _landing(spark, base, landed_folders(spark, base, source, load, months) + merged)
     return rows.where((F.col("source") == source) & (F.col("load") == load)) if merged else rows
 
 
@@ -284,13 +301,13 @@ def drop_load(spark: SparkSession, base: str, source: str, load: int, manifest:
 
 
 # --- copies ----------------------------------------------------------------------------------
-def write_copies(rows: DataFrame, base: str, source: str, load: int) -> None:
-    """The fingerprints of a load's canonical rows by month, a count of 1 each: readers add the counts up, so they are not gathered here."""
+def write_copies(rows: dict[str, DataFrame], base: str, source: str, load: int) -> None:
+    """The fingerprints of a load's canonical rows, given by month, a count of 1 each: readers add the counts up, so they are not
+    gathered here."""
     from costmart.operators.fact import fingerprints
 
-    counted = rows.select(bill_month("date_key").alias("bill_month"), *fingerprints(), F.lit(1).cast("long").alias("copies"))
-    tagged = counted.withColumns({"source": F.lit(source), "load": F.lit(int(load)).cast("long")})
-    _write(tagged, _path(base, COPIES), ("bill_month", "source", "load"), replace_all=False)
+    counted = {m: r.select(*fingerprints(), F.lit(1).cast("long").alias("copies")) for m, r in rows.items()}
+    write_months(counted, base, COPIES, f"/source={source}/load={load}")
 
 
 def read_copies(spark: SparkSession, base: str, months: list[str]) -> DataFrame:
@@ -342,7 +359,7 @@ def _rollup_agrees(spark: SparkSession, base: str) -> bool:
     return bool(row and row["agrees"])
 
 
-def write_fact_months(fact: DataFrame, base: str, distributed: bool = True, replace_all: bool = False,
+def write_fact_months(fact: DataFrame | dict[str, DataFrame], base: str, distributed: bool = True, replace_all: bool = False,
                       months: list[str] | None = None, append: bool = False) -> None:
     """Write fact rows: the whole table with ``replace_all``, else only the months present in ``fact``; with
     ``append`` they are added to those months, whose files stay as they are. The daily rollup, if the mart has one, is
@@ -351,13 +368,22 @@ def write_fact_months(fact: DataFrame, base: str, distributed: bool = True, repl
     ``fact`` is expected as ``build_fact`` returns it (already distributed); pass ``distributed=False``
     for any other input. ``months`` names the months in ``fact`` where the caller knows them; otherwise
     the written rows' first and last month bound what is refreshed. Of ``months`` that have no row left the folder goes.
+
+    ``fact`` may also be a frame for each month, made of landed rows, which lie by day: see ``write_months``.
     """
-    spark = fact.sparkSession
+    by_month = isinstance(fact, dict)
+    spark = (next(iter(fact.values())) if by_month else fact).sparkSession
     had_rollup = has_table(spark, base, ROLLUP_TABLE)
     if had_rollup:
         _mark_rollup(spark, base, False)
-    laid_out = assert_schema(cluster_layout(fact, distributed), FACT_STORED_SCHEMA)
-    if append:
+    laid_out = None if by_month else assert_schema(cluster_layout(fact, distributed), FACT_STORED_SCHEMA)
+    if by_month:
+        if replace_all:
+            drop_folder(spark, _path(base, FACT_TABLE))
+        elif months is None:
+            months = sorted(fact)
+        write_months({m: assert_schema(f, FACT_SCHEMA) for m, f in fact.items()}, base, FACT_TABLE, append=append)
+    elif append:
         laid_out.write.mode("append").option("compression", COMPRESSION).partitionBy("bill_month").parquet(_path(base, FACT_TABLE))
     else:
         _write(laid_out, _path(base, FACT_TABLE), ("bill_month",), replace_all)
@@ -525,7 +551,6 @@ def write_dimensions(combined: DataFrame, base: str, load_id: int = INITIAL_LOAD
     read it, side by side, and released afterwards; a lost cache block is recomputed from its lineage.
     """
     from costmart.operators.dimensions import dimension_keys, dimensions_from_keys
-    from costmart.session import together
 
     keys = dimension_keys(combined).persist()
     try:

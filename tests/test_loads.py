@@ -167,3 +167,47 @@ def test_fact_of_a_load_crosses_no_second_exchange(spark, scratch):
     assert "Rebalance" not in union[:union.index("Union")]  # of the counted rows only, below
     counts = store.read_copies(spark, base, ["2024-01"]).collect()
     assert len(counts) == 12 and {r.copies for r in counts} == {1}
+
+
+def test_fact_of_landed_rows_is_neither_sorted_nor_exchanged(spark, scratch):
+    """Each month's fact is written as its rows lie, by day, so that no task holds, or spills, its rows to sort them; a replay's, too."""
+    base = scratch("by-month")
+    load(spark, base, rows(spark, 40).unionByName(rows(spark, 9, "2024-02")), 1)
+    load(spark, base, rows(spark, 20, first=10), 2)
+    landed = store.read_landing(spark, base)
+    by_month = {m: store.read_landing(spark, base, [m]) for m in ("2024-01", "2024-02")}
+    facts = loads._fact(landed, by_month, store.read_copies(spark, base, list(by_month)))
+    assert sorted(facts) == ["2024-01", "2024-02"]
+    for fact in facts.values():
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert "Sort" not in plan
+        union = fact._jdf.queryExecution().optimizedPlan().toString()
+        assert "Rebalance" not in union[:union.index("Union")]
+    assert ids(spark, base) == sorted(r.cost_id for f in facts.values() for r in f.select("cost_id").collect())
+    for path in glob.glob(local_path(base) + "/landing/bill_month=*/provider=*/source=*/load=*/*.parquet"):
+        days = [r.date_key for r in spark.read.parquet(path).coalesce(1).collect()]
+        assert days == sorted(days)
+
+
+def test_loads_with_many_repeated_rows(spark, scratch, monkeypatch):
+    """Where too many rows are repeated to mark them, the fact is dealt out anew in one frame: the same ids."""
+    base = scratch("many")
+    monkeypatch.setattr(loads, "FEW_REPEATED", 0)
+    load(spark, base, rows(spark, 20, copies=2).unionByName(rows(spark, 5, "2024-02")), 1)
+    load(spark, base, rows(spark, 12, copies=3), 2)
+    assert store.read_fact(spark, base).count() == 45 + 36
+    check_against_full_build(spark, base)
+    load(spark, base, rows(spark, 30), 1)
+    assert store.read_fact(spark, base).count() == 30 + 36
+    check_against_full_build(spark, base)
+    loads.full_load(spark, [(AWS, rows(spark, 8, "2024-03", copies=2))], base)
+    assert store.read_fact(spark, base).count() == 16
+    check_against_full_build(spark, base)
+
+
+def test_full_load_replaces_months_that_it_does_not_have(spark, scratch):
+    base = scratch("full")
+    loads.full_load(spark, [(AWS, rows(spark, 8).unionByName(rows(spark, 6, "2024-02")))], base)
+    loads.full_load(spark, [(AWS, rows(spark, 5, "2024-03"))], base)
+    assert {r.bill_month for r in store.read_fact(spark, base).select("bill_month").collect()} == {"2024-03"}
+    check_against_full_build(spark, base)
