@@ -18,15 +18,19 @@ and compaction begins with it. One writer at a time, as for loads.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costmart.schemas import CANONICAL_COLUMNS
+from costmart.session import together
 from costmart.sinks import mart_store as store
 
 STAGED = "landing_staged"
 SWAPS = "landing_swaps"
 SMALL_BYTES = 64 << 20
+ROWS_PER_TASK = 1_000_000
 
 
 def _size(spark: SparkSession, folder: str) -> int:
@@ -64,7 +68,7 @@ def compact_landing(spark: SparkSession, base: str, months: list[str] | None = N
         sizes.setdefault((v["provider"], v["bill_month"]), {})[folder] = _size(spark, folder)
     merged = [folder for group in sizes.values() for folder in small_ones(group, small_bytes)]
     if merged:
-        _replace(spark, base, merged, store._landing(spark, base, merged))
+        _replace(spark, base, merged)
     return len(merged)
 
 
@@ -72,21 +76,35 @@ def take_out(spark: SparkSession, base: str, source: str, load: int) -> None:
     """Write the merged folders that hold rows of a load anew without them."""
     folders = sorted({store.merged_folder(base, r) for r in store.merges(spark, base, (F.col("of_source") == source) & (F.col("of_load") == load))})
     if folders:
-        others = store._landing(spark, base, folders).where((F.col("source") != source) | (F.col("load") != load))
-        _replace(spark, base, folders, others)
+        _replace(spark, base, folders, (F.col("source") != source) | (F.col("load") != load))
+
+
+def _gathered(spark: SparkSession, base: str, folders: list[str], keep: Column) -> list[DataFrame]:
+    """The rows of landed folders that fit ``keep``, a frame for each provider's month, in a few tasks: these read their files one after
+    the other, and no row is exchanged. A single empty frame if there are none."""
+    rows = store._landing(spark, base, folders).where(keep)
+    groups: dict[tuple[str, str], list[str]] = {}
+    for folder in folders:
+        v = store._values(folder)
+        groups.setdefault((v["provider"], v["bill_month"]), []).append(folder)
+    counts = rows.groupBy("provider", "bill_month").count().collect()
+    return [store._landing(spark, base, groups[r["provider"], r["bill_month"]]).where(keep).coalesce(-(-r["count"] // ROWS_PER_TASK))
+            for r in counts] or [rows]
 
 
-def _replace(spark: SparkSession, base: str, folders: list[str], rows: DataFrame) -> None:
-    """Put ``rows``, merged, in the place of landed folders."""
+def _replace(spark: SparkSession, base: str, folders: list[str], keep: Column | None = None) -> None:
+    """Put the rows of landed folders (all, or those that fit ``keep``), merged, in their place."""
     used = [*store._folders(spark, f"{store._path(base, store.MERGES)}/generation=*"),
             *store.landed_folders(spark, base, store.MERGED)]
     generation = 1 + max((int(f.rstrip("/").rsplit("=", 1)[1]) for f in used), default=0)
     staged = store._path(base, STAGED)
     parts = ("bill_month", "provider", "source", "load")
-    tagged = rows.select(*CANONICAL_COLUMNS, *[f.name for f in store._FILE_COLUMNS], "bill_month", "provider",
-                         F.col("source").alias("of_source"), F.col("load").alias("of_load"),
-                         F.lit(store.MERGED).alias("source"), F.lit(generation).cast("long").alias("load"))
-    store._write(tagged.hint("rebalance", "bill_month", "provider"), staged, parts, replace_all=True)
+    tagged = [rows.select(*CANONICAL_COLUMNS, *[f.name for f in store._FILE_COLUMNS], "bill_month", "provider",
+                          F.col("source").alias("of_source"), F.col("load").alias("of_load"),
+                          F.lit(store.MERGED).alias("source"), F.lit(generation).cast("long").alias("load"))
+              for rows in _gathered(spark, base, folders, F.lit(True) if keep is None else keep)]
+    store.drop_folder(spark, staged)
+    together(*[partial(store._write, df, staged, parts, replace_all=False) for df in tagged], at_once=store.MONTHS_AT_ONCE)
 
     held = (spark.read.schema(store.LANDING_SCHEMA).parquet(staged).groupBy("provider", "bill_month", "of_source", "of_load")
             .agg(F.count(F.lit(1)).alias("rows")).withColumn("generation", F.lit(generation).cast("long")))

@@ -3,6 +3,7 @@
 import glob
 
 import pytest
+from pyspark.sql import functions as F
 
 from costmart.operators.fact import build_fact
 from costmart.session import local_path
@@ -129,3 +130,18 @@ def test_folders_are_chosen_by_size():
 def test_no_load_may_be_named_like_merged_folders(spark, scratch):
     with pytest.raises(ValueError, match="merged"):
         load(spark, scratch("name"), rows(spark, 1), 1, source=store.MERGED)
+
+
+def test_merging_exchanges_nothing(spark, scratch, monkeypatch):
+    """A month's folders are read one after the other, by few tasks, and none of their rows is exchanged."""
+    base = scratch("unexchanged")
+    three_loads(spark, base)
+    found = store.landed_folders(spark, base)
+    monkeypatch.setattr(compaction, "ROWS_PER_TASK", 30)
+    frames = compaction._gathered(spark, base, found, F.lit(True))
+    assert sorted((f.count(), f.rdd.getNumPartitions() <= -(-f.count() // 30)) for f in frames) == [(7, True), (33, True)]
+    for f in frames:
+        assert "Exchange" not in f._jdf.queryExecution().executedPlan().toString()
+    kept = compaction._gathered(spark, base, found, F.col("load") != 3)
+    assert sorted(f.count() for f in kept) == [4, 33]
+    assert [f.count() for f in compaction._gathered(spark, base, found, F.col("load") > 3)] == [0]
