@@ -53,6 +53,14 @@ def _doubled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.unionByName(c)
 
 
+def _stored_dimensions(spark: SparkSession, rows: DataFrame) -> dict[str, DataFrame]:
+    """The dimensions of ``rows``, stored, for joins of the rows themselves: so the planner knows how small they are. Those that are
+    built in the same plan it takes to be as large as the rows, and exchanges these by the few keys of a dimension."""
+    base = scratch_path(spark, "dimensions")
+    mart_store.write_dimensions(rows, base)
+    return {name: mart_store.read_dimension(spark, base, name) for name in mart_store.DIM_KEYS}
+
+
 # --- stages --------------------------------------------------------------------------------------
 def normalize_aws(spark, sf_dir):
     return normalize(load_exports(spark, sf_dir)[0], AWS)
@@ -89,7 +97,7 @@ def fact(spark, sf_dir):
 
 def fact_lookup(spark, sf_dir):
     c = _combined(spark, sf_dir)
-    built = build_fact(c, keys="lookup", dims=dims_ops.build_dimensions(c))
+    built = build_fact(c, keys="lookup", dims=_stored_dimensions(spark, c))
     return fact_with_flat_tags(built).drop("cost_id")
 
 
@@ -134,11 +142,12 @@ def fact_ids(spark, sf_dir):
 
 
 # --- reports -------------------------------------------------------------------------------------
-def _report(fn, *dim_names):
+def _report(fn, *dim_names, joins_rows: bool = False):
     def run(spark, sf_dir):
         c = _combined(spark, sf_dir)
         # one pass over the raw tables gives the natural keys of every dimension the report needs
-        dims = dims_ops.dimensions_from_keys(dims_ops.dimension_keys(c, dim_names)) if dim_names else {}
+        dims = (_stored_dimensions(spark, c) if joins_rows
+                else dims_ops.dimensions_from_keys(dims_ops.dimension_keys(c, dim_names)) if dim_names else {})
         return fn(fact_lines(c), *[dims[n] for n in dim_names])
     run.__name__ = fn.__name__
     return run
@@ -153,7 +162,7 @@ REPORT_QUERIES = {
     "geography_spend": _report(reports.geography_spend, "dim_region"),
     "weekend_weekday": _report(reports.weekend_weekday, "dim_date"),
     "category_share": _report(reports.category_share, "dim_service"),
-    "aiml_spend": _report(reports.aiml_spend, "dim_service", "dim_date"),
+    "aiml_spend": _report(reports.aiml_spend, "dim_service", "dim_date", joins_rows=True),
     "monthly_trend_last_6_months": _report(lambda f, d: reports.monthly_trend(f, d, year=None, last_months=6),
                                            "dim_date"),
     "monthly_trend_limit": _report(lambda f, d: reports.monthly_trend(f, d, limit=10), "dim_date"),
@@ -554,7 +563,8 @@ def mart_summary(spark, sf_dir):
 def _sql_report(name):
     def run(spark, sf_dir):
         c = _combined(spark, sf_dir)
-        report_views(spark, Mart(fact=fact_lines(c), dims=dims_ops.build_dimensions(c)))
+        dims = _stored_dimensions(spark, c) if "LEFT SEMI JOIN" in SQL_REPORTS[name] else dims_ops.build_dimensions(c)
+        report_views(spark, Mart(fact=fact_lines(c), dims=dims))
         return run_sql_report(spark, name)
     run.__name__ = f"sql_{name}"
     return run

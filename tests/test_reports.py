@@ -102,3 +102,19 @@ def test_last_months_on_empty_fact(spark, mart):
     out = R.monthly_trend(f.where(F.lit(False)), d["dim_date"], year=None, last_months=6)
     assert out.collect() == [] and out.columns == ["year", "month", "month_name", "cloud_provider",
                                                    "monthly_cost_usd"]
+
+
+def test_rows_joined_with_a_dimension_stay_where_they_are(spark):
+    """The planner knows how small a dimension is that rows are joined with: the rows are not exchanged by its few keys."""
+    from costmart.plans.catalog import all_queries
+    from tests.conftest import SF_SMALL
+
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "30k")  # below the size of the tables
+    try:
+        for name in ("sql_aiml_spend", "aiml_spend", "fact_lookup"):
+            plan = all_queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan, name
+    finally:
+        spark.conf.set(threshold, before)
