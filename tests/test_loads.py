@@ -3,11 +3,13 @@
 import glob
 import os
 import shutil
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from costmart.operators.fact import build_fact
+from costmart.operators.fact import build_fact, repeated_fingerprints
 from costmart.plans import loads, reports
 from costmart.plans.mart import load_mart
 from costmart.session import local_path
@@ -189,6 +191,36 @@ def test_fact_of_landed_rows_is_neither_sorted_nor_exchanged(spark, scratch):
         assert days == sorted(days)
 
 
+def test_landing_is_sorted_in_small_parts(spark, scratch, monkeypatch):
+    """What a task of the landing sorts is bounded by the landing's own size, not by the session's; each file stays sorted by day and
+    no row is lost; the session's size is as it was."""
+    monkeypatch.setattr(store, "LANDING_PART_BYTES", 1 << 10)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    was, base = spark.conf.get(size), scratch("small-parts")
+    days = reduce(DataFrame.unionByName, [rows(spark, 60, f"2024-0{m}") for m in (1, 2)])
+    load(spark, base, days, 1)
+    assert spark.conf.get(size) == was
+    files = glob.glob(local_path(base) + "/landing/bill_month=*/provider=*/source=*/load=*/*.parquet")
+    assert len(files) > 2  # one task for all of it would write a file a month
+    for path in files:
+        keys = [r.date_key for r in spark.read.parquet(path).coalesce(1).collect()]
+        assert keys == sorted(keys)
+    check_against_full_build(spark, base)
+
+
+def test_repeated_rows_are_found_by_month(spark, scratch, monkeypatch):
+    """Each month's counts are added up by a job of its own, so that a task's groups don't grow with the number of months; copies in an
+    earlier load and within one are both found, for their month only."""
+    asked = []
+    monkeypatch.setattr(loads, "repeated_fingerprints", lambda *a: asked.append(repeated_fingerprints(*a)) or asked[-1])
+    base = scratch("repeated-by-month")
+    load(spark, base, rows(spark, 6, copies=2).unionByName(rows(spark, 3, "2024-02")), 1)
+    load(spark, base, rows(spark, 2).unionByName(rows(spark, 5, "2024-02")), 2)
+    found = [sorted((r.bill_month, r.copies, r.repeated_after) for r in x.collect()) for x in asked]
+    assert found == [[("2024-01", 2, 0)] * 6, [("2024-01", 1, 2)] * 2 + [("2024-02", 1, 1)] * 3]
+    check_against_full_build(spark, base)
+
+
 def test_loads_with_many_repeated_rows(spark, scratch, monkeypatch):
     """Where too many rows are repeated to mark them, the fact is dealt out anew in one frame: the same ids."""
     base = scratch("many")
