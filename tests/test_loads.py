@@ -221,6 +221,22 @@ def test_repeated_rows_are_found_by_month(spark, scratch, monkeypatch):
     check_against_full_build(spark, base)
 
 
+def test_quarantine_is_written_without_a_sort(spark, scratch, monkeypatch):
+    """Quarantined rows go straight to their provider's folder, as they come: by a write that deals them out each task would sort its own."""
+    dealt_out = []
+    write = store._write
+    monkeypatch.setattr(store, "_write", lambda df, path, *a, **k: dealt_out.append(path.rsplit("/", 1)[1]) or write(df, path, *a, **k))
+    base = scratch("rejected")
+    bad = rows(spark, 4).unionByName(fx.aws_raw(spark, [fx.aws_row(cost_usd=None)] * 3))
+    loads.load_exports_into(spark, [(AWS, bad)], base, "daily", 1)
+    loads.load_exports_into(spark, [(AWS, rows(spark, 4, first=4))], base, "daily", 2, refused=[("AWS", "a.csv: x"), ("AWS", "b.csv: y")])
+    assert store.LOAD_COUNTS in dealt_out and store.QUARANTINE not in dealt_out and store.QUARANTINE_FIELDS not in dealt_out
+    found = store.read_quarantine(spark, base).select("provider", "cloud_provider", "source", "load", "reason").collect()
+    assert sorted(map(tuple, found)) == [("AWS", "AWS", "daily", 1, "null_cost")] * 3 + [("AWS", "AWS", "daily", 2, "missing_columns")] * 2
+    loads.full_load(spark, [(AWS, rows(spark, 4))], base)
+    assert store.read_quarantine(spark, base).count() == 0
+
+
 def test_loads_with_many_repeated_rows(spark, scratch, monkeypatch):
     """Where too many rows are repeated to mark them, the fact is dealt out anew in one frame: the same ids."""
     base = scratch("many")
