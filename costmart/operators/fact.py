@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from costmart.functions.keys import account_key, fingerprint_halves, fingerprint_hex, region_key, service_key
@@ -28,6 +28,9 @@ from costmart.session import MONTHS_AT_ONCE, scratch_path, together
 DEFAULT_CHUNK = 1 << 20
 #: Up to so many repeated fingerprints are joined with the rows to mark them.
 FEW_REPEATED = 1 << 19
+#: Rows that a task counts where all rows are dealt out by day and counted there (``by_day``).
+ROWS_PER_DAY_PART = 1 << 18
+DAY_BUCKETS = 64  # into so many a day's fingerprints fall when groups of more than a chunk are looked for
 #: The canonical columns that the fact is made of.
 FACT_INPUTS = tuple(c for c in CANONICAL_COLUMNS if c not in ("account_name", "resource_id"))
 
@@ -93,9 +96,54 @@ def repeated_fingerprints(combined: DataFrame, copies: DataFrame | None = None,
     return combined.sparkSession.read.schema(schema).parquet(path)
 
 
+def _stored(frame: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def _counted_by_day(rows: DataFrame, cols: list[str], chunk: int) -> tuple[DataFrame, DataFrame | None]:
+    """The groups of equal ``rows`` with their ``copies``, lying by day and provider; those of more than ``chunk`` copies apart, if any.
+
+    One exchange: equal rows have one day, so all rows are dealt out to parts of about ``ROWS_PER_DAY_PART`` rows in the order of
+    the days, and are counted where they come to lie. A day with more rows than that is cut by fingerprint. How many rows each day
+    has is counted first, a row per day and bucket of fingerprints, which also shows where a group of more than ``chunk`` copies may
+    be: those are counted map side. Where all columns cross the exchange the fingerprints need not, since they follow from them.
+    """
+    spark, day, fps = rows.sparkSession, ["date_key", "cloud_provider"], ["fp_hi", "fp_lo"]
+    bucket, n = F.pmod("fp_hi", F.lit(DAY_BUCKETS)), F.count(F.lit(1)).alias("copies")
+    buckets = _stored(rows.groupBy(*day, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n")), "day-buckets")
+    large = buckets.where(F.col("n") > chunk)
+    hot = hot_groups = None
+    if not large.isEmpty():
+        near = rows.withColumn("bucket", bucket).join(F.broadcast(large.drop("n")), [*day, "bucket"], "left_semi")
+        hot = _stored(near.groupBy(*fps).agg(n).where(F.col("copies") > chunk), "hot")
+        if hot.isEmpty():
+            hot = None
+    if hot is not None:
+        hot_groups = rows.join(F.broadcast(hot.select(*fps)), fps, "left_semi").groupBy(*cols, *fps).agg(n)
+        rows = rows.join(F.broadcast(hot.select(*fps)), fps, "left_anti")
+
+    total = buckets.agg(F.sum("n")).first()[0] or 0
+    days = buckets.groupBy(*day).agg(F.sum("n").alias("n"))
+    # a row per day, whatever the number of rows
+    days = days.withColumn("before", F.sum("n").over(Window.orderBy(*day).rowsBetween(Window.unboundedPreceding, -1)))
+    days = _stored(days.select(*[F.col(c).alias(f"of_{c}") for c in day], "n", F.coalesce("before", F.lit(0).cast("long")).alias("before")), "days")
+    place = F.when(F.col("n") <= ROWS_PER_DAY_PART, F.call_function("div", F.col("n"), F.lit(2))).otherwise(F.pmod("fp_lo", "n"))
+    part = F.call_function("div", F.col("before") + place, F.lit(ROWS_PER_DAY_PART)).cast("int")
+    placed = rows.join(F.broadcast(days), (F.col("date_key").eqNullSafe(F.col("of_date_key")))
+                       & (F.col("cloud_provider").eqNullSafe(F.col("of_cloud_provider"))), "left")
+    whole = set(cols) == set(CANONICAL_COLUMNS)
+    placed = placed.select(*cols, *([] if whole else fps), F.coalesce(part, F.lit(0)).alias("part"))
+    dealt = placed.repartitionById(total // ROWS_PER_DAY_PART + 1, F.col("part"))
+    if whole:
+        dealt = dealt.select("*", *fingerprints())
+    return dealt.groupBy("part", *cols, *fps).agg(n).drop("part"), hot_groups
+
+
 def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK, copies: DataFrame | None = None, own: DataFrame | None = None,
                   columns: tuple[str, ...] = tuple(CANONICAL_COLUMNS), clustered: bool = False, few: int | None = FEW_REPEATED,
-                  repeated: DataFrame | None = None) -> DataFrame:
+                  repeated: DataFrame | None = None, by_day: bool = False) -> DataFrame:
     """Canonical rows plus ``row_fp`` (fingerprint) and ``occurrence``: 1..copies, or behind those that have been numbered
     before (see ``repeated_fingerprints``).
 
@@ -114,13 +162,16 @@ def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK, copies: DataF
     ``columns`` are the canonical ones that the caller needs besides the day and the provider: no others cross an exchange.
     The output is distributed by day, ready for ``sinks.mart_store.write_fact_months``; rows of ``combined`` that are so already
     (``clustered``) stay where they are. ``repeated`` is what ``repeated_fingerprints`` gives, where the caller has it for these rows and
-    others; ``few=None``: it is known to be small.
+    others; ``few=None``: it is known to be small. ``by_day``: that there are many, of rows that have not been numbered before, is
+    known; then they are not looked for, and the rows are dealt out by day first and counted there (``_counted_by_day``).
     """
     cols = [c for c in CANONICAL_COLUMNS if c in {*columns, "date_key", "cloud_provider"}]
     zero, rows = F.lit(0).cast("long"), combined.select(*cols, *fingerprints())
-    if repeated is None:
+    if by_day and (copies is not None or own is not None or repeated is not None):
+        raise ValueError("by_day counts the rows themselves: it takes no counts")
+    if repeated is None and not by_day:
         repeated = repeated_fingerprints(combined, copies, own)
-    on = [c for c in ("fp_hi", "fp_lo") if c in repeated.columns]
+    on = [] if by_day else [c for c in ("fp_hi", "fp_lo") if c in repeated.columns]
 
     def chunks(groups: DataFrame) -> DataFrame:
         return groups.select(*cols, "fp_hi", "fp_lo", "copies", "repeated_after", F.explode(
@@ -130,7 +181,12 @@ def number_copies(combined: DataFrame, chunk: int = DEFAULT_CHUNK, copies: DataF
         return markers.hint("rebalance", "date_key", "cloud_provider", "chunk")
 
     n = F.count(F.lit(1)).alias("copies")
-    if few is None or repeated.count() <= few:
+    if by_day:
+        groups, hot = _counted_by_day(rows, cols, chunk)
+        markers = chunks(groups.withColumn("repeated_after", zero))
+        if hot is not None:
+            markers = markers.unionByName(laid_out(chunks(hot.withColumn("repeated_after", zero))))
+    elif few is None or repeated.count() <= few:
         marked = rows.join(repeated.select(*on, "repeated_after"), on, "left")
         alone = marked.where(F.col("repeated_after").isNull()).select(
             *cols, "fp_hi", "fp_lo", F.lit(1).cast("long").alias("copies"), zero.alias("repeated_after"), zero.alias("chunk"))
@@ -173,10 +229,11 @@ def _lookup_keys(rows: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
 def build_fact(combined: DataFrame, *, keys: str = "derive", dims: dict[str, DataFrame] | None = None,
                chunk: int = DEFAULT_CHUNK, copies: DataFrame | None = None, own: DataFrame | None = None,
-               clustered: bool = False, ids_only: bool = False, few: int | None = FEW_REPEATED, repeated: DataFrame | None = None) -> DataFrame:
-    """``copies`` and ``own``: stored counts of fingerprints, see ``repeated_fingerprints``; ``clustered``, ``few`` and ``repeated``: see
-    ``number_copies``. ``ids_only``: of the fact the id, day and provider, so that nothing else has to cross the exchanges."""
-    numbered = number_copies(combined, chunk, copies, own, () if ids_only else FACT_INPUTS, clustered, few, repeated)
+               clustered: bool = False, ids_only: bool = False, few: int | None = FEW_REPEATED, repeated: DataFrame | None = None,
+               by_day: bool = False) -> DataFrame:
+    """``copies`` and ``own``: stored counts of fingerprints, see ``repeated_fingerprints``; ``clustered``, ``few``, ``repeated`` and ``by_day``:
+    see ``number_copies``. ``ids_only``: of the fact the id, day and provider, so that nothing else has to cross the exchanges."""
+    numbered = number_copies(combined, chunk, copies, own, () if ids_only else FACT_INPUTS, clustered, few, repeated, by_day)
     if ids_only:
         return numbered.select(cost_id().alias("cost_id"), "date_key", "cloud_provider")
     if keys == "derive":

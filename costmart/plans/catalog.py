@@ -102,7 +102,7 @@ def fact_lookup(spark, sf_dir):
 
 
 def fact_row_ids(spark, sf_dir):
-    return number_copies(_doubled(spark, sf_dir)).select(*CANONICAL_COLUMNS, "occurrence")
+    return number_copies(_doubled(spark, sf_dir), by_day=True).select(*CANONICAL_COLUMNS, "occurrence")
 
 
 def dedupe(spark, sf_dir):

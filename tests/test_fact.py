@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from costmart.operators import dimensions as D
+from costmart.operators import fact as operators_fact
 from costmart.operators.fact import build_fact, fact_lines, number_copies
 from costmart.plans.mart import combined_from_driver_tables
 from costmart.schemas import CANONICAL_COLUMNS, FACT_SCHEMA
@@ -141,3 +142,40 @@ def test_exchanges_carry_only_what_the_fact_is_made_of(spark):
     ids = build_fact(c, ids_only=True)
     assert sorted(r.cost_id for r in ids.collect()) == sorted(r.cost_id for r in full.collect())
     assert "resource_id" not in number(columns=("cost_usd",)).columns
+
+
+def test_doubled_rows_cross_one_exchange_by_day(spark, monkeypatch):
+    """Rows known to be repeated are dealt out by day and counted where they lie: one exchange, which carries no fingerprint that the
+    other columns give, and no set of repeated fingerprints before it; a day of many rows is cut, a hot group counted map side."""
+    days = [fx.canon_row(resource_id=f"x{i % 9}", date_key=f"2024-11-{1 + i % 3:02d}") for i in range(54)]
+    c = fx.combined(spark, days + [fx.canon_row()] * 10 + [fx.canon_row(date_key="2024-11-02", cost_usd=None, team=None)] * 2)
+    expected = sorted(number_copies(c, few=0).collect(), key=str)
+    looked = []
+    monkeypatch.setattr(operators_fact, "repeated_fingerprints", lambda *a: looked.append(a))
+    for rows_per_part, chunk in ((1 << 18, 100), (7, 100), (7, 3), (1, 1)):
+        monkeypatch.setattr(operators_fact, "ROWS_PER_DAY_PART", rows_per_part)
+        assert sorted(number_copies(c, chunk=chunk, by_day=True).collect(), key=str) == expected
+    monkeypatch.setattr(operators_fact, "ROWS_PER_DAY_PART", 20)
+    df = number_copies(c, by_day=True)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and len([x for x in _exchanges(plan) if "BroadcastExchange" not in x]) == 1
+    dealt = df._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1].splitlines()[1]
+    assert " AS part" in dealt and "fp_hi" not in dealt and " AS fp_lo" not in dealt
+    lying = df.withColumn("part", F.spark_partition_id()).groupBy("date_key").agg(F.collect_set("part").alias("parts")).collect()
+    assert len(lying) == 4 and all(len(r.parts) == 1 for r in lying)
+    assert not looked
+    ids = build_fact(c, ids_only=True, by_day=True)
+    monkeypatch.undo()
+    assert sorted(r.cost_id for r in ids.collect()) == sorted(r.cost_id for r in build_fact(c).collect())
+    empty = number_copies(c.where("date_key IS NULL"), by_day=True)
+    assert empty.columns == df.columns and empty.count() == 0
+    lost = c.withColumn("date_key", F.lit(None).cast("string"))
+    assert number_copies(lost, by_day=True).count() == c.count()
+
+
+def test_row_ids_query_looks_for_no_repeated_rows(spark, monkeypatch):
+    from costmart.plans.catalog import fact_row_ids
+
+    monkeypatch.setattr(operators_fact, "repeated_fingerprints", None)
+    out = fact_row_ids(spark, SF_SMALL)
+    assert [r.n for r in out.groupBy("occurrence").agg(F.count("*").alias("n")).collect()] == [combined_from_driver_tables(spark, SF_SMALL).count()] * 2
