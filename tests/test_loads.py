@@ -259,3 +259,46 @@ def test_full_load_replaces_months_that_it_does_not_have(spark, scratch):
     loads.full_load(spark, [(AWS, rows(spark, 5, "2024-03"))], base)
     assert {r.bill_month for r in store.read_fact(spark, base).select("bill_month").collect()} == {"2024-03"}
     check_against_full_build(spark, base)
+
+
+def test_an_appended_load_sums_its_rows_once(spark, scratch, monkeypatch):
+    """Rollup and dimensions of an appended load, and of a mart's first one, come from one aggregate over its rows, and are those of the fact;
+    a replay's are rebuilt as before."""
+    dims, rebuilt = [], []
+    write, rebuild = store.write_dimensions, store.write_rollup_months
+    monkeypatch.setattr(store, "write_dimensions", lambda df, *a: dims.append(df) or write(df, *a))
+    monkeypatch.setattr(store, "write_rollup_months", lambda *a, **k: rebuilt.append(a) or rebuild(*a, **k))
+    base = scratch("sums")
+    drifted = fx.aws_raw(spark, [fx.aws_row(bill_date="2024-01-02", account_name=n, team=t) for n, t in (("a", "x"), ("b", "x"), ("b", None))])
+    load(spark, base, rows(spark, 9, copies=4), 1)
+    load(spark, base, rows(spark, 9, copies=2).unionByName(drifted).unionByName(rows(spark, 3, "2024-02")), 2)
+    assert ["line_items" in d.columns for d in dims] == [True, True] and not rebuilt
+    assert dims[0].agg(F.sum("line_items")).first()[0] == 36 and dims[0].count() < 36
+    check_against_full_build(spark, base)
+
+    def summed(rollup):
+        measures = [c for c in rollup.columns if c.rsplit("_", 1)[-1] in ("sum", "rest", "items")]
+        keys = sorted(set(rollup.columns) - set(measures))
+        return sorted(map(str, rollup.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sorted(measures)]).collect()))
+
+    from costmart.operators.dimensions import build_dim_account, build_dim_service
+    from costmart.operators.rollup import daily_rollup
+
+    assert summed(store.read_rollup(spark, base)) == summed(daily_rollup(store.read_fact(spark, base)))
+    landed = store.read_landing(spark, base)
+    for name, built in (("dim_account", build_dim_account(landed)), ("dim_service", build_dim_service(landed))):
+        assert sorted(store.read_dimension(spark, base, name).collect()) == sorted(built.collect())
+    load(spark, base, rows(spark, 5), 2)
+    assert "line_items" not in dims[-1].columns and rebuilt
+    check_against_full_build(spark, base)
+
+
+def test_counts_before_and_now_meet_in_one_aggregate(spark, monkeypatch):
+    """The copies of a load's rows, its own and those numbered before, are added up in one aggregate: no join of two."""
+    counts = "fp_hi long, fp_lo long, copies long"
+    own = spark.createDataFrame([(1, 1, 1), (2, 2, 1), (2, 2, 1), (3, 3, 1), (4, 4, 2)], counts)
+    before = spark.createDataFrame([(3, 3, 1), (3, 3, 2), (4, 4, 1), (5, 5, 9), (1, 2, 1)], counts)
+    with monkeypatch.context() as m:
+        m.setattr(type(own), "join", None)
+        found = repeated_fingerprints(own, before, own)
+    assert sorted(map(tuple, found.collect())) == [(2, 2, 2, 0), (3, 3, 1, 3), (4, 4, 2, 1)]

@@ -203,3 +203,18 @@ def test_regions_that_end_in_a_digit_are_not_searched(spark):
         out = raw.select(column, *canonical_columns(layout))
         assert {r[0]: r.region_code for r in out.collect()} == codes
         assert "substring" in str(canonical_columns(layout)[5])
+
+
+def test_export_days_are_looked_up(spark):
+    """Each line item's day is its order key's, whatever the key, and is no date put into words for every use of it."""
+    from costmart.sources import driver_tables as dt
+
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double"
+    keys = [None, 0, 1, 100, 399, 400, 799, 2 ** 62, -1, -399, -400, -2 ** 62, *range(-1000, 1000, 7)]
+    lines = spark.createDataFrame([(k, 1, 1, 1, 1.0, 1.0) for k in keys], columns)
+    out = dt.aws_export(lines).select("bill_date", "resource_id").collect()
+    day = F.date_add(F.lit(dt.A_FIRST_DAY).cast("date"), (F.col("l_orderkey") % dt.A_DAY_SPAN).cast("int")).cast("string")
+    made = lines.select(F.when(F.col("l_orderkey") % dt.A_NULL_DATE_MOD != 0, day), F.concat(F.lit("i-"), F.col("l_orderkey").cast("string")))
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, map(tuple, made.collect())))
+    plan = dt.aws_export(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_add" not in plan and "split(" not in plan
